@@ -9,6 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NUDGE = 1.000000000001
+
+
+def steady(value: Column, digits: int) -> Column:
+    """Round an average or ratio half away from zero, whatever order it was summed in.
+
+    Partial sums arrive in any order, which moves the last bits of a mean and can tip a value
+    that lies halfway between two results. The relative nudge decides such ties upwards.
+    """
+    return F.round(value * F.lit(NUDGE), digits)
+
+
 def banded(value: Column, bands: Sequence[tuple[float, str]], otherwise: str,
            null_label: str | None = None) -> Column:
     """Label of the first band whose upper bound exceeds ``value``.
@@ -27,7 +39,7 @@ def banded(value: Column, bands: Sequence[tuple[float, str]], otherwise: str,
 def minutes_between(start: Column, end: Column, digits: int | None = None) -> Column:
     """Whole seconds between two timestamps, in minutes."""
     minutes = (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)
-    return minutes if digits is None else F.round(minutes, digits)
+    return minutes if digits is None else steady(minutes, digits)
 
 
 def safe_ratio(numerator: Column, denominator: Column, scale: float = 1.0,
@@ -35,7 +47,7 @@ def safe_ratio(numerator: Column, denominator: Column, scale: float = 1.0,
     """``scale * numerator / denominator``, or ``default`` where the denominator is not positive."""
     ratio = F.when(denominator > 0, numerator / denominator * F.lit(scale))
     if digits is not None:
-        ratio = F.round(ratio, digits)
+        ratio = steady(ratio, digits)
     return ratio if default is None else F.coalesce(ratio, F.lit(default))
 
 
@@ -68,7 +80,7 @@ def time_feature_columns(ts: Column) -> dict[str, Column]:
 
 def speed(distance: Column, minutes: Column, digits: int = 1) -> Column:
     """Distance per hour; a small constant keeps zero-length trips finite."""
-    return F.round(distance / (minutes / 60 + 0.001), digits)
+    return steady(distance / (minutes / 60 + 0.001), digits)
 
 
 def pseudonym(identifier: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.expressions import salt_of
+from tidewater.functions.expressions import salt_of, steady
 from tidewater.operators.windows import row_number, with_windows
 
 MAX_LIST_VALUES = 10_000
@@ -64,8 +64,8 @@ def describe_columns(df: DataFrame, columns: Sequence[str], digits: int = 4) ->
     wide = df.agg(*measures)
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"{c}_n").alias("n"),
-                 F.round(f"{c}_mean", digits).alias("mean"),
-                 F.round(f"{c}_std", digits).alias("stddev"),
+                 steady(F.col(f"{c}_mean"), digits).alias("mean"),
+                 steady(F.col(f"{c}_std"), digits).alias("stddev"),
                  F.col(f"{c}_min").alias("min"), F.col(f"{c}_max").alias("max"))
         for c in columns
     ])
@@ -78,7 +78,7 @@ def null_profile(df: DataFrame, digits: int = 2) -> DataFrame:
                     *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in df.columns])
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"_null_{c}").alias("null_count"),
-                 F.round(F.try_divide(F.col(f"_null_{c}"), F.col("_rows")) * 100, digits)
+                 steady(F.try_divide(F.col(f"_null_{c}"), F.col("_rows")) * 100, digits)
                  .alias("null_pct"))
         for c in df.columns
     ])

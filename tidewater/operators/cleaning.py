@@ -164,7 +164,7 @@ def sensor_report(clean: DataFrame, active: str) -> DataFrame:
         F.count_if(F.col("status") == active).alias("active_rows"))
     long = per_sensor.select(F.inline(F.array(
         F.struct(F.lit("avg_temperature").alias("metric"), F.col("sensor_id").alias("key"),
-                 F.round("avg_temperature", 4).alias("value")),
+                 X.steady(F.col("avg_temperature"), 4).alias("value")),
         F.struct(F.lit("max_temperature").alias("metric"), F.col("sensor_id").alias("key"),
                  F.col("max_temperature").alias("value")),
     )))

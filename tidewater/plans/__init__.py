@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("relational", "aggregates")
+MODULES = ("relational", "aggregates", "scalars", "cleaning", "storage", "streams")
 
 
 def load_all() -> None:

@@ -19,14 +19,14 @@ def _n():
 
 
 @query("agg_global", """
-    SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice), 4) AS mean,
-           round(stddev_samp(o_totalprice), 4) AS std, min(o_totalprice) AS low, max(o_totalprice) AS high
+    SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice) * 1.000000000001e0, 4) AS mean,
+           round(stddev_samp(o_totalprice) * 1.000000000001e0, 4) AS std, min(o_totalprice) AS low, max(o_totalprice) AS high
     FROM orders WHERE o_totalprice > 0""")
 def agg_global(t):
     price = F.col("o_totalprice")
     return t.orders.filter(price > 0).agg(
-        _n().alias("n"), F.round(F.sum(price), 2).alias("total"), F.round(F.avg(price), 4).alias("mean"),
-        F.round(F.stddev(price), 4).alias("std"), F.min(price).alias("low"), F.max(price).alias("high"))
+        _n().alias("n"), F.round(F.sum(price), 2).alias("total"), X.steady(F.avg(price), 4).alias("mean"),
+        X.steady(F.stddev(price), 4).alias("std"), F.min(price).alias("low"), F.max(price).alias("high"))
 
 
 @query("agg_percentiles", """
@@ -50,13 +50,13 @@ def group_count(t):
 
 @query("group_multi_agg", f"""
     WITH {TRIPS}
-    SELECT hour(pickup_ts) AS hour, count(*) AS trips, round(avg(fare), 2) AS avg_fare,
-           round(avg(distance), 2) AS avg_distance, round(sum(tip) / sum(fare) * 100, 1) AS tip_rate_pct
+    SELECT hour(pickup_ts) AS hour, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
+           round(avg(distance) * 1.000000000001e0, 2) AS avg_distance, round(sum(tip) / sum(fare) * 100, 1) AS tip_rate_pct
     FROM trips WHERE fare > 0 GROUP BY 1 ORDER BY 1""")
 def group_multi_agg(t):
     return t.trips.filter(F.col("fare") > 0).groupBy(X.hour_of_day(F.col("pickup_ts")).alias("hour")).agg(
-        _n().alias("trips"), F.round(F.avg("fare"), 2).alias("avg_fare"),
-        F.round(F.avg("distance"), 2).alias("avg_distance"),
+        _n().alias("trips"), X.steady(F.avg("fare"), 2).alias("avg_fare"),
+        X.steady(F.avg("distance"), 2).alias("avg_distance"),
         F.round(F.sum("tip") / F.sum("fare") * 100, 1).alias("tip_rate_pct")).orderBy("hour")
 
 
@@ -91,21 +91,21 @@ def group_ratio(t):
 
 @query("yoy_summary", f"""
     WITH {TRIPS}
-    SELECT year(pickup_ts) AS year, count(*) AS total_trips, round(avg(fare), 2) AS avg_fare,
-           round(avg(distance), 2) AS avg_distance, round(avg(tip), 2) AS avg_tip,
-           round(avg(round(tip / fare * 100, 2)), 2) AS avg_tip_pct,
-           round(avg((epoch(dropoff_ts) - epoch(pickup_ts)) / 60), 2) AS avg_duration_min,
+    SELECT year(pickup_ts) AS year, count(*) AS total_trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
+           round(avg(distance) * 1.000000000001e0, 2) AS avg_distance, round(avg(tip) * 1.000000000001e0, 2) AS avg_tip,
+           round(avg(round((tip / fare * 100) * 1.000000000001e0, 2)) * 1.000000000001e0, 2) AS avg_tip_pct,
+           round(avg((epoch(dropoff_ts) - epoch(pickup_ts)) / 60) * 1.000000000001e0, 2) AS avg_duration_min,
            round(sum(fare), 0) AS total_revenue
     FROM trips WHERE fare > 0 GROUP BY 1""")
 def yoy_summary(t):
     rides = t.trips.filter(F.col("fare") > 0).withColumns({
         "minutes": X.minutes_between(F.col("pickup_ts"), F.col("dropoff_ts")),
-        "tip_pct": F.round(F.col("tip") / F.col("fare") * 100, 2)})
+        "tip_pct": X.steady(F.col("tip") / F.col("fare") * 100, 2)})
     return rides.groupBy(F.year("pickup_ts").cast("bigint").alias("year")).agg(
-        _n().alias("total_trips"), F.round(F.avg("fare"), 2).alias("avg_fare"),
-        F.round(F.avg("distance"), 2).alias("avg_distance"), F.round(F.avg("tip"), 2).alias("avg_tip"),
-        F.round(F.avg("tip_pct"), 2).alias("avg_tip_pct"),
-        F.round(F.avg("minutes"), 2).alias("avg_duration_min"),
+        _n().alias("total_trips"), X.steady(F.avg("fare"), 2).alias("avg_fare"),
+        X.steady(F.avg("distance"), 2).alias("avg_distance"), X.steady(F.avg("tip"), 2).alias("avg_tip"),
+        X.steady(F.avg("tip_pct"), 2).alias("avg_tip_pct"),
+        X.steady(F.avg("minutes"), 2).alias("avg_duration_min"),
         F.round(F.sum("fare"), 0).alias("total_revenue"))
 
 
@@ -149,9 +149,9 @@ def count_per_element(t):
     return t.part.groupBy(F.col("p_name").alias("element")).agg(_n().alias("n"))
 
 
-@query("combine_globally_avg", "SELECT round(avg(value), 6) AS mean FROM events")
+@query("combine_globally_avg", "SELECT round(avg(value) * 1.000000000001e0, 6) AS mean FROM events")
 def combine_globally_avg(t):
-    return t.events.agg(F.round(F.avg("value"), 6).alias("mean"))
+    return t.events.agg(X.steady(F.avg("value"), 6).alias("mean"))
 
 
 @query("word_count", """
@@ -191,8 +191,8 @@ def crosstab(t):
 
 
 def _described(column: str) -> str:
-    return f"""SELECT '{column}' AS "column", count({column}) AS n, round(avg({column}), 4) AS mean,
-       round(stddev_samp({column}), 4) AS stddev, CAST(min({column}) AS DOUBLE) AS min,
+    return f"""SELECT '{column}' AS "column", count({column}) AS n, round(avg({column}) * 1.000000000001e0, 4) AS mean,
+       round(stddev_samp({column}) * 1.000000000001e0, 4) AS stddev, CAST(min({column}) AS DOUBLE) AS min,
        CAST(max({column}) AS DOUBLE) AS max FROM lineitem"""
 
 
@@ -205,7 +205,7 @@ def describe_table(t):
 
 def _nulls(column: str) -> str:
     return f"""SELECT '{column}' AS "column", count(*) FILTER ({column} IS NULL) AS null_count,
-       round(count(*) FILTER ({column} IS NULL) / count(*) * 100, 2) AS null_pct FROM trips"""
+       round((count(*) FILTER ({column} IS NULL) / count(*) * 100) * 1.000000000001e0, 2) AS null_pct FROM trips"""
 
 
 @query("null_profile", f"WITH {TRIPS} " + " UNION ALL ".join(
@@ -255,7 +255,7 @@ clean AS (
 
 @query("analytics_summary", f"""
     WITH {CLEAN_SENSORS}
-    SELECT 'avg_temperature' AS metric, sensor_id AS key, round(avg(temperature), 4) AS value
+    SELECT 'avg_temperature' AS metric, sensor_id AS key, round(avg(temperature) * 1.000000000001e0, 4) AS value
     FROM clean GROUP BY sensor_id
     UNION ALL SELECT 'max_temperature', sensor_id, max(temperature) FROM clean GROUP BY sensor_id
     UNION ALL SELECT 'active_sensors', 'all', CAST(count(DISTINCT sensor_id) AS DOUBLE) FROM clean
@@ -320,12 +320,12 @@ def win_running_sum(t):
 
 
 @query("win_ntile", """
-    SELECT event_type, quartile, count(*) AS n, round(avg(value), 4) AS mean
+    SELECT event_type, quartile, count(*) AS n, round(avg(value) * 1.000000000001e0, 4) AS mean
     FROM (SELECT *, ntile(4) OVER (PARTITION BY event_type ORDER BY value, event_id) AS quartile FROM events)
     GROUP BY event_type, quartile""")
 def win_ntile(t):
     tiled = W.with_windows(t.events, ["event_type"], ["value", "event_id"], {"quartile": W.ntile(4)})
-    return tiled.groupBy("event_type", "quartile").agg(_n().alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+    return tiled.groupBy("event_type", "quartile").agg(_n().alias("n"), X.steady(F.avg("value"), 4).alias("mean"))
 
 
 @query("win_row_number", """
@@ -346,7 +346,7 @@ def win_top_n(t):
 
 _TOP_HOURS = """
     WITH {ctes}hourly AS (
-      SELECT year(pickup_ts) AS yr, hour(pickup_ts) AS hr, count(*) AS trips, round(avg(fare), 2) AS avg_fare,
+      SELECT year(pickup_ts) AS yr, hour(pickup_ts) AS hr, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
              round(sum(tip) / nullif(sum(fare), 0) * 100, 1) AS tip_pct, round(sum(fare), 0) AS revenue
       FROM trips WHERE fare > 0 GROUP BY year(pickup_ts), hour(pickup_ts)),
     ranked AS (SELECT *, rank() OVER (PARTITION BY yr ORDER BY revenue DESC) AS rev_rank FROM hourly)
@@ -420,11 +420,11 @@ def udf_scalar(t):
 
 @query("udf_pandas", f"""
     WITH {TRIPS}
-    SELECT payment_type, round(avg(coalesce(tip / nullif(distance, 0), 0)), 6) AS mean_ratio
+    SELECT payment_type, round(avg(coalesce(tip / nullif(distance, 0), 0)) * 1.000000000001e0, 6) AS mean_ratio
     FROM trips GROUP BY payment_type""")
 def udf_pandas(t):
     return t.trips.select("payment_type", P.vector_ratio("tip", "distance").alias("r")).groupBy(
-        "payment_type").agg(F.round(F.avg("r"), 6).alias("mean_ratio"))
+        "payment_type").agg(X.steady(F.avg("r"), 6).alias("mean_ratio"))
 
 
 @query("udtf_flatmap", """
@@ -440,14 +440,14 @@ def udtf_flatmap(t):
 
 
 @query("udaf_custom", """
-    SELECT event_type, round(avg(value), 6) AS mean FROM events GROUP BY event_type""")
+    SELECT event_type, round(avg(value) * 1.000000000001e0, 6) AS mean FROM events GROUP BY event_type""")
 def udaf_custom(t):
     return P.combine(
         t.events.select("event_type", "value"), ["event_type"],
         create=lambda rows: {"total": float(rows["value"].sum()), "n": len(rows)},
         state_schema="total double, n bigint",
         merge=[F.sum("total").alias("total"), F.sum("n").alias("n")],
-        finish=[F.round(F.col("total") / F.col("n"), 6).alias("mean")])
+        finish=[X.steady(F.col("total") / F.col("n"), 6).alias("mean")])
 
 
 @query("map_batches", """

@@ -172,9 +172,9 @@ def label_binarize(t):
 
 @query("split_by_dtype", """
     SELECT column_name AS name,
-           CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric' ELSE 'categorical' END AS kind,
+           CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric' ELSE 'categorical' END AS kind,
            (SELECT count(*) FROM orders) AS rows
-    FROM information_schema.columns WHERE table_name = 'orders'""")
+    FROM (DESCRIBE orders)""")
 def split_by_dtype(t):
     kinds = columns_by_kind(t.orders)
     names = F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.lit(kind).alias("kind"))
@@ -214,14 +214,14 @@ def join_left(t):
 
 @query("join_left_default", f"""
     WITH {TRIPS}, {ZONES}
-    SELECT coalesce(zone, 'Other') AS zone, count(*) AS trips, round(avg(fare), 2) AS avg_fare
+    SELECT coalesce(zone, 'Other') AS zone, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare
     FROM trips LEFT JOIN zones ON pu_zone = zone_id GROUP BY 1""")
 def join_left_default(t):
     # Pre-aggregated by zone id, so the join sees one row per zone instead of one per trip.
     per_zone = t.trips.groupBy("pu_zone").agg(F.count(F.lit(1)).alias("n"), F.sum("fare").alias("fares"))
     named = per_zone.join(t.zones, F.col("pu_zone") == F.col("zone_id"), "left")
     return named.groupBy(F.coalesce("zone", F.lit("Other")).alias("zone")).agg(
-        F.sum("n").alias("trips"), F.round(F.sum("fares") / F.sum("n"), 2).alias("avg_fare"))
+        F.sum("n").alias("trips"), X.steady(F.sum("fares") / F.sum("n"), 2).alias("avg_fare"))
 
 
 @query("join_right", f"""
@@ -274,23 +274,23 @@ def join_shuffle(t):
 @query("join_then_aggregate", f"""
     WITH {EMPLOYEES}, {DEPARTMENTS}
     SELECT office_block, count(*) AS employees, max(salary) AS max_salary, min(age) AS min_age,
-           round(sum(salary), 2) AS total_salary, round(avg(experience), 4) AS avg_experience
+           round(sum(salary), 2) AS total_salary, round(avg(experience) * 1.000000000001e0, 4) AS avg_experience
     FROM employees JOIN departments USING (department) GROUP BY office_block""")
 def join_then_aggregate(t):
     return J.lookup_join(t.employees, t.departments, ["department"]).groupBy("office_block").agg(
         F.count(F.lit(1)).alias("employees"), F.max("salary").alias("max_salary"),
         F.min("age").alias("min_age"), F.round(F.sum("salary"), 2).alias("total_salary"),
-        F.round(F.avg("experience"), 4).alias("avg_experience"))
+        X.steady(F.avg("experience"), 4).alias("avg_experience"))
 
 
 @query("merge_group_stats", """
-    SELECT event_id, user_id, value, round(avg(value) OVER (PARTITION BY user_id), 4) AS user_mean,
-           round(stddev_samp(value) OVER (PARTITION BY user_id), 4) AS user_std
+    SELECT event_id, user_id, value, round(avg(value) OVER (PARTITION BY user_id) * 1.000000000001e0, 4) AS user_mean,
+           round(stddev_samp(value) OVER (PARTITION BY user_id) * 1.000000000001e0, 4) AS user_std
     FROM events""")
 def merge_group_stats(t):
     return J.with_group_statistics(t.events.select("event_id", "user_id", "value"), ["user_id"], [
-        F.round(F.avg("value"), 4).alias("user_mean"),
-        F.round(F.stddev_samp("value"), 4).alias("user_std")])
+        X.steady(F.avg("value"), 4).alias("user_mean"),
+        X.steady(F.stddev_samp("value"), 4).alias("user_std")])
 
 
 @query("join_salted", """
