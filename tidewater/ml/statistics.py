@@ -11,6 +11,7 @@ from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.expressions import steady
 from tidewater.ml.features import index_strings
 from tidewater.operators.windows import running_sum, with_windows
 
@@ -57,7 +58,7 @@ def vector_summary(df: DataFrame, columns: Sequence[str], digits: int = 4) -> Da
     arrays = summary.select(*[vector_to_array(F.col(f"s.{m}")).alias(m) for m in metrics])
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"),
-                 *[F.round(F.col(m)[i], digits).alias(m) for m in metrics])
+                 *[steady(F.col(m)[i], digits).alias(m) for m in metrics])
         for i, c in enumerate(columns)
     ])
     return arrays.select(F.inline(rows))

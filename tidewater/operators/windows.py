@@ -88,9 +88,12 @@ def _names(order: Sequence[OrderKey]) -> list[str]:
     return [key if isinstance(key, str) else key[0] for key in order]
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], max_rows: int) -> bool:
-    """Whether any group exceeds ``max_rows``; reads only the key columns."""
-    return not df.groupBy(*keys).count().filter(F.col("count") > max_rows).isEmpty()
+def group_extent(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the table and of its largest group, from one pass over the key columns."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                      F.coalesce(F.max("n"), F.lit(0)).alias("largest")).first()
+    return found["rows"], found["largest"]
 
 
 def with_windows(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
@@ -104,9 +107,11 @@ def with_windows(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey],
     ``keys`` the whole table is one group and is always cut into chunks.
     """
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
-    if keys and not has_large_group(df, keys, max_group_rows):
+    rows, largest = group_extent(df, keys)
+    if keys and largest <= max_group_rows:
         return _plain(df, keys, order, tiebreak, specs)
-    return _chunked(df, keys, order, tiebreak, specs, rows_per_chunk)
+    chunks = max(2, math.ceil(rows / rows_per_chunk))
+    return _chunked(df, keys, order, tiebreak, specs, chunks)
 
 
 def _local_columns(partition: list, order: list, tiebreak: list,
@@ -138,34 +143,35 @@ def _plain(df, keys, order, tiebreak, specs) -> DataFrame:
     return df.withColumns(_local_columns(keys, order, tiebreak, specs))
 
 
-def _chunked(df, keys, order, tiebreak, specs, rows_per_chunk) -> DataFrame:
+def _chunked(df, keys, order, tiebreak, specs, chunks: int) -> DataFrame:
     spark = df.sparkSession
-    chunks = max(2, math.ceil(df.count() / rows_per_chunk))
     # Chunk numbers come from the range exchange, whose bounds are sampled when it runs. The rows
     # are written once with their chunk, so every later step sees the same cut.
     cut = df.repartitionByRange(
         chunks, *[F.asc(k) for k in keys], *_sort_columns(order + tiebreak)
-    ).withColumn("_chunk", F.spark_partition_id())
-    local = {f"_l_{name}": spec for name, spec in specs.items()}
-    local |= {"_rn": row_number(), "_n": group_size()}
+    ).withColumn("_w_chunk", F.spark_partition_id())
+    local = {f"_w_l_{name}": spec for name, spec in specs.items()}
+    local |= {"_w_rn": row_number(), "_w_n": group_size()}
     if any(s.kind in ("rank", "dense_rank", "percent_rank") for s in specs.values()):
-        local |= {"_rank": rank(), "_dense": dense_rank()}
+        local |= {"_w_rank": rank(), "_w_dense": dense_rank()}
     path = scratch_path(spark, "chunks")
-    cut.withColumns(_local_columns([*keys, "_chunk"], order, tiebreak, local)).write.parquet(path)
+    cut.withColumns(_local_columns([*keys, "_w_chunk"], order, tiebreak, local)).write.parquet(path)
     staged = spark.read.parquet(path)
 
     carry = _carry(staged, keys, order, specs)
-    match = staged["_chunk"] == carry["_chunk"]
+    carry = carry.withColumnsRenamed({c: f"_k_{c}" for c in (*keys, "_w_chunk")})
+    match = F.col("_w_chunk") == F.col("_k__w_chunk")
     for key in keys:
-        match &= staged[key].eqNullSafe(carry[key])
+        match &= F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+    # At most two rows per chunk, so the size of the broadcast is bounded by the chunk count.
     joined = staged.join(F.broadcast(carry), match, "left")
-    offset = F.coalesce(F.col("_offset"), F.lit(0))
-    size = F.coalesce(F.col("_total"), F.col("_n"))
-    position = F.col("_rn") + offset
-    out = [staged[c] for c in df.columns]
+    offset = F.coalesce(F.col("_w_offset"), F.lit(0))
+    size = F.coalesce(F.col("_w_total"), F.col("_w_n"))
+    position = F.col("_w_rn") + offset
+    out = [F.col(c) for c in df.columns]
     for name, spec in specs.items():
-        here = F.col(f"_l_{name}")
-        carried = F.col(f"_c_{name}")
+        here = F.col(f"_w_l_{name}")
+        carried = F.col(f"_w_c_{name}")
         if spec.kind == "row_number":
             value = position
         elif spec.kind == "group_size":
@@ -173,7 +179,7 @@ def _chunked(df, keys, order, tiebreak, specs, rows_per_chunk) -> DataFrame:
         elif spec.kind == "rank":
             value = _global_rank(offset)
         elif spec.kind == "dense_rank":
-            value = F.col("_dense") + F.coalesce(F.col("_dense_offset"), F.lit(0))
+            value = F.col("_w_dense") + F.coalesce(F.col("_w_dense_offset"), F.lit(0))
         elif spec.kind == "percent_rank":
             value = F.when(size > 1, (_global_rank(offset) - 1) / (size - 1)).otherwise(0.0)
         elif spec.kind == "ntile":
@@ -183,9 +189,9 @@ def _chunked(df, keys, order, tiebreak, specs, rows_per_chunk) -> DataFrame:
         elif spec.kind == "max":
             value = F.greatest(here, carried)
         elif spec.kind == "lag":
-            value = F.when(F.col("_rn") == 1, carried).otherwise(here)
+            value = F.when(F.col("_w_rn") == 1, carried).otherwise(here)
         elif spec.kind == "lead":
-            value = F.when(F.col("_rn") == F.col("_n"), carried).otherwise(here)
+            value = F.when(F.col("_w_rn") == F.col("_w_n"), carried).otherwise(here)
         else:
             value = F.coalesce(here, carried)
         out.append(value.alias(name))
@@ -194,8 +200,8 @@ def _chunked(df, keys, order, tiebreak, specs, rows_per_chunk) -> DataFrame:
 
 def _global_rank(offset: Column) -> Column:
     """Rank in the whole group: peers of a chunk's first row may have begun in an earlier chunk."""
-    return F.when((F.col("_dense") == 1) & F.col("_lead_start").isNotNull(),
-                  F.col("_lead_start")).otherwise(F.col("_rank") + offset)
+    return F.when((F.col("_w_dense") == 1) & F.col("_w_lead_start").isNotNull(),
+                  F.col("_w_lead_start")).otherwise(F.col("_w_rank") + offset)
 
 
 def _tile(position: Column, size: Column, n: int) -> Column:
@@ -209,49 +215,49 @@ def _tile(position: Column, size: Column, n: int) -> Column:
 
 def _carry(staged: DataFrame, keys: list, order: list, specs: dict[str, Spec]) -> DataFrame:
     """What the other chunks of a group contribute, for groups that span several chunks."""
-    first_row, last_row = F.col("_rn") == 1, F.col("_rn") == F.col("_n")
+    first_row, last_row = F.col("_w_rn") == 1, F.col("_w_rn") == F.col("_w_n")
     ranked = any(s.kind in ("rank", "dense_rank", "percent_rank") for s in specs.values())
-    measures = [F.max("_n").alias("_size")]
+    measures = [F.max("_w_n").alias("_w_size")]
     if ranked:
         peers = F.struct(*_names(order))
-        measures += [F.max(F.when(first_row, peers)).alias("_first"),
-                     F.max(F.when(last_row, peers)).alias("_last"),
-                     F.max("_rank").alias("_last_start"), F.max("_dense").alias("_distinct")]
+        measures += [F.max(F.when(first_row, peers)).alias("_w_first"),
+                     F.max(F.when(last_row, peers)).alias("_w_last"),
+                     F.max("_w_rank").alias("_w_last_start"), F.max("_w_dense").alias("_w_distinct")]
     for name, spec in specs.items():
         edge = {"sum": last_row, "max": last_row, "fill": last_row,
                 "lag": last_row, "lead": first_row}.get(spec.kind)
         if edge is not None:
-            source = spec.column if spec.kind in ("lag", "lead") else f"_l_{name}"
-            measures.append(F.max(F.when(edge, F.struct(F.col(source).alias("v")))).alias(f"_e_{name}"))
-    summary = staged.groupBy(*keys, "_chunk").agg(*measures)
+            source = spec.column if spec.kind in ("lag", "lead") else f"_w_l_{name}"
+            measures.append(F.max(F.when(edge, F.struct(F.col(source).alias("v")))).alias(f"_w_e_{name}"))
+    summary = staged.groupBy(*keys, "_w_chunk").agg(*measures)
 
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    ordered = whole.orderBy("_chunk")
+    ordered = whole.orderBy("_w_chunk")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        summary.withColumn("_pieces", F.count(F.lit(1)).over(whole))
-        .filter(F.col("_pieces") > 1)
+        summary.withColumn("_w_pieces", F.count(F.lit(1)).over(whole))
+        .filter(F.col("_w_pieces") > 1)
         .withColumns({
-            "_offset": F.coalesce(F.sum("_size").over(before), F.lit(0)),
-            "_total": F.sum("_size").over(whole),
+            "_w_offset": F.coalesce(F.sum("_w_size").over(before), F.lit(0)),
+            "_w_total": F.sum("_w_size").over(whole),
         })
     )
     if ranked:
         carry = carry.withColumn(
-            "_continues", F.col("_first").eqNullSafe(F.lag("_last").over(ordered))
-            & F.lag("_chunk").over(ordered).isNotNull())
+            "_w_continues", F.col("_w_first").eqNullSafe(F.lag("_w_last").over(ordered))
+            & F.lag("_w_chunk").over(ordered).isNotNull())
         # Where the run of peers that ends this chunk began, unless it began even earlier.
-        own_start = F.when(F.col("_distinct") > 1, F.col("_offset") + F.col("_last_start")).when(
-            ~F.col("_continues"), F.col("_offset") + 1)
-        carry = carry.withColumn("_run_start", own_start).withColumns({
-            "_lead_start": F.when(
-                F.col("_continues"), F.last("_run_start", ignorenulls=True).over(before)),
-            "_dense_offset": F.coalesce(F.sum("_distinct").over(before), F.lit(0))
-            - F.sum(F.col("_continues").cast("bigint")).over(
+        own_start = F.when(F.col("_w_distinct") > 1, F.col("_w_offset") + F.col("_w_last_start")).when(
+            ~F.col("_w_continues"), F.col("_w_offset") + 1)
+        carry = carry.withColumn("_w_run_start", own_start).withColumns({
+            "_w_lead_start": F.when(
+                F.col("_w_continues"), F.last("_w_run_start", ignorenulls=True).over(before)),
+            "_w_dense_offset": F.coalesce(F.sum("_w_distinct").over(before), F.lit(0))
+            - F.sum(F.col("_w_continues").cast("bigint")).over(
                 ordered.rowsBetween(Window.unboundedPreceding, 0)),
         })
     for name, spec in specs.items():
-        edge = F.col(f"_e_{name}.v") if f"_e_{name}" in summary.columns else None
+        edge = F.col(f"_w_e_{name}.v") if f"_w_e_{name}" in summary.columns else None
         carried = {
             "sum": lambda: F.sum(edge).over(before),
             "max": lambda: F.max(edge).over(before),
@@ -260,9 +266,9 @@ def _carry(staged: DataFrame, keys: list, order: list, specs: dict[str, Spec]) -
             "lead": lambda: F.lead(edge).over(ordered),
         }.get(spec.kind)
         if carried:
-            carry = carry.withColumn(f"_c_{name}", carried())
-    kept = [c for c in carry.columns if c in (*keys, "_chunk", "_offset", "_total", "_lead_start",
-                                              "_dense_offset") or c.startswith("_c_")]
+            carry = carry.withColumn(f"_w_c_{name}", carried())
+    kept = [c for c in carry.columns if c in (*keys, "_w_chunk", "_w_offset", "_w_total", "_w_lead_start",
+                                              "_w_dense_offset") or c.startswith("_w_c_")]
     return carry.select(*kept)
 
 

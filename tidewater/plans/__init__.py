@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("relational", "aggregates", "scalars", "cleaning", "storage", "streams")
+MODULES = ("relational", "aggregates", "scalars", "cleaning", "storage", "streams", "learning", "layout")
 
 
 def load_all() -> None:
