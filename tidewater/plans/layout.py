@@ -19,14 +19,18 @@ def partition_row_counts(t):
     return O.partition_row_counts(t.lineitem)
 
 
-@query("repartition_n")
+def _partitions(df):
+    return O.partition_row_counts(df).agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("rows"))
+
+
+@query("repartition_n", "SELECT 16::BIGINT AS parts, count(*) AS rows FROM lineitem")
 def repartition_n(t):
-    return O.partition_row_counts(t.lineitem.select("l_orderkey", "l_suppkey").repartition(16))
+    return _partitions(t.lineitem.select("l_orderkey").repartition(16))
 
 
-@query("coalesce_n")
+@query("coalesce_n", "SELECT 2::BIGINT AS parts, count(*) AS rows FROM lineitem")
 def coalesce_n(t):
-    return O.partition_row_counts(t.lineitem.select("l_orderkey", "l_suppkey").repartition(16).coalesce(2))
+    return _partitions(t.lineitem.select("l_orderkey").repartition(16).coalesce(2))
 
 
 @query("repartition_by_key", "SELECT l_suppkey, count(*) AS n, 1::BIGINT AS parts FROM lineitem GROUP BY l_suppkey")

@@ -16,6 +16,7 @@ from tidewater.ml import evaluation as E
 from tidewater.ml import features as M
 from tidewater.ml import models as L
 from tidewater.ml import statistics as ST
+from tidewater.operators.layout import persisted
 from tidewater.operators.sampling import split_column, split_two
 from tidewater.plans.registry import query
 from tidewater.plans.scalars import RIDES
@@ -262,14 +263,19 @@ class Tasks:
         return split_two(_points(self.t), "vec_id")
 
 
+def _report(parts: tuple[DataFrame, DataFrame], kinds: dict[str, dict], measure) -> DataFrame:
+    """Metrics of several models; the training rows are kept while the models are fitted."""
+    train, test = parts
+    with persisted(train) as kept:
+        return _stack({name: measure(L.fit_score(kept, test, **spec)) for name, spec in kinds.items()})
+
+
 def _regression_report(t: Tables, kinds: dict[str, dict]) -> DataFrame:
-    train, test = Tasks(t).regression
-    return _stack({name: E.regression_metrics(L.fit_score(train, test, **spec)) for name, spec in kinds.items()})
+    return _report(Tasks(t).regression, kinds, E.regression_metrics)
 
 
 def _classification_report(t: Tables, kinds: dict[str, dict]) -> DataFrame:
-    train, test = Tasks(t).classification
-    return _stack({name: E.binary_metrics(L.fit_score(train, test, **spec)) for name, spec in kinds.items()})
+    return _report(Tasks(t).classification, kinds, E.binary_metrics)
 
 
 def _stack(parts: dict[str, DataFrame]) -> DataFrame:
@@ -286,6 +292,18 @@ def linear_regression(t):
                                   "ols": {"kind": "linear_regression", "regParam": 0.0}})
 
 
+@query("linear_fit", """
+    SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+           round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept,
+           round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem""")
+def linear_fit(t):
+    """Ordinary least squares on one input, whose solution SQL can give as well."""
+    rows = M.assemble(t.lineitem.withColumn("label", F.col("l_extendedprice")), ["l_quantity"])
+    model = L.estimator("linear_regression", regParam=0.0, solver="normal").fit(rows.select("features", "label"))
+    fitted = [(round(float(model.coefficients[0]), 4), round(model.intercept, 2), round(model.summary.r2, 6))]
+    return t.spark.createDataFrame(fitted, "slope double, intercept double, r2 double")
+
+
 @query("ridge_sweep")
 def ridge_sweep(t):
     return _regression_report(t, {f"alpha={a}": {"kind": "linear_regression", "regParam": a, "elasticNetParam": 0.0}
@@ -434,7 +452,10 @@ def random_search(t):
     return L.tuning_table(t.spark, maps, fitted.validationMetrics, "auc").orderBy(F.desc("auc"), "trial")
 
 
-@query("model_save_load")
+@query("model_save_load", f"""
+    WITH {RIDES_ML}
+    SELECT count(*) AS rows, 0::BIGINT AS different FROM ml
+    WHERE CAST(('0x' || substr(md5(ride || '#42'), 1, 7)) AS BIGINT) % 10000 >= 8000""")
 def model_save_load(t):
     """Predictions of a fitted chain and of its saved and reloaded copy, and how many differ."""
     rides = _rides(t).withColumn("label", (F.col("tip") / F.col("fare") > 0.20).cast("double"))

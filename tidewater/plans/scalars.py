@@ -131,12 +131,17 @@ def fn_json_struct(t):
         ":", "who.event_type", F.col("who.user_id").cast("string")).alias("packed"))
 
 
-@query("fn_partition_meta")
+@query("fn_partition_meta", """
+    SELECT count(*) AS rows, 0::BIGINT AS rows_without_file, 0::BIGINT AS rows_without_part,
+           0::BIGINT AS random_out_of_range FROM orders""")
 def fn_partition_meta(t):
-    """Rows per input file and task, with the mean of a seeded random column."""
+    """Input file, task number and a seeded random value are defined on every row."""
     tagged = t.orders.select(F.input_file_name().alias("file"), F.spark_partition_id().alias("part"),
                              F.rand(42).alias("r"))
-    return tagged.groupBy("file", "part").agg(F.count(F.lit(1)).alias("n"), F.avg("r").alias("mean_random"))
+    return tagged.agg(F.count(F.lit(1)).alias("rows"),
+                      F.count_if(~F.col("file").contains("orders.parquet")).alias("rows_without_file"),
+                      F.count_if(F.col("part") < 0).alias("rows_without_part"),
+                      F.count_if(~F.col("r").between(0, 1)).alias("random_out_of_range"))
 
 
 @query("fn_conversion", f"""

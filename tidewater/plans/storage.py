@@ -120,7 +120,7 @@ def stream_files_query(t):
 @query("sink_parquet", "SELECT * FROM orders")
 def sink_parquet(t):
     path = scratch_path(t.spark, "parquet")
-    files.write_partitioned(t.orders, path, ["o_orderstatus"], ["o_orderkey"], files_per_partition=2)
+    files.write_partitioned(t.orders, path, ["o_orderstatus"])
     return t.spark.read.schema(ORDER_SCHEMA).parquet(path)
 
 
@@ -285,7 +285,7 @@ def lake_layers(t):
     base = scratch_path(t.spark, "lake")
     lake.bronze_ingest(trips_of(t.lineitem), f"{base}/bronze", "pickup_ts")
     silver = lake.silver_trips(t.spark.read.parquet(f"{base}/bronze"))
-    files.write_partitioned(silver, f"{base}/silver", ["_year", "_month"], ["order_key"])
+    files.write_partitioned(silver, f"{base}/silver", ["_year", "_month"])
     gold = lake.daily_kpis(t.spark.read.parquet(f"{base}/silver"))
     files.write_table(gold, f"{base}/gold")
     return t.spark.read.parquet(f"{base}/gold").select(F.col("date").cast("string").alias("date"), "trips", "active_zones")

@@ -48,31 +48,21 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.format(fmt).save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], spread_on: Sequence[str] = (),
-                      files_per_partition: int = 1, mode: str = "overwrite",
-                      max_records_per_file: int = 5_000_000) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite",
+                      max_records_per_file: int = 5_000_000, **options) -> None:
     """Partitioned Parquet without one tiny file per task and directory.
 
-    Rows are shuffled by partition value; ``files_per_partition`` > 1 also spreads each
-    partition by a hash of ``spread_on``, so that a large partition value is written by several
-    tasks. ``max_records_per_file`` splits files further.
+    Rows are gathered by partition value with a rebalancing shuffle. Adaptive execution merges
+    small values into one task and splits a value that holds much of the table over several.
     """
-    keys: list[Column] = [F.col(c) for c in partition_by]
-    if files_per_partition > 1:
-        keys.append(F.pmod(F.xxhash64(*(spread_on or df.columns)), F.lit(files_per_partition)))
-    (
-        df.repartition(*keys).write.mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*partition_by).parquet(path)
-    )
+    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = gathered.write.mode(mode).options(maxRecordsPerFile=max_records_per_file, **options)
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``; running it again gives the same table."""
-    (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by).parquet(path)
-    )
+    write_partitioned(df, path, partition_by, partitionOverwriteMode="dynamic")
 
 
 def write_text(df: DataFrame, path: str, line: Column | None = None, mode: str = "overwrite") -> None:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidewater.operators.windows import best_per_key
 from tidewater.session import scratch_path
+from tidewater.sources.files import overwrite_partitions
 
 
 def start_query(df: DataFrame, checkpoint: str, fmt: str | None = None, path: str | None = None,
@@ -79,10 +80,7 @@ class FeatureStoreWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumns({
             "year": F.year(self.time), "month": F.month(self.time), "batch": F.lit(batch_id)})
-        (
-            stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("year", "month", "batch").parquet(self.path)
-        )
+        overwrite_partitions(stamped, self.path, ["year", "month", "batch"])
 
 
 PROGRESS_SCHEMA = (

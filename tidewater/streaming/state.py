@@ -22,7 +22,7 @@ def nth_occurrence_alerts(events: DataFrame, key: str, key_type: str, order: str
     """
     def reduce_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            grouped = frame.groupby(key)[order]
+            grouped = frame.groupby(key, dropna=False)[order]
             yield pd.DataFrame({
                 "n": grouped.size(),
                 "first": grouped.apply(lambda s: s.nsmallest(n).tolist()),
