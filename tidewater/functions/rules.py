@@ -31,6 +31,11 @@ def triggered_rules(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(r.predicate, F.lit(r.name)) for r in rules]))
 
 
+def triggered_rule_names(rules: Sequence[Rule], separator: str = ",") -> Column:
+    """The names of the triggered rules as one text; concat_ws skips the others."""
+    return F.concat_ws(separator, *[F.when(r.predicate, F.lit(r.name)) for r in rules])
+
+
 def ride_anomaly_rules() -> list[Rule]:
     """Rules over rides; expects fare, distance, duration_min, hour_of_day, is_airport,
     fare_per_mile and passengers."""

@@ -22,11 +22,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.cleaning import apply_fill_values, learn_fill_values
+from tidewater.operators.windows import row_number, with_windows
 
+MAX_DRIVER_LABELS = 100_000
 
-def index_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``<column>_idx``: 0 for the most frequent value; ties are alphabetical."""
-    return string_indexer(columns).fit(df).transform(df)
+
+def index_strings(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_DRIVER_LABELS,
+                  **window_options) -> DataFrame:
+    """Add ``<column>_idx``: 0 for the most frequent value; ties are alphabetical.
+
+    A fitted indexer keeps its labels in the driver, so it serves columns of up to about
+    ``max_labels`` values. Wider columns are ranked as a table and joined back.
+    """
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    narrow = [c for c in columns if sizes[c] <= max_labels]
+    out = string_indexer(narrow).fit(df).transform(df) if narrow else df
+    for c in columns:
+        if c not in narrow:
+            out = _joined_index(out, c, window_options)
+    return out
+
+
+def _joined_index(df: DataFrame, column: str, window_options: dict) -> DataFrame:
+    """Index by frequency rank; a null gets the index after the last value, as the indexer does."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_label")).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    ranked = with_windows(counts, [], [("_rows", "desc"), "_label"], {"_pos": row_number()}, **window_options)
+    labels = counts.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    index = F.coalesce(F.col("_pos") - F.lit(1.0), labels)
+    joined = df.join(ranked.select("_label", "_pos"), F.col(column) == F.col("_label"), "left")
+    return joined.withColumn(f"{column}_idx", index).drop("_label", "_pos")
 
 
 def string_indexer(columns: Sequence[str]) -> StringIndexer:

@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import expressions as X
+from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.windows import OrderKey, best_per_key
 
-QUANTILE_ACCURACY = 10_000
-
 
 def fill_with_mean(df: DataFrame, columns: Sequence[str], valid: Column | None = None) -> DataFrame:
     """Replace nulls by the column mean, as one lazy plan with a scalar subquery.
@@ -26,18 +25,17 @@ def fill_with_mean(df: DataFrame, columns: Sequence[str], valid: Column | None =
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means[c]) for c in columns})
 
 
-def learn_fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                      accuracy: int = QUANTILE_ACCURACY) -> dict[str, float | str]:
+def learn_fill_values(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
+                      ) -> dict[str, float | str]:
     """Median per numeric and mode per categorical column (ties go to the smaller value).
 
     Blank strings count as missing; a column without any value gets 0.0 or 'unknown'. All
-    medians share one pass. Modes come from one grouped count over (column, value) pairs.
+    medians share their passes. Modes come from one grouped count over (column, value) pairs.
     """
     fills: dict[str, float | str] = {}
     if numeric:
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c)
-                       for c in numeric]).first()
-        fills |= {c: 0.0 if row[c] is None else row[c] for c in numeric}
+        medians = exact_quantiles(df, {c: [0.5] for c in numeric})
+        fills |= {c: 0.0 if medians[c][0] is None else medians[c][0] for c in numeric}
     if categorical:
         pairs = df.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("name"), X.blank_to_null(F.col(c)).alias("value"))
@@ -59,14 +57,12 @@ def apply_fill_values(df: DataFrame, fills: dict[str, float | str]) -> DataFrame
     return df.withColumns(columns)
 
 
-def fill_zero_with_median(df: DataFrame, columns: Sequence[str],
-                          accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def fill_zero_with_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Treat 0 as missing and replace it by the median of the non-zero values."""
-    medians = df.agg(F.struct(*[
-        F.percentile_approx(F.when(F.col(c) != 0, F.col(c)), 0.5, accuracy).alias(c)
-        for c in columns]).alias("m")).scalar()
+    nonzero = df.select(*[F.when(F.col(c) != 0, F.col(c)).alias(c) for c in columns])
+    medians = exact_quantiles(nonzero, {c: [0.5] for c in columns})
     return df.withColumns({
-        c: F.when(F.col(c) == 0, medians[c]).otherwise(F.col(c)) for c in columns})
+        c: F.when(F.col(c) == 0, F.lit(medians[c][0])).otherwise(F.col(c)) for c in columns})
 
 
 def within(df: DataFrame, ranges: dict[str, tuple[float, float]], not_null: Sequence[str] = ()
@@ -77,14 +73,18 @@ def within(df: DataFrame, ranges: dict[str, tuple[float, float]], not_null: Sequ
     return df.filter(X.all_of(tests))
 
 
-def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5,
-                 accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """Rows outside the quartile fences, with the fences as columns."""
-    quartiles = df.agg(F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q")).scalar()
-    low, high = quartiles[0], quartiles[1]
-    fenced = df.withColumns({"lower_fence": low - factor * (high - low),
-                             "upper_fence": high + factor * (high - low)})
-    return fenced.filter(~F.col(column).between(F.col("lower_fence"), F.col("upper_fence")))
+def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
+    """Rows outside the quartile fences, with the fences as columns.
+
+    The fences are plain numbers by the time the rows are read, so the scan can skip on them.
+    """
+    low, high = exact_quantiles(df, {column: [0.25, 0.75]})[column]
+    if low is None:
+        return df.limit(0).withColumns({"lower_fence": F.lit(None).cast("double"),
+                                        "upper_fence": F.lit(None).cast("double")})
+    lower, upper = low - factor * (high - low), high + factor * (high - low)
+    outside = df.filter((F.col(column) < lower) | (F.col(column) > upper))
+    return outside.withColumns({"lower_fence": F.lit(lower), "upper_fence": F.lit(upper)})
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:
@@ -158,19 +158,29 @@ def clean_sensors(readings: DataFrame, valid_only: bool = False) -> DataFrame:
 
 
 def sensor_report(clean: DataFrame, active: str) -> DataFrame:
-    """Average and maximum per sensor, active sensors and status counts as (metric, key, value)."""
-    per_sensor = clean.groupBy("sensor_id").agg(
-        F.avg("temperature").alias("avg_temperature"), F.max("temperature").alias("max_temperature"),
-        F.count_if(F.col("status") == active).alias("active_rows"))
-    long = per_sensor.select(F.inline(F.array(
-        F.struct(F.lit("avg_temperature").alias("metric"), F.col("sensor_id").alias("key"),
-                 X.steady(F.col("avg_temperature"), 4).alias("value")),
-        F.struct(F.lit("max_temperature").alias("metric"), F.col("sensor_id").alias("key"),
-                 F.col("max_temperature").alias("value")),
-    )))
-    active_sensors = per_sensor.agg(F.count_if(F.col("active_rows") > 0).cast("double").alias("value")
-                                    ).select(F.lit("active_sensors").alias("metric"),
-                                             F.lit("all").alias("key"), "value")
-    statuses = clean.groupBy("status").agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("status_count").alias("metric"), F.col("status").alias("key"), "value")
-    return long.unionByName(active_sensors).unionByName(statuses)
+    """Average and maximum per sensor, active sensors and status counts as (metric, key, value).
+
+    All four come from the same (sensor, status) cells, so the readings are read once.
+    """
+    cells = clean.groupBy("sensor_id", "status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("temperature").alias("total"), F.max("temperature").alias("high"))
+
+    def entry(metric: str, key: Column, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), key.alias("key"), value.cast("double").alias("value"),
+                        F.col("n"))
+
+    sensor = F.col("sensor_id")
+    entries = cells.select(F.inline(F.array_compact(F.array(
+        entry("avg_temperature", sensor, F.col("total")),
+        entry("max_temperature", sensor, F.col("high")),
+        entry("status_count", F.col("status"), F.col("n")),
+        F.when(F.col("status") == active, entry("active_sensors", F.lit("all"), F.lit(1))),
+    ))))
+    merged = entries.groupBy("metric", "key").agg(
+        F.sum("value").alias("total"), F.max("value").alias("high"), F.sum("n").alias("n"))
+    value = (
+        F.when(F.col("metric") == "avg_temperature", X.steady(F.col("total") / F.col("n"), 4))
+        .when(F.col("metric") == "max_temperature", F.col("high"))
+        .otherwise(F.col("total"))
+    )
+    return merged.select("metric", "key", value.alias("value"))

@@ -9,6 +9,7 @@ from tidewater.operators import aggregates as A
 from tidewater.operators import pythonic as P
 from tidewater.operators import windows as W
 from tidewater.operators.cleaning import clean_sensors, sensor_report
+from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column
 from tidewater.plans.registry import query
 from tidewater.plans.tables import EMPLOYEES, READINGS, TRIPS
@@ -33,8 +34,8 @@ def agg_global(t):
     SELECT quantile_disc(value, 0.5) AS median, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3
     FROM events""")
 def agg_percentiles(t):
-    q = t.events.agg(F.percentile_approx("value", [0.5, 0.25, 0.75], 1_000_000).alias("q"))
-    return q.select(F.col("q")[0].alias("median"), F.col("q")[1].alias("q1"), F.col("q")[2].alias("q3"))
+    found = exact_quantiles(t.events, {"value": [0.5, 0.25, 0.75]})["value"]
+    return t.spark.createDataFrame([tuple(found)], "median double, q1 double, q3 double")
 
 
 @query("agg_count_distinct", """

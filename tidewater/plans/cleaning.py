@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import expressions as X
-from tidewater.functions.rules import RIDE_ANOMALY_THRESHOLD, ride_anomaly_rules, rule_score, triggered_rules
+from tidewater.functions.rules import RIDE_ANOMALY_THRESHOLD, ride_anomaly_rules, rule_score, triggered_rule_names
 from tidewater.ml.evaluation import binary_metrics
 from tidewater.operators import cleaning as C
 from tidewater.operators import quality as Q
@@ -15,8 +15,6 @@ from tidewater.plans.scalars import RIDES
 from tidewater.plans.tables import EMPLOYEES, READINGS, SENSORS, TRIPS
 from tidewater.streaming.aggregates import ride_columns
 
-ACCURACY = 1_000_000  # exact quantiles on the sizes the oracle compares
-
 _KEYS = ["order_key", "vendor_id", "do_zone"]
 _ID = "order_key, vendor_id, do_zone"
 
@@ -43,7 +41,7 @@ def impute_mean(t):
     SELECT event_id, coalesce(temperature, (SELECT quantile_disc(temperature, 0.5) FROM sensors)) AS temperature
     FROM sensors""")
 def impute_median(t):
-    fills = C.learn_fill_values(t.sensors, ["temperature"], [], ACCURACY)
+    fills = C.learn_fill_values(t.sensors, ["temperature"], [])
     return C.apply_fill_values(t.sensors, fills).select("event_id", "temperature")
 
 
@@ -64,7 +62,7 @@ def impute_mode(t):
            CASE WHEN tip = 0 THEN (SELECT quantile_disc(tip, 0.5) FROM trips WHERE tip <> 0) ELSE tip END AS tip
     FROM trips""")
 def impute_zero_as_missing(t):
-    return C.fill_zero_with_median(t.trips, ["distance", "tip"], ACCURACY).select(*_KEYS, "distance", "tip")
+    return C.fill_zero_with_median(t.trips, ["distance", "tip"]).select(*_KEYS, "distance", "tip")
 
 
 @query("blank_to_null", """
@@ -92,7 +90,7 @@ def impute_fit_apply(t):
     marked = t.employees.select(
         "employee_id", split_column("employee_id", {"train": 0.8, "test": 0.2}).alias("split"), "city",
         F.when(F.col("age") % 7 != 0, F.col("age").cast("double")).alias("age"))
-    fills = C.learn_fill_values(marked.filter(F.col("split") == "train"), ["age"], ["city"], ACCURACY)
+    fills = C.learn_fill_values(marked.filter(F.col("split") == "train"), ["age"], ["city"])
     return C.apply_fill_values(marked, fills)
 
 
@@ -179,7 +177,7 @@ def cleaning_audit(t):
     SELECT event_id, value, round(low, 6) AS lower_fence, round(high, 6) AS upper_fence
     FROM events, f WHERE value < low OR value > high""")
 def outliers_iqr(t):
-    return C.iqr_outliers(t.events, "value", accuracy=ACCURACY).select(
+    return C.iqr_outliers(t.events, "value").select(
         "event_id", "value", F.round("lower_fence", 6).alias("lower_fence"),
         F.round("upper_fence", 6).alias("upper_fence"))
 
@@ -275,7 +273,7 @@ def anomaly_score(t):
 
 @query("anomaly_rules", f"WITH {RIDES} SELECT {_ID}, {TRIGGERED} AS rules FROM rides")
 def anomaly_rules(t):
-    return ride_columns(t.trips).select(*_KEYS, F.array_join(triggered_rules(ride_anomaly_rules()), ",").alias("rules"))
+    return ride_columns(t.trips).select(*_KEYS, triggered_rule_names(ride_anomaly_rules()).alias("rules"))
 
 
 @query("quality_gate", f"""

@@ -17,6 +17,7 @@ from tidewater.ml import features as M
 from tidewater.ml import models as L
 from tidewater.ml import statistics as ST
 from tidewater.operators.layout import persisted
+from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column, split_two
 from tidewater.plans.registry import query
 from tidewater.plans.scalars import RIDES
@@ -60,8 +61,8 @@ def corr_spearman(t):
     SELECT quantile_disc(o_totalprice, 0.25) AS q1, quantile_disc(o_totalprice, 0.5) AS q2,
            quantile_disc(o_totalprice, 0.75) AS q3 FROM orders""")
 def quantiles(t):
-    q = t.orders.agg(F.percentile_approx("o_totalprice", [0.25, 0.5, 0.75], 1_000_000).alias("q"))
-    return q.select(*[F.col("q")[i].alias(f"q{i + 1}") for i in range(3)])
+    exact = exact_quantiles(t.orders, {"o_totalprice": [0.25, 0.5, 0.75]})["o_totalprice"]
+    return t.spark.createDataFrame([tuple(exact)], "q1 double, q2 double, q3 double")
 
 
 def _summary(c: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import expressions as X
-from tidewater.functions.rules import RIDE_ANOMALY_THRESHOLD, ride_anomaly_rules, rule_score, triggered_rules
+from tidewater.functions.rules import RIDE_ANOMALY_THRESHOLD, ride_anomaly_rules, rule_score, triggered_rule_names
 from tidewater.operators.aggregates import describe_columns, top_rows
 from tidewater.operators.cleaning import clean_sensors, sensor_audit
 from tidewater.operators.layout import persisted
@@ -229,7 +229,7 @@ def st_anomaly_stream(t):
     rules = ride_anomaly_rules()
     scored = S.ride_columns(trips_of(lines)).select(
         "order_key", "vendor_id", "do_zone", rule_score(rules).alias("score"),
-        F.array_join(triggered_rules(rules), ",").alias("rules"))
+        triggered_rule_names(rules).alias("rules"))
     return sinks.run_to_table(scored.filter(F.col("score") >= RIDE_ANOMALY_THRESHOLD), "anomalies")
 
 

@@ -22,11 +22,10 @@ def nth_occurrence_alerts(events: DataFrame, key: str, key_type: str, order: str
     """
     def reduce_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            grouped = frame.groupby(key, dropna=False)[order]
-            yield pd.DataFrame({
-                "n": grouped.size(),
-                "first": grouped.apply(lambda s: s.nsmallest(n).tolist()),
-            }).reset_index()
+            frame = frame.sort_values(order)
+            keys = frame.groupby(key, dropna=False, sort=False)
+            earliest = frame[keys.cumcount() < n].groupby(key, dropna=False, sort=False)[order]
+            yield pd.DataFrame({"n": keys.size(), "first": earliest.agg(list)}).reset_index()
 
     def update(group_key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
                ) -> Iterator[pd.DataFrame]:
@@ -34,7 +33,8 @@ def nth_occurrence_alerts(events: DataFrame, key: str, key_type: str, order: str
         added, first = 0, []
         for frame in frames:
             added += int(frame["n"].sum())
-            first = sorted([*first, *(v for values in frame["first"] for v in values)])[:n]
+            if before < n:
+                first = sorted([*first, *(v for values in frame["first"] for v in values)])[:n]
         state.update((before + added,))
         if before < n <= before + added:
             yield pd.DataFrame({key: [group_key[0]], "at": [first[n - before - 1]], "n": [n]})
