@@ -82,4 +82,7 @@ def test_persisted_releases(spark):
     with O.persisted(df) as kept:
         assert kept.is_cached
         assert kept.count() == 10
-    assert not df.is_cached
+        with O.persisted(kept) as again:
+            assert again.count() == 10
+        assert kept.storageLevel.useMemory
+    assert not df.storageLevel.useMemory

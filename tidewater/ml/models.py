@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.expressions import hash_percent
+from tidewater.operators.layout import persisted
 
 SEED = 42
 
@@ -49,9 +50,25 @@ def estimator(kind: str, **params) -> Estimator:
     return ESTIMATORS[kind](**params)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: fitting reads the rows many times over.
+
+    A large table has more partitions than that already and is returned as it is; only a table
+    of a few big files is shuffled once.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def fit(est: Estimator, train: DataFrame):
+    """Fit on training rows that are computed once and kept until the model is there."""
+    with persisted(spread(train)) as kept:
+        return est.fit(kept)
+
+
 def fit_score(train: DataFrame, test: DataFrame, kind: str, **params) -> DataFrame:
     """Fit on ``train`` and add predictions to ``test``."""
-    return estimator(kind, **params).fit(train).transform(test)
+    return fit(estimator(kind, **params), train).transform(test)
 
 
 def score_in_batches(model: Model, df: DataFrame) -> DataFrame:
@@ -85,15 +102,17 @@ def cross_validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator:
     The folds do not change when the table is partitioned differently.
     """
     folded = df.withColumn("_fold", (hash_percent(F.col(key), 9_999) % folds).cast("int"))
-    return CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
-                          numFolds=folds, foldCol="_fold", parallelism=parallelism, seed=SEED).fit(folded)
+    search = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
+                            numFolds=folds, foldCol="_fold", parallelism=parallelism, seed=SEED)
+    return fit(search, folded)
 
 
 def validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator: Evaluator,
               ratio: float = 0.8, parallelism: int = 4):
     """Best parameters on one train/validation split, refit on all rows."""
-    return TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
-                                trainRatio=ratio, parallelism=parallelism, seed=SEED).fit(df)
+    search = TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
+                                  trainRatio=ratio, parallelism=parallelism, seed=SEED)
+    return fit(search, df)
 
 
 def tuning_table(spark, maps: list[dict], metrics: Sequence[float], metric: str) -> DataFrame:

@@ -25,7 +25,13 @@ def skew_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
-    """Keep a frame for several actions and release it afterwards, also after an error."""
+    """Keep a frame for several actions and release it afterwards, also after an error.
+
+    A frame that is kept already stays so: whoever kept it releases it.
+    """
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
     kept = df.persist(level)
     try:
         yield kept

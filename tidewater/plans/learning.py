@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -265,9 +264,9 @@ class Tasks:
 
 
 def _report(parts: tuple[DataFrame, DataFrame], kinds: dict[str, dict], measure) -> DataFrame:
-    """Metrics of several models; the training rows are kept while the models are fitted."""
+    """Metrics of several models; the training rows are computed once for all of them."""
     train, test = parts
-    with persisted(train) as kept:
+    with persisted(L.spread(train)) as kept:
         return _stack({name: measure(L.fit_score(kept, test, **spec)) for name, spec in kinds.items()})
 
 
@@ -352,8 +351,8 @@ def mlp_classifier(t):
 def kmeans(t):
     """Cluster sizes and profiles on scaled ride measures, with the silhouette."""
     vectors = M.assemble(_rides(t), _RIDE_INPUTS, "raw")
-    scaled = StandardScaler(inputCol="raw", outputCol="features", withMean=True).fit(vectors).transform(vectors)
-    clustered = L.estimator("kmeans").fit(scaled).transform(scaled)
+    scale = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
+    clustered = L.fit(L.chain(scale, L.estimator("kmeans")), vectors).transform(vectors)
     silhouette = ClusteringEvaluator().evaluate(clustered)
     return clustered.groupBy("prediction").agg(
         F.count(F.lit(1)).alias("n"), F.avg("fare").alias("avg_fare"), F.avg("distance").alias("avg_distance"),
@@ -461,9 +460,9 @@ def model_save_load(t):
     """Predictions of a fitted chain and of its saved and reloaded copy, and how many differ."""
     rides = _rides(t).withColumn("label", (F.col("tip") / F.col("fare") > 0.20).cast("double"))
     train, test = split_two(rides, "ride")
-    model = L.chain(VectorAssembler(inputCols=_RIDE_INPUTS, outputCol="raw"),
-                    StandardScaler(inputCol="raw", outputCol="features"),
-                    LogisticRegression(maxIter=20, regParam=0.01)).fit(train)
+    stages = L.chain(VectorAssembler(inputCols=_RIDE_INPUTS, outputCol="raw"),
+                     StandardScaler(inputCol="raw", outputCol="features"), L.estimator("logistic_regression"))
+    model = L.fit(stages, train)
     reloaded = L.save_and_reload(model, scratch_path(t.spark, "model"))
     both = reloaded.transform(model.transform(test).select(
         *[c for c in test.columns], F.col("prediction").alias("first")))
@@ -474,7 +473,7 @@ def model_save_load(t):
 @query("batch_inference")
 def batch_inference(t):
     train, test = Tasks(t).classification
-    model = L.estimator("logistic_regression").fit(train)
+    model = L.fit(L.estimator("logistic_regression"), train)
     return L.score_in_batches(model, test).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
