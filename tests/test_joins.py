@@ -31,6 +31,14 @@ def test_salted_join_spreads_the_hot_key(sides):
     assert salted.columns == ["k", "a", "b"]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_with_a_hot_null_key(spark, how):
+    left = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("k"), F.col("id").alias("a"))
+    right = spark.createDataFrame([(0, "x"), (1, "y"), (1, "z"), (None, "n")], "k bigint, b string")
+    salted = J.salted_join(left, right, ["k"], how, salts=8, fraction=0.3)
+    assert rows(salted) == rows(left.join(right, "k", how))
+
+
 def test_right_and_full_join(sides):
     left, right = sides
     assert rows(J.right_join(left, right, ["k"])) == rows(left.join(right, "k", "right"))

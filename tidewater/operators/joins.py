@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +43,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     """Inner or left join that spreads the hot keys of the left side over ``salts`` tasks.
 
     Only the right rows of hot keys are repeated, once per salt; all other keys join as usual.
+    Left rows with a null key match nothing, so they are spread without repeating anything.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how}")
@@ -52,8 +55,9 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     spark = left.sparkSession
     hot = F.broadcast(spark.createDataFrame(found, left.select(*on).schema).withColumn(
         "_hot", F.lit(True)))
+    spread = F.col("_hot") | reduce(or_, [F.col(k).isNull() for k in on])
     salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt_of([F.col(c) for c in left.columns], salts)).otherwise(0)
+        "_salt", F.when(spread, salt_of([F.col(c) for c in left.columns], salts)).otherwise(0)
     ).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0)))

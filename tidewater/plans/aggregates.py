@@ -429,10 +429,10 @@ def udf_pandas(t):
 
 
 @query("udtf_flatmap", """
-    SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part WHERE p_retailprice > 1000""")
+    SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part WHERE p_retailprice > 910""")
 def udtf_flatmap(t):
     def words(row):
-        if row["p_retailprice"] > 1000:
+        if row["p_retailprice"] > 910:
             for word in row["p_name"].split(" "):
                 yield row["p_partkey"], word
 
