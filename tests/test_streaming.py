@@ -71,12 +71,13 @@ def test_stream_equals_batch_for_closed_windows(spark, tables, tmp_path):
     assert rows(streamed) == rows(batch)
 
 
-def test_dedupe_across_batches(spark, tmp_path):
+@pytest.mark.parametrize("salts", [0, 3])
+def test_dedupe_across_batches(spark, tmp_path, salts):
     frames = [minutes(spark, [("a", 0), ("a", 0), ("b", 0)]), minutes(spark, [("a", 0), ("a", 1)])]
     path = slices(spark, f"{tmp_path}/in", frames)
     stream = stream_of(spark, path, frames[0].schema).withColumnRenamed("ts", "event_time").withWatermark(
         "event_time", "10 minutes")
-    out = sinks.run_to_table(S.dedupe(stream, ["k"]).select("k", "event_time"), "dedupe")
+    out = sinks.run_to_table(S.dedupe(stream, ["k"], salts=salts).select("k", "event_time"), "dedupe")
     assert sorted((r["k"], r["event_time"].minute) for r in out.collect()) == [("a", 0), ("a", 1), ("b", 0)]
 
 

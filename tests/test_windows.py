@@ -81,6 +81,16 @@ def test_top_per_group_limits_before_the_shuffle(spark):
     assert rows(top) == rows(expected.filter("rank <= 3"))
 
 
+@pytest.mark.parametrize("ties", [True, False])
+def test_long_top_lists_use_chunks(spark, monkeypatch, ties):
+    df = skewed(spark)
+    order = [("v", "desc"), "id"]
+    short = W.top_per_group(df, ["k"], order, 50, ties=ties)
+    monkeypatch.setattr(W, "GROUP_LIMIT", 10)
+    long = W.top_per_group(df, ["k"], order, 50, ties=ties, max_group_rows=20, rows_per_chunk=60)
+    assert rows(long) == rows(short)
+
+
 def test_threshold_and_nth(spark):
     values = spark.createDataFrame([(1, 100), (2, 200), (3, 250), (4, 300), (5, 150)], "pos int, x int")
     running = W.with_windows(values, [], ["pos"], {"total": W.running_sum("x")}, rows_per_chunk=2)

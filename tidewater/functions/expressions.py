@@ -21,6 +21,11 @@ def steady(value: Column, digits: int) -> Column:
     return F.round(value * F.lit(NUDGE), digits)
 
 
+def means(columns: dict[str, str], digits: int = 2) -> list[Column]:
+    """One rounded average per entry of {output name: input column}."""
+    return [steady(F.avg(source), digits).alias(name) for name, source in columns.items()]
+
+
 def banded(value: Column, bands: Sequence[tuple[float, str]], otherwise: str,
            null_label: str | None = None) -> Column:
     """Label of the first band whose upper bound exceeds ``value``.

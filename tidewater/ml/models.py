@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from itertools import product
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -50,20 +51,26 @@ def estimator(kind: str, **params) -> Estimator:
     return ESTIMATORS[kind](**params)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: fitting reads the rows many times over.
+@contextmanager
+def training_rows(train: DataFrame) -> Iterator[DataFrame]:
+    """Training rows computed once and kept while models are fitted on them.
 
-    A large table has more partitions than that already and is returned as it is; only a table
-    of a few big files is shuffled once.
+    Fitting reads the rows many times over, so rows that fill fewer partitions than there are
+    cores are spread evenly. A large table fills more partitions and is used as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    with persisted(train) as kept:
+        filled = kept.select(F.spark_partition_id().alias("p")).distinct().count()
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        if filled >= cores:
+            yield kept
+        else:
+            with persisted(kept.repartition(cores)) as even:
+                yield even
 
 
 def fit(est: Estimator, train: DataFrame):
-    """Fit on training rows that are computed once and kept until the model is there."""
-    with persisted(spread(train)) as kept:
-        return est.fit(kept)
+    with training_rows(train) as rows:
+        return est.fit(rows)
 
 
 def fit_score(train: DataFrame, test: DataFrame, kind: str, **params) -> DataFrame:

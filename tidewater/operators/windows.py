@@ -20,6 +20,8 @@ from tidewater.session import scratch_path
 
 MAX_GROUP_ROWS = 20_000_000
 ROWS_PER_CHUNK = 5_000_000
+# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1_000
 
 OrderKey = str | tuple[str, str]
 
@@ -273,12 +275,16 @@ def _carry(staged: DataFrame, keys: list, order: list, specs: dict[str, Spec]) -
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey], n: int,
-                  name: str = "rank", ties: bool = True) -> DataFrame:
+                  name: str = "rank", ties: bool = True, **window_options) -> DataFrame:
     """Rows ranked within the first ``n`` of their group.
 
     The filter on the rank lets Spark keep only each task's own best rows before the shuffle
-    (WindowGroupLimit), so a large group never travels whole.
+    (WindowGroupLimit), so a large group never travels whole. Spark does so up to ``GROUP_LIMIT``;
+    beyond it the rank comes from ``with_windows``.
     """
+    if n > GROUP_LIMIT:
+        ranked = with_windows(df, keys, order, {name: rank() if ties else row_number()}, **window_options)
+        return ranked.filter(F.col(name) <= n)
     w = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
     ranked = (F.rank() if ties else F.row_number()).over(w)
     return df.withColumn(name, ranked).filter(F.col(name) <= n).withColumn(

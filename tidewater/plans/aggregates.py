@@ -13,6 +13,7 @@ from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column
 from tidewater.plans.registry import query
 from tidewater.plans.tables import EMPLOYEES, READINGS, TRIPS
+from tidewater.streaming.aggregates import ride_columns
 
 
 def _n():
@@ -55,10 +56,11 @@ def group_count(t):
            round(avg(distance) * 1.000000000001e0, 2) AS avg_distance, round(sum(tip) / sum(fare) * 100, 1) AS tip_rate_pct
     FROM trips WHERE fare > 0 GROUP BY 1 ORDER BY 1""")
 def group_multi_agg(t):
-    return t.trips.filter(F.col("fare") > 0).groupBy(X.hour_of_day(F.col("pickup_ts")).alias("hour")).agg(
-        _n().alias("trips"), X.steady(F.avg("fare"), 2).alias("avg_fare"),
-        X.steady(F.avg("distance"), 2).alias("avg_distance"),
-        F.round(F.sum("tip") / F.sum("fare") * 100, 1).alias("tip_rate_pct")).orderBy("hour")
+    tip_rate = F.round(F.sum("tip") / F.sum("fare") * 100, 1).alias("tip_rate_pct")
+    paid = t.trips.filter(F.col("fare") > 0).withColumn("hour", X.hour_of_day(F.col("pickup_ts")))
+    hourly = paid.groupBy("hour").agg(
+        _n().alias("trips"), *X.means({"avg_fare": "fare", "avg_distance": "distance"}), tip_rate)
+    return hourly.orderBy("hour")
 
 
 @query("group_two_keys", f"""
@@ -99,15 +101,11 @@ def group_ratio(t):
            round(sum(fare), 0) AS total_revenue
     FROM trips WHERE fare > 0 GROUP BY 1""")
 def yoy_summary(t):
-    rides = t.trips.filter(F.col("fare") > 0).withColumns({
-        "minutes": X.minutes_between(F.col("pickup_ts"), F.col("dropoff_ts")),
-        "tip_pct": X.steady(F.col("tip") / F.col("fare") * 100, 2)})
-    return rides.groupBy(F.year("pickup_ts").cast("bigint").alias("year")).agg(
-        _n().alias("total_trips"), X.steady(F.avg("fare"), 2).alias("avg_fare"),
-        X.steady(F.avg("distance"), 2).alias("avg_distance"), X.steady(F.avg("tip"), 2).alias("avg_tip"),
-        X.steady(F.avg("tip_pct"), 2).alias("avg_tip_pct"),
-        X.steady(F.avg("minutes"), 2).alias("avg_duration_min"),
-        F.round(F.sum("fare"), 0).alias("total_revenue"))
+    paid = ride_columns(t.trips).filter(F.col("fare") > 0)
+    return paid.groupBy(F.year("pickup_ts").cast("bigint").alias("year")).agg(
+        _n().alias("total_trips"), F.round(F.sum("fare"), 0).alias("total_revenue"),
+        *X.means({"avg_fare": "fare", "avg_distance": "distance", "avg_tip": "tip", "avg_tip_pct": "tip_pct",
+                  "avg_duration_min": "duration_min"}))
 
 
 @query("collect_set_struct", f"""
@@ -345,21 +343,18 @@ def win_top_n(t):
         "o_custkey", "o_orderkey", "o_totalprice", "rnk")
 
 
-_TOP_HOURS = """
-    WITH {ctes}hourly AS (
-      SELECT year(pickup_ts) AS yr, hour(pickup_ts) AS hr, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
-             round(sum(tip) / nullif(sum(fare), 0) * 100, 1) AS tip_pct, round(sum(fare), 0) AS revenue
-      FROM trips WHERE fare > 0 GROUP BY year(pickup_ts), hour(pickup_ts)),
-    ranked AS (SELECT *, rank() OVER (PARTITION BY yr ORDER BY revenue DESC) AS rev_rank FROM hourly)
-    SELECT CAST(yr AS BIGINT) AS yr, CAST(hr AS BIGINT) AS hr, trips, avg_fare, tip_pct, revenue,
-           CAST(rev_rank AS BIGINT) AS rev_rank
-    FROM ranked WHERE rev_rank <= 3"""
+_BEST_CUSTOMERS = """
+    SELECT o_orderpriority, o_custkey, purchases, spent, place
+    FROM (SELECT o_orderpriority, o_custkey, count(*) AS purchases, round(sum(o_totalprice), 2) AS spent,
+                 CAST(rank() OVER (PARTITION BY o_orderpriority ORDER BY sum(o_totalprice) DESC) AS BIGINT) AS place
+          FROM {orders} GROUP BY o_orderpriority, o_custkey) totals
+    WHERE place <= 3"""
 
 
-@query("win_top_n_sql", _TOP_HOURS.format(ctes=TRIPS + ", "))
+@query("win_top_n_sql", _BEST_CUSTOMERS.format(orders="orders"))
 def win_top_n_sql(t):
-    """The same idiom as SQL text over a registered view."""
-    return t.spark.sql(_TOP_HOURS.format(ctes="").replace("FROM trips", "FROM {trips}"), trips=t.trips)
+    """Top-n per group as SQL text over a DataFrame: the three best customers per order priority."""
+    return t.spark.sql(_BEST_CUSTOMERS, orders=t.orders)
 
 
 @query("win_forward_fill", f"""

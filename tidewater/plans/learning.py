@@ -15,7 +15,6 @@ from tidewater.ml import evaluation as E
 from tidewater.ml import features as M
 from tidewater.ml import models as L
 from tidewater.ml import statistics as ST
-from tidewater.operators.layout import persisted
 from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column, split_two
 from tidewater.plans.registry import query
@@ -266,7 +265,7 @@ class Tasks:
 def _report(parts: tuple[DataFrame, DataFrame], kinds: dict[str, dict], measure) -> DataFrame:
     """Metrics of several models; the training rows are computed once for all of them."""
     train, test = parts
-    with persisted(L.spread(train)) as kept:
+    with L.training_rows(train) as kept:
         return _stack({name: measure(L.fit_score(kept, test, **spec)) for name, spec in kinds.items()})
 
 
@@ -412,7 +411,7 @@ _LIMITS = {"min_chars": [200, 500, 1000], "min_pages": [1, 3]}
     FROM d, grid GROUP BY 1, 2""")
 def param_grid(t):
     """Hits of a two-limit rule at every grid point, from one pass over the labelled documents."""
-    lines = F.size(F.split("text", "\n"))
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     docs = t.labels.join(t.documents, "doc_id").select("quality", "n_chars", lines.alias("lines"))
     points = L.combinations(_LIMITS)
     hits = [F.count_if((F.col("quality") == 1) == (

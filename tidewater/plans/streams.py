@@ -154,7 +154,7 @@ def st_sliding_agg(t):
     SELECT DISTINCT sensor_id, event_time FROM readings WHERE event_time IS NOT NULL""")
 def st_dedup(t):
     stream = reading_stream(t).filter(F.col("event_time").isNotNull()).select("sensor_id", "event_time")
-    unique = S.dedupe(stream, ["sensor_id"])
+    unique = S.dedupe(stream, ["sensor_id"], salts=8)
     return sinks.run_to_table(unique.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), "dedup")
 
 

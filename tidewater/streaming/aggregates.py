@@ -22,9 +22,19 @@ def window_agg(df: DataFrame, time: str, width: str, keys: Sequence[str | Column
         F.col("window.end").cast("timestamp_ntz").alias("window_end"), *rest)
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], event_time: str = "event_time") -> DataFrame:
-    """Drop repeats; the event time is part of the key, so the watermark evicts old state."""
-    return df.dropDuplicates([*keys, event_time])
+def dedupe(df: DataFrame, keys: Sequence[str], event_time: str = "event_time", salts: int = 0) -> DataFrame:
+    """Drop repeats; the event time is part of the key, so the watermark evicts old state.
+
+    With ``salts``, copies are first reduced by (key, reading task modulo salts). One reading that
+    is repeated millions of times is then spread over several tasks, and the second step sees at
+    most ``salts`` rows of it. Any salting gives the same set of keys, so a retried task may
+    number itself differently.
+    """
+    key = [*keys, event_time]
+    if salts:
+        salted = df.withColumn("_salt", F.spark_partition_id() % salts)
+        df = salted.dropDuplicates([*key, "_salt"]).drop("_salt")
+    return df.dropDuplicates(key)
 
 
 def clean_sensor_stream(readings: DataFrame) -> DataFrame:
@@ -55,29 +65,22 @@ def ride_columns(trips: DataFrame) -> DataFrame:
     })
 
 
+# Feature names and the ride columns they average.
+ZONE_MEANS = {
+    "avg_fare_5m": "fare", "avg_distance_5m": "distance", "avg_duration_5m": "duration_min",
+    "avg_tip_pct_5m": "tip_pct", "avg_tip_5m": "tip", "avg_fare_per_mile_5m": "fare_per_mile",
+}
+
+
 def zone_features(rides: DataFrame, time: str, width: str = "5 minutes") -> DataFrame:
     """Demand, fare, trip, tip and surge features per zone and window."""
-    def mean(column: str, digits: int = 2) -> Column:
-        return X.steady(F.avg(column), digits)
-
     return window_agg(rides, time, width, ["pu_zone"], [
-        F.count(F.lit(1)).alias("demand_5m"),
-        mean("fare").alias("avg_fare_5m"),
-        X.steady(F.max("fare"), 2).alias("max_fare_5m"),
-        X.steady(F.stddev("fare"), 2).alias("std_fare_5m"),
-        mean("distance").alias("avg_distance_5m"),
-        mean("duration_min").alias("avg_duration_5m"),
-        mean("tip_pct").alias("avg_tip_pct_5m"),
-        mean("tip").alias("avg_tip_5m"),
-        mean("is_airport", 3).alias("airport_ratio_5m"),
-        mean("fare_per_mile").alias("avg_fare_per_mile_5m"),
-    ])
+        F.count(F.lit(1)).alias("demand_5m"), *X.means(ZONE_MEANS), *X.means({"airport_ratio_5m": "is_airport"}, 3),
+        X.steady(F.max("fare"), 2).alias("max_fare_5m"), X.steady(F.stddev("fare"), 2).alias("std_fare_5m")])
 
 
 def demand_alerts(rides: DataFrame, time: str, minimum: int, width: str = "5 minutes") -> DataFrame:
     """Zones and windows with more than ``minimum`` rides."""
-    return window_agg(rides, time, width, ["pu_zone"], [
-        F.count(F.lit(1)).alias("ride_count"),
-        X.steady(F.avg("fare"), 2).alias("avg_fare"),
-        X.steady(F.avg("distance"), 2).alias("avg_distance"),
-    ]).filter(F.col("ride_count") > minimum)
+    counted = window_agg(rides, time, width, ["pu_zone"], [
+        F.count(F.lit(1)).alias("ride_count"), *X.means({"avg_fare": "fare", "avg_distance": "distance"})])
+    return counted.filter(F.col("ride_count") > minimum)

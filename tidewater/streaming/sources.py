@@ -10,14 +10,12 @@ from tidewater.functions import expressions as X
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
-                 max_files: int | None = None) -> DataFrame:
-    """File stream with an explicit schema.
+                 max_files: int = 10_000) -> DataFrame:
+    """File stream with an explicit schema, in micro-batches of at most ``max_files`` files.
 
     A path may name a folder or one file; written as a glob pattern, both are accepted.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     path = path.rstrip("/")
     return reader.format(fmt).load(f"{path[:-1]}[{path[-1]}]")
 
