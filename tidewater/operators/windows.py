@@ -298,5 +298,5 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey])
 
 def nth_row(df: DataFrame, keys: Sequence[str], order: Sequence[OrderKey], n: int) -> DataFrame:
     """The ``n``-th row of each key; tasks forward at most ``n`` rows per key to the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(*_sort_columns(order))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n).drop("_rn")
+    first = top_per_group(df, keys, order, n, name="_rn", ties=False)
+    return first.filter(F.col("_rn") == n).drop("_rn")

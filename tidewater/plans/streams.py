@@ -99,9 +99,12 @@ ZONE_FEATURES = RIDES + """,
 zone_features AS (
   SELECT time_bucket(INTERVAL 5 MINUTES, pickup_ts) AS window_start,
          time_bucket(INTERVAL 5 MINUTES, pickup_ts) + INTERVAL 5 MINUTES AS window_end, pu_zone,
-         count(*) AS demand_5m, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare_5m, round(max(fare) * 1.000000000001e0, 2) AS max_fare_5m,
-         round(stddev_samp(fare) * 1.000000000001e0, 2) AS std_fare_5m, round(avg(distance) * 1.000000000001e0, 2) AS avg_distance_5m,
-         round(avg(duration_min) * 1.000000000001e0, 2) AS avg_duration_5m, round(avg(tip_pct) * 1.000000000001e0, 2) AS avg_tip_pct_5m,
+         count(*) AS demand_5m, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare_5m,
+         round(max(fare) * 1.000000000001e0, 2) AS max_fare_5m,
+         round(stddev_samp(fare) * 1.000000000001e0, 2) AS std_fare_5m,
+         round(avg(distance) * 1.000000000001e0, 2) AS avg_distance_5m,
+         round(avg(duration_min) * 1.000000000001e0, 2) AS avg_duration_5m,
+         round(avg(tip_pct) * 1.000000000001e0, 2) AS avg_tip_pct_5m,
          round(avg(tip) * 1.000000000001e0, 2) AS avg_tip_5m, round(avg(is_airport) * 1.000000000001e0, 3) AS airport_ratio_5m,
          round(avg(fare_per_mile) * 1.000000000001e0, 2) AS avg_fare_per_mile_5m
   FROM rides GROUP BY ALL)"""
