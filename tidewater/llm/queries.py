@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
+from tidewater.llm import exact_dedup, line_dedup
 from tidewater.llm.bpe_automaton import encoding_digests
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.token_files import read_token_files, write_token_files
@@ -23,3 +25,14 @@ def op7_token_files(t):
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(t):
     return pack_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query("op5_line_dedup", line_dedup.ORACLE)
+def op5_line_dedup(t):
+    return line_dedup.dedup_lines(t.documents).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op6_exact_dedup", exact_dedup.ORACLE)
+def op6_exact_dedup(t):
+    return exact_dedup.exact_groups(t.documents)
