@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, line_dedup
+from tidewater.llm import exact_dedup, language_id, line_dedup, quality
 from tidewater.llm.bpe_automaton import encoding_digests
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.token_files import read_token_files, write_token_files
@@ -36,3 +36,13 @@ def op5_line_dedup(t):
 @query("op6_exact_dedup", exact_dedup.ORACLE)
 def op6_exact_dedup(t):
     return exact_dedup.exact_groups(t.documents)
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(t):
+    return quality.quality_of_documents(t.documents, t.labels)
+
+
+@query("op10_language_id")
+def op10_language_id(t):
+    return language_id.languages_of_documents(t.documents)
