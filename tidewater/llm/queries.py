@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, language_id, line_dedup, quality
+from tidewater.llm import exact_dedup, language_id, line_dedup, ngram_join, quality, topk
 from tidewater.llm.bpe_automaton import encoding_digests
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.token_files import read_token_files, write_token_files
@@ -46,3 +46,13 @@ def op4_quality_classifier(t):
 @query("op10_language_id")
 def op10_language_id(t):
     return language_id.languages_of_documents(t.documents)
+
+
+@query("op1_ngram_jaccard_join")
+def op1_ngram_jaccard_join(t):
+    return ngram_join.near_duplicates(t.documents)
+
+
+@query("op2_exact_topk", topk.ORACLE)
+def op2_exact_topk(t):
+    return topk.search_embeddings(t.embeddings)
