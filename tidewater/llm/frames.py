@@ -24,13 +24,13 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def staged(df: DataFrame, label: str, **partitioning) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back.
+def staged(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written to the shared scratch folder, in folders by the columns ``by``, and read back.
 
     Later steps start from these files, so a lost executor costs only the work since then.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

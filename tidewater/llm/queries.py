@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, language_id, line_dedup, ngram_join, quality, topk
+from tidewater.llm import exact_dedup, language_id, line_dedup, maxent, ngram_join, quality, topk
 from tidewater.llm.bpe_automaton import encoding_digests
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.token_files import read_token_files, write_token_files
@@ -56,3 +56,8 @@ def op1_ngram_jaccard_join(t):
 @query("op2_exact_topk", topk.ORACLE)
 def op2_exact_topk(t):
     return topk.search_embeddings(t.embeddings)
+
+
+@query("op8_maxent_scoring")
+def op8_maxent_scoring(t):
+    return maxent.score_documents(t.documents)
