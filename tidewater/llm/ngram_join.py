@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORD
     candidates = connected_components(stars).withColumnRenamed("label", "comp")
 
     members = staged(candidates.join(reps, "node"), "members")
-    wanted = source.join(members, "node")
+    # The texts move once, at every size; a broadcast of the candidates would not last.
+    wanted = source.join(members.hint("merge"), "node")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
