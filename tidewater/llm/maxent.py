@@ -128,9 +128,11 @@ class Table:
 
     def step(self, rows: np.ndarray, error: np.ndarray) -> None:
         """One sparse gradient step; a row's rate falls with the squares of its gradients."""
-        flat = rows.ravel()
+        flat = rows.ravel().astype(np.uint16)  # row numbers take 13 and 15 bits, which sort by radix
         order = np.argsort(flat, kind="stable")
-        at, first = np.unique(flat[order], return_index=True)
+        sorted_rows = flat[order]
+        first = np.flatnonzero(np.diff(sorted_rows.astype(np.int32), prepend=-1))
+        at = sorted_rows[first]
         gradient = np.add.reduceat(error[order // rows.shape[1]], first, axis=0)
         self.squares[at] += np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
         self.weights[at] -= RATE * gradient / np.sqrt(self.squares[at])[:, None]
