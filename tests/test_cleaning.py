@@ -61,11 +61,10 @@ def test_snapshots_are_immutable(spark, tables, tmp_path):
     assert lake.read_snapshot(spark, str(tmp_path), 1).count() == 25
 
 
-def test_single_file_refuses_large_frames(spark, tmp_path):
-    import pytest
-
-    with pytest.raises(ValueError):
-        files.write_single_file(spark.range(20), f"{tmp_path}/x", max_rows=10)
+def test_single_file_takes_any_number_of_rows(spark, tmp_path):
+    files.write_single_file(spark.range(0, 1_200_000, 1, 8), f"{tmp_path}/x", "parquet")
+    assert len(list((tmp_path / "x").glob("part-*"))) == 1
+    assert spark.read.parquet(f"{tmp_path}/x").count() == 1_200_000
 
 
 def test_schema_checks(spark, tables):

@@ -98,8 +98,10 @@ def blank_to_null(text: Column) -> Column:
 
 
 def yes_no_label(text: Column) -> Column:
-    """1.0 for a yes (any case, surrounding blanks ignored), 0.0 for everything else."""
-    return F.when(F.lower(F.trim(text)) == "yes", 1.0).otherwise(0.0)
+    """1.0 for a yes (any case, surrounding blanks ignored), the value of a number or of text that
+    reads as one, null for null, 0.0 for all other text."""
+    plain = F.lower(F.trim(text.cast("string")))
+    return F.when(plain == "yes", 1.0).when(plain.isNotNull(), F.coalesce(plain.try_cast("double"), F.lit(0.0)))
 
 
 def parse_event_time(text: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -9,7 +9,6 @@ from pyspark.ml.feature import (
     PCA,
     Bucketizer,
     MinMaxScaler,
-    OneHotEncoder,
     PolynomialExpansion,
     QuantileDiscretizer,
     SQLTransformer,
@@ -59,12 +58,16 @@ def string_indexer(columns: Sequence[str]) -> StringIndexer:
                          stringOrderType="frequencyDesc", handleInvalid="keep")
 
 
-def one_hot(df: DataFrame, column: str, categories: int) -> DataFrame:
-    """Dummy columns ``<column>_0 ..`` of a string column; the last category is all zeros."""
-    indexer = StringIndexer(inputCol=column, outputCol="_idx", handleInvalid="error")
-    encoder = OneHotEncoder(inputCol="_idx", outputCol="_hot", dropLast=True)
-    encoded = Pipeline(stages=[indexer, encoder]).fit(df).transform(df)
-    return expand_vector(encoded, "_hot", [f"{column}_{i}" for i in range(categories - 1)]).drop("_idx")
+def one_hot(df: DataFrame, column: str) -> DataFrame:
+    """Dummy columns ``<column>_0 ..`` of a string column, one per category found but the last.
+
+    Categories are numbered by falling frequency; the last one is all zeros. A null value gets null
+    in every dummy column.
+    """
+    found = df.filter(F.col(column).isNotNull())
+    labels = StringIndexer(inputCol=column, outputCol="_idx").fit(found).labelsArray[0] if not found.isEmpty() else []
+    return df.withColumns({f"{column}_{i}": (F.col(column).cast("string") == label).cast("double")
+                           for i, label in enumerate(list(labels)[:-1])})
 
 
 def expand_vector(df: DataFrame, vector: str, names: Sequence[str], digits: int | None = None

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.expressions import salt_of, steady
+from tidewater.functions.expressions import all_of, salt_of, steady
 from tidewater.operators.windows import row_number, with_windows
 
 MAX_LIST_VALUES = 10_000
@@ -38,7 +38,11 @@ def value_sets(df: DataFrame, keys: Sequence[str], value: str, measures: Sequenc
     sets = grouped_lists(pairs, keys, value, (), max_values, **window_options)
     if not measures:
         return sets
-    return df.groupBy(*keys).agg(*measures).join(sets, keys, "left")
+    measured = df.groupBy(*keys).agg(*measures)
+    renamed = sets.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    # Null keys are groups too, so they must meet their lists.
+    match = all_of([F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+    return measured.join(renamed, match, "left").drop(*[f"_s_{k}" for k in keys])
 
 
 def salted_aggregate(df: DataFrame, keys: Sequence[str], partial: Sequence[Column],
@@ -85,9 +89,15 @@ def null_profile(df: DataFrame, digits: int = 2) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def contingency_table(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts of ``row`` against the given values of ``column``; 0 where a pair is absent."""
-    return df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+def contingency_table(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts of ``row`` against all values of ``column``; 0 where a pair is absent.
+
+    Every value found becomes a column, a null one the column ``null``, so the values must be few
+    enough to be columns; ``spark.sql.pivotMaxValues`` makes Spark refuse more instead of dropping
+    any. A null row key stays null.
+    """
+    counts = df.groupBy(row).pivot(column).agg(F.count(F.lit(1)))
+    return counts.na.fill(0, subset=counts.columns[1:])
 
 
 def class_distribution(df: DataFrame, split: str, label: str) -> DataFrame:

@@ -26,10 +26,21 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join with a lookup: broadcast when it is measured to be small, salted join beyond that."""
+    """Join with a lookup: broadcast when it is measured to be small, shuffled beyond that.
+
+    Every join type gives the same rows either way. Inner and left joins spread hot keys by salts,
+    right and full joins are built from them, and the others join as Spark plans them.
+    """
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), list(on), how)
-    return salted_join(big, small, on, how)
+    kind = how.lower().replace("_", "").replace("outer", "")
+    if kind in ("inner", "left"):
+        return salted_join(big, small, on, kind)
+    if kind == "right":
+        return right_join(big, small, on)
+    if kind == "full":
+        return full_join(big, small, on)
+    return big.join(small, list(on), how)
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], fraction: float) -> DataFrame:

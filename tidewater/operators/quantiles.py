@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.layout import persisted
@@ -21,14 +21,14 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], accuracy:
     A sketch of all columns brackets every quantile; its size depends on ``accuracy``, not on the
     table. A second pass keeps the values inside the brackets with their counts and folds all
     smaller values into one, so a frequent value is one row before the shuffle. A running sum
-    then finds the exact position. Only one number per quantile reaches the driver. Nulls are
-    ignored; a column without values gives None.
+    then finds the exact position. Only one number per quantile reaches the driver. Nulls
+    and NaN are missing values; a column without others gives None.
     """
     margin = 2 / accuracy
     measures = []
     for c, probabilities in wanted.items():
         edges = [edge for p in probabilities for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
-        value = F.col(c).cast("double")
+        value = _number(c)
         measures += [F.count(value).alias(f"n_{c}"), F.percentile_approx(value, edges, accuracy).alias(f"q_{c}")]
     sketch = df.agg(*measures).first()
 
@@ -47,13 +47,18 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], accuracy:
     return {c: [found.get((c, i)) for i in range(len(ps))] for c, ps in wanted.items()}
 
 
+def _number(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _refine(df: DataFrame, targets: list[tuple], window_options: dict) -> dict[tuple[str, int], float]:
     if not targets:
         return {}
     below = F.lit(-math.inf)
     cells = []
     for t, (c, _, _, low, high) in enumerate(targets):
-        value = F.col(c).cast("double")
+        value = _number(c)
         folded = F.when(value < low, below).otherwise(value)
         cells.append(F.when(value <= high, F.struct(F.lit(t).alias("t"), folded.alias("value"))))
     counted = (

@@ -186,7 +186,7 @@ def status_distribution(t):
            count(*) FILTER (o_orderstatus = 'P') AS P
     FROM orders GROUP BY o_orderpriority""")
 def crosstab(t):
-    return A.contingency_table(t.orders, "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+    return A.contingency_table(t.orders, "o_orderpriority", "o_orderstatus")
 
 
 def _described(column: str) -> str:

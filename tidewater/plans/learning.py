@@ -120,7 +120,7 @@ def string_index(t):
            CAST(CAST(i = 3 AS INTEGER) AS DOUBLE) AS c_mktsegment_3
     FROM customer JOIN s USING (c_mktsegment)""")
 def one_hot(t):
-    return M.one_hot(t.customer, "c_mktsegment", 5).select("c_custkey", *[f"c_mktsegment_{i}" for i in range(4)])
+    return M.one_hot(t.customer, "c_mktsegment").select("c_custkey", *[f"c_mktsegment_{i}" for i in range(4)])
 
 
 _RIDE_INPUTS = ["distance", "fare", "passengers", "duration_min"]

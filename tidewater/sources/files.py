@@ -71,12 +71,9 @@ def write_text(df: DataFrame, path: str, line: Column | None = None, mode: str =
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
-MAX_SINGLE_FILE_ROWS = 1_000_000
+def write_single_file(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
+    """One output file, whatever its size; one task writes it, row by row.
 
-
-def write_single_file(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite",
-                      max_rows: int = MAX_SINGLE_FILE_ROWS) -> None:
-    """One output file, for small results only; a larger frame is refused, not squeezed."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows; write several files with write_table")
-    df.coalesce(1).write.mode(mode).format(fmt).save(path)
+    The rows are computed in parallel and then moved to that task.
+    """
+    df.repartition(1).write.mode(mode).format(fmt).save(path)

@@ -38,7 +38,7 @@ def as_records(df: DataFrame, key: str, offset: str, partitions: int, topic: str
         F.col(key).cast("string").cast("binary").alias("key"),
         F.to_json(F.struct(*payload)).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        (F.col(key) % partitions).cast("int").alias("partition"),
+        F.pmod(F.col(key), F.lit(partitions)).cast("int").alias("partition"),
         F.col(offset).cast("bigint").alias("offset"),
         (F.current_timestamp() if time is None else time).alias("timestamp"),
     )
