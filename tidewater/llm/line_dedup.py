@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.frames import staged
+
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,8 +40,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
         "owner", "mark", "pos", line_key(F.col("line")).alias("key")
     ).filter(F.length("key") >= min_chars).select(
         "owner", "mark", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
-    common = lines.groupBy("h1", "h2").agg(F.countDistinct("owner").alias("docs"), F.max("owner").alias("keeper")
-                                           ).filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper")
+    # Staged, so that the join below reads two plain shuffles, of which it can split the hot keys.
+    common = staged(lines.groupBy("h1", "h2").agg(
+        F.countDistinct("owner").alias("docs"), F.max("owner").alias("keeper")
+    ).filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper"), "common-lines")
     # Equal rows give equal positions, so the set has each of them once.
     gone = lines.join(common, ["h1", "h2"]).filter(F.col("owner") != F.col("keeper")).groupBy("owner", "mark").agg(
         F.collect_set("pos").alias("gone"))
