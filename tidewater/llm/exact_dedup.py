@@ -177,8 +177,8 @@ def exact_groups(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, id_col: str
     chains = staged(index_texts(local, directory, scratch_path(spark, "dedup-index")), "dedup-chains")
     best = F.struct(F.col("best_chars"), F.col("best_id").isNull().cast("int").alias("no_id"),
                     (-F.col("best_id")).alias("rank"))
-    groups = chains.groupBy("digest", "chain").agg(
-        F.sum("n").alias("group_size"), F.max(best).alias("best"))
+    groups = staged(chains.groupBy("digest", "chain").agg(
+        F.sum("n").alias("group_size"), F.max(best).alias("best")), "dedup-groups")
     found = chains.select("digest", "chain", F.explode("members").alias("doc_id")).join(groups, ["digest", "chain"])
     keep_id = -F.col("best.rank")
     return found.select("doc_id", keep_id.alias("keep_id"), "group_size",
