@@ -27,7 +27,7 @@ def test_salted_join(sides, how):
 def test_salted_join_spreads_the_hot_key(sides):
     left, right = sides
     salted = J.salted_join(left, right, ["k"], salts=4)
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
     assert salted.columns == ["k", "a", "b"]
 
 
@@ -39,6 +39,21 @@ def test_salted_join_with_a_hot_null_key(spark, how):
     assert rows(salted) == rows(left.join(right, "k", how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_spreads_equal_rows(spark, how):
+    left = spark.range(5000).select(F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("k"), F.lit("x").alias("a"))
+    right = spark.createDataFrame([(1, "b"), (1, "c"), (20, "d")], "k bigint, b string")
+    salted = J.salted_join(left, right, ["k"], how, salts=8, run=100)
+    assert rows(salted) == rows(left.join(right, "k", how))
+    plan = salted._jdf.queryExecution().analyzed().toString()
+    assert "_run" in plan and "_copies" in plan
+
+
+def test_salted_join_runs_get_different_salts(spark):
+    copies = spark.range(50).select(F.lit(1).alias("k"), F.col("id").alias("_run"))
+    assert copies.select(J.salt_of([F.col("k"), F.col("_run")], 8).alias("s")).distinct().count() == 8
+
+
 def test_right_and_full_join(sides):
     left, right = sides
     assert rows(J.right_join(left, right, ["k"])) == rows(left.join(right, "k", "right"))

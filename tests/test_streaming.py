@@ -46,12 +46,13 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     path = slices(spark, f"{tmp_path}/in", frames)
     stream = with_event_time(stream_of(spark, path, frames[0].schema), "ts", "5 minutes")
     counts = S.window_agg(stream, "event_time", "10 minutes", ["k"], [F.count(F.lit(1)).alias("n")])
-    q = sinks.start_query(counts, f"{tmp_path}/cp", path=f"{tmp_path}/out")
-    q.awaitTermination()
+    with sinks.ProgressLog(spark, f"{tmp_path}/progress") as log:
+        q = sinks.start_query(counts, f"{tmp_path}/cp", path=f"{tmp_path}/out")
+        q.awaitTermination()
+        progress = log.table(q)
     # The watermark passes the first window with the second file. Spark judges lateness by the
     # watermark of the batch before, so the third file still counts and the fourth is late.
     assert rows(spark.read.parquet(f"{tmp_path}/out").select("k", "n")) == [("a", 5)]
-    progress = sinks.progress_table(spark, q)
     assert progress.agg(F.sum("late_rows_dropped")).first()[0] == 1
     assert progress.agg(F.sum("input_rows")).first()[0] == 9
 
@@ -180,15 +181,18 @@ def test_sensor_chain_matches_batch(spark, tables):
     assert rows(streamed.join(spoiled, key, "left_anti").select(expected.columns)) == rows(expected)
 
 
-def test_listener_keeps_bounded_progress(spark, tables, tmp_path):
-    listener = sinks.ProgressListener(limit=5)
-    spark.streams.addListener(listener)
+def test_progress_log_keeps_more_batches_than_the_engine(spark, tmp_path):
+    """Twelve batches, two retained by the engine, blocks of five: twelve rows."""
+    frames = [minutes(spark, [("a", i)]) for i in range(12)]
+    path = slices(spark, f"{tmp_path}/in", frames)
+    stream = stream_of(spark, path, frames[0].schema)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
-        stream = stream_files(spark, tables.path("nation"), tables.nation.schema)
-        sinks.start_query(stream, f"{tmp_path}/cp", "noop").awaitTermination()
-        deadline = time.time() + 20
-        while not listener.rows and time.time() < deadline:
-            time.sleep(0.2)
+        with sinks.ProgressLog(spark, f"{tmp_path}/progress", block=5) as log:
+            q = sinks.start_query(stream, f"{tmp_path}/cp", "noop")
+            q.awaitTermination()
+            progress = log.table(q)
     finally:
-        spark.streams.removeListener(listener)
-    assert listener.rows and listener.rows[0][2] == 25
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(q.recentProgress) <= 2
+    assert progress.agg(F.countDistinct("batch"), F.sum("input_rows")).first()[:] == (12, 12)

@@ -9,16 +9,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-NUDGE = 1.000000000001
+#: Decimal places that a sum of parts, taken in any order, still gets right.
+EXACT_DIGITS = 10
 
 
 def steady(value: Column, digits: int) -> Column:
-    """Round an average or ratio half away from zero, whatever order it was summed in.
+    """Round an average or ratio to ``digits`` places, halves away from zero.
 
-    Partial sums arrive in any order, which moves the last bits of a mean and can tip a value
-    that lies halfway between two results. The relative nudge decides such ties upwards.
+    Partial sums arrive in any order, which moves the last bits of a mean. Those go first, by
+    rounding to ten places; the value that is left is rounded as a decimal number. Null stays null.
     """
-    return F.round(value * F.lit(NUDGE), digits)
+    return F.round(F.round(value, EXACT_DIGITS), digits)
 
 
 def means(columns: dict[str, str], digits: int = 2) -> list[Column]:

@@ -6,6 +6,7 @@ import random
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from itertools import product
+from typing import NamedTuple
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -23,7 +24,7 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,12 +115,25 @@ def cross_validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator:
     return fit(search, folded)
 
 
-def validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator: Evaluator,
-              ratio: float = 0.8, parallelism: int = 4):
-    """Best parameters on one train/validation split, refit on all rows."""
-    search = TrainValidationSplit(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
-                                  trainRatio=ratio, parallelism=parallelism, seed=SEED)
-    return fit(search, df)
+class Validated(NamedTuple):
+    """The metric of each tried parameter map, the best map and the model refit with it on all rows."""
+
+    metrics: list[float]
+    best_map: dict
+    best_model: Model
+
+
+def validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator: Evaluator, key: str,
+              ratio: float = 0.8) -> Validated:
+    """Best parameters on one train/validation split, refit on all rows.
+
+    The split hashes the row key, so it does not change when the table is partitioned differently.
+    """
+    held_out = hash_percent(F.col(key), 9_999) >= int(ratio * 9_999)
+    with training_rows(df.filter(~held_out)) as train, persisted(df.filter(held_out)) as validation:
+        metrics = [float(evaluator.evaluate(est.fit(train, m).transform(validation))) for m in maps]
+    best = (max if evaluator.isLargerBetter() else min)(range(len(maps)), key=metrics.__getitem__)
+    return Validated(metrics, maps[best], fit(est.copy(maps[best]), df))
 
 
 def tuning_table(spark, maps: list[dict], metrics: Sequence[float], metric: str) -> DataFrame:

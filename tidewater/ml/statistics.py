@@ -58,7 +58,7 @@ def vector_summary(df: DataFrame, columns: Sequence[str], digits: int = 4) -> Da
     arrays = summary.select(*[vector_to_array(F.col(f"s.{m}")).alias(m) for m in metrics])
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"),
-                 *[steady(F.col(m)[i], digits).alias(m) for m in metrics])
+                 *[(F.col(m)[i] if m in ("min", "max") else steady(F.col(m)[i], digits)).alias(m) for m in metrics])
         for i, c in enumerate(columns)
     ])
     return arrays.select(F.inline(rows))

@@ -13,6 +13,8 @@ from tidewater.functions.expressions import all_of, salt_of
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Most copies of one left row that a salted join writes out from one joined row.
+COPY_RUN = 10_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
@@ -44,17 +46,24 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], fraction: float) -> DataFrame:
-    """Keys that hold more than ``fraction`` of all rows; at most 1/fraction rows."""
-    threshold = df.count() * fraction
-    return df.groupBy(*on).count().filter(F.col("count") > threshold).select(*on)
+    """Keys that hold more than ``fraction`` of all rows; at most 1/fraction rows.
+
+    One grouping gives the counts and, summed up, the size of the table.
+    """
+    counts = df.groupBy(*on).count()
+    total = counts.agg(F.sum("count").alias("t")).scalar()
+    return counts.filter(F.col("count") > total * fraction).select(*on)
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                salts: int = 16, fraction: float = 0.01) -> DataFrame:
+                salts: int = 16, fraction: float = 0.01, run: int = COPY_RUN) -> DataFrame:
     """Inner or left join that spreads the hot keys of the left side over ``salts`` tasks.
 
     Only the right rows of hot keys are repeated, once per salt; all other keys join as usual.
-    Left rows with a null key match nothing, so they are spread without repeating anything.
+    Equal left rows of a hot key are counted first, cut into runs of at most ``run`` copies with a
+    salt each, and written out after the join. So copies of one row spread too, and as a salt
+    depends on nothing but the row and its run, a retried task repeats it. Left rows with a null
+    key match nothing; they never meet the shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how}")
@@ -63,17 +72,23 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     found = hot_keys(left, on, fraction).collect()
     if not found:
         return left.join(right, on, how)
-    spark = left.sparkSession
-    hot = F.broadcast(spark.createDataFrame(found, left.select(*on).schema).withColumn(
-        "_hot", F.lit(True)))
-    spread = F.col("_hot") | reduce(or_, [F.col(k).isNull() for k in on])
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(spread, salt_of([F.col(c) for c in left.columns], salts)).otherwise(0)
-    ).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0)))
-    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, left.select(*on).schema))
+    keyless = reduce(or_, [F.col(k).isNull() for k in on])
+    keyed = left.filter(~keyless)
+    usual = keyed.join(hot, on, "left_anti").join(right, on, how)
+
+    counted = keyed.join(hot, on, "left_semi").groupBy(*left.columns).agg(F.count(F.lit(1)).alias("_n"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {run}").cast("long"))))
+    salted_left = runs.withColumns({
+        "_copies": F.least(F.lit(run), F.col("_n") - F.col("_run") * run),
+        "_salt": salt_of([*[F.col(c) for c in left.columns], F.col("_run")], salts)}).drop("_n", "_run")
+    salted_right = right.join(hot, on, "left_semi").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = salted_left.join(salted_right, [*on, "_salt"], how).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_salt", "_copies", "_copy")
+    joined = usual.union(spread)
+    # Against no rows at all, a left join only adds the null columns.
+    return joined.union(left.filter(keyless).join(right.limit(0), on, "left")) if how == "left" else joined
 
 
 def right_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

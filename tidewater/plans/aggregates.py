@@ -21,8 +21,8 @@ def _n():
 
 
 @query("agg_global", """
-    SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, round(avg(o_totalprice) * 1.000000000001e0, 4) AS mean,
-           round(stddev_samp(o_totalprice) * 1.000000000001e0, 4) AS std, min(o_totalprice) AS low, max(o_totalprice) AS high
+    SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total, round(CAST(avg(o_totalprice) AS DECIMAL(38, 10)), 4)::DOUBLE AS mean,
+           round(CAST(stddev_samp(o_totalprice) AS DECIMAL(38, 10)), 4)::DOUBLE AS std, min(o_totalprice) AS low, max(o_totalprice) AS high
     FROM orders WHERE o_totalprice > 0""")
 def agg_global(t):
     price = F.col("o_totalprice")
@@ -52,8 +52,8 @@ def group_count(t):
 
 @query("group_multi_agg", f"""
     WITH {TRIPS}
-    SELECT hour(pickup_ts) AS hour, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
-           round(avg(distance) * 1.000000000001e0, 2) AS avg_distance, round(sum(tip) / sum(fare) * 100, 1) AS tip_rate_pct
+    SELECT hour(pickup_ts) AS hour, count(*) AS trips, round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare,
+           round(CAST(avg(distance) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_distance, round(sum(tip) / sum(fare) * 100, 1) AS tip_rate_pct
     FROM trips WHERE fare > 0 GROUP BY 1 ORDER BY 1""")
 def group_multi_agg(t):
     tip_rate = F.round(F.sum("tip") / F.sum("fare") * 100, 1).alias("tip_rate_pct")
@@ -94,18 +94,22 @@ def group_ratio(t):
 
 @query("yoy_summary", f"""
     WITH {TRIPS}
-    SELECT year(pickup_ts) AS year, count(*) AS total_trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
-           round(avg(distance) * 1.000000000001e0, 2) AS avg_distance, round(avg(tip) * 1.000000000001e0, 2) AS avg_tip,
-           round(avg(round((tip / fare * 100) * 1.000000000001e0, 2)) * 1.000000000001e0, 2) AS avg_tip_pct,
-           round(avg((epoch(dropoff_ts) - epoch(pickup_ts)) / 60) * 1.000000000001e0, 2) AS avg_duration_min,
+    SELECT year(pickup_ts) AS year, count(*) AS total_trips, round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare,
+           round(CAST(avg(distance) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_distance, round(CAST(avg(tip) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_tip,
+           round(CAST(avg(round(CAST(tip / fare * 100 AS DECIMAL(38, 10)), 2)::DOUBLE) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_tip_pct,
+           round(CAST(avg((epoch(dropoff_ts) - epoch(pickup_ts)) / 60) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_duration_min,
            round(sum(fare), 0) AS total_revenue
     FROM trips WHERE fare > 0 GROUP BY 1""")
 def yoy_summary(t):
     paid = ride_columns(t.trips).filter(F.col("fare") > 0)
     return paid.groupBy(F.year("pickup_ts").cast("bigint").alias("year")).agg(
-        _n().alias("total_trips"), F.round(F.sum("fare"), 0).alias("total_revenue"),
-        *X.means({"avg_fare": "fare", "avg_distance": "distance", "avg_tip": "tip", "avg_tip_pct": "tip_pct",
-                  "avg_duration_min": "duration_min"}))
+        _n().alias("total_trips"),
+        X.steady(F.avg("fare"), 2).alias("avg_fare"),
+        X.steady(F.avg("distance"), 2).alias("avg_distance"),
+        X.steady(F.avg("tip"), 2).alias("avg_tip"),
+        X.steady(F.avg("tip_pct"), 2).alias("avg_tip_pct"),
+        X.steady(F.avg("duration_min"), 2).alias("avg_duration_min"),
+        F.round(F.sum("fare"), 0).alias("total_revenue"))
 
 
 @query("collect_set_struct", f"""
@@ -148,7 +152,7 @@ def count_per_element(t):
     return t.part.groupBy(F.col("p_name").alias("element")).agg(_n().alias("n"))
 
 
-@query("combine_globally_avg", "SELECT round(avg(value) * 1.000000000001e0, 6) AS mean FROM events")
+@query("combine_globally_avg", "SELECT round(CAST(avg(value) AS DECIMAL(38, 10)), 6)::DOUBLE AS mean FROM events")
 def combine_globally_avg(t):
     return t.events.agg(X.steady(F.avg("value"), 6).alias("mean"))
 
@@ -190,8 +194,8 @@ def crosstab(t):
 
 
 def _described(column: str) -> str:
-    return f"""SELECT '{column}' AS "column", count({column}) AS n, round(avg({column}) * 1.000000000001e0, 4) AS mean,
-       round(stddev_samp({column}) * 1.000000000001e0, 4) AS stddev, CAST(min({column}) AS DOUBLE) AS min,
+    return f"""SELECT '{column}' AS "column", count({column}) AS n, round(CAST(avg({column}) AS DECIMAL(38, 10)), 4)::DOUBLE AS mean,
+       round(CAST(stddev_samp({column}) AS DECIMAL(38, 10)), 4)::DOUBLE AS stddev, CAST(min({column}) AS DOUBLE) AS min,
        CAST(max({column}) AS DOUBLE) AS max FROM lineitem"""
 
 
@@ -204,7 +208,7 @@ def describe_table(t):
 
 def _nulls(column: str) -> str:
     return f"""SELECT '{column}' AS "column", count(*) FILTER ({column} IS NULL) AS null_count,
-       round((count(*) FILTER ({column} IS NULL) / count(*) * 100) * 1.000000000001e0, 2) AS null_pct FROM trips"""
+       round(CAST(count(*) FILTER ({column} IS NULL) / count(*) * 100 AS DECIMAL(38, 10)), 2)::DOUBLE AS null_pct FROM trips"""
 
 
 @query("null_profile", f"WITH {TRIPS} " + " UNION ALL ".join(
@@ -213,11 +217,10 @@ def null_profile(t):
     return A.null_profile(t.trips.select("fare", "passengers", "airport_fee", "congestion_fee", "flag"))
 
 
-@query("row_col_counts", "SELECT count(*) AS rows, 7::BIGINT AS columns FROM lineitem")
+@query("row_col_counts", """
+    SELECT count(*) AS rows, (SELECT count(*) FROM (DESCRIBE lineitem)) AS columns FROM lineitem""")
 def row_col_counts(t):
-    wanted = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                               "l_extendedprice", "l_discount")
-    return wanted.agg(_n().alias("rows"), F.lit(len(wanted.columns)).cast("bigint").alias("columns"))
+    return t.lineitem.agg(_n().alias("rows"), F.lit(len(t.lineitem.columns)).cast("bigint").alias("columns"))
 
 
 @query("conditional_having", """
@@ -254,7 +257,7 @@ clean AS (
 
 @query("analytics_summary", f"""
     WITH {CLEAN_SENSORS}
-    SELECT 'avg_temperature' AS metric, sensor_id AS key, round(avg(temperature) * 1.000000000001e0, 4) AS value
+    SELECT 'avg_temperature' AS metric, sensor_id AS key, round(CAST(avg(temperature) AS DECIMAL(38, 10)), 4)::DOUBLE AS value
     FROM clean GROUP BY sensor_id
     UNION ALL SELECT 'max_temperature', sensor_id, max(temperature) FROM clean GROUP BY sensor_id
     UNION ALL SELECT 'active_sensors', 'all', CAST(count(DISTINCT sensor_id) AS DOUBLE) FROM clean
@@ -319,7 +322,7 @@ def win_running_sum(t):
 
 
 @query("win_ntile", """
-    SELECT event_type, quartile, count(*) AS n, round(avg(value) * 1.000000000001e0, 4) AS mean
+    SELECT event_type, quartile, count(*) AS n, round(CAST(avg(value) AS DECIMAL(38, 10)), 4)::DOUBLE AS mean
     FROM (SELECT *, ntile(4) OVER (PARTITION BY event_type ORDER BY value, event_id) AS quartile FROM events)
     GROUP BY event_type, quartile""")
 def win_ntile(t):
@@ -377,6 +380,56 @@ def win_latest_per_key(t):
         "user_id", "event_type", "event_id", "value")
 
 
+def _hot_events(t):
+    """Events of which one user holds a third, and window options under which that user is cut."""
+    rows = t.events.count()
+    hot = t.events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
+    return hot, {"max_group_rows": rows // 10, "rows_per_chunk": max(rows // 8, 1)}
+
+
+HOT_EVENTS = "hot AS (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM events)"
+
+
+@query("win_hot_ranks", f"""
+    WITH {HOT_EVENTS}
+    SELECT event_id, user_id, rank() OVER peers AS rnk, dense_rank() OVER peers AS dense,
+           round(percent_rank() OVER peers, 6) AS pct
+    FROM hot WINDOW peers AS (PARTITION BY user_id ORDER BY floor(value) DESC)""")
+def win_hot_ranks(t):
+    """Ranks with many ties while one user holds a third of all rows; that user is cut into chunks."""
+    hot, options = _hot_events(t)
+    ranked = W.with_windows(hot.withColumn("level", F.floor("value")), ["user_id"], [("level", "desc")], {
+        "rnk": W.rank(), "dense": W.dense_rank(), "p": W.percent_rank()}, tiebreak=["event_id"], **options)
+    return ranked.select("event_id", "user_id", "rnk", "dense", F.round("p", 6).alias("pct"))
+
+
+@query("win_hot_rows", f"""
+    WITH {HOT_EVENTS}
+    SELECT event_id, user_id, row_number() OVER w AS rn, ntile(4) OVER w AS quartile, lag(value) OVER w AS before,
+           lead(value) OVER w AS after, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 2) AS running
+    FROM hot WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def win_hot_rows(t):
+    """Row windows while one user holds a third of all rows; that user is cut into chunks."""
+    hot, options = _hot_events(t)
+    out = W.with_windows(hot, ["user_id"], ["ts", "event_id"], {
+        "rn": W.row_number(), "quartile": W.ntile(4), "before": W.previous("value"), "after": W.following("value"),
+        "s": W.running_sum("value")}, **options)
+    return out.select("event_id", "user_id", "rn", "quartile", "before", "after", F.round("s", 2).alias("running"))
+
+
+@query("group_by_key_hot", f"""
+    WITH {HOT_EVENTS}, numbered AS (
+      SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos FROM hot)
+    SELECT user_id, (pos - 1) // 64 AS part, array_to_string(list(event_id ORDER BY pos), ',') AS ids
+    FROM numbered GROUP BY 1, 2""")
+def group_by_key_hot(t):
+    """Lists per user while one user holds a third of all rows."""
+    hot, options = _hot_events(t)
+    lists = A.grouped_lists(hot, ["user_id"], "event_id", [], max_values=64, **options)
+    text = F.array_join(F.transform("values", lambda v: v.cast("string")), ",")
+    return lists.select("user_id", "part", text.alias("ids"))
+
+
 @query("win_threshold_trigger", """
     SELECT user_id, event_id, round(total, 2) AS total FROM (
       SELECT *, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS total
@@ -416,7 +469,7 @@ def udf_scalar(t):
 
 @query("udf_pandas", f"""
     WITH {TRIPS}
-    SELECT payment_type, round(avg(coalesce(tip / nullif(distance, 0), 0)) * 1.000000000001e0, 6) AS mean_ratio
+    SELECT payment_type, round(CAST(avg(coalesce(tip / nullif(distance, 0), 0)) AS DECIMAL(38, 10)), 6)::DOUBLE AS mean_ratio
     FROM trips GROUP BY payment_type""")
 def udf_pandas(t):
     return t.trips.select("payment_type", P.vector_ratio("tip", "distance").alias("r")).groupBy(
@@ -436,7 +489,7 @@ def udtf_flatmap(t):
 
 
 @query("udaf_custom", """
-    SELECT event_type, round(avg(value) * 1.000000000001e0, 6) AS mean FROM events GROUP BY event_type""")
+    SELECT event_type, round(CAST(avg(value) AS DECIMAL(38, 10)), 6)::DOUBLE AS mean FROM events GROUP BY event_type""")
 def udaf_custom(t):
     return P.combine(
         t.events.select("event_type", "value"), ["event_type"],

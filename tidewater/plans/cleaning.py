@@ -116,7 +116,7 @@ _UNIQUE_TRIPS = """SELECT * FROM (
       FROM trips WHERE fare BETWEEN 0.5 AND 1000 AND distance BETWEEN 0 AND 500 AND pickup_ts < dropoff_ts),
     uniq AS ({_UNIQUE_TRIPS})
     SELECT * EXCLUDE (rn), year(pickup_ts) AS year, month(pickup_ts) AS month, hour(pickup_ts) AS pickup_hour,
-           round(((epoch(dropoff_ts) - epoch(pickup_ts)) / 60) * 1.000000000001e0, 1) AS duration_min,
+           round(CAST((epoch(dropoff_ts) - epoch(pickup_ts)) / 60 AS DECIMAL(38, 10)), 1)::DOUBLE AS duration_min,
            CASE WHEN fare < 10 THEN 'low' WHEN fare < 25 THEN 'medium' ELSE 'high' END AS fare_band
     FROM uniq""")
 def etl_transform(t):
@@ -130,7 +130,7 @@ def etl_transform(t):
                fare > 0 AND distance > 0 AND passengers > 0 AND passengers <= 6 AND payment_type = 1
                AND pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL) AS clean_rows FROM trips)
     SELECT raw_rows, clean_rows, raw_rows - clean_rows AS dropped,
-           round(((raw_rows - clean_rows) / raw_rows * 100) * 1.000000000001e0, 1) AS dropped_pct FROM tally""")
+           round(CAST((raw_rows - clean_rows) / raw_rows * 100 AS DECIMAL(38, 10)), 1)::DOUBLE AS dropped_pct FROM tally""")
 def taxi_clean(t):
     keep = X.all_of([F.col("fare") > 0, F.col("distance") > 0, F.col("passengers") > 0, F.col("passengers") <= 6,
                      F.col("payment_type") == 1, F.col("pickup_ts").isNotNull(), F.col("dropoff_ts").isNotNull()])
@@ -200,7 +200,7 @@ _STATUS = """CASE WHEN failed_rows = 0 THEN 'PASS' WHEN failed_rows / n * 100 <
 
 @query("dq_report", f"""
     WITH {TRIPS}, counted AS ({_REPORT})
-    SELECT "check", {_STATUS} AS status, failed_rows, round((failed_rows / n * 100) * 1.000000000001e0, 3) AS pct_failed FROM counted""")
+    SELECT "check", {_STATUS} AS status, failed_rows, round(CAST(failed_rows / n * 100 AS DECIMAL(38, 10)), 3)::DOUBLE AS pct_failed FROM counted""")
 def dq_report(t):
     return Q.quality_report(t.trips, Q.trip_checks()).drop("description")
 
@@ -280,7 +280,7 @@ def anomaly_rules(t):
     WITH {SENSORS}, m AS (
       SELECT count(*) AS total_rows, count(*) FILTER (temperature IS NULL OR temperature < -20 OR temperature > 100)
                AS invalid_rows FROM sensors)
-    SELECT total_rows, invalid_rows, round((invalid_rows / total_rows) * 1.000000000001e0, 6) AS invalid_fraction,
+    SELECT total_rows, invalid_rows, round(CAST(invalid_rows / total_rows AS DECIMAL(38, 10)), 6)::DOUBLE AS invalid_fraction,
            CASE WHEN invalid_rows / total_rows <= 0.2 THEN 'valid' ELSE 'invalid' END AS status FROM m""")
 def quality_gate(t):
     bad = F.col("temperature").isNull() | ~F.col("temperature").between(*C.SENSOR_RANGE)
@@ -300,8 +300,8 @@ def row_count_gate(t):
     c AS (SELECT count(*) AS n, count(*) FILTER (label = 1 AND prediction = 1) AS tp,
                  count(*) FILTER (label <> 1 AND prediction = 1) AS fp, count(*) FILTER (label = prediction) AS hits
           FROM p),
-    m AS (SELECT 'accuracy' AS metric, round((hits / n) * 1.000000000001e0, 6) AS value FROM c
-          UNION ALL SELECT 'precision', round((tp / nullif(tp + fp, 0)) * 1.000000000001e0, 6) FROM c),
+    m AS (SELECT 'accuracy' AS metric, round(CAST(hits / n AS DECIMAL(38, 10)), 6)::DOUBLE AS value FROM c
+          UNION ALL SELECT 'precision', round(CAST(tp / nullif(tp + fp, 0) AS DECIMAL(38, 10)), 6)::DOUBLE FROM c),
     thresholds(metric, minimum) AS (VALUES ('accuracy', 0.85::DOUBLE), ('precision', 0.80::DOUBLE),
                                            ('latency', 0.5::DOUBLE))
     SELECT metric, minimum, value, CASE WHEN value >= minimum THEN 'PASS' ELSE 'FAIL' END AS status
@@ -335,7 +335,7 @@ def validate_numeric_fields(t):
 
 @query("sensor_stats", f"""
     WITH {READINGS}
-    SELECT sensor_id, round(avg(temperature) * 1.000000000001e0, 4) AS mean_temp, round(stddev_samp(temperature) * 1.000000000001e0, 4) AS std_temp
+    SELECT sensor_id, round(CAST(avg(temperature) AS DECIMAL(38, 10)), 4)::DOUBLE AS mean_temp, round(CAST(stddev_samp(temperature) AS DECIMAL(38, 10)), 4)::DOUBLE AS std_temp
     FROM readings WHERE temperature BETWEEN -20 AND 100 GROUP BY sensor_id""")
 def sensor_stats(t):
     return C.within(t.readings, {"temperature": C.SENSOR_RANGE}).groupBy("sensor_id").agg(

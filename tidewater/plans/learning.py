@@ -65,10 +65,10 @@ def quantiles(t):
 
 def _summary(c: str) -> str:
     def r(value: str) -> str:
-        return f"round({value} * 1.000000000001e0, 4)"
+        return f"round(CAST({value} AS DECIMAL(38, 10)), 4)::DOUBLE"
 
     return (f"SELECT '{c}' AS \"column\", {r(f'avg({c})')} AS mean, {r(f'var_samp({c})')} AS variance, "
-            f"{r(f'stddev_samp({c})')} AS std, {r(f'min({c})')} AS min, {r(f'max({c})')} AS max FROM lineitem")
+            f"{r(f'stddev_samp({c})')} AS std, min({c}) AS min, max({c}) AS max FROM lineitem")
 
 
 @query("summarizer", " UNION ALL ".join(_summary(c) for c in ("l_quantity", "l_discount", "l_tax")))
@@ -438,8 +438,8 @@ def train_validation_split(t):
     train, _ = Tasks(t).regression
     est = L.estimator("linear_regression")
     maps = L.grid(est, {"regParam": [0.01, 0.1, 1.0]})
-    fitted = L.validated(train, est, maps, RegressionEvaluator(metricName="rmse"))
-    return L.tuning_table(t.spark, maps, fitted.validationMetrics, "rmse")
+    fitted = L.validated(train, est, maps, RegressionEvaluator(metricName="rmse"), "ride")
+    return L.tuning_table(t.spark, maps, fitted.metrics, "rmse")
 
 
 @query("random_search")
@@ -447,8 +447,8 @@ def random_search(t):
     train, _ = Tasks(t).classification
     est = L.estimator("logistic_regression")
     maps = L.random_grid(est, {"regParam": [0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.25, 0.5, 1.0]}, 4)
-    fitted = L.validated(train, est, maps, BinaryClassificationEvaluator())
-    return L.tuning_table(t.spark, maps, fitted.validationMetrics, "auc").orderBy(F.desc("auc"), "trial")
+    fitted = L.validated(train, est, maps, BinaryClassificationEvaluator(), "ride")
+    return L.tuning_table(t.spark, maps, fitted.metrics, "auc").orderBy(F.desc("auc"), "trial")
 
 
 @query("model_save_load", f"""

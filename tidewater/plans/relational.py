@@ -214,7 +214,7 @@ def join_left(t):
 
 @query("join_left_default", f"""
     WITH {TRIPS}, {ZONES}
-    SELECT coalesce(zone, 'Other') AS zone, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare
+    SELECT coalesce(zone, 'Other') AS zone, count(*) AS trips, round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare
     FROM trips LEFT JOIN zones ON pu_zone = zone_id GROUP BY 1""")
 def join_left_default(t):
     # Pre-aggregated by zone id, so the join sees one row per zone instead of one per trip.
@@ -274,7 +274,7 @@ def join_shuffle(t):
 @query("join_then_aggregate", f"""
     WITH {EMPLOYEES}, {DEPARTMENTS}
     SELECT office_block, count(*) AS employees, max(salary) AS max_salary, min(age) AS min_age,
-           round(sum(salary), 2) AS total_salary, round(avg(experience) * 1.000000000001e0, 4) AS avg_experience
+           round(sum(salary), 2) AS total_salary, round(CAST(avg(experience) AS DECIMAL(38, 10)), 4)::DOUBLE AS avg_experience
     FROM employees JOIN departments USING (department) GROUP BY office_block""")
 def join_then_aggregate(t):
     return J.lookup_join(t.employees, t.departments, ["department"]).groupBy("office_block").agg(
@@ -284,8 +284,8 @@ def join_then_aggregate(t):
 
 
 @query("merge_group_stats", """
-    SELECT event_id, user_id, value, round(avg(value) OVER (PARTITION BY user_id) * 1.000000000001e0, 4) AS user_mean,
-           round(stddev_samp(value) OVER (PARTITION BY user_id) * 1.000000000001e0, 4) AS user_std
+    SELECT event_id, user_id, value, round(CAST(avg(value) OVER (PARTITION BY user_id) AS DECIMAL(38, 10)), 4)::DOUBLE AS user_mean,
+           round(CAST(stddev_samp(value) OVER (PARTITION BY user_id) AS DECIMAL(38, 10)), 4)::DOUBLE AS user_std
     FROM events""")
 def merge_group_stats(t):
     return J.with_group_statistics(t.events.select("event_id", "user_id", "value"), ["user_id"], [
@@ -302,6 +302,18 @@ def join_salted(t):
         "o_orderkey", "o_custkey", "c_mktsegment", "c_nationkey")
 
 
+@query("join_salted_hot", """
+    SELECT o_custkey, o_orderstatus, c_mktsegment, c_nationkey
+    FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey, o_orderstatus FROM orders)
+    LEFT JOIN customer ON o_custkey = c_custkey""")
+def join_salted_hot(t):
+    """One customer holds a third of the orders, most of them equal rows; its key is salted."""
+    orders = t.orders.select(F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).alias("o_custkey"),
+                             "o_orderstatus")
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
+    return J.salted_join(orders, customers, ["o_custkey"], "left", run=100)
+
+
 # Sorting, limits and samples
 
 

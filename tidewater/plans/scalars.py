@@ -49,7 +49,7 @@ def fn_datetime(t):
 
 @query("fn_math", """
     SELECT o_orderkey, round(ln(o_totalprice), 6) AS log_price, CAST(ceil(o_totalprice) AS BIGINT) AS ceil_price,
-           round(o_totalprice / 7, 4) AS rounded, round((o_totalprice / nullif(o_custkey % 5, 0)) * 1.000000000001e0, 4) AS guarded,
+           round(o_totalprice / 7, 4) AS rounded, round(CAST(o_totalprice / nullif(o_custkey % 5, 0) AS DECIMAL(38, 10)), 4)::DOUBLE AS guarded,
            round(o_totalprice / (o_custkey + 0.001), 4) AS epsilon
     FROM orders""")
 def fn_math(t):
@@ -173,8 +173,8 @@ RIDES = TRIPS + """,
 rides AS (
   SELECT *, (epoch(dropoff_ts) - epoch(pickup_ts)) / 60 AS duration_min, hour(pickup_ts) AS hour_of_day,
          dayofweek(pickup_ts) + 1 AS day_of_week, CAST(rate_code IN (2, 3) AS BIGINT) AS is_airport,
-         CASE WHEN fare > 0 THEN round((tip / fare * 100) * 1.000000000001e0, 2) ELSE 0.0::DOUBLE END AS tip_pct,
-         CASE WHEN distance > 0 THEN round((fare / distance) * 1.000000000001e0, 2) END AS fare_per_mile
+         CASE WHEN fare > 0 THEN round(CAST(tip / fare * 100 AS DECIMAL(38, 10)), 2)::DOUBLE ELSE 0.0::DOUBLE END AS tip_pct,
+         CASE WHEN distance > 0 THEN round(CAST(fare / distance AS DECIMAL(38, 10)), 2)::DOUBLE END AS fare_per_mile
   FROM trips)"""
 
 
@@ -189,7 +189,7 @@ def trip_features(t):
 
 @query("speed_feature", f"""
     WITH {RIDES}
-    SELECT order_key, vendor_id, do_zone, round((distance / (round(duration_min, 1) / 60 + 0.001)) * 1.000000000001e0, 1) AS speed
+    SELECT order_key, vendor_id, do_zone, round(CAST(distance / (round(duration_min, 1) / 60 + 0.001) AS DECIMAL(38, 10)), 1)::DOUBLE AS speed
     FROM rides WHERE duration_min > 0""")
 def speed_feature(t):
     minutes = X.minutes_between(F.col("pickup_ts"), F.col("dropoff_ts"), 1)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.plans.registry import query
-from tidewater.plans.tables import TRIPS, ZONES, Tables, trips_of
+from tidewater.plans.tables import DEPARTMENTS, EMPLOYEES, TRIPS, Tables, trips_of
 from tidewater.session import scratch_path
 from tidewater.sources import files, lake, logs
 from tidewater.streaming.sinks import run_to_table
@@ -48,11 +48,9 @@ def scan_csv_schema(t):
     return files.read_csv(t.spark, _written(t, t.orders, "csv", "csv", header=True), ORDER_SCHEMA)
 
 
-@query("scan_json", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("scan_json", "SELECT * FROM events")
 def scan_json(t):
-    columns = t.events.select("event_id", "user_id", "event_type", "value", "props")
-    return files.read_json(t.spark, _written(t, columns, "json", "json"),
-                           "event_id bigint, user_id bigint, event_type string, value double, props string")
+    return files.read_json(t.spark, _written(t, t.events, "json", "json"), t.events.schema)
 
 
 @query("scan_orc", "SELECT * FROM events")
@@ -61,12 +59,13 @@ def scan_orc(t):
 
 
 @query("literal_table", f"""
-    WITH {TRIPS}, {ZONES}
-    SELECT zone_id, zone, count(order_key) AS trips FROM zones LEFT JOIN trips ON pu_zone = zone_id GROUP BY 1, 2""")
+    WITH {EMPLOYEES}, {DEPARTMENTS}
+    SELECT d.department, office_block, manager_name, count(employee_id) AS employees
+    FROM departments d LEFT JOIN employees e ON e.department = d.department GROUP BY 1, 2, 3""")
 def literal_table(t):
-    counted = t.trips.groupBy(F.col("pu_zone").alias("zone_id")).agg(F.count(F.lit(1)).alias("n"))
-    return t.zones.join(counted, "zone_id", "left").select(
-        "zone_id", "zone", F.coalesce("n", F.lit(0)).alias("trips"))
+    counted = t.employees.groupBy("department").agg(F.count(F.lit(1)).alias("n"))
+    return t.departments.join(counted, "department", "left").select(
+        "department", "office_block", "manager_name", F.coalesce("n", F.lit(0)).alias("employees"))
 
 
 @query("scan_union_drift", """
@@ -124,25 +123,22 @@ def sink_parquet(t):
     return t.spark.read.schema(ORDER_SCHEMA).parquet(path)
 
 
-@query("sink_csv", """
-    SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+@query("sink_csv", "SELECT * FROM customer")
 def sink_csv(t):
-    finished = t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey", "o_totalprice")
-    return files.read_csv(t.spark, _written(t, finished, "csv", "csv", header=True),
-                          "o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    return files.read_csv(t.spark, _written(t, t.customer, "csv", "csv", header=True), t.customer.schema)
 
 
-@query("sink_json", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@query("sink_json", "SELECT * FROM supplier")
 def sink_json(t):
     """CSV rewritten as JSON lines."""
-    schema = "s_suppkey bigint, s_name string, s_acctbal double"
-    as_csv = _written(t, t.supplier.select("s_suppkey", "s_name", "s_acctbal"), "csv", "csv", header=True)
+    schema = t.supplier.schema
+    as_csv = _written(t, t.supplier, "csv", "csv", header=True)
     return files.read_json(t.spark, _written(t, files.read_csv(t.spark, as_csv, schema), "json", "json"), schema)
 
 
-@query("sink_orc", "SELECT p_partkey, p_name, p_retailprice FROM part")
+@query("sink_orc", "SELECT * FROM part")
 def sink_orc(t):
-    return t.spark.read.orc(_written(t, t.part.select("p_partkey", "p_name", "p_retailprice"), "orc", "orc"))
+    return t.spark.read.orc(_written(t, t.part, "orc", "orc"))
 
 
 @query("sink_text", "SELECT p_partkey || ',' || p_name || ',' || p_type AS value FROM part")
@@ -246,9 +242,9 @@ uniq AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY pickup_ts, pu_zone, do_zone, fare
                                  ORDER BY order_key, vendor_id, distance, tip) AS rn FROM valid) WHERE rn = 1),
-timed AS (SELECT *, round(((epoch(dropoff_ts) - epoch(pickup_ts)) / 60) * 1.000000000001e0, 1) AS duration_min FROM uniq),
+timed AS (SELECT *, round(CAST((epoch(dropoff_ts) - epoch(pickup_ts)) / 60 AS DECIMAL(38, 10)), 1)::DOUBLE AS duration_min FROM uniq),
 silver AS (
-  SELECT *, round((distance / (duration_min / 60 + 0.001)) * 1.000000000001e0, 1) AS speed, rate_code IN (2, 3) AS is_airport FROM timed)"""
+  SELECT *, round(CAST(distance / (duration_min / 60 + 0.001) AS DECIMAL(38, 10)), 1)::DOUBLE AS speed, rate_code IN (2, 3) AS is_airport FROM timed)"""
 
 
 @query("silver_clean", f"WITH {SILVER} SELECT * FROM silver")
@@ -259,8 +255,8 @@ def silver_clean(t):
 @query("gold_daily_kpis", f"""
     WITH {SILVER}
     SELECT strftime(pickup_ts, '%Y-%m-%d') AS date, count(*) AS trips, round(sum(fare), 0) AS revenue,
-           round(avg(fare) * 1.000000000001e0, 2) AS avg_fare, round(avg(distance) * 1.000000000001e0, 2) AS avg_distance,
-           round(avg(duration_min) * 1.000000000001e0, 1) AS avg_duration, round(sum(tip) / nullif(sum(fare), 0) * 100, 2) AS tip_rate_pct,
+           round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare, round(CAST(avg(distance) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_distance,
+           round(CAST(avg(duration_min) AS DECIMAL(38, 10)), 1)::DOUBLE AS avg_duration, round(sum(tip) / nullif(sum(fare), 0) * 100, 2) AS tip_rate_pct,
            count(DISTINCT pu_zone) AS active_zones
     FROM silver GROUP BY 1""")
 def gold_daily_kpis(t):
@@ -269,8 +265,8 @@ def gold_daily_kpis(t):
 
 @query("gold_zone_performance", f"""
     WITH {SILVER}
-    SELECT pu_zone, year(pickup_ts) AS year, count(*) AS trips, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare,
-           round(sum(fare), 0) AS total_revenue, round(avg(speed) * 1.000000000001e0, 1) AS avg_speed
+    SELECT pu_zone, year(pickup_ts) AS year, count(*) AS trips, round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare,
+           round(sum(fare), 0) AS total_revenue, round(CAST(avg(speed) AS DECIMAL(38, 10)), 1)::DOUBLE AS avg_speed
     FROM silver GROUP BY 1, 2""")
 def gold_zone_performance(t):
     return lake.zone_performance(lake.silver_trips(t.trips))
@@ -308,7 +304,7 @@ def temp_views(t):
 @query("kafka_partition_stats", """
     SELECT 'events' AS topic, CAST(user_id % 3 AS BIGINT) AS "partition", count(*) AS records, min(event_id) AS first_offset,
            max(event_id) AS last_offset,
-           round((count(*) / (epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))))) * 1.000000000001e0, 6)
+           round(CAST(count(*) / (epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts)))) AS DECIMAL(38, 10)), 6)::DOUBLE
              AS records_per_sec
     FROM events GROUP BY 2""")
 def kafka_partition_stats(t):

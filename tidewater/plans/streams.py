@@ -70,7 +70,7 @@ def st_project_filter(t):
     WITH w AS (
     SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
            CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN 'medium' ELSE 'high' END AS band, count(*) AS n,
-           round(avg(value) * 1.000000000001e0, 4) AS mean
+           round(CAST(avg(value) AS DECIMAL(38, 10)), 4)::DOUBLE AS mean
     FROM events GROUP BY ALL)
     SELECT * FROM w WHERE window_end <= {_closed('events', 'ts', 10)}""")
 def st_watermark(t):
@@ -83,7 +83,7 @@ def st_watermark(t):
 _SENSOR_WINDOWS = """
     SELECT time_bucket(INTERVAL 5 MINUTES, event_time) AS window_start,
            time_bucket(INTERVAL 5 MINUTES, event_time) + INTERVAL 5 MINUTES AS window_end, sensor_id,
-           round(avg(temperature) * 1.000000000001e0, 2) AS avg_temp, max(temperature) AS max_temperature,
+           round(CAST(avg(temperature) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_temp, max(temperature) AS max_temperature,
            count(status) AS total_status_records
     FROM {source} WHERE event_time IS NOT NULL GROUP BY ALL"""
 
@@ -99,14 +99,14 @@ ZONE_FEATURES = RIDES + """,
 zone_features AS (
   SELECT time_bucket(INTERVAL 5 MINUTES, pickup_ts) AS window_start,
          time_bucket(INTERVAL 5 MINUTES, pickup_ts) + INTERVAL 5 MINUTES AS window_end, pu_zone,
-         count(*) AS demand_5m, round(avg(fare) * 1.000000000001e0, 2) AS avg_fare_5m,
-         round(max(fare) * 1.000000000001e0, 2) AS max_fare_5m,
-         round(stddev_samp(fare) * 1.000000000001e0, 2) AS std_fare_5m,
-         round(avg(distance) * 1.000000000001e0, 2) AS avg_distance_5m,
-         round(avg(duration_min) * 1.000000000001e0, 2) AS avg_duration_5m,
-         round(avg(tip_pct) * 1.000000000001e0, 2) AS avg_tip_pct_5m,
-         round(avg(tip) * 1.000000000001e0, 2) AS avg_tip_5m, round(avg(is_airport) * 1.000000000001e0, 3) AS airport_ratio_5m,
-         round(avg(fare_per_mile) * 1.000000000001e0, 2) AS avg_fare_per_mile_5m
+         count(*) AS demand_5m, round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare_5m,
+         round(CAST(max(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS max_fare_5m,
+         round(CAST(stddev_samp(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS std_fare_5m,
+         round(CAST(avg(distance) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_distance_5m,
+         round(CAST(avg(duration_min) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_duration_5m,
+         round(CAST(avg(tip_pct) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_tip_pct_5m,
+         round(CAST(avg(tip) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_tip_5m, round(CAST(avg(is_airport) AS DECIMAL(38, 10)), 3)::DOUBLE AS airport_ratio_5m,
+         round(CAST(avg(fare_per_mile) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare_per_mile_5m
   FROM rides GROUP BY ALL)"""
 
 
@@ -120,7 +120,7 @@ def st_zone_features(t):
     WITH {RIDES}, w AS (
     SELECT time_bucket(INTERVAL 1 DAY, pickup_ts) AS window_start,
            time_bucket(INTERVAL 1 DAY, pickup_ts) + INTERVAL 1 DAY AS window_end, pu_zone, count(*) AS ride_count,
-           round(avg(fare) * 1.000000000001e0, 2) AS avg_fare, round(avg(distance) * 1.000000000001e0, 2) AS avg_distance
+           round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare, round(CAST(avg(distance) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_distance
     FROM rides GROUP BY ALL HAVING count(*) > 2)
     SELECT * FROM w WHERE window_end <= {_closed('rides', 'pickup_ts', 1)}""")
 def st_demand_alerts(t):
@@ -283,7 +283,7 @@ def st_csv_log(t):
 
 
 @query("st_memory_table", """
-    SELECT hour(ts) AS hour, count(*) AS n, round(avg(value) * 1.000000000001e0, 4) AS mean FROM events GROUP BY 1""")
+    SELECT hour(ts) AS hour, count(*) AS n, round(CAST(avg(value) AS DECIMAL(38, 10)), 4)::DOUBLE AS mean FROM events GROUP BY 1""")
 def st_memory_table(t):
     """The memory sink keeps its result in the driver; this one has at most 24 rows."""
     base = scratch_path(t.spark, "memory")
@@ -297,17 +297,20 @@ def st_memory_table(t):
 @query("st_console", "SELECT count(*) AS input_rows FROM events")
 def st_console(t):
     counts = event_stream(t).groupBy("event_type").count()
-    q = sinks.start_query(counts, f"{scratch_path(t.spark, 'console')}/checkpoint", "console", mode="complete",
-                          truncate="false", numRows=5)
-    q.awaitTermination()
-    return sinks.progress_table(t.spark, q).agg(F.sum("input_rows").alias("input_rows"))
+    base = scratch_path(t.spark, "console")
+    with sinks.ProgressLog(t.spark, f"{base}/progress") as log:
+        q = sinks.start_query(counts, f"{base}/checkpoint", "console", mode="complete", truncate="false", numRows=5)
+        q.awaitTermination()
+        return log.table(q).agg(F.sum("input_rows").alias("input_rows"))
 
 
 @query("st_progress_metrics")
 def st_progress_metrics(t):
-    q = sinks.start_query(S.sensor_windows(reading_stream(t)), f"{scratch_path(t.spark, 'progress')}/checkpoint", "noop")
-    q.awaitTermination()
-    return sinks.progress_table(t.spark, q)
+    base = scratch_path(t.spark, "progress")
+    with sinks.ProgressLog(t.spark, f"{base}/progress") as log:
+        q = sinks.start_query(S.sensor_windows(reading_stream(t)), f"{base}/checkpoint", "noop")
+        q.awaitTermination()
+        return log.table(q)
 
 
 @query("st_triggers", """
@@ -375,8 +378,8 @@ def st_replay(t):
 
 @query("st_running_stats", f"""
     WITH {READINGS}
-    SELECT sensor_id, count(temperature) AS n, round(avg(temperature) * 1.000000000001e0, 6) AS mean,
-           round(stddev_samp(temperature) * 1.000000000001e0, 6) AS std
+    SELECT sensor_id, count(temperature) AS n, round(CAST(avg(temperature) AS DECIMAL(38, 10)), 6)::DOUBLE AS mean,
+           round(CAST(stddev_samp(temperature) AS DECIMAL(38, 10)), 6)::DOUBLE AS std
     FROM readings GROUP BY sensor_id""")
 def st_running_stats(t):
     """Count, mean and deviation so far; Spark merges partial moments, so hot keys combine first."""
@@ -414,15 +417,15 @@ def st_threshold_trigger(t):
 
 @query("fs_explore", f"""
     WITH {ZONE_FEATURES},
-    top AS (SELECT pu_zone, sum(demand_5m) AS rides, round(avg(avg_fare_5m) * 1.000000000001e0, 2) AS fare FROM zone_features
+    top AS (SELECT pu_zone, sum(demand_5m) AS rides, round(CAST(avg(avg_fare_5m) AS DECIMAL(38, 10)), 2)::DOUBLE AS fare FROM zone_features
             GROUP BY 1 ORDER BY rides DESC, pu_zone LIMIT 10)
     SELECT 'rows' AS report, 'all' AS key, CAST(count(*) AS DOUBLE) AS value FROM zone_features
     UNION ALL SELECT 'zones', 'all', CAST(count(DISTINCT pu_zone) AS DOUBLE) FROM zone_features
     UNION ALL SELECT 'top_zone', CAST(pu_zone AS VARCHAR), CAST(rides AS DOUBLE) FROM top
     UNION ALL SELECT 'surge_windows', 'all', CAST(count(*) FILTER (avg_fare_per_mile_5m > 5) AS DOUBLE) FROM zone_features
     UNION ALL SELECT 'airport_windows', 'all', CAST(count(*) FILTER (airport_ratio_5m > 0.5) AS DOUBLE) FROM zone_features
-    UNION ALL SELECT 'mean', 'demand_5m', round(avg(demand_5m) * 1.000000000001e0, 4) FROM zone_features
-    UNION ALL SELECT 'mean', 'avg_fare_5m', round(avg(avg_fare_5m) * 1.000000000001e0, 4) FROM zone_features""")
+    UNION ALL SELECT 'mean', 'demand_5m', round(CAST(avg(demand_5m) AS DECIMAL(38, 10)), 4)::DOUBLE FROM zone_features
+    UNION ALL SELECT 'mean', 'avg_fare_5m', round(CAST(avg(avg_fare_5m) AS DECIMAL(38, 10)), 4)::DOUBLE FROM zone_features""")
 def fs_explore(t):
     """Reports over a feature store that is written once and read by each of them."""
     path = scratch_path(t.spark, "features")

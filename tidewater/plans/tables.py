@@ -39,8 +39,10 @@ class Tables:
 
     @cached_property
     def zones(self) -> DataFrame:
-        """Literal lookup of named pickup zones; most zones have no name."""
-        return self.spark.createDataFrame(ZONE_ROWS, "zone_id bigint, zone string")
+        """Named pickup zones: suppliers with a low balance, after their nation; most zones have no name."""
+        nations = self.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+        return self.supplier.filter(F.col("s_acctbal") < 2500).join(F.broadcast(nations), "s_nationkey").select(
+            F.col("s_suppkey").alias("zone_id"), F.concat_ws(" ", "n_name", F.col("s_suppkey").cast("string")).alias("zone"))
 
     @cached_property
     def employees(self) -> DataFrame:
@@ -75,13 +77,6 @@ class Tables:
         return self.sensors.withColumn("event_time", parse_event_time(F.col("timestamp")))
 
 
-# Zone lookup rows.
-ZONE_ROWS = [
-    (1, "JFK Airport"), (2, "LaGuardia Airport"), (3, "Midtown Center"),
-    (4, "Upper East Side N"), (5, "Upper East Side S"), (6, "Lincoln Square E"),
-    (7, "Times Sq/Theatre"), (8, "Murray Hill"),
-]
-
 # Department lookup rows.
 DEPARTMENT_ROWS = [
     ("AUTOMOBILE", "A Block", "Manager 1"), ("BUILDING", "B Block", "Manager 2"),
@@ -140,10 +135,9 @@ trips AS (
   FROM lineitem)"""
 
 ZONES = """
-zones(zone_id, zone) AS (VALUES
-  (1::BIGINT, 'JFK Airport'), (2, 'LaGuardia Airport'), (3, 'Midtown Center'),
-  (4, 'Upper East Side N'), (5, 'Upper East Side S'), (6, 'Lincoln Square E'),
-  (7, 'Times Sq/Theatre'), (8, 'Murray Hill'))"""
+zones AS (
+  SELECT s_suppkey AS zone_id, n_name || ' ' || s_suppkey AS zone
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal < 2500)"""
 
 EMPLOYEES = """
 employees AS (

@@ -16,6 +16,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, **option
     return reader.csv(path)
 
 
+MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """JSON lines."""
     reader = spark.read.option("multiLine", False)
@@ -42,6 +45,9 @@ def stripped_headers(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), **options) -> None:
+    """Text formats keep the microseconds of timestamps, which Spark cuts to milliseconds by default."""
+    if fmt in ("json", "csv"):
+        options = {**MICROSECONDS, **options}
     writer = df.write.mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

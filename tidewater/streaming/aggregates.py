@@ -65,18 +65,25 @@ def ride_columns(trips: DataFrame) -> DataFrame:
     })
 
 
-# Feature names and the ride columns they average.
-ZONE_MEANS = {
-    "avg_fare_5m": "fare", "avg_distance_5m": "distance", "avg_duration_5m": "duration_min",
-    "avg_tip_pct_5m": "tip_pct", "avg_tip_5m": "tip", "avg_fare_per_mile_5m": "fare_per_mile",
-}
+# Feature names, the statistic and ride column behind each, and the digits kept.
+ZONE_FEATURES = [
+    ("avg_fare_5m", F.avg, "fare", 2),
+    ("max_fare_5m", F.max, "fare", 2),
+    ("std_fare_5m", F.stddev, "fare", 2),
+    ("avg_distance_5m", F.avg, "distance", 2),
+    ("avg_duration_5m", F.avg, "duration_min", 2),
+    ("avg_tip_pct_5m", F.avg, "tip_pct", 2),
+    ("avg_tip_5m", F.avg, "tip", 2),
+    ("airport_ratio_5m", F.avg, "is_airport", 3),
+    ("avg_fare_per_mile_5m", F.avg, "fare_per_mile", 2),
+]
 
 
 def zone_features(rides: DataFrame, time: str, width: str = "5 minutes") -> DataFrame:
     """Demand, fare, trip, tip and surge features per zone and window."""
     return window_agg(rides, time, width, ["pu_zone"], [
-        F.count(F.lit(1)).alias("demand_5m"), *X.means(ZONE_MEANS), *X.means({"airport_ratio_5m": "is_airport"}, 3),
-        X.steady(F.max("fare"), 2).alias("max_fare_5m"), X.steady(F.stddev("fare"), 2).alias("std_fare_5m")])
+        F.count(F.lit(1)).alias("demand_5m"),
+        *[X.steady(statistic(source), digits).alias(name) for name, statistic, source, digits in ZONE_FEATURES]])
 
 
 def demand_alerts(rides: DataFrame, time: str, minimum: int, width: str = "5 minutes") -> DataFrame:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections import deque
 from collections.abc import Callable
+from threading import Condition
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,39 +84,70 @@ class FeatureStoreWriter:
 
 
 PROGRESS_SCHEMA = (
-    "query string, batch bigint, input_rows bigint, input_rate double, processing_rate double, "
+    "run string, query string, batch bigint, input_rows bigint, input_rate double, processing_rate double, "
     "duration_ms bigint, late_rows_dropped bigint"
 )
 
 
 def progress_row(progress) -> tuple:
-    """Batch number, rates, duration and late rows of one progress report."""
+    """Run, query, batch number, rates, duration and late rows of one progress report."""
     p = progress if isinstance(progress, dict) else json.loads(progress.json)
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
-    return (p.get("name"), p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0),
+    return (str(p["runId"]), p.get("name"), p["batchId"], p["numInputRows"], float(p.get("inputRowsPerSecond") or 0),
             float(p.get("processedRowsPerSecond") or 0), p.get("durationMs", {}).get("triggerExecution", 0),
             dropped)
 
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query; the engine keeps a bounded number of reports."""
-    return spark.createDataFrame([progress_row(p) for p in query.recentProgress], PROGRESS_SCHEMA)
+class ProgressLog(StreamingQueryListener):
+    """Every progress report of the session's queries while the ``with`` block lasts, as rows in a folder.
 
+    Reports go to the folder in blocks of ``block`` and at the end of a query, so the driver holds
+    no more than one block and none is dropped, however long a query runs.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, block: int = 100):
+        self.spark, self.path, self.block = spark, path, block
+        self.waiting: list[tuple] = []
+        self.ended: set[str] = set()
+        self.change = Condition()
 
-class ProgressListener(StreamingQueryListener):
-    """Keeps the last ``limit`` progress rows of all queries of a session."""
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
 
-    def __init__(self, limit: int = 1000):
-        self.rows: deque = deque(maxlen=limit)
+    def __exit__(self, *error) -> None:
+        self.spark.streams.removeListener(self)
+        self.write()
+
+    def write(self) -> None:
+        with self.change:
+            rows, self.waiting = self.waiting, []
+            if rows:
+                self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.rows.append(progress_row(event.progress))
+        with self.change:
+            self.waiting.append(progress_row(event.progress))
+        if len(self.waiting) >= self.block:
+            self.write()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self.change:
+            self.ended.add(str(event.runId))
+            self.change.notify_all()
+
+    def table(self, query: StreamingQuery, timeout: float = 60) -> DataFrame:
+        """All reports of a query that has ended; they reach a listener shortly after its end."""
+        run = str(query.runId)
+        with self.change:
+            if not self.change.wait_for(lambda: run in self.ended, timeout):
+                raise TimeoutError(f"no end of query {run} was reported")
+        self.write()
+        rows = self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        return rows.filter(F.col("run") == run).drop("run")
