@@ -96,6 +96,24 @@ def test_cross_validation_folds_ignore_partitioning(line):
     assert first[0] < first[1]
 
 
+def test_validation_split_ignores_partitioning(line):
+    data = line.withColumn("label", F.col("y"))
+    est = L.estimator("linear_regression")
+    maps = L.grid(est, {"regParam": [0.0, 1.0]})
+    first, second = [L.validated(df, est, maps, RegressionEvaluator(metricName="rmse"), "id")
+                     for df in (data, data.repartition(7))]
+    assert all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-6) for a, b in zip(first.metrics, second.metrics))
+    assert first.best_map == maps[0]
+
+
+def test_area_under_curve_counts_ties_half(spark):
+    data = [(1.0, 3), (0.0, 3), (1.0, 5), (0.0, 1), (0.0, 4), (None, 9), (1.0, None)]
+    df = spark.createDataFrame(data, "label double, score int")
+    # Pairs won by a 1: 3 beats 1 and ties 3; 5 beats all three.
+    assert E.area_under_curve(df, rows_per_chunk=2).first()["auc"] == round(4.5 / 6, 6)
+    assert E.area_under_curve(df.filter("label = 1")).first()["auc"] is None
+
+
 def test_random_grid_is_seeded():
     est = L.estimator
     options = {"regParam": [0.1, 0.2, 0.3], "maxIter": [5, 10]}

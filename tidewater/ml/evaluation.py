@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.windows import running_sum, with_windows
+
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
@@ -28,6 +30,20 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
         F.round(f1, digits).alias("f1"))
 
 
+def area_under_curve(df: DataFrame, label: str = "label", score: str = "score", digits: int = 6,
+                     **window_options) -> DataFrame:
+    """Area under the ROC curve of class 1: how often a 1 scores above a 0, equal scores counting half.
+
+    Rows are counted per score first; a running count over the scores, cut into chunks, then gives
+    the zeros below each. Null without rows of both classes; rows with a null label or score are left out.
+    """
+    counts = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1).cast("double").alias("ones"), F.count_if(F.col(label) != 1).cast("double").alias("zeros"))
+    below = with_windows(counts, [], ["score"], {"upto": running_sum("zeros")}, **window_options)
+    pairs = F.sum(F.col("ones") * (F.col("upto") - F.col("zeros") / 2))
+    return below.agg(F.round(F.try_divide(pairs, F.sum("ones") * F.sum("zeros")), digits).alias("auc"))
+
+
 def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
                  digits: int = 6) -> DataFrame:
     """Precision, recall, F1 and support of every class, from the counted label pairs."""

@@ -362,11 +362,12 @@ def _guesses(t: Tables) -> DataFrame:
     """Given predictions: a length rule for document quality."""
     return t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id").select(
         F.col("quality").cast("double").alias("label"),
-        F.when(F.col("n_chars") > 500, 1.0).otherwise(0.0).alias("prediction"))
+        F.when(F.col("n_chars") > 500, 1.0).otherwise(0.0).alias("prediction"), F.col("n_chars").alias("score"))
 
 
 _GUESS = """
-g AS (SELECT CAST(quality AS DOUBLE) AS label, CASE WHEN n_chars > 500 THEN 1.0::DOUBLE ELSE 0 END AS prediction
+g AS (SELECT CAST(quality AS DOUBLE) AS label, CASE WHEN n_chars > 500 THEN 1.0::DOUBLE ELSE 0 END AS prediction,
+             n_chars AS score
       FROM labels JOIN documents USING (doc_id))"""
 
 
@@ -382,6 +383,22 @@ def evaluate_classifier(t):
     return E.class_report(_guesses(t))
 
 
+@query("classifier_metrics", f"""
+    WITH {_GUESS},
+    c AS (SELECT count(*) AS n, count(*) FILTER (label = 1 AND prediction = 1) AS tp,
+                 count(*) FILTER (label = 0 AND prediction = 1) AS fp, count(*) FILTER (label = 1 AND prediction = 0) AS fn,
+                 count(*) FILTER (label = prediction) AS hits, count(*) FILTER (label = 1) AS ones FROM g),
+    places AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS place FROM g),
+    a AS (SELECT sum(place) AS ranks FROM places WHERE label = 1)
+    SELECT n, tp, fp, fn, round(hits / n, 6) AS accuracy, coalesce(round(tp / nullif(tp + fp, 0), 6), 0) AS precision,
+           coalesce(round(tp / nullif(tp + fn, 0), 6), 0) AS recall, coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 6), 0) AS f1,
+           round((ranks - ones * (ones + 1) / 2) / nullif(ones * (n - ones), 0), 6) AS auc FROM c, a""")
+def classifier_metrics(t):
+    """Accuracy, precision, recall, F1 and area under the curve of given predictions and scores."""
+    guesses = _guesses(t)
+    return E.binary_metrics(guesses).withColumn("auc", E.area_under_curve(guesses).scalar())
+
+
 @query("confusion_matrix", f"WITH {_GUESS} SELECT label, prediction, count(*) AS n FROM g GROUP BY 1, 2")
 def confusion_matrix(t):
     return E.confusion_matrix(_guesses(t))

@@ -86,20 +86,20 @@ def fn_conditional(t):
       WHERE passengers IS NOT NULL
     UNION ALL SELECT 'is_null', count(*), sum(passengers), sum(airport_fee) FROM trips WHERE airport_fee IS NULL""")
 def fn_null(t):
-    trips = t.trips.select("passengers", "airport_fee", "congestion_fee")
+    """Rows kept and sums under each treatment of nulls, from one pass."""
+    passengers, fee = F.col("passengers"), F.col("airport_fee")
+    some = passengers.isNotNull()
     strategies = {
-        "filled": trips.na.fill({"passengers": 1.0, "airport_fee": 0.0}),
-        "dropped_any": trips.na.drop(),
-        "dropped_subset": trips.na.drop(subset=["passengers"]),
-        "is_null": trips.filter(F.col("airport_fee").isNull()),
+        "filled": (F.lit(True), F.coalesce(passengers, F.lit(1.0)), F.coalesce(fee, F.lit(0.0))),
+        "dropped_any": (some & fee.isNotNull() & F.col("congestion_fee").isNotNull(), passengers, fee),
+        "dropped_subset": (some, passengers, fee),
+        "is_null": (fee.isNull(), passengers, fee),
     }
-    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum("passengers").alias("passengers"),
-                    F.sum("airport_fee").alias("fees")).select(F.lit(name).alias("strategy"), "*")
-             for name, df in strategies.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    kept = t.trips.agg(*[
+        F.struct(F.lit(name).alias("strategy"), F.count_if(keep).alias("rows"),
+                 F.sum(F.when(keep, people)).alias("passengers"), F.sum(F.when(keep, fees)).alias("fees")).alias(name)
+        for name, (keep, people, fees) in strategies.items()])
+    return kept.select(F.inline(F.array(*strategies)))
 
 
 @query("fn_hash", "SELECT c_custkey, md5(CAST(c_custkey AS VARCHAR)) AS hashed FROM customer")
