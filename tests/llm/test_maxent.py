@@ -68,6 +68,16 @@ def test_probabilities_sum_to_one():
     assert np.allclose(10 ** plain.log10(target, features, np.full(42, 7)), base, rtol=1e-4)
 
 
+def test_run_sums():
+    rng = np.random.default_rng(4)
+    lengths = np.array([1, 2, 1, M.LONG_RUN, M.LONG_RUN + 1, 3, 700, 1])
+    values = rng.normal(size=(lengths.sum(), 5)).astype(np.float32)
+    first = np.cumsum(lengths) - lengths
+    want = [values[a:a + n].sum(axis=0) for a, n in zip(first, lengths)]
+    assert np.allclose(M.run_sums(values, first), want, atol=1e-4)
+    assert np.allclose(M.run_sums(values[:1], np.array([0])), values[:1])
+
+
 def test_learning_follows_the_gradient():
     rng = np.random.default_rng(7)
     prior = M.Prior.of([("a", 100), ("b", 100), ("c", 100)], tokens=400, types=4, ends=100)
