@@ -28,11 +28,7 @@ def test_matches_oracle(spark, duck, name):
     assert differences(actual, duck.execute(ORACLES[name]).df()) == []
 
 
-# The tuning and tree queries take seconds each; test_ml.py covers what they are built from.
-SLOW = {"gbt", "tree_regressors", "cross_validate", "random_search", "kmeans", "random_forest", "ridge_sweep"}
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs_with_rows(spark, name):
     assert not QUERIES[name](spark, SF_DIR).isEmpty()
 

@@ -92,11 +92,12 @@ def test_nth_occurrence_counts_across_batches(spark, tmp_path):
     assert rows(alerts.select(F.col("at").alias("i"), "name")) == rows(nth_row(visits, ["name"], ["i"], 3))
 
 
-def test_threshold_trigger_carries_totals(spark, tmp_path):
+@pytest.mark.parametrize("every", [1, 2, 50])
+def test_threshold_trigger_carries_totals(spark, tmp_path, every):
     amounts = spark.createDataFrame([("a", i, float(x)) for i, x in enumerate([100, 200, 250, 300, 150])]
                                     + [("b", 9, 10.0)], "k string, i bigint, x double")
     path = slices(spark, f"{tmp_path}/in", [amounts.filter("i < 2"), amounts.filter("i = 2"), amounts.filter("i > 2")])
-    trigger = ThresholdTrigger("k", ["i"], "x", 500.0, f"{tmp_path}/state", max_group_rows=1, rows_per_chunk=2)
+    trigger = ThresholdTrigger("k", ["i"], "x", 500.0, f"{tmp_path}/state", full_every=every, max_group_rows=1, rows_per_chunk=2)
     sinks.start_query(stream_of(spark, path, amounts.schema), f"{tmp_path}/cp", each_batch=trigger).awaitTermination()
     fired = trigger.fired(spark).orderBy("i")
     assert [r["total"] for r in fired.collect()] == [550.0, 850.0, 1000.0]
@@ -107,6 +108,21 @@ def test_threshold_trigger_carries_totals(spark, tmp_path):
     assert trigger.fired(spark).count() == 3
 
 
+def test_threshold_trigger_carries_the_null_key_and_keys_that_pause(spark, tmp_path):
+    trigger = ThresholdTrigger("k", ["i"], "x", 100.0, f"{tmp_path}/state", full_every=2)
+    for number, rows_ in enumerate([[(None, 1, 60.0), ("a", 2, 70.0)], [(None, 3, 60.0)], [("b", 4, 5.0)], [("a", 5, 40.0)]]):
+        trigger(spark.createDataFrame(rows_, "k string, i bigint, x double"), number)
+    assert sorted((r["i"], r["k"], r["total"]) for r in trigger.fired(spark).collect()) == [(3, None, 120.0), (5, "a", 110.0)]
+
+
+def test_first_per_key_keeps_the_smallest(spark):
+    frame = spark.createDataFrame(
+        [(3, "s", START, 9.0), (1, "s", START, None), (1, "s", START, None), (2, None, START, 4.0), (7, "s", None, 1.0)],
+        "i bigint, k string, event_time timestamp, x double")
+    assert sorted((r["i"], r["k"], r["x"]) for r in S.first_per_key(frame, ["k"], "i").collect()) == [
+        (1, "s", None), (2, None, 4.0)]
+
+
 def test_threshold_trigger_refuses_a_missing_carry(spark, tmp_path):
     trigger = ThresholdTrigger("k", ["i"], "x", 1.0, f"{tmp_path}/none")
     with pytest.raises(RuntimeError, match="carry"):

@@ -10,7 +10,6 @@ from pyspark.ml.feature import (
     Bucketizer,
     MinMaxScaler,
     PolynomialExpansion,
-    QuantileDiscretizer,
     SQLTransformer,
     StandardScaler,
     StringIndexer,
@@ -21,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.cleaning import apply_fill_values, learn_fill_values
+from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.windows import row_number, with_windows
 
 MAX_DRIVER_LABELS = 100_000
@@ -105,10 +105,15 @@ def bucketed(df: DataFrame, column: str, splits: Sequence[float], output: str) -
 
 
 def quantile_buckets(df: DataFrame, column: str, buckets: int, output: str) -> DataFrame:
-    """Index of the quantile bucket; the splits are approximate quantiles."""
-    model = QuantileDiscretizer(numBuckets=buckets, inputCol=column, outputCol=output,
-                                relativeError=0.001).fit(df)
-    return model.transform(df)
+    """Index of the quantile bucket; the splits are exact quantiles, and equal ones count once.
+
+    A column of missing values only gets null.
+    """
+    splits = exact_quantiles(df, {column: [i / buckets for i in range(1, buckets)]})[column]
+    edges = sorted({s for s in splits if s is not None})
+    if not edges:
+        return df.withColumn(output, F.lit(None).cast("double"))
+    return bucketed(df, column, [float("-inf"), *edges, float("inf")], output)
 
 
 def polynomial(df: DataFrame, columns: Sequence[str], degree: int, names: Sequence[str]) -> DataFrame:

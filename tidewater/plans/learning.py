@@ -169,7 +169,12 @@ def bucketize(t):
     return M.bucketed(ages, "age", [-inf, 25, 35, 45, inf], "age_band").select("employee_id", "age_band")
 
 
-@query("discretize_quantile")
+@query("discretize_quantile", """
+    WITH q AS (SELECT quantile_disc(o_totalprice, 0.25) AS a, quantile_disc(o_totalprice, 0.5) AS b,
+                      quantile_disc(o_totalprice, 0.75) AS c FROM orders)
+    SELECT CAST((o_totalprice >= a)::INT + (o_totalprice >= b)::INT + (o_totalprice >= c)::INT AS DOUBLE) AS bucket,
+           count(*) AS n, min(o_totalprice) AS low, max(o_totalprice) AS high
+    FROM orders, q GROUP BY 1""")
 def discretize_quantile(t):
     return M.quantile_buckets(t.orders, "o_totalprice", 4, "bucket").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"))
@@ -217,7 +222,7 @@ _MARK = """CASE WHEN CAST(('0x' || substr(md5(employee_id || '#42'), 1, 7)) AS B
                 THEN 'train' ELSE 'test' END"""
 
 
-@query("feature_vectors", f"""
+@query("feature_pipeline", f"""
     WITH {EMPLOYEES}, w AS (
       SELECT employee_id, CASE WHEN age % 7 <> 0 THEN CAST(age AS DOUBLE) END AS age, department, {_MARK} AS split
       FROM employees),
@@ -228,7 +233,7 @@ _MARK = """CASE WHEN CAST(('0x' || substr(md5(employee_id || '#42'), 1, 7)) AS B
           FROM filled WHERE split = 'train' GROUP BY 1)
     SELECT employee_id, split, round((age - m) / d, 6) AS age_scaled, idx AS department_idx
     FROM filled JOIN i USING (department), s""")
-def feature_vectors(t):
+def feature_pipeline(t):
     """Fill values, indices and scaling learned on the training part, applied to both parts."""
     workers = _workers(t)
     prepared = M.TabularFeatures(["age"], ["department"]).fit(workers.filter(F.col("split") == "train"))

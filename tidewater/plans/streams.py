@@ -117,14 +117,22 @@ def st_zone_features(t):
 
 
 @query("st_demand_alerts", f"""
-    WITH {RIDES}, w AS (
-    SELECT time_bucket(INTERVAL 1 DAY, pickup_ts) AS window_start,
-           time_bucket(INTERVAL 1 DAY, pickup_ts) + INTERVAL 1 DAY AS window_end, pu_zone, count(*) AS ride_count,
+    WITH {RIDES}, busy AS (
+    SELECT pickup_ts - to_days(CAST(date_diff('day', DATE '2024-01-01', CAST(pickup_ts AS DATE)) AS INTEGER)) AS pickup_ts,
+           pu_zone % 3 AS pu_zone, fare, distance
+    FROM rides),
+    w AS (
+    SELECT time_bucket(INTERVAL 5 MINUTES, pickup_ts) AS window_start,
+           time_bucket(INTERVAL 5 MINUTES, pickup_ts) + INTERVAL 5 MINUTES AS window_end, pu_zone, count(*) AS ride_count,
            round(CAST(avg(fare) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_fare, round(CAST(avg(distance) AS DECIMAL(38, 10)), 2)::DOUBLE AS avg_distance
-    FROM rides GROUP BY ALL HAVING count(*) > 2)
-    SELECT * FROM w WHERE window_end <= {_closed('rides', 'pickup_ts', 1)}""")
+    FROM busy GROUP BY ALL HAVING count(*) > 10)
+    SELECT * FROM w WHERE window_end <= {_closed('busy', 'pickup_ts', 1)}""")
 def st_demand_alerts(t):
-    return sinks.run_to_table(S.demand_alerts(ride_stream(t), "event_time", 2, "1 day"), "alerts")
+    """The rides of all days laid over one day and three districts, which makes five minutes busy."""
+    days = F.datediff(F.to_date("pickup_ts"), F.lit("2024-01-01").cast("date"))
+    rides = S.ride_columns(trips_of(stream_files(t.spark, t.path("lineitem"), t.lineitem.schema))).withColumns({
+        "pickup_ts": F.col("pickup_ts") - F.make_dt_interval(days), "pu_zone": F.col("pu_zone") % 3})
+    return sinks.run_to_table(S.demand_alerts(with_event_time(rides, "pickup_ts", "1 minute"), "event_time", 10), "alerts")
 
 
 @query("st_fixed_window_sum", f"""
@@ -161,29 +169,34 @@ def st_dedup(t):
     return sinks.run_to_table(unique.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), "dedup")
 
 
-@query("st_clean_enrich", f"""
-    WITH {READINGS},
+_CLEAN_READINGS = f"""{READINGS},
+    firsts AS (
+      SELECT * FROM readings WHERE event_time IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY sensor_id, event_time ORDER BY event_id) = 1),
     kept AS (
-      SELECT DISTINCT sensor_id, event_time, hour(event_time) AS hour_of_day FROM readings
-      WHERE event_time IS NOT NULL),
+      SELECT *, hour(event_time) AS hour_of_day FROM firsts
+      WHERE temperature BETWEEN -20 AND 100 AND humidity BETWEEN 0 AND 100)"""
+
+
+@query("st_clean_enrich", f"""
+    WITH {_CLEAN_READINGS},
     windows AS (
       SELECT time_bucket(INTERVAL 5 MINUTES, event_time) AS window_start, sensor_id, count(*) AS n,
              max(hour_of_day) AS hour_of_day
       FROM kept GROUP BY ALL)
     SELECT * FROM windows WHERE window_start + INTERVAL 5 MINUTES <= {_closed('readings', 'event_time', 5)}""")
 def st_clean_enrich(t):
-    # Copies of a reading are equal, but different readings may share a sensor and second; the
-    # survivor of those is arbitrary, so the result is built from columns they have in common.
-    unique = S.dedupe(reading_stream(t).filter(F.col("event_time").isNotNull()), ["sensor_id"])
-    enriched = unique.withColumns(X.time_feature_columns(F.col("event_time")))
+    enriched = S.clean_sensor_stream(reading_stream(t), "event_id")
     return sinks.run_to_table(S.window_agg(enriched, "event_time", "5 minutes", ["sensor_id"], [
         F.count(F.lit(1)).alias("n"), F.max("hour_of_day").alias("hour_of_day")]).drop("window_end"), "enrich")
 
 
-@query("st_clean_windows")
+@query("st_clean_windows", f"""
+    WITH {_CLEAN_READINGS}, w AS ({_SENSOR_WINDOWS.format(source='kept')})
+    SELECT * FROM w WHERE window_end <= {_closed('readings', 'event_time', 5)}""")
 def st_clean_windows(t):
     """Watermark, dedupe, range check, time features and window aggregate in one stream."""
-    return sinks.run_to_table(S.sensor_windows(S.clean_sensor_stream(reading_stream(t))), "clean-windows")
+    return sinks.run_to_table(S.sensor_windows(S.clean_sensor_stream(reading_stream(t), "event_id")), "clean-windows")
 
 
 @query("st_output_modes", f"""

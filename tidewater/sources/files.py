@@ -28,14 +28,21 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
 def read_drifted(spark: SparkSession, paths: Sequence[str], casts: dict[str, str]) -> DataFrame:
     """Union of files whose schemas drifted apart.
 
-    Each path is read with its own schema, the named columns are cast to one type, and columns
-    a path lacks become null.
+    Paths of one schema are read together, so the plan grows with the number of schemas and not
+    with the number of files. The named columns are cast to one type, and columns that a schema
+    lacks become null. Paths are files, or folders without partition folders.
     """
-    def one(path: str) -> DataFrame:
-        df = spark.read.parquet(path)
+    schemas, alike = {}, {}
+    for path in paths:
+        schema = spark.read.parquet(path).schema
+        schemas[schema.json()] = schema
+        alike.setdefault(schema.json(), []).append(path)
+
+    def one(kind: str) -> DataFrame:
+        df = spark.read.schema(schemas[kind]).parquet(*alike[kind])
         return df.withColumns({c: F.col(c).cast(t) for c, t in casts.items() if c in df.columns})
 
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(one, paths))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(one, schemas))
 
 
 def stripped_headers(df: DataFrame) -> DataFrame:

@@ -37,9 +37,25 @@ def dedupe(df: DataFrame, keys: Sequence[str], event_time: str = "event_time", s
     return df.dropDuplicates(key)
 
 
-def clean_sensor_stream(readings: DataFrame) -> DataFrame:
-    """Deduplicated, range-checked readings with time features."""
-    unique = dedupe(readings, ["sensor_id"])
+def first_per_key(df: DataFrame, keys: Sequence[str], order: str, event_time: str = "event_time") -> DataFrame:
+    """One row per key and event time: the one with the smallest ``order``, so a rerun keeps the same row.
+
+    A stream emits a row when the watermark passes its event time. Each task first reduces its own
+    rows, so a reading that is repeated millions of times is one row per task in the shuffle. Rows
+    without an event time go.
+    """
+    key = [*keys, event_time]
+    first = F.min(F.struct(order, *[c for c in df.columns if c not in (*key, order)]))
+    timed = df.filter(F.col(event_time).isNotNull())
+    return timed.groupBy(*key).agg(first.alias("_row")).select(*key, "_row.*")
+
+
+def clean_sensor_stream(readings: DataFrame, order: str | None = None) -> DataFrame:
+    """Deduplicated, range-checked readings with time features.
+
+    Of several readings of a sensor and second the first by ``order`` stays; without it, any one.
+    """
+    unique = first_per_key(readings, ["sensor_id"], order) if order else dedupe(readings, ["sensor_id"])
     kept = within(unique, {"temperature": SENSOR_RANGE, "humidity": HUMIDITY_RANGE})
     return kept.withColumns(X.time_feature_columns(F.col("event_time")))
 

@@ -49,23 +49,30 @@ def nth_occurrence_alerts(events: DataFrame, key: str, key_type: str, order: str
 class ThresholdTrigger:
     """``foreachBatch`` writer that emits every running total at or above a threshold.
 
-    The total per key is carried from batch to batch in a small table, one folder per batch.
-    A repeated batch reads the same carry and overwrites its own output, so a restart gives the
-    same rows. Inside a batch, the running sum splits hot keys into chunks.
+    A batch writes the sums of its own keys to a folder of its own; every ``full_every``-th batch
+    writes the totals of all keys instead, and no batch reads further back than that. A repeated
+    batch reads the same carry and overwrites its own output, so a restart gives the same rows.
+    Inside a batch, the running sum splits hot keys into chunks.
     """
 
     def __init__(self, key: str, order: Sequence[str], value: str, threshold: float, base: str,
-                 **window_options):
+                 full_every: int = 50, **window_options):
         self.key, self.order, self.value = key, list(order), value
         self.threshold, self.base, self.options = threshold, base, window_options
+        self.full_every = full_every
 
     def _carry(self, spark, batch_id: int) -> DataFrame | None:
+        """Sums of all batches before this one, in parts."""
         if batch_id == 0:
             return None
+        full = (batch_id - 1) // self.full_every * self.full_every
         try:
-            return spark.read.parquet(f"{self.base}/carry/batch={batch_id - 1}")
+            return spark.read.parquet(*[f"{self.base}/carry/batch={b}" for b in range(full, batch_id)])
         except AnalysisException:
-            raise RuntimeError(f"carry of batch {batch_id - 1} is missing under {self.base}") from None
+            raise RuntimeError(f"the carry of batches {full} to {batch_id - 1} is missing under {self.base}") from None
+
+    def _sums(self, parts: DataFrame) -> DataFrame:
+        return parts.groupBy(self.key).agg(F.sum("total").alias("total"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with persisted(batch) as kept:
@@ -78,10 +85,13 @@ class ThresholdTrigger:
                                **self.options)
         carry = self._carry(spark, batch_id)
         if carry is not None:
-            known = carry.withColumnRenamed("total", "carried")
-            running = running.join(known, self.key, "left").withColumn(
-                "total", F.col("total") + F.coalesce(F.col("carried"), F.lit(0.0))).drop("carried")
-            totals = totals.unionByName(carry).groupBy(self.key).agg(F.sum("total").alias("total"))
+            here = totals.select(F.col(self.key).alias("_key"))
+            known = self._sums(carry.join(here, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi")).select(
+                F.col(self.key).alias("_key"), F.col("total").alias("_carried"))
+            running = running.join(known, F.col(self.key).eqNullSafe(F.col("_key")), "left").withColumn(
+                "total", F.col("total") + F.coalesce(F.col("_carried"), F.lit(0.0))).drop("_key", "_carried")
+            if batch_id % self.full_every == 0:
+                totals = self._sums(totals.unionByName(carry))
         running.filter(F.col("total") >= self.threshold).write.mode("overwrite").parquet(
             f"{self.base}/fired/batch={batch_id}")
         totals.write.mode("overwrite").parquet(f"{self.base}/carry/batch={batch_id}")
