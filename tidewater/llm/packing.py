@@ -22,6 +22,7 @@ from tidewater.llm.text import word_encoder
 
 CAPACITY = 4096
 GROUP_PIECES = 8192
+SLICE = 4 << 20  # bytes of text encoded at once, which bounds what a task holds beside a batch
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +70,7 @@ def document_pieces(docs: DataFrame, vocabulary: str, end_id: int | None, capaci
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             ids, ends = encoder(batch.column(1))
             if end_id is not None:
                 ids, ends = np.insert(ids, ends[1:], end_id), ends + np.arange(len(ends))
