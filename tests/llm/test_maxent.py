@@ -99,3 +99,55 @@ def test_better_than_base_on_held_out_text(spark):
 
 def test_query_keeps_all_rows(tables):
     assert op8_maxent_scoring(tables).count() == tables.documents.count()
+
+
+def test_tree_gives_every_word_a_share():
+    rng = np.random.default_rng(3)
+    counts = np.sort(rng.integers(1, 50, 3000))[::-1]
+    top = [(f"w{i}", int(c)) for i, c in enumerate(counts[:M.VOCABULARY])]
+    tokens, types = int(counts.sum()) + 30, len(counts) + 1
+    shape = M.Shape.of(M.Prior.of(top, tokens, types, 30), len(counts), 1e5)
+    assert shape.depth == 3
+    leaf = np.append(0.5, counts[M.VOCABULARY:] + 0.5)
+    masses, keys = [], []
+    for level in range(shape.depth):
+        width = M.MEMBERS ** (shape.depth - 1 - level)
+        child = np.bincount(np.arange(len(leaf)) // width, leaf)
+        child = np.append(child, np.zeros(-len(child) % M.MEMBERS)).reshape(-1, M.MEMBERS)
+        masses.append(child)
+        keys.append(M.node_key(level, np.arange(len(child))))
+    rows = [1 << b for b in shape.bits]
+    held = {"class": np.arange(rows[0]), "member": np.arange(rows[1]), "node": np.concatenate(keys)}
+    target = np.array([*range(len(counts) + 1), -1])
+    features = np.repeat(rng.integers(0, 1 << 63, (1, 4)).astype(np.uint64), len(target), axis=0)
+    for scale in (0, 0.3):
+        model = M.Model(shape.prior, rng.normal(0, scale, (rows[0], 33)).astype(np.float32),
+                        rng.normal(0, scale, (rows[1], 32)).astype(np.float32), shape.depth, shape.bits, held,
+                        np.concatenate(masses).astype(np.float32))
+        share = 10 ** model.log10(target, features, np.zeros(len(target)))
+        assert share.sum() == pytest.approx(1, abs=1e-3)
+        base = (np.array([30, *counts, 0]) + 0.5) / (tokens + 0.5 * (types + 1))
+        assert np.allclose(share, base, rtol=1e-3) == (scale == 0)
+
+
+def test_rare_words_follow_their_context(spark):
+    rng = np.random.default_rng(5)
+    pairs = 300
+    rows = [" ".join(f"f{j}" for j in range(1100))] * 30
+    rows += [f"x{i} y{i}" for i in range(pairs) for _ in range(20)]
+    learn = [(next(k for k in range(20 * i, 20 * i + 20) if zlib.crc32(b"%d" % k) % 5 != 1), t)
+             for i, t in enumerate(rng.permutation(rows).tolist())]
+    apart = [k for k in range(10 ** 8, 10 ** 8 + 20_000) if zlib.crc32(b"%d" % k) % 5 == 1][:2 * pairs]
+    asked = [(apart[i], f"x{i} y{i}") for i in range(pairs)]
+    asked += [(apart[pairs + i], f"x{i} y{(i + 7) % pairs}") for i in range(pairs)]
+    docs = spark.createDataFrame([*learn, *asked], "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.score for r in M.score_documents(docs).filter("held_out").collect()}
+    right = np.mean([found[k] for k in apart[:pairs]])
+    wrong = np.mean([found[k] for k in apart[pairs:]])
+    assert right > wrong + 0.1
+
+
+def test_tables_grow_with_the_corpus():
+    prior = M.Prior.of([("a", 3)], tokens=4, types=2, ends=1)
+    small, large = M.Shape.of(prior, 10 ** 5, 10 ** 6), M.Shape.of(prior, 10 ** 7, 10 ** 8)
+    assert all(b - a >= 6 for a, b in zip(small.bits, large.bits)) and large.depth > small.depth

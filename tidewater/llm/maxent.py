@@ -2,18 +2,22 @@
 
 The next token depends on the words before it through hashed features: the last word, the two last
 words together (n-grams), and the words two and three back (skips). The softmax is factored by
-classes: P(class | features), then P(word | class, features); both start from the corpus's own
-counts, so a model without weights is the smoothed unigram model. The most frequent words are class
-members; all others share one class, inside which their counts decide.
-
-1. Slices of texts are staged as arrays of local word numbers with their distinct words.
-2. Counts of all training words are summed in the cluster; the most frequent ones are the model's
-   vocabulary, whose size is fixed.
-3. Each round deals part of the slices to the tasks. Every task runs gradient steps over its
-   training tokens from the current weights; the changes are averaged per weight row, in stripes,
-   over the tasks that changed it. All rounds together use every training token once. The weights
-   have a fixed size, so what the driver passes on does not grow.
-4. Slices get the counts of their words by a join on words, and are scored in batches.
+classes: P(class | features), then P(word | class, features); all factors start from the corpus's own
+counts, so a model without weights is the smoothed unigram model. The most frequent words are members
+of 32 classes. One more class holds all other training words, as the leaves of a tree of classes of
+32, as deep as their number asks for; words that training did not have are one leaf of it.
+
+1. Slices of texts are staged as arrays of local word numbers with their distinct words, and with the
+   smallest hashes of their features, which tell how many distinct ones the corpus has.
+2. Counts of all training words are summed in the cluster and ranked there; a word's rank is its
+   number. Slices get numbers and counts of their words by a join on words.
+3. The weights are a table of blocks of rows, keyed by row; the masses of the tree's nodes are too.
+   One row stands for about ``LOAD`` distinct features of the corpus, so the table grows with it.
+   Each round deals part of the slices out. A slice asks for the rows of its features by a shuffle
+   on blocks, runs gradient steps over its training tokens, and the changes are averaged per row,
+   by a shuffle on blocks, over the slices that changed it. All rounds together use every training
+   token once. A task holds the rows that one slice needs.
+4. Slices get the rows of all their features in the same way and are scored.
 """
 
 from __future__ import annotations
@@ -32,20 +36,54 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.frames import fold, slices, staged, texts_of
+from tidewater.llm.frames import fold, slices, staged, tasks_for, texts_of
 from tidewater.llm.text import list_offsets, offsets_of
 
 MEMBERS, CLASSES = 32, 32
 VOCABULARY = MEMBERS * CLASSES - 1  # and the end of a text
 RARE = CLASSES
-CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 15
-ROUNDS, BATCH, RATE, STRIPES = 4, 16_384, 0.1, 16
+CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 15  # of a model that is not learned from a corpus
+LOAD, SKETCH, BLOCK_ROWS = 256, 1024, 1 << 12
+ROUNDS, BATCH, RATE = 4, 16_384, 0.1
 SLICE = 8 << 20
 LONG_RUN = 48
 CONTEXT = 3
 
-SLICES = ("chunk bigint, doc_ids array<bigint>, counts array<bigint>, codes binary, words array<string>, "
-          "known array<bigint>, round int")
+SLICES = ("chunk bigint, doc_ids array<bigint>, counts array<bigint>, codes binary, hashes binary, "
+          "words array<string>, known array<bigint>, sketch array<bigint>, round int")
+BLOCKS = "name string, stripe int, chunk bigint, keys binary, data binary"
+SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+          "base_score double, score double")
+WIDTH = {"class": CLASSES + 1, "member": MEMBERS, "node": MEMBERS}
+KIND = {"class": np.float16, "member": np.float16, "node": np.float32}
+
+
+def hashes_of(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
+
+
+def features_of(hashed: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Local word number (-1: end) and feature hashes of every token.
+
+    A text's end is its last token; before its first word there are blanks.
+    """
+    ends = offsets_of(counts + 1)
+    local = np.full(ends[-1], -1, np.int64)
+    last = np.zeros(ends[-1], bool)
+    last[ends[1:] - 1] = True
+    local[~last] = codes
+    seen = np.append(hashed, np.uint64(1))[local]
+    row = np.repeat(np.arange(len(counts)), counts + 1)
+    place = np.arange(len(local)) - ends[row]
+    back = []
+    for k in range(1, CONTEXT + 1):
+        before = np.full(len(local), np.uint64(0x51ED270B))
+        before[k:] = seen[:-k] if k <= len(seen) else before[k:]
+        back.append(np.where(place >= k, before, np.uint64(0x51ED270B)))
+    return local, np.stack([
+        back[0] * np.uint64(0x9E3779B97F4A7C15), back[1] * np.uint64(0xC2B2AE3D27D4EB4F),
+        back[2] * np.uint64(0x165667B19E3779F9),
+        (back[0] * np.uint64(31) + back[1]) * np.uint64(0xD6E8FEB86659FD93)], axis=1)
 
 
 def read_slices(docs: DataFrame) -> DataFrame:
@@ -65,13 +103,18 @@ def read_slices(docs: DataFrame) -> DataFrame:
             code, row = code[real], row[real]
             train = batch.column(2).to_numpy(zero_copy_only=False)
             known = np.bincount(code[train[row]], minlength=len(words))
+            hashed = hashes_of(words.to_pylist())
+            counts = np.bincount(row, minlength=batch.num_rows)
+            _, features = features_of(hashed, code, counts)
+            # Feature hashes are spread evenly, so the smallest ones tell how many there are.
+            sketch = np.unique(features[np.repeat(train, counts + 1)] >> np.uint64(1))[:SKETCH].astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array([chunk], pa.int64()), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())),
-                pa.array([np.bincount(row, minlength=batch.num_rows)], pa.list_(pa.int64())),
-                pa.array([pack(code.astype("<i4").tobytes())], pa.binary()),
+                pa.array([counts], pa.list_(pa.int64())),
+                pa.array([pack(code.astype("<i4").tobytes())], pa.binary()), pa.array([hashed.tobytes()], pa.binary()),
                 pa.array([words.to_pylist()], pa.list_(pa.string())), pa.array([known], pa.list_(pa.int64())),
-                pa.array([zlib.crc32(b"%d" % chunk) % ROUNDS], pa.int32())],
-                ["chunk", "doc_ids", "counts", "codes", "words", "known", "round"])
+                pa.array([sketch], pa.list_(pa.int64())), pa.array([zlib.crc32(b"%d" % chunk) % ROUNDS], pa.int32())],
+                ["chunk", "doc_ids", "counts", "codes", "hashes", "words", "known", "sketch", "round"])
             chunk += 1
 
     return docs.mapInArrow(run, SLICES)
@@ -133,13 +176,22 @@ def run_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Weight rows that are summed over a token's features."""
+    """Weight rows that are summed over a token's features; ``keys`` are the rows held, all without."""
 
-    def __init__(self, weights: np.ndarray):
-        self.weights = weights
+    def __init__(self, weights: np.ndarray, keys: np.ndarray | None = None, bits: int | None = None):
+        self.weights, self.keys = weights, keys
+        self.bits = len(weights).bit_length() - 1 if bits is None else bits
         self.squares = np.full(len(weights), 1e-6, np.float32)
         self.touched = np.zeros(len(weights), bool)
 
+    def row_numbers(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Where the rows of hashed features are held."""
+        numbers = self.row_numbers(hashes)
+        return numbers if self.keys is None else np.searchsorted(self.keys, numbers)
+
     def logits(self, rows: np.ndarray, prior: np.ndarray) -> np.ndarray:
         out = prior.copy() if prior.ndim == 2 else np.repeat(prior[None, :], len(rows), axis=0)
         for f in range(rows.shape[1]):
@@ -148,10 +200,10 @@ class Table:
 
     def step(self, rows: np.ndarray, error: np.ndarray) -> None:
         """One sparse gradient step; a row's rate falls with the squares of its gradients."""
-        flat = rows.ravel().astype(np.uint16)  # row numbers take 13 and 15 bits, which sort by radix
+        flat = rows.ravel()
         order = np.argsort(flat, kind="stable")
         sorted_rows = flat[order]
-        first = np.flatnonzero(np.diff(sorted_rows.astype(np.int32), prepend=-1))
+        first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
         at = sorted_rows[first]
         gradient = run_sums(error.take(order // rows.shape[1], axis=0), first)
         self.squares[at] += np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
@@ -159,9 +211,31 @@ class Table:
         self.touched[at] = True
 
 
+def depth_for(rare: int) -> int:
+    """Levels of the tree that has a leaf for each of ``rare`` words and one for unknown words."""
+    depth = 0
+    while rare and MEMBERS ** depth < rare + 1:
+        depth += 1
+    return depth
+
+
 class Model:
-    def __init__(self, prior: Prior, classes: np.ndarray, members: np.ndarray):
-        self.prior, self.classes, self.members = prior, Table(classes), Table(members)
+    """A model over all its rows, or (``held``) over those that one slice needs.
+
+    ``depth`` is that of the tree of the words behind the vocabulary; without, their counts decide.
+    """
+
+    def __init__(self, prior: Prior, classes: np.ndarray, members: np.ndarray, depth: int = 0,
+                 bits: tuple[int, int] | None = None, held: dict[str, np.ndarray] | None = None,
+                 masses: np.ndarray | None = None):
+        self.prior, self.depth, self.held = prior, depth, held or {}
+        sizes = bits or (None, None)
+        self.classes = Table(classes, self.held.get("class"), sizes[0])
+        self.members = Table(members, self.held.get("member"), sizes[1])
+        if masses is not None:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                log = np.log(masses / masses.sum(axis=1, keepdims=True))
+            self.node_log = np.where(np.isfinite(log), log, -1e9).astype(np.float32)
         self.number = {w: i + 1 for i, w in enumerate(prior.words)}
 
     @staticmethod
@@ -169,73 +243,88 @@ class Model:
         return (np.zeros((CLASS_ROWS, CLASSES + 1), np.float32), np.zeros((MEMBER_ROWS, MEMBERS), np.float32))
 
     def tokens(self, words: list[str], codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Vocabulary number (-1: rare), local word number (-1: end) and feature rows of every token.
-
-        A text's end is its last token; before its first word there are blanks.
-        """
-        ends = offsets_of(counts + 1)
-        local = np.full(ends[-1], -1, np.int64)
-        last = np.zeros(ends[-1], bool)
-        last[ends[1:] - 1] = True
-        local[~last] = codes
+        """Vocabulary number (-1: rare), local word number (-1: end) and feature hashes of every token."""
         number = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
-        hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-        target = np.where(last, 0, np.append(number, 0)[local])
-        seen = np.append(hashed, np.uint64(1))[local]
-        row = np.repeat(np.arange(len(counts)), counts + 1)
-        place = np.arange(len(local)) - ends[row]
-        back = []
-        for k in range(1, CONTEXT + 1):
-            before = np.full(len(local), np.uint64(0x51ED270B))
-            before[k:] = seen[:-k] if k <= len(seen) else before[k:]
-            back.append(np.where(place >= k, before, np.uint64(0x51ED270B)))
-        features = np.stack([back[0] * np.uint64(0x9E3779B97F4A7C15), back[1] * np.uint64(0xC2B2AE3D27D4EB4F),
-                             back[2] * np.uint64(0x165667B19E3779F9),
-                             (back[0] * np.uint64(31) + back[1]) * np.uint64(0xD6E8FEB86659FD93)], axis=1)
-        return target, local, features
-
-    def _class_rows(self, features: np.ndarray) -> np.ndarray:
-        return (features >> np.uint64(64 - 13)).astype(np.int64)
-
-    def _member_rows(self, features: np.ndarray, group: np.ndarray) -> np.ndarray:
+        local, features = features_of(hashes_of(words), codes, counts)
+        return np.append(number, 0)[local], local, features
+
+    @staticmethod
+    def group(target: np.ndarray) -> np.ndarray:
+        return np.where((target < 0) | (target > VOCABULARY), RARE, target // MEMBERS)
+
+    def choices(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Below the class: token, class or node of the tree, and the member it takes there."""
+        at = np.flatnonzero((target >= 0) & (target <= VOCABULARY))
+        found = [(at, target[at] // MEMBERS, target[at] % MEMBERS)]
+        rare = np.flatnonzero((target < 0) | (target > VOCABULARY))
+        leaf = np.maximum(target[rare] - VOCABULARY, 0)
+        for level in range(self.depth):
+            child = leaf // MEMBERS ** (self.depth - 1 - level)
+            found.append((rare, node_key(level, child // MEMBERS), child % MEMBERS))
+        return tuple(np.concatenate(part) for part in zip(*found))
+
+    def logs(self, group: np.ndarray) -> np.ndarray:
+        """Log shares of the members of classes and nodes."""
+        out = np.empty((len(group), MEMBERS), np.float32)
+        tree = group >= CLASSES
+        out[~tree] = self.prior.member_log[group[~tree]]
+        if tree.any():
+            out[tree] = self.node_log[np.searchsorted(self.held["node"], group[tree])]
+        return out
+
+    @staticmethod
+    def _salted(features: np.ndarray, group: np.ndarray) -> np.ndarray:
         salted = (features ^ (group.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))[:, None])
-        return ((salted * np.uint64(0xE7037ED1A0B428DB)) >> np.uint64(64 - 15)).astype(np.int64)
+        return salted * np.uint64(0xE7037ED1A0B428DB)
+
+    def needs(self, target: np.ndarray, features: np.ndarray) -> dict[str, np.ndarray]:
+        """The rows that learning or scoring these tokens reads, sorted."""
+        found = {"class": [], "member": [], "node": []}
+        for a in range(0, len(target), 8 * BATCH):
+            t, f = target[a:a + 8 * BATCH], features[a:a + 8 * BATCH]
+            at, group, _ = self.choices(t)
+            found["class"].append(np.unique(self.classes.row_numbers(f)))
+            found["member"].append(np.unique(self.members.row_numbers(self._salted(f[at], group))))
+            found["node"].append(np.unique(group[group >= CLASSES]))
+        return {name: np.unique(np.concatenate(parts)) for name, parts in found.items() if parts}
 
     def learn(self, target: np.ndarray, features: np.ndarray) -> None:
         for a in range(0, len(target), BATCH):
             t, f = target[a:a + BATCH], features[a:a + BATCH]
-            group = np.where(t < 0, RARE, t // MEMBERS)
-            rows = self._class_rows(f)
+            rows = self.classes.rows(f)
             error = softmax(self.classes.logits(rows, self.prior.class_log))
-            error[np.arange(len(t)), group] -= 1
+            error[np.arange(len(t)), self.group(t)] -= 1
             self.classes.step(rows, error)
-            inside = np.flatnonzero(t >= 0)
-            if len(inside):
-                group = group[inside]
-                rows = self._member_rows(f[inside], group)
-                error = softmax(self.members.logits(rows, self.prior.member_log[group]))
-                error[np.arange(len(inside)), t[inside] % MEMBERS] -= 1
+            at, group, member = self.choices(t)
+            if len(at):
+                rows = self.members.rows(self._salted(f[at], group))
+                error = softmax(self.members.logits(rows, self.logs(group)))
+                error[np.arange(len(at)), member] -= 1
                 self.members.step(rows, error)
 
     def log10(self, target: np.ndarray, features: np.ndarray, rare_counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; ``rare_counts`` are the training counts of rare tokens."""
+        """log10 probability of each token; ``rare_counts``, the training counts of rare tokens, decide
+        in a model without a tree."""
         out = np.empty(len(target))
         for a in range(0, len(target), BATCH):
             t, f = target[a:a + BATCH], features[a:a + BATCH]
-            group = np.where(t < 0, RARE, t // MEMBERS)
-            share = softmax(self.classes.logits(self._class_rows(f), self.prior.class_log))
-            p = share[np.arange(len(t)), group].astype(np.float64)
-            inside = np.flatnonzero(t >= 0)
-            if len(inside):
-                group = group[inside]
-                share = softmax(self.members.logits(self._member_rows(f[inside], group), self.prior.member_log[group]))
-                p[inside] *= share[np.arange(len(inside)), t[inside] % MEMBERS]
-            rare = t < 0
-            p[rare] *= (rare_counts[a:a + BATCH][rare] + 0.5) / self.prior.rare_mass
-            out[a:a + BATCH] = np.log10(np.maximum(p, 1e-300))
+            share = softmax(self.classes.logits(self.classes.rows(f), self.prior.class_log))
+            log = np.log(np.maximum(share[np.arange(len(t)), self.group(t)].astype(np.float64), 1e-300))
+            at, group, member = self.choices(t)
+            if len(at):
+                share = softmax(self.members.logits(self.members.rows(self._salted(f[at], group)), self.logs(group)))
+                log += np.bincount(at, np.log(np.maximum(share[np.arange(len(at)), member].astype(np.float64), 1e-300)), len(t))
+            if not self.depth:
+                rare = (t < 0) | (t > VOCABULARY)
+                log[rare] += np.log((rare_counts[a:a + BATCH][rare] + 0.5) / self.prior.rare_mass)
+            out[a:a + BATCH] = log / np.log(10)
         return out
 
 
+def node_key(level: int, node: np.ndarray) -> np.ndarray:
+    return (level + 1 << 48) + node
+
+
 @functools.lru_cache(maxsize=8)
 def unpacker() -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor()
@@ -245,55 +334,217 @@ def codes_of(packed: bytes) -> np.ndarray:
     return np.frombuffer(unpacker().decompress(packed), "<i4").astype(np.int64)
 
 
-def learn_round(part: DataFrame, prior: Prior, weights: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The weights after one round of gradient steps over ``part``, averaged over its tasks."""
-    spark = part.sparkSession
-    shared = spark.sparkContext.broadcast((prior, weights))
+def blocks(name: str, stripes: int, chunk: int | None, keys: np.ndarray, values: np.ndarray | None = None) -> Iterator[tuple]:
+    """The rows ``keys`` of a table, cut by stripe."""
+    stripe = keys & (stripes - 1)
+    order = np.argsort(stripe, kind="stable")
+    cuts = np.flatnonzero(np.diff(stripe[order], prepend=-1, append=-1))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        at = order[a:b]
+        data = None if values is None else values[at].astype(KIND[name]).tobytes()
+        yield name, int(stripe[at[0]]), chunk, keys[at].tobytes(), data
+
+
+def block_batch(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    columns = zip(*rows) if rows else [[]] * 5
+    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["name", "stripe", "chunk", "keys", "data"])
+
+
+def values_of(name: str, data: bytes) -> np.ndarray:
+    return np.frombuffer(data, KIND[name]).reshape(-1, WIDTH[name])
+
+
+def answer(table: pa.Table) -> pa.Table:
+    """Per asking slice the rows of one block: keys, those that have a row first, and their rows."""
+    name = table["name"][0].as_py()
+    held = table.filter(pc.is_null(table["chunk"])).to_pylist()
+    keys = np.concatenate([np.frombuffer(h["keys"], np.int64) for h in held] or [np.zeros(0, np.int64)])
+    values = np.concatenate([values_of(name, h["data"]) for h in held] or [np.zeros((0, WIDTH[name]), KIND[name])])
+    order = np.argsort(keys)
+    keys, values = keys[order], values[order]
+    out = []
+    for chunk, wanted in zip(table["chunk"].to_pylist(), table["keys"].to_pylist()):
+        if chunk is not None:
+            wanted = np.frombuffer(wanted, np.int64)
+            has = np.isin(wanted, keys)
+            data = values[np.searchsorted(keys, wanted[has])].tobytes()
+            out.append((name, 0, chunk, np.append(wanted[has], wanted[~has]).tobytes(), data))
+    return block_batch(out)
+
+
+def average(table: pa.Table) -> pa.Table:
+    """One block with the changes of all slices, averaged per row over those that changed it."""
+    name, stripe = table["name"][0].as_py(), table["stripe"][0].as_py()
+    sets = [(c is None, np.frombuffer(k, np.int64), d) for c, k, d in zip(*(table[x].to_pylist() for x in ("chunk", "keys", "data")))]
+    keys = np.unique(np.concatenate([k for _, k, _ in sets]))
+    before, total, count = (np.zeros((len(keys), w), np.float32) for w in (WIDTH[name], WIDTH[name], 1))
+    for old, k, data in sets:
+        at = np.searchsorted(keys, k)
+        if old:
+            before[at] += values_of(name, data)
+        else:
+            total[at] += values_of(name, data)
+            count[at] += 1
+    return block_batch([(name, stripe, None, keys.tobytes(), (before + total / np.maximum(count, 1)).astype(KIND[name]).tobytes())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prior, start = shared.value
-        model = Model(prior, *(w.copy() for w in start))
-        learned = False
-        for batch in batches:
-            for ids, counts, codes, words in zip(*(batch.column(i) for i in range(4))):
-                counts = np.asarray(counts.values)
-                target, _, features = model.tokens(words.as_py(), codes_of(codes.as_py()), counts)
-                train = np.repeat([is_training(i) for i in ids.as_py()], counts + 1)
-                model.learn(target[train], features[train])
-                learned = True
-        if learned:
-            for name, table, before in (("class", model.classes, start[0]), ("member", model.members, start[1])):
-                change = np.where(table.touched[:, None], table.weights - before, 0).astype(np.float32)
-                for stripe, (values, touched) in enumerate(zip(np.split(change, STRIPES), np.split(table.touched, STRIPES))):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([stripe], pa.int32()), pa.array([values.tobytes()], pa.binary()),
-                         pa.array([touched.astype(np.float32).tobytes()], pa.binary())],
-                        ["name", "stripe", "change", "touched"])
-
-    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = count = None
+
+@dataclass
+class Shape:
+    """What tasks know of the model: its fixed prior and the sizes of its tables."""
+
+    prior: Prior
+    depth: int
+    bits: tuple[int, int]
+    stripes: dict[str, int]
+
+    @staticmethod
+    def of(prior: Prior, words: int, features: float) -> Shape:
+        bits = max(8, int(np.ceil(np.log2(max(features / LOAD, 1)))))
+        rare = max(words - VOCABULARY, 0)
+        rows = {"class": 1 << bits, "member": 1 << bits + 1, "node": rare // (MEMBERS - 1)}
+        return Shape(prior, depth_for(rare), (bits, bits + 1),
+                     {name: 1 << max(4, (n // BLOCK_ROWS).bit_length()) for name, n in rows.items()})
+
+    def model(self, replies: pa.Table | None = None) -> Model:
+        held, rows = {}, {}
+        for name, width in WIDTH.items():
+            keys, values = [np.zeros(0, np.int64)], [np.zeros((0, width), np.float32)]
+            for part in range(replies.num_rows if replies is not None else 0):
+                if replies["name"][part].as_py() == name:
+                    keys.append(np.frombuffer(replies["keys"][part].as_buffer(), np.int64))
+                    found = values_of(name, replies["data"][part].as_buffer())
+                    values += [found.astype(np.float32), np.zeros((len(keys[-1]) - len(found), width), np.float32)]
+            order = np.argsort(np.concatenate(keys))
+            held[name], rows[name] = np.concatenate(keys)[order], np.concatenate(values)[order]
+        return Model(self.prior, rows["class"], rows["member"], self.depth, self.bits, held, rows["node"])
+
+
+@dataclass
+class Slice:
+    ids: list
+    counts: np.ndarray
+    target: np.ndarray
+    known: np.ndarray
+    features: np.ndarray
+    train: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table | pa.RecordBatch, row: int, ends: int) -> Slice:
+        ids, codes, hashes, met = (table[c][row] for c in ("doc_ids", "codes", "hashes", "met"))
+        counts = np.asarray(table["counts"][row].values)
+        hashed = np.frombuffer(hashes.as_py(), np.uint64)
+        number, known = np.full(len(hashed) + 1, -1, np.int64), np.zeros(len(hashed) + 1, np.int64)
+        if met.is_valid:
+            place = met.values.field("place").to_numpy()
+            number[place], known[place] = met.values.field("number").to_numpy(), met.values.field("c").to_numpy()
+        number[-1], known[-1] = 0, ends  # the local number of an end is -1
+        local, features = features_of(hashed, codes_of(codes.as_py()), counts)
+        train = np.repeat(np.array([is_training(i) for i in ids.as_py()], bool), counts + 1)
+        return Slice(ids.as_py(), counts, number[local], known[local], features, train)
+
+
+def rows_for(part: DataFrame, table: DataFrame, shape: Shape, ends: int, training: bool) -> DataFrame:
+    """The rows that each slice of ``part`` needs, as answers by slice."""
+    shared = part.sparkSession.sparkContext.broadcast(shape)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape = shared.value
+        model = shape.model()
         for batch in batches:
-            for name, stripe, change, touched in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                touched = np.frombuffer(touched, np.float32)
-                change = np.frombuffer(change, np.float32).reshape(len(touched), -1)
-                total, count = (change, touched) if total is None else (total + change, count + touched)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([stripe], pa.int32()),
-             pa.array([(total / np.maximum(count, 1)[:, None]).tobytes()], pa.binary())], ["name", "stripe", "change"])
-
-    changes = part.select("doc_ids", "counts", "codes", "words").coalesce(
-        max(1, spark.sparkContext.defaultParallelism)).mapInArrow(
-        run, "name string, stripe int, change binary, touched binary")
-    # 2 * STRIPES rows, together as large as the weights.
-    rows = changes.groupBy("name", "stripe").applyInArrow(average, "name string, stripe int, change binary").collect()
-    new = [w.copy() for w in weights]
-    for row in rows:
-        table = new[row["name"] != "class"]
-        size = len(table) // STRIPES
-        table[row["stripe"] * size:(row["stripe"] + 1) * size] += np.frombuffer(
-            row["change"], np.float32).reshape(size, -1)
-    shared.unpersist()
-    return new[0], new[1]
+            for row, chunk in enumerate(batch["chunk"].to_pylist()):
+                s = Slice.of(batch, row, ends)
+                use = s.train if training else slice(None)
+                for name, keys in model.needs(s.target[use], s.features[use]).items():
+                    yield from block_batch(list(blocks(name, shape.stripes[name], chunk, keys))).to_batches()
+
+    return part.mapInArrow(ask, BLOCKS).unionByName(table).groupBy("name", "stripe").applyInArrow(answer, BLOCKS)
+
+
+def learn_round(part: DataFrame, table: DataFrame, shape: Shape, ends: int) -> DataFrame:
+    """The table after one round of gradient steps over ``part``, averaged over its slices."""
+    shared = part.sparkSession.sparkContext.broadcast(shape)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row, chunk in enumerate(left["chunk"].to_pylist()):
+            s = Slice.of(left, row, ends)
+            model = shared.value.model(right)
+            before = model.classes.weights.copy(), model.members.weights.copy()
+            model.learn(s.target[s.train], s.features[s.train])
+            for name, part, start in (("class", model.classes, before[0]), ("member", model.members, before[1])):
+                at = np.flatnonzero(part.touched)
+                out += blocks(name, shared.value.stripes[name], chunk, part.keys[at], part.weights[at] - start[at])
+        return block_batch(out)
+
+    changes = part.groupBy("chunk").cogroup(rows_for(part, table, shape, ends, True).groupBy("chunk")).applyInArrow(run, BLOCKS)
+    return changes.unionByName(table).groupBy("name", "stripe").applyInArrow(average, BLOCKS)
+
+
+def score_round(part: DataFrame, table: DataFrame, shape: Shape, ends: int) -> DataFrame:
+    shared = part.sparkSession.sparkContext.broadcast(shape)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        prior, out = shared.value.prior, []
+        bottom = np.log10(prior.tokens + 0.5 * (prior.types + 1))
+        for row in range(left.num_rows):
+            s = Slice.of(left, row, ends)
+            log10 = shared.value.model(right).log10(s.target, s.features, s.known)
+            first = offsets_of(s.counts + 1)[:-1]
+            out.append(pa.table({
+                "doc_id": pa.array(s.ids, pa.int64()), "held_out": pa.array([not is_training(i) for i in s.ids]),
+                "n_tokens": s.counts + 1, "n_known": np.add.reduceat((s.known > 0).astype(np.int64), first),
+                "train_tokens": np.full(len(s.ids), prior.tokens, np.int64),
+                "base_score": np.add.reduceat(np.log10(s.known + 0.5) - bottom, first),
+                "score": np.add.reduceat(log10, first)}))
+        return pa.concat_tables(out)
+
+    return part.groupBy("chunk").cogroup(rows_for(part, table, shape, ends, False).groupBy("chunk")).applyInArrow(run, SCORES)
+
+
+def numbered(counts: DataFrame) -> DataFrame:
+    """``word``, ``c`` and ``number``: from 1, the most frequent word first. Ranked in ordered parts."""
+    spark = counts.sparkSession
+    parts = staged(counts.repartitionByRange(tasks_for(counts), F.desc("c"), "word").sortWithinPartitions(
+        F.desc("c"), "word").select("word", "c", F.spark_partition_id().alias("part"),
+                                    F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("inside")), "lm-ranked")
+    before, firsts = 0, []
+    for row in parts.groupBy("part").count().orderBy("part").collect():
+        firsts.append((row["part"], before))
+        before += row["count"]
+    firsts = spark.createDataFrame(firsts, "part int, before bigint")
+    return parts.join(F.broadcast(firsts), "part").select(
+        "word", "c", (F.col("before") + F.col("inside") + 1).alias("number"))
+
+
+def tree_blocks(lexicon: DataFrame, shape: Shape) -> DataFrame:
+    """The masses of the members of every node of the tree, as a table of blocks."""
+    spark = lexicon.sparkSession
+    child = lexicon.filter(F.col("number") > VOCABULARY).select(
+        (F.col("number") - VOCABULARY).alias("child"), (F.col("c") + 0.5).alias("mass")).unionByName(
+        spark.createDataFrame([(0, 0.5)], "child bigint, mass double"))
+    levels = spark.createDataFrame([], "node bigint, member int, mass double")
+    for level in reversed(range(shape.depth)):
+        node = F.shiftright("child", 5)
+        levels = levels.unionByName(child.select((node + ((level + 1) << 48)).alias("node"), F.col("child").bitwiseAND(
+            MEMBERS - 1).cast("int").alias("member"), "mass"))
+        child = child.groupBy(node.alias("child")).agg(F.sum("mass").alias("mass"))
+    stripes = shape.stripes["node"]
+
+    def pack(table: pa.Table) -> pa.Table:
+        node, member, mass = (table[c].to_numpy() for c in ("node", "member", "mass"))
+        keys, at = np.unique(node, return_inverse=True)
+        values = np.zeros((len(keys), MEMBERS), np.float32)
+        values[at, member] = mass
+        return block_batch(list(blocks("node", stripes, None, keys, values)))
+
+    return levels.groupBy(F.col("node").bitwiseAND(stripes - 1)).applyInArrow(pack, BLOCKS)
+
+
+def distinct_features(parts: DataFrame) -> float:
+    """Estimate (about 3 %) from the smallest feature hashes of the corpus."""
+    least = [r[0] for r in parts.select(F.explode("sketch").alias("h")).distinct().orderBy("h").limit(SKETCH).collect()]
+    return len(least) if len(least) < SKETCH else (SKETCH - 1) / (least[-1] / 2 ** 63)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,48 +559,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     source = texts_of(docs, id_col, text_col).withColumn("train", fold(F.col("doc_id"), 5) != 1)
     ends = source.filter("train").count()
-    parts = staged(read_slices(source), "lm-slices", by=("round",))
+    parts = staged(read_slices(source), "lm-slices")
     local = parts.select("chunk", F.posexplode(F.arrays_zip("words", "known")).alias("place", "w")).select(
         "chunk", "place", F.col("w.words").alias("word"), F.col("w.known").alias("n")).filter("word <> ''")
-    counts = staged(local.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"), "lm-counts")
-    total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = [tuple(r) for r in counts.orderBy(F.desc("c"), "word").limit(VOCABULARY).collect()]
-    tokens, types = total + ends, types + (ends > 0)
-    prior = Prior.of(top, tokens, types, ends)
-    weights = Model.zeros()
-    for number in range(ROUNDS):
-        weights = learn_round(parts.filter(F.col("round") == number), prior, weights)
-
-    # The words of a slice and their counts come together again by slice: bounded by its text.
-    met = local.join(counts, "word", "left").groupBy("chunk").agg(
-        F.collect_list(F.struct("place", F.coalesce("c", F.lit(0)).alias("c"))).alias("met"))
-    ready = parts.select("chunk", "doc_ids", "counts", "codes", "words").join(met, "chunk", "left")
-    shared = spark.sparkContext.broadcast((prior, weights))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prior, weights = shared.value
-        model = Model(prior, *weights)
-        bottom = np.log10(prior.tokens + 0.5 * (prior.types + 1))
-        for batch in batches:
-            for _, ids, counts, codes, words, met in zip(*(batch.column(i) for i in range(6))):
-                counts = np.asarray(counts.values)
-                words = words.as_py()
-                count = np.zeros(len(words) + 1, np.int64)
-                if met.is_valid:
-                    entries = met.values
-                    count[entries.field("place").to_numpy()] = entries.field("c").to_numpy()
-                count[-1] = ends  # the local number of an end is -1
-                target, at, features = model.tokens(words, codes_of(codes.as_py()), counts)
-                c = count[at]
-                first = offsets_of(counts + 1)[:-1]
-                base = np.add.reduceat(np.log10(c + 0.5) - bottom, first)
-                score = np.add.reduceat(model.log10(target, features, c), first)
-                ids = ids.as_py()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()), pa.array([not is_training(i) for i in ids]), pa.array(counts + 1),
-                    pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
-                    pa.array(np.full(len(ids), prior.tokens, np.int64)), pa.array(base), pa.array(score)],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return ready.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-                                 "train_tokens bigint, base_score double, score double")
+    lexicon = staged(numbered(local.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")), "lm-lexicon")
+    total, words = lexicon.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    top = [tuple(r) for r in lexicon.filter(F.col("number") <= VOCABULARY).orderBy("number").select("word", "c").collect()]
+    tokens, types = total + ends, words + (ends > 0)
+    shape = Shape.of(Prior.of(top, tokens, types, ends), words, distinct_features(parts))
+    # The words of a slice and their numbers come together again by slice: bounded by its text.
+    met = local.join(lexicon, "word").groupBy("chunk").agg(F.collect_list(F.struct("place", "number", "c")).alias("met"))
+    ready = staged(parts.select("chunk", "doc_ids", "counts", "codes", "hashes", "round").join(met, "chunk", "left"),
+                   "lm-ready", by=("round",))
+    table = staged(tree_blocks(lexicon, shape), "lm-weights")
+    rounds = [ready.filter(F.col("round") == number).drop("round") for number in range(ROUNDS)]
+    for part in rounds:
+        table = staged(learn_round(part, table, shape, ends), "lm-weights")
+        spark.sparkContext._jvm.System.gc()  # shuffle files of past rounds go when nothing refers to them
+    scores = []
+    for part in rounds:
+        scores.append(staged(score_round(part, table, shape, ends), "lm-scores"))
+        spark.sparkContext._jvm.System.gc()
+    return functools.reduce(DataFrame.unionByName, scores)
