@@ -42,10 +42,11 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near-duplicates."""
-    first = ngram_join.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
+    """The document with the smallest id of each class of near-duplicates, and of its texts one."""
+    first = ngram_join.near_classes(docs).filter("first").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(first["_id"]) & (ngram_join.text_hashes(docs["text"]) == first["_hash"])
+    return docs.join(first, same, "left_semi")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,15 @@ def test_dedup_stages(spark):
     assert len([i for i in kept if 10_100 <= i < 10_130]) <= 1
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    a, b = (" ".join(f"{w}{i}" for i in range(200)) for w in "ab")
+    rows = [(None, a), (None, a + " x"), (None, b), (7, a + " y"), (7, "something else entirely, and clean"), (8, b + " z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in P.without_near_copies(spark, docs, SF_DIR).collect()]
+    assert len(kept) == 3 and (7, rows[4][1]) in kept and (None, b) in kept
+    assert len([t for i, t in kept if i is None and t.startswith("a0 ")]) == 1
+
+
 def test_empty_tables(spark):
     docs = planted(spark).limit(0)
     for _, stage in P.STAGES:

@@ -86,6 +86,25 @@ def test_near_duplicates_of_odd_tables(spark):
     assert N.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_rows_that_share_an_id_take_part_with_their_own_texts(spark):
+    texts = near_copies()
+    ids = [None if i % 3 == 0 else 5 if i % 3 == 1 else i for i, _ in texts]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in zip(ids, texts)], "doc_id long, text string").repartition(5)
+    # Rows with the same id and text are one document.
+    members = {(i is not None, i or 0, t or ""): n for n, (i, (_, t)) in enumerate(zip(ids, texts))}
+    owner = {n: k[1] if k[0] else None for k, n in members.items()}
+    found = brute([(n, k[2]) for k, n in members.items()])
+    smallest = {}
+    for n, label, _, _ in found:
+        smallest.setdefault(label, []).append((owner[n] is not None, owner[n] or 0))
+    want = {n: (owner[n], min(smallest[label])[1] if min(smallest[label])[0] else None, links, sets)
+            for n, label, links, sets in found}
+    rows = [want[members[i is not None, i or 0, t or ""]] for i, (_, t) in zip(ids, texts)]
+    assert sorted(map(tuple, N.near_duplicates(docs).collect()), key=repr) == sorted(rows, key=repr)
+    assert len({label for _, label, _, _ in found}) == N.near_classes(docs).filter("first").select(
+        "doc_id", "text_hash").distinct().count()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (101, 90), (90, 102), (7, 7)]
     random.seed(1)

@@ -1,7 +1,8 @@
 """N-gram Jaccard join: MinHash bands find candidates, full n-gram sets decide.
 
 1. Every text becomes its set of word n-grams (64-bit hashes) and a MinHash signature; only the
-   band hashes and a 128-bit key of the set are staged. Texts with equal sets share one node.
+   band hashes and a 128-bit key of the set are staged. A node is a distinct set; all documents with
+   that set are its members, whatever their ids are.
 2. Nodes shuffle on their band hashes. A bucket is linked as a star to its smallest node, so a
    bucket costs as many rows as it has members, however large it is.
 3. The components of these stars hold every candidate pair. Only their texts are read again.
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import connected_components
@@ -155,6 +156,10 @@ def cell_links(sets: list[np.ndarray], weight: np.ndarray, left: np.ndarray, rig
             return links, partners, root
 
 
+def text_hashes(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, id_col: str = "doc_id",
                     text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Per row: ``doc_id``, ``class_id``, ``links``, ``set_links``.
@@ -163,12 +168,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORD
     ``threshold``. ``class_id`` is the smallest id that a document is connected with by links,
     ``links`` the number of other documents it is linked to, ``set_links`` how many different
     n-gram sets these have besides its own. Texts without words are linked to nothing. Rows with
-    the same id are one document, whose text is one of theirs; rows with a null id likewise, with
-    a null id and a null class if it is alone. An empty table gives no rows.
+    the same id and text are one document, rows with the same id and different texts are several;
+    so are rows with a null id, which is smaller than all others. An empty table gives no rows.
     """
+    return near_classes(docs, threshold, n, id_col, text_col, block).select("doc_id", "class_id", "links", "set_links")
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, id_col: str = "doc_id",
+                 text_col: str = "text", block: int = BLOCK) -> DataFrame:
+    """The columns of ``near_duplicates`` with ``text_hash`` (``text_hashes``) and ``first``: whether the row
+    is the document of its class with the smallest id, and of its texts that with the smallest hash."""
     bands, rows = choose_bands(threshold)
-    source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("node"),
-                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    source = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("owner"),
+                         F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_hashes(F.col(text_col)).alias("hash"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
@@ -176,21 +188,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORD
             hashes = band_hashes(grams, ends, bands, rows).view(np.int64)
             offsets = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * bands)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(set_keys(grams, ends), pa.binary()), pa.array(np.diff(ends)),
-                 pa.ListArray.from_arrays(offsets, pa.array(hashes.ravel()))], ["node", "key", "size", "bands"])
-
-    signed = staged(source.mapInArrow(sign, "node bigint, key binary, size bigint, bands array<bigint>"), "signed")
-    keyed = signed.groupBy("node").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"))
-    # A node stands for all documents with one set; texts without words stay alone.
-    empty = signed.filter("size = 0").select("key").limit(1)
-    owners = staged(keyed.join(empty.withColumn("none", F.lit(True)), "key", "left").withColumn(
-        "key", F.when(F.col("none"), F.concat(F.lit("none").cast("binary"), F.col("node").cast("string").cast("binary")))
-        .otherwise(F.col("key"))).select("node", "key", F.col("none").isNotNull().alias("none")), "owners")
-    sets = staged(owners.groupBy("key", "none").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("weight")), "sets")
-    reps = sets.filter("NOT none").select(F.col("rep").alias("node"), "key", "weight")
-
-    buckets = reps.join(signed.select("node", "key", "bands").dropDuplicates(["node", "key"]), ["node", "key"]).select(
-        "node", F.posexplode("bands").alias("band", "hash"))
+                [batch.column(0), batch.column(2), pa.array(set_keys(grams, ends), pa.binary()), pa.array(np.diff(ends)),
+                 pa.ListArray.from_arrays(offsets, pa.array(hashes.ravel()))], ["owner", "hash", "key", "size", "bands"])
+
+    signed = staged(source.mapInArrow(sign, "owner bigint, hash bigint, key binary, size bigint, bands array<bigint>"),
+                    "signed")
+    # Texts without words have no node: they stay alone.
+    texts = signed.filter("size > 0").groupBy("owner", "hash", "key").agg(F.first("bands").alias("bands"))
+    sets = staged(texts.groupBy("key").agg(
+        F.min(F.struct("owner", "hash")).alias("head"), F.count(F.lit(1)).alias("weight"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "sets")
+    reps = sets.select("node", "key", "weight", "head.owner", "head.hash")
+
+    buckets = sets.select("node", F.posexplode("bands").alias("band", "hash"))
     first = staged(buckets.groupBy("band", "hash").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("held"))
                    .filter("held > 1").select("band", "hash", "first"), "buckets")
     stars = buckets.join(first, ["band", "hash"]).filter("node <> first").select(
@@ -199,7 +209,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORD
 
     members = staged(candidates.join(reps, "node"), "members")
     # The texts move once, at every size; a broadcast of the candidates would not last.
-    wanted = source.join(members.hint("merge"), "node")
+    wanted = source.join(members.hint("merge"), ["owner", "hash"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
@@ -275,12 +285,17 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORD
     classes = connected_components(verified.filter("node <> root").select(
         F.col("node").alias("a"), F.col("root").alias("b")))
     totals = verified.groupBy("node").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners")).join(
-        classes, "node", "left").withColumnRenamed("node", "rep")
-    known = staged(sets.join(totals, "rep", "left").select(
-        "key", F.coalesce("label", "rep").alias("class_id"),
+        classes, "node", "left")
+    found = staged(sets.join(totals, "node", "left").select(
+        "key", "head", F.coalesce("label", "node").alias("label"),
         (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),
-        F.coalesce("partners", F.lit(0)).alias("set_links")), "classes")
-    per_node = staged(owners.join(known, "key").select("node", "class_id", "links", "set_links"), "per-node")
-    return signed.select("node").join(per_node, "node").select(
-        F.nullif("node", F.lit(NO_ID)).alias("doc_id"), F.nullif("class_id", F.lit(NO_ID)).alias("class_id"),
-        "links", "set_links")
+        F.coalesce("partners", F.lit(0)).alias("set_links")), "found")
+    heads = staged(found.groupBy("label").agg(F.min("head").alias("class_head")), "heads")
+    known = staged(found.join(heads, "label").select("key", "class_head", "links", "set_links"), "classes")
+    own = F.struct("owner", "hash")
+    alone = F.col("class_head").isNull()
+    return signed.select("owner", "hash", "key").join(known, "key", "left").select(
+        F.nullif("owner", F.lit(NO_ID)).alias("doc_id"),
+        F.nullif(F.when(alone, F.col("owner")).otherwise(F.col("class_head.owner")), F.lit(NO_ID)).alias("class_id"),
+        F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("set_links", F.lit(0)).alias("set_links"),
+        F.col("hash").alias("text_hash"), (alone | (own == F.col("class_head"))).alias("first"))
