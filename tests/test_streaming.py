@@ -212,3 +212,24 @@ def test_progress_log_keeps_more_batches_than_the_engine(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert len(q.recentProgress) <= 2
     assert progress.agg(F.countDistinct("batch"), F.sum("input_rows")).first()[:] == (12, 12)
+
+
+def test_cleaning_spans_micro_batches(spark, tables, tmp_path):
+    from tidewater.functions import expressions as X
+    from tidewater.operators.cleaning import clean_sensors
+    from tidewater.plans.streams import clean_in_batches
+    from tidewater.plans.tables import sensors_of
+
+    tables.events.unionByName(tables.events.withColumn("event_id", F.col("event_id") + 1_000_000)).repartition(
+        4, "event_id").write.parquet(f"{tmp_path}/events")
+
+    def readings(events):
+        return sensors_of(events).withColumn("event_time", X.parse_event_time(F.col("timestamp")))
+
+    def found(df):
+        return rows(df.select("event_id", "sensor_id", F.round("temperature", 4).alias("temperature"), "status", "hour_of_day"))
+
+    stream = stream_files(spark, f"{tmp_path}/events", tables.events.schema, max_files=1)
+    cleaned = found(clean_in_batches(readings(stream), f"{tmp_path}/out"))
+    assert len(list((tmp_path / "out" / "sums").glob("batch=*"))) > 1
+    assert cleaned == found(clean_sensors(readings(spark.read.parquet(f"{tmp_path}/events"))))

@@ -152,8 +152,17 @@ def clean_sensors(readings: DataFrame, valid_only: bool = False) -> DataFrame:
     """
     in_range = F.col("temperature").between(*SENSOR_RANGE)
     filled = fill_with_mean(readings, ["temperature"], in_range if valid_only else None)
-    unique = best_per_key(filled, ["sensor_id", "timestamp"], ["event_id"])
-    kept = within(unique, {"temperature": SENSOR_RANGE}, not_null=["event_time"])
+    return plausible_sensors(first_readings(filled))
+
+
+def first_readings(readings: DataFrame) -> DataFrame:
+    """One reading per sensor and time: the one with the smallest event id."""
+    return best_per_key(readings, ["sensor_id", "timestamp"], ["event_id"])
+
+
+def plausible_sensors(readings: DataFrame) -> DataFrame:
+    """Readings in range and with a time, with time features."""
+    kept = within(readings, {"temperature": SENSOR_RANGE}, not_null=["event_time"])
     return kept.withColumns(X.time_feature_columns(F.col("event_time")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import expressions as X
 from tidewater.functions.rules import RIDE_ANOMALY_THRESHOLD, ride_anomaly_rules, rule_score, triggered_rule_names
 from tidewater.operators.aggregates import describe_columns, top_rows
-from tidewater.operators.cleaning import clean_sensors, sensor_audit
+from tidewater.operators.cleaning import first_readings, plausible_sensors, sensor_audit
 from tidewater.operators.layout import persisted
 from tidewater.operators.windows import running_max, with_windows
 from tidewater.plans.aggregates import CLEAN_SENSORS
@@ -249,22 +249,37 @@ def st_anomaly_stream(t):
     return sinks.run_to_table(scored.filter(F.col("score") >= RIDE_ANOMALY_THRESHOLD), "anomalies")
 
 
+def clean_in_batches(readings: DataFrame, base: str) -> DataFrame:
+    """What ``clean_sensors`` makes of all rows of a stream, however they are cut into micro-batches.
+
+    A micro-batch writes its first reading per sensor and time, sum and number of its temperatures, and
+    its audit; folders are per batch, so a repeat replaces them. Mean and first readings of the whole
+    stream come from these folders.
+    """
+    spark = readings.sparkSession
+
+    def carry(batch: DataFrame, batch_id: int) -> None:
+        value = F.col("temperature").cast("double")
+        with persisted(batch) as kept:
+            first_readings(kept).write.mode("overwrite").parquet(f"{base}/first/batch={batch_id}")
+            kept.agg(F.sum(value).alias("total"), F.count(value).alias("n")).write.mode("overwrite").parquet(
+                f"{base}/sums/batch={batch_id}")
+            sensor_audit(kept).write.mode("overwrite").parquet(f"{base}/audit/batch={batch_id}")
+
+    sinks.start_query(readings, f"{base}/checkpoint", each_batch=carry).awaitTermination()
+    first = first_readings(spark.read.parquet(f"{base}/first").drop("batch"))
+    mean = spark.read.parquet(f"{base}/sums").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("m")).scalar()
+    return plausible_sensors(first.withColumn("temperature", F.coalesce(F.col("temperature").cast("double"), mean)))
+
+
 @query("st_foreach_batch_clean", f"""
     WITH {CLEAN_SENSORS}
     SELECT event_id, sensor_id, round(temperature, 4) AS temperature, status, hour_of_day, day_of_week, is_weekend
     FROM clean""")
 def st_foreach_batch_clean(t):
-    """Clean each micro-batch and log its audit; folders are per batch, so a repeat replaces them."""
-    base = scratch_path(t.spark, "foreach")
-
-    def clean(batch: DataFrame, batch_id: int) -> None:
-        with persisted(batch) as kept:
-            clean_sensors(kept).write.mode("overwrite").parquet(f"{base}/clean/batch={batch_id}")
-            sensor_audit(kept).write.mode("overwrite").parquet(f"{base}/audit/batch={batch_id}")
-
+    """Clean a stream whose means and copies span micro-batches, and log each batch's audit."""
     readings = sensors_of(event_stream(t)).withColumn("event_time", X.parse_event_time(F.col("timestamp")))
-    sinks.start_query(readings, f"{base}/checkpoint", each_batch=clean).awaitTermination()
-    return t.spark.read.parquet(f"{base}/clean").select(
+    return clean_in_batches(readings, scratch_path(t.spark, "foreach")).select(
         "event_id", "sensor_id", F.round("temperature", 4).alias("temperature"), "status", "hour_of_day",
         "day_of_week", "is_weekend")
 
