@@ -26,8 +26,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the filters know; null texts and texts without letters go."""
-    named = language_id.identify(docs, language_id.learn_from_documents(docs))
+    """Documents in a language that the filters know; null texts and texts without letters go.
+
+    If no learning row has a language, the filters know none, and only those texts go.
+    """
+    filters = language_id.learn_from_documents(docs)
+    if not filters.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    named = language_id.identify(docs, filters)
     return named.filter((F.col("lang_pred") != "und") & (F.col("lang_known") >= LEAST_KNOWN)).select(*docs.columns)
 
 

@@ -38,6 +38,14 @@ def test_filters_keep_clean_rows_whole(spark):
     assert len(named) >= docs.select("doc_id").distinct().count() - 5
 
 
+def test_without_a_learned_language_only_texts_without_letters_go(spark):
+    rows = [(1, "a text", None), (2, None, None), (3, "12 !!", None), (4, "é", None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for known in (docs, docs.withColumn("lang", F.when(P.language_id.held_out(), "en"))):
+        assert sorted(map(tuple, P.known_language(spark, known, SF_DIR).collect())) == sorted(
+            map(tuple, known.filter("doc_id in (1, 4)").collect()))
+
+
 def test_dedup_stages(spark):
     docs = planted(spark)
     unique = P.without_copies(spark, docs, SF_DIR)
