@@ -121,6 +121,16 @@ def test_languages_of_odd_rows(spark):
     assert L.languages_of_documents(docs.limit(0)).collect() == []
 
 
+def test_copies_of_a_text_count_once_in_the_language_sample(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").filter(
+        "lang is not null and text is not null").select("text", "lang").distinct()
+    copies = spark.createDataFrame([("zq " * 40 + docs.first().text[:50], "en")], "text string, lang string")
+    once = L.learn_filters(docs.union(copies))
+    often = L.learn_filters(docs.union(copies.crossJoin(spark.range(20_000)).select("text", "lang")))
+    texts = pa.array([r.text for r in docs.limit(50).collect()])
+    assert np.array_equal(once.hits(texts)[0], often.hits(texts)[0])
+
+
 def test_queries_keep_all_rows(tables):
     for query in (op4_quality_classifier, op10_language_id):
         assert query(tables).count() == tables.documents.count()

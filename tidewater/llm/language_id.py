@@ -113,14 +113,15 @@ class LanguageFilters:
 def learn_filters(train: DataFrame, max_docs: int = LEARN_DOCS) -> LanguageFilters:
     """Filters from ``train`` (``text``, ``lang``).
 
-    Learns from about ``max_docs`` documents of each language, chosen by the hash of their text, and
-    counts their n-grams in the cluster. An n-gram counts as contained if it makes up MIN_SHARE of a
+    Learns from about ``max_docs`` different texts of each language, chosen by their hash, and counts
+    their n-grams in the cluster; copies of a text count once. An n-gram counts as contained if it makes up MIN_SHARE of a
     language's n-grams and at least MIN_RATIO of its highest share in any language, so that stray
     passages in another language do not count.
     """
-    per_language = train.groupBy("lang").count()
+    per_language = train.select("lang", F.xxhash64("text").alias("hash")).distinct().groupBy("lang").count()
     sample = train.join(F.broadcast(per_language), "lang").filter(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(1e6 * max_docs) / F.col("count")).select("text", "lang")
+        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(1e6 * max_docs) / F.col("count")).select(
+        "text", "lang").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
