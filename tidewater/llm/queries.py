@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, language_id, line_dedup, maxent, ngram_join, quality, topk
+from tidewater.llm import (
+    exact_dedup, kd_shards, language_id, line_dedup, maxent, ngram_join, quality, token_alignment, topk, vector_codes)
 from tidewater.llm.bpe_automaton import encoding_digests
 from tidewater.llm.packing import pack_documents
 from tidewater.llm.token_files import read_token_files, write_token_files
@@ -61,3 +62,21 @@ def op2_exact_topk(t):
 @query("op8_maxent_scoring")
 def op8_maxent_scoring(t):
     return maxent.score_documents(t.documents)
+
+
+@query("op11_vector_codes", vector_codes.ORACLE)
+def op11_vector_codes(t):
+    return vector_codes.code_digests(t.embeddings)
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(t):
+    return token_alignment.alignment_digests(
+        t.documents, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_kd_shards")
+def op13_kd_shards(t):
+    return kd_shards.kd_shards(t.documents, shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
