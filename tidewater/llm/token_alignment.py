@@ -28,8 +28,9 @@ from tidewater.llm.bpe_automaton import AutomatonEncoder
 from tidewater.llm.frames import slices, staged, text_bytes
 from tidewater.llm.text import PieceCache, assemble, list_offsets, offsets_of, ranges
 
-SLICE = 4 << 20
-MEMO_WINDOWS = 500_000
+SLICE = 2 << 20
+MEMO_WINDOWS = 300_000
+MEMO_PIECES = 500_000
 #: Most pairs that are sent to every task; 17 bytes each.
 FREQUENT_PAIRS = 1 << 17
 SPACE = "▁"
@@ -59,6 +60,7 @@ class ByteLevelTokens(AutomatonEncoder):
         super().__init__(path)
         self.tokens = TokenBytes([self.bytes.join(np.array([i])) for i in range(len(self.bytes.lengths))])
         self.added, self.cut_added = {}, None
+        self.cache.limit = MEMO_PIECES
 
 
 class PieceTokens:
@@ -77,7 +79,7 @@ class PieceTokens:
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode()
             for i, p in enumerate(pieces)])
         self.by_words = not any(SPACE in p[1:] and p.strip(SPACE) for p in pieces)
-        self.cache = PieceCache(self._encode)
+        self.cache = PieceCache(self._encode, MEMO_PIECES)
 
     def _encode(self, texts: list[str]) -> tuple[list[int], list[int]]:
         found = self.model.encode(texts, num_threads=1)
