@@ -108,6 +108,16 @@ def test_threshold_trigger_carries_totals(spark, tmp_path, every):
     assert trigger.fired(spark).count() == 3
 
 
+def test_threshold_trigger_fires_at_the_exact_total(spark, tmp_path):
+    amounts = [("a", i, 0.1) for i in range(4999)] + [("a", 5000, 0.1), ("a", 5001, 0.01), ("b", 1, 499.99)]
+    frame = spark.createDataFrame(amounts, "k string, i bigint, x double").withColumn("x", F.col("x").cast("decimal(18,2)"))
+    trigger = ThresholdTrigger("k", ["i"], "x", 500, f"{tmp_path}/state", full_every=2)
+    for number, part in enumerate(("i < 2000", "i >= 2000 AND i < 4000", "i >= 4000")):
+        trigger(frame.filter(part), number)
+    assert [(r["i"], float(r["total"])) for r in trigger.fired(spark).orderBy("i").collect()] == [
+        (5000, 500.0), (5001, 500.01)]
+
+
 def test_threshold_trigger_carries_the_null_key_and_keys_that_pause(spark, tmp_path):
     trigger = ThresholdTrigger("k", ["i"], "x", 100.0, f"{tmp_path}/state", full_every=2)
     for number, rows_ in enumerate([[(None, 1, 60.0), ("a", 2, 70.0)], [(None, 3, 60.0)], [("b", 4, 5.0)], [("a", 5, 40.0)]]):

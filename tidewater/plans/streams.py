@@ -431,16 +431,17 @@ def st_state_alert(t):
 
 
 @query("st_threshold_trigger", """
-    SELECT user_id, event_id, round(total, 2) AS total FROM (
-      SELECT *, sum(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS total
-      FROM events) WHERE total >= 500.005""")
+    SELECT user_id, event_id, CAST(total AS DOUBLE) AS total FROM (
+      SELECT *, sum(CAST(value AS DECIMAL(18, 2))) OVER (
+        PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS total
+      FROM events) WHERE total >= 500""")
 def st_threshold_trigger(t):
+    """Amounts have two decimals and are added as such, so a total of exactly 500 fires."""
     base = scratch_path(t.spark, "trigger")
-    # Amounts have two decimals, so 500.005 separates totals without touching a rounding edge.
-    trigger = ThresholdTrigger("user_id", ["event_id"], "value", 500.005, f"{base}/state")
-    stream = event_stream(t).select("user_id", "event_id", "value")
+    trigger = ThresholdTrigger("user_id", ["event_id"], "value", 500, f"{base}/state")
+    stream = event_stream(t).select("user_id", "event_id", F.col("value").cast("decimal(18,2)").alias("value"))
     sinks.start_query(stream, f"{base}/checkpoint", each_batch=trigger).awaitTermination()
-    return trigger.fired(t.spark).select("user_id", "event_id", F.round("total", 2).alias("total"))
+    return trigger.fired(t.spark).select("user_id", "event_id", F.col("total").cast("double").alias("total"))
 
 
 @query("fs_explore", f"""

@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DecimalType
 
 from tidewater.operators.layout import persisted
 from tidewater.operators.windows import running_sum, with_windows
@@ -71,8 +72,11 @@ class ThresholdTrigger:
         except AnalysisException:
             raise RuntimeError(f"the carry of batches {full} to {batch_id - 1} is missing under {self.base}") from None
 
-    def _sums(self, parts: DataFrame) -> DataFrame:
-        return parts.groupBy(self.key).agg(F.sum("total").alias("total"))
+    def _sums(self, parts: DataFrame, value: str = "total") -> DataFrame:
+        """Totals per key; decimals get the widest type at once, so that all batches write the same one."""
+        kind, total = parts.schema[value].dataType, F.sum(value)
+        wide = total.cast(DecimalType(38, kind.scale)) if isinstance(kind, DecimalType) else total
+        return parts.groupBy(self.key).agg(wide.alias("total"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with persisted(batch) as kept:
@@ -80,16 +84,17 @@ class ThresholdTrigger:
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        totals = batch.groupBy(self.key).agg(F.sum(self.value).alias("total"))
+        totals = self._sums(batch, self.value)
         running = with_windows(batch, [self.key], self.order, {"total": running_sum(self.value)},
                                **self.options)
+        running = running.withColumn("total", F.col("total").cast(totals.schema["total"].dataType))
         carry = self._carry(spark, batch_id)
         if carry is not None:
             here = totals.select(F.col(self.key).alias("_key"))
             known = self._sums(carry.join(here, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi")).select(
                 F.col(self.key).alias("_key"), F.col("total").alias("_carried"))
             running = running.join(known, F.col(self.key).eqNullSafe(F.col("_key")), "left").withColumn(
-                "total", F.col("total") + F.coalesce(F.col("_carried"), F.lit(0.0))).drop("_key", "_carried")
+                "total", (F.col("total") + F.coalesce(F.col("_carried"), F.lit(0))).cast(totals.schema["total"].dataType)).drop("_key", "_carried")
             if batch_id % self.full_every == 0:
                 totals = self._sums(totals.unionByName(carry))
         running.filter(F.col("total") >= self.threshold).write.mode("overwrite").parquet(
