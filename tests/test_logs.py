@@ -9,7 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path, scratch_root
-from tidewater.sources import logs
+from tidewater.sources import log_source, logs
+from tidewater.streaming import sinks
 
 
 def test_options():
@@ -50,3 +51,85 @@ def test_scratch_without_a_setting():
     assert scratch_root(session_with(None)) == scratch_root(session_with(None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(session_with(None, master="yarn"))
+
+
+def numbered_records(spark, n, partitions=3):
+    return spark.range(n).select(
+        F.col("id").cast("string").cast("binary").alias("key"), F.col("id").cast("string").cast("binary").alias("value"),
+        (F.col("id") % partitions).cast("int").alias("partition"), F.timestamp_seconds(F.col("id")).alias("timestamp"), "id")
+
+
+def run_log(spark, root, limit, **options):
+    stream = log_source.log_stream(spark, f"{root}/log", f"{root}/cp", maxOffsetsPerTrigger=limit, **options)
+    query = sinks.start_query(stream, f"{root}/cp", path=f"{root}/out", every="0 seconds")
+    sinks.run_through(query)
+    return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+
+
+def read_offsets(spark, root):
+    return sorted((r["partition"], r["offset"], int(bytes(r["value"]))) for r in spark.read.parquet(f"{root}/out").collect())
+
+
+def test_log_has_offsets_without_gaps(spark, tmp_path):
+    log_source.append_log(numbered_records(spark, 100), f"{tmp_path}/log", ["id"], 10)
+    log_source.append_log(numbered_records(spark, 20), f"{tmp_path}/log", ["id"], 10)
+    found = log_source.log_batch(spark, f"{tmp_path}/log")
+    assert found.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+    first = [(p, i, 3 * i + p) for p in range(3) for i in range(34 if p == 0 else 33)]
+    ends = {0: 34, 1: 33, 2: 33}
+    second = [(i % 3, ends[i % 3] + i // 3, i) for i in range(20)]
+    assert sorted((r["partition"], r["offset"], int(bytes(r["value"]))) for r in found.collect()) == sorted(first + second)
+    assert {r["topic"] for r in found.collect()} == {"log"}
+    part = log_source.log_batch(spark, f"{tmp_path}/log", startingOffsets='{"0": 5, "1": -1}', endingOffsets='{"0": 25, "2": 3}')
+    assert sorted((r["partition"], r["offset"]) for r in part.collect()) == [
+        *[(0, i) for i in range(5, 25)], *[(2, i) for i in range(3)]]
+    assert part.filter("partition = 1").count() == 0
+
+
+def test_log_stream_keeps_to_its_limit_and_resumes(spark, tmp_path):
+    log_source.append_log(numbered_records(spark, 100), f"{tmp_path}/log", ["id"], 10)
+    batches = run_log(spark, tmp_path, 30)
+    assert batches == [30, 30, 30, 10]
+    assert run_log(spark, tmp_path, 30) == []
+    log_source.append_log(numbered_records(spark, 50, partitions=4), f"{tmp_path}/log", ["id"], 10)  # a new partition too
+    assert run_log(spark, tmp_path, 30) == [30, 20]
+    expected = log_source.log_batch(spark, f"{tmp_path}/log")
+    assert read_offsets(spark, tmp_path) == sorted(
+        (r["partition"], r["offset"], int(bytes(r["value"]))) for r in expected.collect())
+
+
+def test_log_stream_may_start_at_the_end(spark, tmp_path):
+    log_source.append_log(numbered_records(spark, 30), f"{tmp_path}/log", ["id"], 10)
+    assert run_log(spark, tmp_path, 100, startingOffsets="latest") == []
+    log_source.append_log(numbered_records(spark, 6), f"{tmp_path}/log", ["id"], 10)
+    assert run_log(spark, tmp_path, 100, startingOffsets="latest") == [6]
+
+
+def test_missing_segment_is_an_error_unless_loss_is_allowed(spark, tmp_path):
+    log_source.append_log(numbered_records(spark, 90), f"{tmp_path}/log", ["id"], 10)
+    (tmp_path / "log" / "partition=1" / "segment=10").rename(tmp_path / "gone")
+    with pytest.raises(Exception, match="offsets 10 to 19 of log partition 1"):
+        log_source.log_batch(spark, f"{tmp_path}/log").collect()
+    with pytest.raises(Exception, match="offsets 10 to 19 of log partition 1"):
+        run_log(spark, tmp_path, 1000)
+    found = log_source.log_batch(spark, f"{tmp_path}/log", failOnDataLoss="false")
+    assert found.count() == 80
+    (tmp_path / "other").mkdir()
+    (tmp_path / "log").rename(tmp_path / "other" / "log")
+    assert sum(run_log(spark, tmp_path / "other", 25, failOnDataLoss="false")) == 80
+
+
+def test_shares_of_a_batch():
+    assert log_source.shares({"0": 5, "1": 6}, 20) == {"0": 5, "1": 6}
+    for waiting, limit in (({"0": 1, "1": 1000, "2": 3}, 10), ({"0": 7, "1": 7, "2": 7}, 2), ({"0": 0, "1": 9}, 4)):
+        taken = log_source.shares(waiting, limit)
+        assert sum(taken.values()) == limit and all(0 <= taken[p] <= n for p, n in waiting.items())
+
+
+def test_offsets_by_name():
+    bounds = {0: (5, 9), 1: (0, 3)}
+    assert log_source.named_offsets("earliest", bounds) == {"0": 5, "1": 0}
+    assert log_source.named_offsets("latest", bounds) == {"0": 9, "1": 3}
+    assert log_source.named_offsets('{"1": -1}', bounds) == {"0": 5, "1": 3}
+    with pytest.raises(ValueError, match="earliest"):
+        log_source.named_offsets("soon", bounds)

@@ -10,11 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidewater.operators.windows import nth_row, running_sum, with_windows
+from tidewater.operators.windows import running_sum, with_windows
 from tidewater.streaming import aggregates as S
 from tidewater.streaming import sinks
 from tidewater.streaming.sources import parse_records, stream_files, with_event_time
-from tidewater.streaming.state import ThresholdTrigger, nth_occurrence_alerts
+from tidewater.streaming.state import ThresholdTrigger
 
 START = datetime(2024, 1, 1)
 
@@ -82,16 +82,6 @@ def test_dedupe_across_batches(spark, tmp_path, salts):
     assert sorted((r["k"], r["event_time"].minute) for r in out.collect()) == [("a", 0), ("a", 1), ("b", 0)]
 
 
-def test_nth_occurrence_counts_across_batches(spark, tmp_path):
-    names = ["Alice", "Bob", "Alice", "Alice", "Bob", "Charlie", "Bob", "Bob"]
-    visits = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i bigint")
-    path = slices(spark, f"{tmp_path}/in", [visits.filter("i < 3"), visits.filter("i >= 3 AND i < 5"), visits.filter("i >= 5")])
-    stream = stream_of(spark, path, visits.schema)
-    alerts = sinks.run_to_table(nth_occurrence_alerts(stream, "name", "string", "i", 3), "alerts")
-    assert rows(alerts.select("name", "at")) == [(3, "Alice"), (6, "Bob")]
-    assert rows(alerts.select(F.col("at").alias("i"), "name")) == rows(nth_row(visits, ["name"], ["i"], 3))
-
-
 @pytest.mark.parametrize("every", [1, 2, 50])
 def test_threshold_trigger_carries_totals(spark, tmp_path, every):
     amounts = spark.createDataFrame([("a", i, float(x)) for i, x in enumerate([100, 200, 250, 300, 150])]
@@ -162,15 +152,6 @@ def test_restart_continues_after_new_files(spark, tmp_path):
     assert run() == 3
 
 
-def test_feature_store_has_one_row_per_key(spark, tmp_path):
-    writer = sinks.FeatureStoreWriter(f"{tmp_path}/store")
-    batch = spark.createDataFrame([(START, 1, 5)], "window_start timestamp, pu_zone int, n int")
-    for _ in range(2):
-        writer(batch, 0)
-    writer(batch.withColumn("pu_zone", F.lit(2)), 1)
-    assert spark.read.parquet(f"{tmp_path}/store").count() == 2
-
-
 def test_bad_json_gives_null_columns(spark):
     records = spark.createDataFrame([('{"a": 1, "t": "2024-01-01 00:00:00"}',), ("broken",)], "value string")
     out = parse_records(records, "a int, t string", "t").orderBy(F.col("a").desc()).collect()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.expressions import all_of, salt_of, steady
-from tidewater.operators.windows import row_number, with_windows
+from tidewater.operators.windows import previous, row_number, running_sum, with_windows
 
 MAX_LIST_VALUES = 10_000
 
@@ -119,3 +119,22 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
 def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """The first ``n`` rows of a total order; each task keeps only its own ``n`` best."""
     return df.orderBy(*order).limit(n)
+
+
+def sessions(df: DataFrame, keys: Sequence[str], time: str, tiebreak: Sequence[str], gap: Column,
+             measures: Sequence[Column], **window_options) -> DataFrame:
+    """``measures`` per session of a key: rows at most ``gap`` (an interval) after the one before.
+
+    ``session_start`` is the time of the first row, ``session_end`` the last one's time plus its gap.
+    Sessions are numbered by windows that cut a large key into chunks, then grouped with partial
+    sums, so a key that holds much of the table is never in one task. ``tiebreak`` makes the order
+    of rows unique. Rows without a time take no part; null keys are a key of their own.
+    """
+    keys, order = list(keys), [time, *tiebreak]
+    timed = df.filter(F.col(time).isNotNull()).withColumn("_until", F.col(time) + gap)
+    seen = with_windows(timed, keys, order, {"_before": previous(time)}, **window_options)
+    fresh = F.when(F.col(time) <= F.col("_before") + gap, 0).otherwise(1)
+    numbered = with_windows(seen.withColumn("_fresh", fresh), keys, order, {"_session": running_sum("_fresh")},
+                            **window_options)
+    return numbered.groupBy(*keys, "_session").agg(
+        F.min(time).alias("session_start"), F.max("_until").alias("session_end"), *measures).drop("_session")

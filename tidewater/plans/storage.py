@@ -12,7 +12,8 @@ from tidewater.plans.registry import query
 from tidewater.plans.tables import DEPARTMENTS, EMPLOYEES, TRIPS, Tables, trips_of
 from tidewater.session import scratch_path
 from tidewater.sources import files, lake, logs
-from tidewater.streaming.sinks import run_to_table
+from tidewater.sources.log_source import append_log, log_batch, log_stream
+from tidewater.streaming.sinks import run_through, run_to_table, start_query
 from tidewater.streaming.sources import parse_records, stream_files
 
 ORDER_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -82,32 +83,45 @@ def scan_union_drift(t):
     return files.read_drifted(t.spark, paths, {"o_custkey": "double"})
 
 
+LOG_PARTITIONS = 3
+LOG_SEGMENT = 100_000
+
+
 def _records(t: Tables):
-    """Events as log records in three partitions, offset by event id."""
-    return logs.as_records(t.events, "user_id", "event_id", 3, "events",
+    """Events as log records in three partitions by user, with the event id as their offset."""
+    return logs.as_records(t.events, "user_id", "event_id", LOG_PARTITIONS, "events",
                            ["event_id", "user_id", "event_type", "value"], F.col("ts"))
 
 
+def _event_log(t: Tables) -> str:
+    """A log of these records, where they get offsets without gaps in the order of the event ids."""
+    path = scratch_path(t.spark, "log") + "/events"
+    append_log(_records(t), path, ["offset"], LOG_SEGMENT)
+    return path
+
+
 _PAYLOAD = "event_id bigint, user_id bigint, event_type string, value double"
+_LOG_SQL = """
+    SELECT CAST(user_id % 3 AS BIGINT) AS "partition", event_id, user_id, event_type, value,
+           row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS "offset" FROM events"""
 
 
-@query("scan_kafka_batch", """
-    SELECT CAST(user_id % 3 AS BIGINT) AS "partition", event_id AS "offset", user_id, event_type, value FROM events""")
+@query("scan_kafka_batch", _LOG_SQL)
 def scan_kafka_batch(t):
-    """Bounded read of record-shaped files, which stand in for a topic (see logs.kafka_batch)."""
-    records = t.spark.read.parquet(_written(t, _records(t), "parquet", "topic"))
-    parsed = parse_records(records, _PAYLOAD, extra=("partition", "offset"))
-    return parsed.select(F.col("partition").cast("bigint").alias("partition"), "offset", "user_id", "event_type", "value")
+    """Bounded read of a log by offset; ``logs.kafka_batch`` gives records of the same shape from a broker."""
+    parsed = parse_records(log_batch(t.spark, _event_log(t)), _PAYLOAD, extra=("partition", "offset"))
+    return parsed.withColumn("partition", F.col("partition").cast("bigint"))
 
 
-@query("stream_kafka", """
-    SELECT CAST(user_id % 3 AS BIGINT) AS "partition", event_id, user_id, event_type, value FROM events""")
+@query("stream_kafka", _LOG_SQL)
 def stream_kafka(t):
-    """Stream over record-shaped files, which stand in for a topic (see logs.kafka_stream)."""
-    records = _records(t)
-    stream = stream_files(t.spark, _written(t, records, "parquet", "topic"), records.schema)
-    parsed = parse_records(stream, _PAYLOAD, extra=("partition",))
-    return run_to_table(parsed.withColumn("partition", F.col("partition").cast("bigint")), "stream-kafka")
+    """Stream over a log, at most so many offsets in a micro-batch (see ``logs.kafka_stream`` for a broker)."""
+    base = scratch_path(t.spark, "stream-kafka")
+    stream = log_stream(t.spark, _event_log(t), f"{base}/checkpoint", maxOffsetsPerTrigger=20_000)
+    parsed = parse_records(stream, _PAYLOAD, extra=("partition", "offset"))
+    run_through(start_query(parsed, f"{base}/checkpoint", path=f"{base}/out", every="0 seconds"))
+    return t.spark.read.schema(parsed.schema).parquet(f"{base}/out").withColumn(
+        "partition", F.col("partition").cast("bigint"))
 
 
 @query("stream_files", "SELECT event_id, user_id, value FROM events")

@@ -3,12 +3,14 @@ available, and returns what its sink holds."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import expressions as X
 from tidewater.functions.rules import RIDE_ANOMALY_THRESHOLD, ride_anomaly_rules, rule_score, triggered_rule_names
-from tidewater.operators.aggregates import describe_columns, top_rows
+from tidewater.operators.aggregates import describe_columns, sessions, top_rows
 from tidewater.operators.cleaning import first_readings, plausible_sensors, sensor_audit
 from tidewater.operators.layout import persisted
 from tidewater.operators.windows import running_max, with_windows
@@ -18,12 +20,14 @@ from tidewater.plans.registry import query
 from tidewater.plans.scalars import RIDES
 from tidewater.plans.tables import READINGS, Tables, sensors_of, trips_of
 from tidewater.session import scratch_path
+from tidewater.sources.log_source import append_log, log_stream
 from tidewater.streaming import aggregates as S
 from tidewater.streaming import sinks
 from tidewater.streaming.sources import SENSOR_SCHEMA, parse_records, stream_files, with_event_time
-from tidewater.streaming.state import ThresholdTrigger, nth_occurrence_alerts
+from tidewater.streaming.state import ThresholdTrigger, keyed_state, nth_occurrence_alerts, running_moments
 
 DELAY = "5 minutes"
+LOG_SEGMENT = 100_000
 
 
 def event_stream(t: Tables) -> DataFrame:
@@ -236,6 +240,37 @@ def st_late_events(t):
     return seen.filter(F.col("event_time") < F.col("latest") - F.expr("INTERVAL 5 MINUTES")).drop("latest")
 
 
+LATE_BATCHES = 8
+
+
+@query("st_late_side_output", f"""
+    WITH {READINGS},
+    timed AS (SELECT event_id, sensor_id, event_time FROM readings WHERE event_time IS NOT NULL),
+    numbered AS (
+      SELECT *, (row_number() OVER (ORDER BY event_id) - 1)
+             // ((SELECT count(*) FROM timed) // {LATE_BATCHES} + 1) AS batch FROM timed),
+    high AS (SELECT batch, max(max(event_time)) OVER (ORDER BY batch) AS high FROM numbered GROUP BY batch)
+    SELECT event_id, sensor_id, event_time,
+           coalesce(event_time <= h.high - INTERVAL 5 MINUTES, FALSE) AS late
+    FROM numbered n LEFT JOIN high h ON h.batch = n.batch - 2""")
+def st_late_side_output(t):
+    """All readings of a log, in eight batches; those behind the watermark of their batch are written apart."""
+    base = scratch_path(t.spark, "late")
+    timed = t.readings.filter(F.col("event_time").isNotNull()).select("event_id", "sensor_id", "event_time")
+    records = timed.select(
+        F.col("sensor_id").cast("binary").alias("key"), F.to_json(F.struct("event_id", "sensor_id")).cast("binary").alias("value"),
+        F.lit(0).alias("partition"), F.col("event_time").cast("timestamp").alias("timestamp"), "event_id")
+    append_log(records, f"{base}/log", ["event_id"], segment_records=LOG_SEGMENT)
+    per_batch = timed.count() // LATE_BATCHES + 1
+    stream = parse_records(log_stream(t.spark, f"{base}/log", f"{base}/checkpoint", maxOffsetsPerTrigger=per_batch),
+                           "event_id bigint, sensor_id string", extra=("timestamp",)).withColumnRenamed("timestamp", "event_time")
+    split = sinks.LateSplit("event_time", DELAY, base)
+    sinks.run_through(sinks.start_query(stream, f"{base}/checkpoint", each_batch=split, every="0 seconds"))
+    kept, late = split.tables(t.spark, stream.schema)
+    return kept.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True))).select(
+        "event_id", "sensor_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "late")
+
+
 @query("st_anomaly_stream", f"""
     WITH {RIDES}, scored AS (
       SELECT order_key, vendor_id, do_zone, CAST({SCORE} AS BIGINT) AS score, {TRIGGERED} AS rules FROM rides)
@@ -287,13 +322,14 @@ def st_foreach_batch_clean(t):
 @query("st_feature_store", f"""
     WITH {ZONE_FEATURES}
     SELECT window_start, pu_zone, demand_5m, avg_fare_5m, year(window_start) AS year, month(window_start) AS month
-    FROM zone_features WHERE window_end <= {_closed('rides', 'pickup_ts', 1)}""")
+    FROM zone_features""")
 def st_feature_store(t):
+    """Features of all windows, open ones too, upserted by zone and window; closed months are merged."""
     base = scratch_path(t.spark, "feature-store")
-    writer = sinks.FeatureStoreWriter(f"{base}/zones")
-    sinks.start_query(S.zone_features(ride_stream(t), "event_time"), f"{base}/checkpoint",
-                      each_batch=writer).awaitTermination()
-    return t.spark.read.parquet(f"{base}/zones").select(
+    store = sinks.KeyedStore(f"{base}/zones", ["pu_zone", "window_start"])
+    features = S.zone_features(ride_stream(t), "event_time")
+    sinks.start_query(features, f"{base}/checkpoint", mode="update", each_batch=store).awaitTermination()
+    return store.table(t.spark, features.schema).select(
         "window_start", "pu_zone", "demand_5m", "avg_fare_5m", F.col("year").cast("bigint").alias("year"),
         F.col("month").cast("bigint").alias("month"))
 
@@ -410,11 +446,14 @@ def st_replay(t):
            round(CAST(stddev_samp(temperature) AS DECIMAL(38, 10)), 6)::DOUBLE AS std
     FROM readings GROUP BY sensor_id""")
 def st_running_stats(t):
-    """Count, mean and deviation so far; Spark merges partial moments, so hot keys combine first."""
-    stats = sensors_of(event_stream(t)).groupBy("sensor_id").agg(
-        F.count("temperature").alias("n"), X.steady(F.avg("temperature"), 6).alias("mean"),
-        X.steady(F.stddev_samp("temperature"), 6).alias("std"))
-    return sinks.latest_version(sinks.run_versions(stats, "stats", "update"), ["sensor_id"])
+    """Count, mean and deviation so far, as keyed state that merges the moments of each task's rows."""
+    moments = running_moments(sensors_of(event_stream(t)), "sensor_id", "temperature")
+    with keyed_state(t.spark):
+        latest = sinks.latest_version(sinks.run_versions(moments, "stats", "update"), ["sensor_id"])
+    n = F.col("n")
+    return latest.select(
+        "sensor_id", "n", X.steady(F.when(n > 0, F.col("mean")), 6).alias("mean"),
+        X.steady(F.when(n > 1, F.sqrt(F.col("m2") / (n - 1))), 6).alias("std"))
 
 
 @query("st_counter", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
@@ -424,10 +463,52 @@ def st_counter(t):
 
 
 @query("st_state_alert", """
+    WITH gaps AS (
+      SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) > INTERVAL 2 DAYS
+                THEN 1 ELSE 0 END AS fresh FROM events),
+    runs AS (
+      SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM gaps)
     SELECT user_id, event_id AS at, 3::BIGINT AS n FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn = 3""")
+      SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS rn FROM runs) WHERE rn = 3""")
 def st_state_alert(t):
-    return sinks.run_to_table(nth_occurrence_alerts(event_stream(t), "user_id", "bigint", "event_id", 3), "alert")
+    """The third event of every run of a user's events; two days without an event end a run and its state."""
+    alerts = nth_occurrence_alerts(event_stream(t), "user_id", "ts", "event_id", 3, timedelta(days=2))
+    with keyed_state(t.spark):
+        return sinks.run_to_table(alerts, "alert")
+
+
+SESSIONS = """
+    WITH gaps AS (
+      SELECT *, CASE WHEN user_id % 2 = 0 THEN INTERVAL 6 HOURS ELSE INTERVAL 12 HOURS END AS gap FROM events),
+    marked AS (
+      SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + gap THEN 0 ELSE 1 END AS fresh
+      FROM gaps),
+    numbered AS (
+      SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM marked),
+    sessions AS (
+      SELECT min(ts) AS session_start, max(ts + gap) AS session_end, user_id, count(*) AS n_events,
+             CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total
+      FROM numbered GROUP BY user_id, session)"""
+
+
+def _session_measures() -> list:
+    return [F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")]
+
+
+@query("session_windows", f"{SESSIONS} SELECT * FROM sessions")
+def session_windows(t):
+    """Sessions of each user's events; the gap that ends one depends on the user."""
+    gap = F.when(F.col("user_id") % 2 == 0, F.expr("INTERVAL 6 HOURS")).otherwise(F.expr("INTERVAL 12 HOURS"))
+    return sessions(t.events, ["user_id"], "ts", ["event_id"], gap, _session_measures())
+
+
+@query("st_session_windows", f"""{SESSIONS}
+    SELECT * FROM sessions WHERE session_end <= {_closed('events', 'ts', 5)}""")
+def st_session_windows(t):
+    """The same sessions from a stream, as soon as the watermark has passed their end."""
+    stream = with_event_time(event_stream(t), "ts", DELAY)
+    gap = F.when(F.col("user_id") % 2 == 0, "6 hours").otherwise("12 hours")
+    return sinks.run_to_table(S.session_agg(stream, "event_time", gap, ["user_id"], _session_measures()), "sessions")
 
 
 @query("st_threshold_trigger", """

@@ -22,6 +22,21 @@ def window_agg(df: DataFrame, time: str, width: str, keys: Sequence[str | Column
         F.col("window.end").cast("timestamp_ntz").alias("window_end"), *rest)
 
 
+def session_agg(df: DataFrame, time: str, gap: str | Column, keys: Sequence[str | Column],
+                measures: Sequence[Column]) -> DataFrame:
+    """Sessions per key: events at most ``gap`` after the one before, which may differ per key.
+
+    ``session_start`` is the first event and ``session_end`` the last one plus its gap. A stream keeps
+    one state row per open session and emits it when the watermark passes its end. With the session
+    setting of ``tidewater.session`` each task merges the sessions of its own rows before the shuffle.
+    """
+    grouped = df.groupBy(F.session_window(time, gap).alias("session"), *keys).agg(*measures)
+    rest = [c for c in grouped.columns if c != "session"]
+    return grouped.select(
+        F.col("session.start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session.end").cast("timestamp_ntz").alias("session_end"), *rest)
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], event_time: str = "event_time", salts: int = 0) -> DataFrame:
     """Drop repeats; the event time is part of the key, so the watermark evicts old state.
 

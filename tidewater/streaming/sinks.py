@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 from threading import Condition
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tidewater.operators.layout import persisted
 from tidewater.operators.windows import best_per_key
 from tidewater.session import scratch_path
-from tidewater.sources.files import overwrite_partitions
+from tidewater.sources.files import write_partitioned
 
 
 def start_query(df: DataFrame, checkpoint: str, fmt: str | None = None, path: str | None = None,
@@ -33,6 +36,14 @@ def start_query(df: DataFrame, checkpoint: str, fmt: str | None = None, path: st
     return writer.start(path) if path else writer.start()
 
 
+def run_through(query: StreamingQuery) -> None:
+    """Let a query with a processing-time trigger take all that its source has now, and end it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def run_to_table(df: DataFrame, label: str) -> DataFrame:
     """Run an append query over what is available and read back what it wrote."""
     spark = df.sparkSession
@@ -68,19 +79,121 @@ def newest_batch(versions: DataFrame) -> DataFrame:
     return versions.filter(F.col("batch") == last).drop("batch")
 
 
-class FeatureStoreWriter:
-    """``foreachBatch`` writer of closed windows by year, month and batch.
+class KeyedStore:
+    """``foreachBatch`` writer that keeps one row per key, the one of the newest batch, by year and month.
+
+    A batch writes its rows to a folder of its own and then a commit: the folders that are valid for
+    every month. Readers follow the newest commit, so a batch that failed is invisible, and a batch
+    that runs again builds on the commit before it and leaves the same table. A month is merged into
+    one folder when a later month has begun or when it has more than ``max_folders``; only that month
+    is read for it. Folders that no commit names any more can go by an expiry rule.
+
+    Keys must decide ``time``, so that a key stays in its month. Null keys are keys like others.
+    """
+
+    COMMIT = "year int, month int, folder string, number bigint"
+
+    def __init__(self, path: str, keys: list[str], time: str = "window_start", max_folders: int = 8):
+        self.path, self.keys, self.time, self.max_folders = path, list(keys), time, max_folders
+
+    def _commit_of(self, spark: SparkSession, batch_id: int) -> dict[tuple, list[tuple]]:
+        """Month -> its valid (batch number, folder), after the given batch."""
+        if batch_id < 0:
+            return {}
+        try:
+            rows = spark.read.schema(self.COMMIT).parquet(f"{self.path}/commits/batch={batch_id}").collect()
+        except AnalysisException:
+            raise RuntimeError(f"the commit of batch {batch_id} is missing under {self.path}") from None
+        found: dict[tuple, list[tuple]] = {}
+        for r in sorted(rows, key=lambda r: r["number"]):
+            found.setdefault((r["year"], r["month"]), []).append((r["number"], r["folder"]))
+        return found
+
+    def _newest(self, spark: SparkSession, months: dict[tuple, list[tuple]], schema) -> DataFrame:
+        """The newest row per key of some months, from one read per batch number that they name."""
+        by_number: dict[int, list[str]] = {}
+        for folders in months.values():
+            for number, folder in folders:
+                by_number.setdefault(number, []).append(f"{self.path}/{folder}")
+        parts = [spark.read.schema(schema).parquet(*folders).withColumn("_number", F.lit(number))
+                 for number, folders in sorted(by_number.items())]
+        rows = reduce(DataFrame.unionByName, parts)
+        merged = all(len(folders) == 1 for folders in months.values())
+        return (rows if merged else best_per_key(rows, self.keys, [("_number", "desc")])).drop("_number")
+
+    def _stamped(self, rows: DataFrame) -> DataFrame:
+        """With ``year`` and ``month``, 0 where there is no time."""
+        return rows.withColumns({"year": F.coalesce(F.year(self.time), F.lit(0)),
+                                 "month": F.coalesce(F.month(self.time), F.lit(0))})
 
-    The batch number is a partition, so a batch that runs again replaces its own rows only.
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        valid = self._commit_of(spark, batch_id - 1)
+        with persisted(self._stamped(batch)) as kept:
+            # As many rows as the batch touches months.
+            touched = [(r["year"], r["month"]) for r in kept.select("year", "month").distinct().collect()]
+            write_partitioned(kept, f"{self.path}/delta-{batch_id}", ["year", "month"])
+        for m in touched:
+            valid.setdefault(m, []).append((batch_id, f"delta-{batch_id}/year={m[0]}/month={m[1]}"))
+        newest = max(valid, default=None)
+        due = {m: folders for m, folders in valid.items()
+               if len(folders) > 1 and (m != newest or len(folders) > self.max_folders)}
+        if due:
+            write_partitioned(self._stamped(self._newest(spark, due, batch.schema)), f"{self.path}/merged-{batch_id}",
+                              ["year", "month"])
+            valid |= {m: [(batch_id, f"merged-{batch_id}/year={m[0]}/month={m[1]}")] for m in due}
+        rows = [(*m, folder, number) for m, folders in valid.items() for number, folder in folders]
+        spark.createDataFrame(rows, self.COMMIT).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.path}/commits/batch={batch_id}")
+
+    def table(self, spark: SparkSession, schema) -> DataFrame:
+        """One row per key as of the newest commit, with ``year`` and ``month``."""
+        commits = spark.read.schema(f"{self.COMMIT}, batch bigint").parquet(f"{self.path}/commits")
+        last = commits.agg(F.max("batch")).first()[0]
+        valid = self._commit_of(spark, -1 if last is None else last)
+        merged = {m: folders for m, folders in valid.items() if len(folders) == 1}
+        parts = [self._newest(spark, months, schema)
+                 for months in (merged, {m: f for m, f in valid.items() if m not in merged}) if months]
+        return self._stamped(reduce(DataFrame.unionByName, parts, spark.createDataFrame([], schema)))
+
+
+class LateSplit:
+    """``foreachBatch`` writer that parts the rows behind the watermark from all others.
+
+    A row is late when its time is not after the watermark by which Spark judges its batch: the
+    latest time of the batches up to the one before the last, less the delay. So the late rows are
+    the ones that a stateful operator of the same stream drops. Rows without a time are not late.
+    A batch carries one number and replaces its own folders when it runs again.
     """
 
-    def __init__(self, path: str, time: str = "window_start"):
-        self.path, self.time = path, time
+    def __init__(self, time: str, delay: str, base: str):
+        self.time, self.delay, self.base = time, delay, base
+
+    def _high(self, spark: SparkSession, batch_id: int):
+        """Latest time of all batches up to ``batch_id``; a single value."""
+        if batch_id < 0:
+            return None
+        try:
+            return spark.read.schema("high timestamp").parquet(f"{self.base}/high/batch={batch_id}").first()["high"]
+        except AnalysisException:
+            raise RuntimeError(f"the latest time of batch {batch_id} is missing under {self.base}") from None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumns({
-            "year": F.year(self.time), "month": F.month(self.time), "batch": F.lit(batch_id)})
-        overwrite_partitions(stamped, self.path, ["year", "month", "batch"])
+        spark = batch.sparkSession
+        time = F.col(self.time)
+        judged = F.lit(self._high(spark, batch_id - 2)).cast("timestamp") - F.expr(f"INTERVAL {self.delay}")
+        late = F.coalesce(time <= judged, F.lit(False))
+        with persisted(batch) as kept:
+            kept.filter(~late).write.mode("overwrite").parquet(f"{self.base}/kept/batch={batch_id}")
+            kept.filter(late).write.mode("overwrite").parquet(f"{self.base}/late/batch={batch_id}")
+            before = F.lit(self._high(spark, batch_id - 1)).cast("timestamp")
+            kept.agg(F.greatest(F.max(time), before).alias("high")).write.mode("overwrite").parquet(
+                f"{self.base}/high/batch={batch_id}")
+
+    def tables(self, spark: SparkSession, schema) -> tuple[DataFrame, DataFrame]:
+        """Kept rows and late rows of all batches."""
+        read = spark.read.schema(schema)
+        return read.parquet(f"{self.base}/kept/batch=*"), read.parquet(f"{self.base}/late/batch=*")
 
 
 PROGRESS_SCHEMA = (
