@@ -70,7 +70,7 @@ def test_word_count(spark):
 
 def test_flat_map_filter(spark):
     df = pairs(spark, [("anchor", 640), ("buoy", 90), ("chain", 101)])
-    out = P.flat_map(df, lambda r: [(r["k"],)] if r["v"] > 100 else [], "k string")
+    out = P.flat_map(df, lambda k, v: [(k,)] if v > 100 else [], ["k", "v"], "k string")
     assert rows(out) == [("anchor",), ("chain",)]
 
 

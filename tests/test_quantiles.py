@@ -28,7 +28,7 @@ def numbers(spark):
         F.when(F.col("id") % 2 == 0, -F.sqrt("id")).alias("gaps"))
 
 
-@pytest.mark.parametrize("options", [{}, {"accuracy": 20}, {"accuracy": 100, "max_group_rows": 5, "rows_per_chunk": 40}])
+@pytest.mark.parametrize("options", [{}, {"k": 20}, {"k": 100, "max_group_rows": 5, "rows_per_chunk": 40}])
 def test_equals_sorted_values(numbers, options):
     found = exact_quantiles(numbers, {c: PROBABILITIES for c in numbers.columns}, **options)
     local = numbers.toPandas()

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import random
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from contextlib import contextmanager
 from itertools import product
 from typing import NamedTuple
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -18,6 +23,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -25,11 +31,13 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tidewater.functions.expressions import hash_percent
 from tidewater.operators.layout import persisted
+from tidewater.sources.stores import open_store
 
 SEED = 42
 
@@ -79,9 +87,42 @@ def fit_score(train: DataFrame, test: DataFrame, kind: str, **params) -> DataFra
     return fit(estimator(kind, **params), train).transform(test)
 
 
-def score_in_batches(model: Model, df: DataFrame) -> DataFrame:
-    """Predictions for a table; the model is shipped once per executor, rows stay where they are."""
-    return model.transform(df)
+def save_weights(model: Model, path: str) -> None:
+    """Coefficients, intercept and threshold of a binary linear classifier as one JSON file."""
+    store, inner = open_store(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    saved = {"coefficients": model.coefficients.toArray().tolist(), "intercept": float(model.intercept),
+             "threshold": float(model.getThreshold())}
+    with store.open_output_stream(inner) as sink:
+        sink.write(json.dumps(saved).encode())
+
+
+def linear_loader(path: str) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+    """A loader of saved weights: it reads the file and returns the function that scores a chunk of rows."""
+    def load():
+        store, inner = open_store(path)
+        with store.open_input_stream(inner) as source:
+            saved = json.loads(source.read())
+        weights, threshold = np.array(saved["coefficients"]), saved["threshold"]
+
+        def predict(rows: np.ndarray) -> np.ndarray:
+            probability = 1 / (1 + np.exp(-(rows @ weights + saved["intercept"])))
+            return (probability > threshold).astype(np.float64)
+
+        return predict
+
+    return load
+
+
+def score_in_batches(df: DataFrame, load: Callable[[], Callable], features: Column, size: int,
+                     output: str = "prediction", batch_size: int = 4096) -> DataFrame:
+    """Predictions of ``features`` (an array column of length ``size``), in chunks of ``batch_size`` rows.
+
+    ``load`` runs once per Python worker, which keeps what it returns for all its tasks; rows stay
+    in their partitions.
+    """
+    predict = predict_batch_udf(load, return_type=DoubleType(), batch_size=batch_size, input_tensor_shapes=[[size]])
+    return df.withColumn(output, predict(features))
 
 
 def grid(est: Estimator, values: dict[str, Sequence]) -> list[dict]:
@@ -123,15 +164,47 @@ class Validated(NamedTuple):
     best_model: Model
 
 
+def in_parallel(spark: SparkSession, trials: Sequence[Callable[[], float]], parallelism: int = 4) -> list[float]:
+    """Results of trials that run at the same time, at most ``parallelism`` of them.
+
+    Every trial's jobs form a job group in a scheduler pool of its own, so with the FAIR scheduler
+    trials share the executors evenly. When one fails, the others are cancelled and the error is raised.
+    """
+    context = spark.sparkContext
+    name = f"trials-{uuid.uuid4().hex}"
+
+    def run(number: int, trial: Callable[[], float]) -> float:
+        context.setJobGroup(f"{name}-{number}", f"trial {number}", interruptOnCancel=True)
+        context.setLocalProperty("spark.scheduler.pool", f"{name}-{number}")
+        try:
+            return trial()
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(run), i, trial) for i, trial in enumerate(trials)]
+        done, _ = wait(running, return_when=FIRST_EXCEPTION)
+        failed = next((f for f in running if f in done and f.exception()), None)
+        if failed is not None:
+            for i, other in enumerate(running):
+                other.cancel()
+                context.cancelJobGroup(f"{name}-{i}")
+            raise failed.exception()
+        return [f.result() for f in running]
+
+
 def validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator: Evaluator, key: str,
-              ratio: float = 0.8) -> Validated:
-    """Best parameters on one train/validation split, refit on all rows.
+              ratio: float = 0.8, parallelism: int = 4) -> Validated:
+    """Best parameters on one train/validation split, refit on all rows; trials run at the same time.
 
     The split hashes the row key, so it does not change when the table is partitioned differently.
     """
     held_out = hash_percent(F.col(key), 9_999) >= int(ratio * 9_999)
     with training_rows(df.filter(~held_out)) as train, persisted(df.filter(held_out)) as validation:
-        metrics = [float(evaluator.evaluate(est.fit(train, m).transform(validation))) for m in maps]
+        def trial(m: dict) -> Callable[[], float]:
+            return lambda: float(evaluator.evaluate(est.fit(train, m).transform(validation)))
+
+        metrics = in_parallel(df.sparkSession, [trial(m) for m in maps], parallelism)
     best = (max if evaluator.isLargerBetter() else min)(range(len(maps)), key=metrics.__getitem__)
     return Validated(metrics, maps[best], fit(est.copy(maps[best]), df))
 

@@ -25,16 +25,32 @@ def vector_ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return ratio(numerator, denominator)
 
 
-def flat_map(df: DataFrame, fn: Callable[[dict], Iterable[tuple]], schema: str) -> DataFrame:
-    """Zero or more output rows per input row."""
+def flat_map(df: DataFrame, fn: Callable[..., Iterable[tuple]], inputs: Sequence[str], schema: str,
+             keep: Sequence[str] = ()) -> DataFrame:
+    """Zero or more output rows per input row: an Arrow table function in a lateral join.
+
+    ``fn`` takes the values of the columns ``inputs`` and yields rows of ``schema``; the columns
+    ``keep`` of the input row stand beside each of them.
+    """
+    class Rows:
+        def eval(self, *values):
+            yield from fn(*values)
+
+    table = F.udtf(Rows, returnType=schema, useArrow=True)
+    made = df.lateralJoin(table(*[F.col(c).outer() for c in inputs]))
     names = [f.split()[0] for f in schema.split(",")]
+    return made.select(*[df[c] for c in keep], *names)
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [out for row in frame.to_dict("records") for out in fn(row)]
-            yield pd.DataFrame(rows, columns=names)
 
-    return df.mapInPandas(batches, schema)
+def group_rows(df: DataFrame, handler: type, keys: Sequence[str], order: Sequence[str], schema: str) -> DataFrame:
+    """Rows that a table function makes of each group, as SQL's TABLE argument PARTITION BY keys ORDER BY.
+
+    ``handler`` has ``eval(row)`` and ``terminate()``, which yield rows of ``schema``, and a fresh
+    instance per group. It sees the rows one by one in order, so a group of any length takes the
+    memory of its state only; but one task reads a whole group, as the order asks for.
+    """
+    table = F.udtf(handler, returnType=schema)
+    return table(df.asTable().partitionBy(*keys).orderBy(*order))
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -58,7 +58,7 @@ def trip_checks() -> list[Check]:
         Check("fare_positive", fare > 0, "fare is above 0"),
         Check("fare_range", fare.between(0.5, 1000), "fare is within 0.5 to 1000"),
         Check("distance_non_neg", distance >= 0, "distance is not negative"),
-        Check("payment_valid", F.col("payment_type").between(1, 6), "payment type is 1 to 6"),
+        Check("payment_valid", F.col("payment_type").isin(1, 2, 3, 4, 5, 6), "payment type is 1 to 6"),
         Check("pickup_before_dropoff", F.col("pickup_ts") < F.col("dropoff_ts"),
               "pickup comes before dropoff"),
         Check("reasonable_duration", seconds.between(60, 7200), "trip takes 1 to 120 minutes"),

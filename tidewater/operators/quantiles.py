@@ -11,39 +11,48 @@ from pyspark.sql import functions as F
 from tidewater.operators.layout import persisted
 from tidewater.operators.windows import running_sum, with_windows
 
-SKETCH_ACCURACY = 1_000
+#: Size parameter of the sketches; the largest that Spark takes.
+SKETCH_K = 65_535
+#: Half widths of the bracket around a quantile, in shares of all rows. The sketch is off by less than
+#: the first in about 94 of 100 cases and by less than the second in practice always.
+MARGINS = (5e-5, 1e-3, 1.0)
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], accuracy: int = SKETCH_ACCURACY,
-                    **window_options) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], k: int = SKETCH_K,
+                    margins: Sequence[float] = MARGINS, **window_options) -> dict[str, list[float | None]]:
     """The smallest value whose share of rows up to it reaches each probability, per column.
 
-    A sketch of all columns brackets every quantile; its size depends on ``accuracy``, not on the
+    A mergeable KLL sketch per column brackets every quantile; its size depends on ``k``, not on the
     table. A second pass keeps the values inside the brackets with their counts and folds all
     smaller values into one, so a frequent value is one row before the shuffle. A running sum
-    then finds the exact position. Only one number per quantile reaches the driver. Nulls
-    and NaN are missing values; a column without others gives None.
+    then finds the exact position. A bracket that missed its rank is widened and searched again. Only
+    some numbers per quantile reach the driver. Nulls and NaN are missing values; a column without
+    others gives None.
     """
-    margin = 2 / accuracy
-    measures = []
+    sketched, numbers = [], []
     for c, probabilities in wanted.items():
-        edges = [edge for p in probabilities for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
         value = _number(c)
-        measures += [F.count(value).alias(f"n_{c}"), F.percentile_approx(value, edges, accuracy).alias(f"q_{c}")]
-    sketch = df.agg(*measures).first()
+        sketched += [F.count(value).alias(f"n_{c}"), F.kll_sketch_agg_double(value, F.lit(k)).alias(f"s_{c}")]
+        edges = [min(max(p + side * m, 0.0), 1.0) for p in probabilities for m in margins[:-1] for side in (-1, 1)]
+        asked = F.array(*[F.kll_sketch_get_quantile_double(f"s_{c}", F.lit(e)) for e in edges]) if edges else F.array()
+        numbers += [f"n_{c}", F.when(F.col(f"n_{c}") > 0, asked).alias(f"q_{c}")]
+    sketch = df.agg(*sketched).select(*numbers).first()
 
-    targets = []
-    for c, probabilities in wanted.items():
-        for i, p in enumerate(probabilities):
-            if sketch[f"n_{c}"]:
-                low, high = sketch[f"q_{c}"][2 * i], sketch[f"q_{c}"][2 * i + 1]
-                rank = max(math.ceil(p * sketch[f"n_{c}"]), 1)
-                targets.append((c, i, rank, low if p > margin else -math.inf, high if p + margin < 1 else math.inf))
-    found = _refine(df, targets, window_options)
-    # The sketch keeps its error bound, so this repeats nothing unless a bracket missed its rank.
-    missed = [t for t in targets if found.get(t[:2]) is None]
-    if missed:
-        found |= _refine(df, [(*t[:3], -math.inf, math.inf) for t in missed], window_options)
+    def bracket(c: str, i: int, p: float, step: int) -> tuple[float, float]:
+        if step == len(margins) - 1:
+            return -math.inf, math.inf
+        at = 2 * (i * (len(margins) - 1) + step)
+        low, high = sketch[f"q_{c}"][at:at + 2]
+        return low if p > margins[step] else -math.inf, high if p + margins[step] < 1 else math.inf
+
+    waiting = [(c, i, p) for c, ps in wanted.items() for i, p in enumerate(ps) if sketch[f"n_{c}"]]
+    found: dict[tuple[str, int], float] = {}
+    for step in range(len(margins)):
+        targets = [(c, i, max(math.ceil(p * sketch[f"n_{c}"]), 1), *bracket(c, i, p, step)) for c, i, p in waiting]
+        found |= _refine(df, targets, window_options)
+        waiting = [w for w in waiting if found.get(w[:2]) is None]
+        if not waiting:
+            break
     return {c: [found.get((c, i)) for i in range(len(ps))] for c, ps in wanted.items()}
 
 

@@ -479,13 +479,51 @@ def udf_pandas(t):
 @query("udtf_flatmap", """
     SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part WHERE p_retailprice > 910""")
 def udtf_flatmap(t):
-    def words(row):
-        if row["p_retailprice"] > 910:
-            for word in row["p_name"].split(" "):
-                yield row["p_partkey"], word
-
-    return P.flat_map(t.part.select("p_partkey", "p_name", "p_retailprice"), words,
-                      "p_partkey bigint, word string")
+    def words(name, price):
+        if price is not None and price > 910:
+            for word in (name or "").split(" "):
+                yield (word,)
+
+    return P.flat_map(t.part.select("p_partkey", "p_name", "p_retailprice"), words, ["p_name", "p_retailprice"],
+                      "word string", keep=["p_partkey"])
+
+
+class LongestStreak:
+    """Longest run of equal event types in a group, and where it begins; the first of several."""
+
+    def __init__(self):
+        self.user, self.kind, self.first, self.length = None, None, None, 0
+        self.best = (0, None, None)
+
+    def eval(self, row):
+        if self.length and row["event_type"] == self.kind:
+            self.length += 1
+        else:
+            self.kind, self.first, self.length = row["event_type"], row["event_id"], 1
+        self.user = row["user_id"]
+        if self.length > self.best[0]:
+            self.best = self.length, self.kind, self.first
+
+    def terminate(self):
+        length, kind, first = self.best
+        yield self.user, kind, first, length
+
+
+@query("udtf_partitioned", """
+    WITH runs AS (
+      SELECT user_id, event_type, event_id,
+             row_number() OVER (PARTITION BY user_id ORDER BY event_id)
+             - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS run FROM events),
+    streaks AS (
+      SELECT user_id, event_type, min(event_id) AS first_event, count(*) AS length FROM runs
+      GROUP BY user_id, event_type, run)
+    SELECT user_id, event_type, first_event, length FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY length DESC, first_event) AS rn FROM streaks)
+    WHERE rn = 1""")
+def udtf_partitioned(t):
+    """Longest streak of one event type per user, by a table function over partitions of its table argument."""
+    return P.group_rows(t.events.select("user_id", "event_type", "event_id"), LongestStreak, ["user_id"], ["event_id"],
+                        "user_id bigint, event_type string, first_event bigint, length bigint")
 
 
 @query("udaf_custom", """

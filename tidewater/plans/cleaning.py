@@ -13,6 +13,8 @@ from tidewater.operators.sampling import split_column
 from tidewater.plans.registry import query
 from tidewater.plans.scalars import RIDES
 from tidewater.plans.tables import EMPLOYEES, READINGS, SENSORS, TRIPS
+from tidewater.session import scratch_path
+from tidewater.sources.files import write_table
 from tidewater.streaming.aggregates import ride_columns
 
 _KEYS = ["order_key", "vendor_id", "do_zone"]
@@ -123,18 +125,31 @@ def etl_transform(t):
     return C.clean_trips(Q.require_columns(t.trips, ["fare", "pickup_ts", "distance"]))
 
 
-@query("taxi_clean", f"""
+CARD_TRIP = """fare > 0 AND distance > 0 AND passengers > 0 AND passengers <= 6 AND payment_type = 1
+               AND pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL"""
+
+
+def _card_trip():
+    """Complete trips with plausible values, paid by card, so that their tip is known."""
+    return X.all_of([F.col("fare") > 0, F.col("distance") > 0, F.col("passengers") > 0, F.col("passengers") <= 6,
+                     F.col("payment_type") == 1, F.col("pickup_ts").isNotNull(), F.col("dropoff_ts").isNotNull()])
+
+
+@query("taxi_clean", f"WITH {TRIPS} SELECT * FROM trips WHERE {CARD_TRIP}")
+def taxi_clean(t):
+    """The cleaned trips, written as Parquet and read back."""
+    path = scratch_path(t.spark, "taxi-clean")
+    write_table(t.trips.filter(_card_trip()), path)
+    return t.spark.read.parquet(path)
+
+
+@query("taxi_clean_counts", f"""
     WITH {TRIPS},
-    tally AS (
-      SELECT count(*) AS raw_rows, count(*) FILTER (
-               fare > 0 AND distance > 0 AND passengers > 0 AND passengers <= 6 AND payment_type = 1
-               AND pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL) AS clean_rows FROM trips)
+    tally AS (SELECT count(*) AS raw_rows, count(*) FILTER ({CARD_TRIP}) AS clean_rows FROM trips)
     SELECT raw_rows, clean_rows, raw_rows - clean_rows AS dropped,
            round(CAST((raw_rows - clean_rows) / raw_rows * 100 AS DECIMAL(38, 10)), 1)::DOUBLE AS dropped_pct FROM tally""")
-def taxi_clean(t):
-    keep = X.all_of([F.col("fare") > 0, F.col("distance") > 0, F.col("passengers") > 0, F.col("passengers") <= 6,
-                     F.col("payment_type") == 1, F.col("pickup_ts").isNotNull(), F.col("dropoff_ts").isNotNull()])
-    tally = t.trips.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(keep).alias("clean_rows"))
+def taxi_clean_counts(t):
+    tally = t.trips.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(_card_trip()).alias("clean_rows"))
     dropped = F.col("raw_rows") - F.col("clean_rows")
     return tally.select("raw_rows", "clean_rows", dropped.alias("dropped"),
                         F.round(dropped / F.col("raw_rows") * 100, 1).alias("dropped_pct"))

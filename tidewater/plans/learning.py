@@ -491,11 +491,19 @@ def model_save_load(t):
                     F.count_if(F.col("first") != F.col("prediction")).alias("different"))
 
 
-@query("batch_inference")
+@query("batch_inference", f"""
+    WITH {RIDES_ML}
+    SELECT CASE WHEN tip / fare > 0.20 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, count(*) AS n, 0::BIGINT AS different
+    FROM ml WHERE CAST(('0x' || substr(md5(ride || '#42'), 1, 7)) AS BIGINT) % 10000 >= 8000 GROUP BY 1""")
 def batch_inference(t):
+    """Test rows per label, scored in chunks by a model that each worker loads once; none may differ from the model's own."""
     train, test = Tasks(t).classification
     model = L.fit(L.estimator("logistic_regression"), train)
-    return L.score_in_batches(model, test).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(t.spark, "weights") + "/weights.json"
+    L.save_weights(model, path)
+    own = model.transform(test).withColumn("own", F.col("prediction")).drop("prediction")
+    scored = L.score_in_batches(own, L.linear_loader(path), vector_to_array("features"), model.numFeatures)
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own") != F.col("prediction")).alias("different"))
 
 
 @query("run_leaderboard", f"""

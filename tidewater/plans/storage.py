@@ -288,17 +288,32 @@ def gold_zone_performance(t):
 
 @query("lake_layers", f"""
     WITH {SILVER}
-    SELECT strftime(pickup_ts, '%Y-%m-%d') AS date, count(*) AS trips, count(DISTINCT pu_zone) AS active_zones
-    FROM silver GROUP BY 1""")
+    SELECT 'daily' AS gold, year(pickup_ts) AS year, month(pickup_ts) AS month,
+           strftime(pickup_ts, '%Y-%m-%d') AS key, count(*) AS trips, count(DISTINCT pu_zone) AS active_zones
+    FROM silver GROUP BY ALL
+    UNION ALL
+    SELECT 'zones', year(pickup_ts), 0, CAST(pu_zone AS VARCHAR), count(*), 0 FROM silver GROUP BY ALL""")
 def lake_layers(t):
-    """Bronze, silver and gold tables written and read in turn, partitioned by year and month."""
+    """Bronze, silver and both gold tables written and read in turn.
+
+    Bronze, silver and the daily table are partitioned by year and month, the zone table by year.
+    """
     base = scratch_path(t.spark, "lake")
     lake.bronze_ingest(trips_of(t.lineitem), f"{base}/bronze", "pickup_ts")
     silver = lake.silver_trips(t.spark.read.parquet(f"{base}/bronze"))
     files.write_partitioned(silver, f"{base}/silver", ["_year", "_month"])
-    gold = lake.daily_kpis(t.spark.read.parquet(f"{base}/silver"))
-    files.write_table(gold, f"{base}/gold")
-    return t.spark.read.parquet(f"{base}/gold").select(F.col("date").cast("string").alias("date"), "trips", "active_zones")
+    silver = t.spark.read.parquet(f"{base}/silver")
+    daily = lake.daily_kpis(silver).withColumns({"_year": F.year("date"), "_month": F.month("date")})
+    files.write_partitioned(daily, f"{base}/gold/daily_kpis", ["_year", "_month"])
+    zones = lake.zone_performance(silver).withColumnRenamed("year", "_year")
+    files.write_partitioned(zones, f"{base}/gold/zone_performance", ["_year"])
+    year, month = F.col("_year").cast("bigint").alias("year"), F.col("_month").cast("bigint").alias("month")
+    none = F.lit(0).cast("bigint")
+    return t.spark.read.parquet(f"{base}/gold/daily_kpis").select(
+        F.lit("daily").alias("gold"), year, month, F.col("date").cast("string").alias("key"), "trips", "active_zones"
+    ).unionByName(t.spark.read.parquet(f"{base}/gold/zone_performance").select(
+        F.lit("zones").alias("gold"), year, none.alias("month"), F.col("pu_zone").cast("string").alias("key"), "trips",
+        none.alias("active_zones")))
 
 
 @query("temp_views", """

@@ -271,6 +271,47 @@ def st_late_side_output(t):
         "event_id", "sensor_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "late")
 
 
+@query("st_batch_reports", f"""
+    WITH {READINGS},
+    numbered AS (
+      SELECT *, (row_number() OVER (ORDER BY event_id) - 1)
+             // ((SELECT count(*) FROM readings) // {LATE_BATCHES} + 1) AS batch FROM readings),
+    judged AS (
+      SELECT *, CASE WHEN event_time IS NULL THEN 'bad_time' WHEN temperature IS NULL THEN 'missing'
+                     WHEN temperature NOT BETWEEN -20 AND 100 OR humidity NOT BETWEEN 0 AND 100 THEN 'range'
+                     ELSE 'ok' END AS fault FROM numbered)
+    SELECT batch, count(*) AS received, count(*) FILTER (fault = 'bad_time') AS invalid_timestamp,
+           count(*) FILTER (fault = 'missing') AS missing_value, count(*) FILTER (fault = 'range') AS out_of_range,
+           count(*) FILTER (fault = 'ok') - count(DISTINCT (sensor_id, "timestamp")) FILTER (fault = 'ok') AS duplicates,
+           count(DISTINCT (sensor_id, "timestamp")) FILTER (fault = 'ok') AS clean,
+           count(DISTINCT sensor_id) FILTER (fault = 'ok' AND status = 'click') AS active_sensors,
+           max(temperature) FILTER (fault = 'ok') AS max_temperature
+    FROM judged GROUP BY batch""")
+def st_batch_reports(t):
+    """Counters and analytics of each micro-batch of a log, written by batch and read as one table."""
+    base = scratch_path(t.spark, "reports")
+    payload = ["event_id", "sensor_id", "timestamp", "temperature", "humidity", "status"]
+    records = t.readings.select(
+        F.col("sensor_id").cast("binary").alias("key"), F.to_json(F.struct(*payload)).cast("binary").alias("value"),
+        F.lit(0).alias("partition"), F.current_timestamp().alias("timestamp"), "event_id")
+    append_log(records, f"{base}/log", ["event_id"], segment_records=LOG_SEGMENT)
+    per_batch = t.readings.count() // LATE_BATCHES + 1
+    stream = parse_records(log_stream(t.spark, f"{base}/log", f"{base}/checkpoint", maxOffsetsPerTrigger=per_batch),
+                           "event_id bigint, " + SENSOR_SCHEMA, event_time_from="timestamp")
+
+    def report(batch: DataFrame, batch_id: int) -> None:
+        ok = plausible_sensors(batch.filter(F.col("event_time").isNotNull() & F.col("temperature").isNotNull()))
+        with persisted(batch):
+            analytics = ok.agg(
+                F.count_distinct(F.when(F.col("status") == "click", F.col("sensor_id"))).alias("active_sensors"),
+                F.max("temperature").alias("max_temperature"))
+            sensor_audit(batch).crossJoin(analytics).write.mode("overwrite").parquet(f"{base}/reports/batch={batch_id}")
+
+    sinks.run_through(sinks.start_query(stream, f"{base}/checkpoint", each_batch=report, every="0 seconds"))
+    found = t.spark.read.parquet(f"{base}/reports")
+    return found.withColumn("batch", F.col("batch").cast("bigint"))
+
+
 @query("st_anomaly_stream", f"""
     WITH {RIDES}, scored AS (
       SELECT order_key, vendor_id, do_zone, CAST({SCORE} AS BIGINT) AS score, {TRIGGERED} AS rules FROM rides)

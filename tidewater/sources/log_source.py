@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tidewater.operators.windows import row_number, with_windows
+from tidewater.sources.stores import open_store
 
 FORMAT = "record-log"
 RECORD = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
@@ -30,13 +31,6 @@ RECORD_TYPES = pa.schema([
 SEGMENT_RECORDS = 1_000_000
 
 
-def open_store(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 def _folders(store: fs.FileSystem, path: str, label: str) -> dict[int, str]:
     """Folders named ``label=<number>`` under a path, by number in order."""
     listed = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
