@@ -138,6 +138,12 @@ def combinations(values: dict[str, Sequence]) -> list[dict]:
     return [dict(zip(values, combo)) for combo in product(*values.values())]
 
 
+def random_combinations(values: dict[str, Sequence], trials: int, seed: int = SEED) -> list[dict]:
+    """``trials`` different combinations drawn with a seed, or all of them if there are fewer."""
+    every = combinations(values)
+    return random.Random(seed).sample(every, min(trials, len(every)))
+
+
 def random_grid(est: Estimator, ranges: dict[str, Sequence], trials: int, seed: int = SEED) -> list[dict]:
     """``trials`` parameter maps drawn with a seed from the given options."""
     draw = random.Random(seed)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import (
+    BinaryClassificationEvaluator, ClusteringEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from tidewater.functions import expressions as X
 from tidewater.ml import evaluation as E
 from tidewater.ml import features as M
 from tidewater.ml import models as L
+from tidewater.ml import perceptron as N
 from tidewater.ml import statistics as ST
 from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column, split_two
@@ -346,9 +348,35 @@ def tree_regressors(t):
 @query("mlp_classifier")
 def mlp_classifier(t):
     train, test = Tasks(t).points
-    width = t.embeddings.agg(F.max(F.size("embedding")).alias("w")).first()["w"]
     classes = int(t.embeddings.agg(F.max("label").alias("m")).first()["m"]) + 1
-    return E.class_report(L.fit_score(train, test, "mlp", layers=[width, 64, classes]))
+    features = vector_to_array("features")
+    weights = N.train(train, "vec_id", features, "label", classes, hidden=64, dropout=0.2, epochs=8)
+    return E.class_report(N.with_classes(test, weights, features).select("label", "prediction"))
+
+
+#: The choices that the search draws from.
+SEARCH = {"rate": [0.003, 0.01, 0.03], "hidden": [32, 64, 128], "batches": [2, 4, 8]}
+
+
+@query("random_search_perceptron")
+def random_search_perceptron(t):
+    """F1 of perceptrons with learning rate, width and mini-batches drawn at random; trials run at the same time."""
+    train, test = Tasks(t).points
+    classes = int(t.embeddings.agg(F.max("label").alias("m")).first()["m"]) + 1
+    features = vector_to_array("features")
+    trials = L.random_combinations(SEARCH, 4)
+    evaluator = MulticlassClassificationEvaluator(metricName="f1")
+
+    def trial(options: dict):
+        def run() -> float:
+            weights = N.train(train, "vec_id", features, "label", classes, epochs=6, **options)
+            return evaluator.evaluate(N.with_classes(test, weights, features).select("label", "prediction").dropna())
+        return run
+
+    scores = L.in_parallel(t.spark, [trial(o) for o in trials])
+    best = max(range(len(trials)), key=scores.__getitem__)
+    rows = [(i, o["rate"], o["hidden"], o["batches"], round(s, 6), i == best) for i, (o, s) in enumerate(zip(trials, scores))]
+    return t.spark.createDataFrame(rows, "trial bigint, rate double, hidden bigint, batches bigint, f1 double, best boolean")
 
 
 @query("kmeans")
