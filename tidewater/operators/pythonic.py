@@ -36,10 +36,12 @@ def flat_map(df: DataFrame, fn: Callable[..., Iterable[tuple]], inputs: Sequence
         def eval(self, *values):
             yield from fn(*values)
 
-    table = F.udtf(Rows, returnType=schema, useArrow=True)
-    made = df.lateralJoin(table(*[F.col(c).outer() for c in inputs]))
-    names = [f.split()[0] for f in schema.split(",")]
-    return made.select(*[df[c] for c in keep], *names)
+    fields = T.StructType.fromDDL(schema).fields
+    # Names of its own, so that a result may be called like an input.
+    made = T.StructType([T.StructField(f"_made{i}", f.dataType) for i, f in enumerate(fields)])
+    table = F.udtf(Rows, returnType=made, useArrow=True)
+    joined = df.lateralJoin(table(*[F.col(c).outer() for c in inputs]))
+    return joined.select(*keep, *[F.col(f"_made{i}").alias(f.name) for i, f in enumerate(fields)])
 
 
 def group_rows(df: DataFrame, handler: type, keys: Sequence[str], order: Sequence[str], schema: str) -> DataFrame:
