@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 
-from tidewater.llm.exact_dedup import Directory, exact_groups
+from tidewater.llm.exact_dedup import KEY_BITS, Buckets, Entry, build_index, exact_groups, index_entries, local_groups
 from tidewater.llm.line_dedup import dedup_lines
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -64,28 +64,53 @@ def test_exact_groups(spark):
     want = []
     for norm, members in groups.items():
         keep = min(members, key=lambda m: (-len(m[1]), m[0] is not None, m[0] or 0))[0]
-        want += [(i, keep, len(members), i == keep, hashlib.sha256(norm.encode()).hexdigest()) for i, _ in members]
+        want += [(i, keep, len(members), i == keep, hashlib.sha256(norm.encode()).hexdigest(), len(t)) for i, t in members]
     for bucket_bytes in (16 << 20, 40):
         found = sorted(map(tuple, exact_groups(docs, bucket_bytes).collect()), key=repr)
         assert found == sorted(want, key=repr)
     assert exact_groups(docs.limit(0)).collect() == []
 
 
-def test_repeated_rows_are_all_kept(spark):
-    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "ab")], "doc_id long, text string")
-    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_groups(docs).collect()) == [
-        (1, 1, 3, True), (1, 1, 3, True), (2, 1, 3, False)]
+def test_one_row_of_each_text_is_kept(spark):
+    def found(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(((r.doc_id, r.chars, r.keep_id, r.group_size, r.kept) for r in exact_groups(docs).collect()), key=repr)
 
+    assert found([(1, "a b"), (1, "ab"), (2, "ab")]) == [(1, 2, 1, 3, False), (1, 3, 1, 3, True), (2, 2, 1, 3, False)]
+    assert found([(None, "ab"), (None, "a b"), (3, "ab ")]) == sorted(
+        [(None, 2, None, 3, False), (None, 3, None, 3, True), (3, 3, None, 3, False)], key=repr)
+    twice = found([(1, "a b"), (1, "a b"), (2, "ab")])
+    assert [r[:4] for r in twice] == [(1, 3, 1, 3), (1, 3, 1, 3), (2, 2, 1, 3)] and sum(r[4] for r in twice) == 1
 
-def test_directory_splits_overfull_buckets():
+
+def test_buckets_split_and_the_directory_doubles():
     rng = np.random.default_rng(1)
-    histogram = rng.integers(0, 100, 256)
-    histogram[7] = 5000
-    directory = Directory(histogram, 900)
-    keys = np.arange(256, dtype=np.int64) << 24
-    bucket = directory.buckets(keys)
-    assert directory.depth == 8 and (np.diff(bucket) >= 0).all()
-    held = np.bincount(bucket, histogram)
-    assert held[np.arange(len(held)) != bucket[7]].max() <= 900
-    assert (bucket == bucket[7]).sum() == 1
-    assert Directory(np.array([1, 1]), 900).buckets(keys).max() == 0
+    keys = np.sort(np.concatenate([rng.integers(0, 1 << KEY_BITS, 300), np.full(40, 12345), rng.integers(1 << 30, (1 << 30) + 50, 60)]))
+    for first_depth in (0, 2, 5):
+        written = []
+        buckets = Buckets(100, first_depth, lambda prefix, depth, entries: written.append((prefix, depth, entries)))
+        for i, key in enumerate(keys.tolist()):
+            buckets.insert(Entry(key, b"", i, b"x" * 10, []))
+        buckets.close()
+        # Every entry once, in the bucket of its prefix; buckets do not overlap; only one key may overfill one.
+        assert [e.chain for _, _, entries in written for e in entries] == list(range(len(keys)))
+        ends = -1
+        for prefix, depth, entries in written:
+            assert all(e.key >> (KEY_BITS - depth) == prefix for e in entries)
+            assert prefix << (KEY_BITS - depth) > ends
+            ends = ((prefix + 1) << (KEY_BITS - depth)) - 1
+            assert len(entries) <= 10 or len({e.key for e in entries}) == 1
+        assert max(depth for _, depth, _ in written) == buckets.depth > first_depth
+
+
+def test_membership_comes_from_the_bucket_files(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i % 90}") for i in range(400)], "doc_id long, text string").repartition(3)
+    local = local_groups(docs.select("doc_id", "text")).cache()
+    directory = build_index(local, f"{tmp_path}/index", capacity=200)
+    rows = directory.collect()
+    assert len(rows) > 20 and sum(r["entries"] for r in rows) == 90
+    assert all(r["bytes"] <= 200 for r in rows) and len({(r["prefix"], r["depth"]) for r in rows}) == len(rows)
+    entries = index_entries(directory).collect()
+    assert sorted(r["grp"] for r in entries) == sorted(r["grp"] for r in local.collect())
+    assert len({(bytes(r["digest"]), r["chain"]) for r in entries}) == 90
+    local.unpersist()
