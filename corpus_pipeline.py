@@ -38,13 +38,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts; of repeats of one row, one."""
+    """One document of each group of equal texts: the longest original; of repeats of one row, one."""
     kept = exact_dedup.exact_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]", ""), 256)
-    marked = docs.withColumn("_sha", digest).withColumn("_id", F.col("doc_id"))
-    return marked.join(kept, marked["_id"].eqNullSafe(kept["_id"]) & (marked["_sha"] == kept["_sha"]), "left_semi"
-                       ).dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("chars").alias("_chars"))
+    text = F.coalesce("text", F.lit(""))
+    digest = F.sha2(F.regexp_replace(text, "[\\x20\\x09-\\x0D]", ""), 256)
+    marked = docs.withColumns({"_sha": digest, "_id": F.col("doc_id"), "_chars": F.length(text).cast("bigint")})
+    same = marked["_id"].eqNullSafe(kept["_id"]) & (marked["_sha"] == kept["_sha"]) & (marked["_chars"] == kept["_chars"])
+    return marked.join(kept, same, "left_semi").dropDuplicates(["_id", "_sha", "_chars"]).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
