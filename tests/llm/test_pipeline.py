@@ -57,6 +57,9 @@ def test_dedup_stages(spark):
     want = sorted((min(v)[3] for v in squeezed.values()), key=repr)
     assert sorted((r.doc_id for r in unique.collect()), key=repr) == want
 
+    forms = spark.createDataFrame([(1, "a b"), (1, "ab"), (2, "ab"), (3, "c"), (3, "c")], "doc_id long, text string")
+    assert sorted(map(tuple, P.without_copies(spark, forms, SF_DIR).collect())) == [(1, "a b"), (3, "c")]
+
     named = unique.filter("doc_id is not null")
     kept = sorted(r.doc_id for r in P.without_near_copies(spark, named, SF_DIR).collect())
     assert kept == [i for i, label, _, _ in brute([(r.doc_id, r.text) for r in named.collect()]) if i == label]
