@@ -36,7 +36,8 @@ from tidewater.llm.token_files import filesystem
 from tidewater.session import scratch_path
 
 BLANKS = b" \t\n\x0b\x0c\r"
-BUCKET_BYTES = 16 << 20
+SLICE = 4 << 20  # bytes of text collapsed at once, which bounds what a task holds beside a batch
+BUCKET_BYTES = 8 << 20
 KEY_BITS = 32
 
 LOCAL = ("grp bigint, digest binary, prefix bigint, body binary, size bigint, n bigint, best_chars bigint, "
@@ -52,7 +53,7 @@ def local_groups(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         number = TaskContext.get().partitionId() << 40
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             raw, ends = text_bytes(batch.column(1))
             raw = raw.tobytes()
             chars = batch.column(2).to_pylist()
@@ -79,6 +80,7 @@ def local_groups(docs: DataFrame) -> DataFrame:
                 pa.array([[chars[i] for i in rows] for rows in groups.values()], pa.list_(pa.int64()))],
                 [c.split(" ")[0] for c in LOCAL.split(", ")])
             number += len(groups)
+        pa.default_memory_pool().release_unused()
 
     source = texts_of(docs).withColumn("chars", F.length("text").cast("bigint"))
     return source.mapInArrow(run, LOCAL)
@@ -193,6 +195,7 @@ def build_index(local: DataFrame, root: str, capacity: int = BUCKET_BYTES) -> Da
         if writer is not None:
             writer.close()
             sink.close()
+        pa.default_memory_pool().release_unused()
         kinds = (pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int64())
         columns = zip(*found) if found else [[]] * len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
