@@ -29,8 +29,8 @@ from tidewater.llm.frames import slices, staged, text_bytes
 from tidewater.llm.text import PieceCache, assemble, list_offsets, offsets_of, ranges
 
 SLICE = 2 << 20
-MEMO_WINDOWS = 300_000
-MEMO_PIECES = 500_000
+MEMO_WINDOWS = 500_000
+MEMO_PIECES = 1_000_000
 #: Most pairs that are sent to every task; 17 bytes each.
 FREQUENT_PAIRS = 1 << 17
 SPACE = "▁"
@@ -268,6 +268,7 @@ def link_rows(docs: DataFrame, path_a: str, path_b: str, digest: bool, id_col: s
                  groups, pa.ListArray.from_arrays(ends, pa.array(found["pairs"], pa.int64())),
                  pa.ListArray.from_arrays(ends, pa.array(found["times"], pa.int32()))],
                 ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
+        pa.default_memory_pool().release_unused()
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("doc_id"),
                          F.coalesce(F.col(text_col), F.lit("")).alias("text"))
