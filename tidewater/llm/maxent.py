@@ -4,20 +4,26 @@ The next token depends on the words before it through hashed features: the last
 words together (n-grams), and the words two and three back (skips). The softmax is factored by
 classes: P(class | features), then P(word | class, features); all factors start from the corpus's own
 counts, so a model without weights is the smoothed unigram model. The most frequent words are members
-of 32 classes. One more class holds all other training words, as the leaves of a tree of classes of
-32, as deep as their number asks for; words that training did not have are one leaf of it.
-
-1. Slices of texts are staged as arrays of local word numbers with their distinct words, and with the
-   smallest hashes of their features, which tell how many distinct ones the corpus has.
-2. Counts of all training words are summed in the cluster and ranked there; a word's rank is its
-   number. Slices get numbers and counts of their words by a join on words.
-3. The weights are a table of blocks of rows, keyed by row; the masses of the tree's nodes are too.
-   One row stands for about ``LOAD`` distinct features of the corpus, so the table grows with it.
-   Each round deals part of the slices out. A slice asks for the rows of its features by a shuffle
-   on blocks, runs gradient steps over its training tokens, and the changes are averaged per row,
-   by a shuffle on blocks, over the slices that changed it. All rounds together use every training
-   token once. A task holds the rows that one slice needs.
-4. Slices get the rows of all their features in the same way and are scored.
+of 32 classes, with dense rows of weights by hashed feature, trained by gradient steps. One more
+class holds all other words. Inside it the features are pairs of hashes of the last word and the
+word: one weight for every pair that training has at least twice, so their table grows with the
+corpus. A pair is active for one context only, so the weight where its discounted likelihood is
+largest follows from counts: with c the pair's count, n that of the context and p the word's prior
+share, its factor is ((c - DISCOUNT) / p + rest) / (n + EXTRA), and rest / (n + EXTRA) for a pair
+without a weight, where ``rest`` is what discounting left over. Shares sum to one in every context.
+
+1. Slices of texts are staged as arrays of local word numbers with their distinct words.
+2. Each slice sends its words with their counts to groups by word hash, which sum them and answer
+   each slice with its words' counts in the corpus.
+3. Rounds of gradient steps, each over part of the slices: a slice starts from the round's weights,
+   and changes are averaged per row over the slices that changed it. All rounds together use every
+   training token once. These tables have a fixed size and go to all tasks.
+4. Each slice sends its pairs to groups by hashed context, four bytes a pair, which sum them and
+   answer each slice. The followers of a word met over ``HOT`` times are dealt over several groups.
+5. Slices come together with both answers and are scored.
+
+A group holds its share of the pairs or words of each slice; groups are as many as the tokens ask
+for. What stands in every slice costs its group about ten bytes a slice.
 """
 
 from __future__ import annotations
@@ -42,26 +48,51 @@ from tidewater.llm.text import list_offsets, offsets_of
 MEMBERS, CLASSES = 32, 32
 VOCABULARY = MEMBERS * CLASSES - 1  # and the end of a text
 RARE = CLASSES
-CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 15  # of a model that is not learned from a corpus
-LOAD, SKETCH, BLOCK_ROWS = 256, 1024, 1 << 12
-ROUNDS, BATCH, RATE = 4, 16_384, 0.1
-SLICE = 8 << 20
+CLASS_ROWS, MEMBER_ROWS = 1 << 13, 1 << 15
+ROUNDS, BATCH, RATE, STRIPES = 4, 16_384, 0.1, 16
+PAIR_MIN, DISCOUNT, EXTRA = 2, 0.75, 1.0
+SLICE, HOT, GROUP = 8 << 20, 1 << 22, 1 << 20
 LONG_RUN = 48
 CONTEXT = 3
-
-SLICES = ("chunk bigint, doc_ids array<bigint>, counts array<bigint>, codes binary, hashes binary, "
-          "words array<string>, known array<bigint>, sketch array<bigint>, round int")
-BLOCKS = "name string, stripe int, chunk bigint, keys binary, data binary"
+BLANK = np.uint64(0x51ED270B)
+
+SLICES = ("chunk bigint, doc_ids array<bigint>, counts array<bigint>, codes binary, words binary, known binary, "
+          "n_words bigint, round int")
+WORD_ASKS = "stripe int, chunk bigint, words binary, known binary"
+WORD_COUNTS = ("stripe int, chunk bigint, c binary, total bigint, types bigint, "
+               "top array<struct<word:string,c:bigint>>, hot array<struct<word:string,c:bigint>>")
+PAIR_ASKS = "stripe int, chunk bigint, hot bigint, contexts binary, sizes binary, pairs binary, known binary"
+PAIR_COUNTS = "stripe int, chunk bigint, hot bigint, first int, c binary, n binary, rest binary"
+CHANGES = "name string, stripe int, change binary, touched binary"
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
           "base_score double, score double")
-WIDTH = {"class": CLASSES + 1, "member": MEMBERS, "node": MEMBERS}
-KIND = {"class": np.float16, "member": np.float16, "node": np.float32}
 
 
-def hashes_of(words: list[str]) -> np.ndarray:
+def hashes_of(words: list) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
 
 
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two, every bit of which depends on both."""
+    out = (a ^ (b * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xE7037ED1A0B428DB)
+    return out ^ (out >> np.uint64(29))
+
+
+@functools.lru_cache(maxsize=8)
+def packer() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def packed(values: np.ndarray | bytes) -> bytes:
+    return packer()[0].compress(values if isinstance(values, bytes) else np.ascontiguousarray(values).tobytes())
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(packer()[1].decompress(data), kind)
+
+
 def features_of(hashed: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Local word number (-1: end) and feature hashes of every token.
 
@@ -77,44 +108,41 @@ def features_of(hashed: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tu
     place = np.arange(len(local)) - ends[row]
     back = []
     for k in range(1, CONTEXT + 1):
-        before = np.full(len(local), np.uint64(0x51ED270B))
+        before = np.full(len(local), BLANK)
         before[k:] = seen[:-k] if k <= len(seen) else before[k:]
-        back.append(np.where(place >= k, before, np.uint64(0x51ED270B)))
+        back.append(np.where(place >= k, before, BLANK))
     return local, np.stack([
         back[0] * np.uint64(0x9E3779B97F4A7C15), back[1] * np.uint64(0xC2B2AE3D27D4EB4F),
         back[2] * np.uint64(0x165667B19E3779F9),
         (back[0] * np.uint64(31) + back[1]) * np.uint64(0xD6E8FEB86659FD93)], axis=1)
 
 
-def read_slices(docs: DataFrame) -> DataFrame:
+def read_slices(docs: DataFrame, rounds: int, slice_bytes: int) -> DataFrame:
     """One row per slice: its documents, their word numbers, the distinct words and their training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
         chunk = TaskContext.get().partitionId() << 32
-        for batch in slices(batches, limit=SLICE):
+        for batch in slices(batches, limit=slice_bytes):
             lists = pc.ascii_split_whitespace(pc.ascii_lower(batch.column(1)))
-            ends = list_offsets(lists)
             coded = lists.flatten().dictionary_encode()
             code = coded.indices.to_numpy()
-            words = coded.dictionary
-            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            # White space at the ends of a text leaves empty words, which are none.
-            real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[code] if len(code) else np.zeros(0, bool)
-            code, row = code[real], row[real]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(list_offsets(lists)))
+            # White space at the ends of a text leaves empty words, which are none and sort first.
+            order = pc.sort_indices(coded.dictionary).to_numpy()
+            words = coded.dictionary.take(pa.array(order))
+            blank = int(len(words) > 0 and words[0].as_py() == "")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order)) - blank
+            code = rank[code] if len(code) else np.zeros(0, np.int64)
+            code, row = code[code >= 0], row[code >= 0]
+            words = words.slice(blank).to_pylist()
             train = batch.column(2).to_numpy(zero_copy_only=False)
-            known = np.bincount(code[train[row]], minlength=len(words))
-            hashed = hashes_of(words.to_pylist())
-            counts = np.bincount(row, minlength=batch.num_rows)
-            _, features = features_of(hashed, code, counts)
-            # Feature hashes are spread evenly, so the smallest ones tell how many there are.
-            sketch = np.unique(features[np.repeat(train, counts + 1)] >> np.uint64(1))[:SKETCH].astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array([chunk], pa.int64()), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())),
-                pa.array([counts], pa.list_(pa.int64())),
-                pa.array([pack(code.astype("<i4").tobytes())], pa.binary()), pa.array([hashed.tobytes()], pa.binary()),
-                pa.array([words.to_pylist()], pa.list_(pa.string())), pa.array([known], pa.list_(pa.int64())),
-                pa.array([sketch], pa.list_(pa.int64())), pa.array([zlib.crc32(b"%d" % chunk) % ROUNDS], pa.int32())],
-                ["chunk", "doc_ids", "counts", "codes", "hashes", "words", "known", "sketch", "round"])
+                pa.array([np.bincount(row, minlength=batch.num_rows)], pa.list_(pa.int64())),
+                pa.array([packed(code.astype("<i4"))], pa.binary()), pa.array([packed("\n".join(words).encode())], pa.binary()),
+                pa.array([packed(np.bincount(code[train[row]], minlength=len(words)).astype("<i8"))], pa.binary()),
+                pa.array([len(words)], pa.int64()), pa.array([zlib.crc32(b"%d" % chunk) % max(rounds, 1)], pa.int32())],
+                ["chunk", "doc_ids", "counts", "codes", "words", "known", "n_words", "round"])
             chunk += 1
 
     return docs.mapInArrow(run, SLICES)
@@ -124,6 +152,64 @@ def is_training(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else b"%d" % doc_id) % 5 != 1
 
 
+def words_in(data: bytes) -> list[bytes]:
+    text = packer()[1].decompress(data)
+    return text.split(b"\n") if text else []
+
+
+def batch_of(rows: list[tuple], kinds: str) -> pa.Table:
+    """Rows as a table with the columns of a Spark schema."""
+    types = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    pair = pa.list_(pa.struct([("word", pa.string()), ("c", pa.int64())]))
+    fields = [f.strip().split(" ", 1) for f in kinds.replace("word:string,c", "word:string;c").split(",")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.table([pa.array(list(c), types.get(k, pair)) for c, (_, k) in zip(columns, fields)], [f for f, _ in fields])
+
+
+def parts_by(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each distinct value with the positions that have it, both in ascending order."""
+    order = np.argsort(values, kind="stable")
+    cuts = np.flatnonzero(np.diff(values[order], prepend=-1, append=-1))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield int(values[order[a]]), order[a:b]
+
+
+def word_stripes(hashed: np.ndarray, stripes: int) -> Iterator[tuple[int, np.ndarray]]:
+    return parts_by(((hashed >> np.uint64(20)) % np.uint64(stripes)).astype(np.int64))
+
+
+def count_words(parts: DataFrame, stripes: int, hot: int) -> DataFrame:
+    """Per slice and stripe the corpus counts of the slice's words, and per stripe totals, the most frequent words
+    and those met over ``hot`` times."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, known in zip(*(batch[c].to_pylist() for c in ("chunk", "words", "known"))):
+                words, known = words_in(words), unpacked(known, "<i8")
+                rows = [(stripe, chunk, packed(b"\n".join([words[i] for i in at])), packed(known[at]))
+                        for stripe, at in word_stripes(hashes_of(words), stripes)]
+                yield from batch_of(rows, WORD_ASKS).to_batches()
+
+    def total(table: pa.Table) -> pa.Table:
+        asked = [words_in(w) for w in table["words"].to_pylist()]
+        coded = pa.chunked_array([pa.array(w, pa.binary()) for w in asked], pa.binary()).combine_chunks().dictionary_encode()
+        at = coded.indices.to_numpy()
+        known = np.concatenate([unpacked(k, "<i8") for k in table["known"].to_pylist()])
+        count = np.bincount(at, known, len(coded.dictionary)).astype(np.int64)
+        lexicon = pa.table({"word": coded.dictionary.cast(pa.string()), "c": count}).filter(pa.array(count > 0, pa.bool_()))
+        # No more than the vocabulary have the least count at which a word can enter it, but for ties.
+        least = np.partition(count, -VOCABULARY)[-VOCABULARY] if len(count) > VOCABULARY else 1
+        top = lexicon.filter(pc.greater_equal(lexicon["c"], max(int(least), 1))).sort_by(
+            [("c", "descending"), ("word", "ascending")]).slice(0, VOCABULARY)
+        stripe, ends = table["stripe"][0].as_py(), offsets_of(np.array([len(w) for w in asked]))
+        rows = [(stripe, chunk, packed(count[at[a:b]]), None, None, None, None)
+                for chunk, a, b in zip(table["chunk"].to_pylist(), ends[:-1], ends[1:])]
+        rows.append((stripe, None, None, int(count.sum()), len(lexicon), top.to_pylist(),
+                     lexicon.filter(pc.greater(lexicon["c"], hot)).to_pylist()))
+        return batch_of(rows, WORD_COUNTS)
+
+    return parts.select("chunk", "words", "known").mapInArrow(ask, WORD_ASKS).groupBy("stripe").applyInArrow(total, WORD_COUNTS)
+
+
 @dataclass
 class Prior:
     """The vocabulary and the smoothed shares of classes and members; fixed size."""
@@ -176,21 +262,16 @@ def run_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Weight rows that are summed over a token's features; ``keys`` are the rows held, all without."""
+    """Weight rows that are summed over a token's features."""
 
-    def __init__(self, weights: np.ndarray, keys: np.ndarray | None = None, bits: int | None = None):
-        self.weights, self.keys = weights, keys
-        self.bits = len(weights).bit_length() - 1 if bits is None else bits
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        self.bits = len(weights).bit_length() - 1
         self.squares = np.full(len(weights), 1e-6, np.float32)
         self.touched = np.zeros(len(weights), bool)
 
-    def row_numbers(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-
     def rows(self, hashes: np.ndarray) -> np.ndarray:
-        """Where the rows of hashed features are held."""
-        numbers = self.row_numbers(hashes)
-        return numbers if self.keys is None else np.searchsorted(self.keys, numbers)
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.uint16)
 
     def logits(self, rows: np.ndarray, prior: np.ndarray) -> np.ndarray:
         out = prior.copy() if prior.ndim == 2 else np.repeat(prior[None, :], len(rows), axis=0)
@@ -211,373 +292,320 @@ class Table:
         self.touched[at] = True
 
 
-def depth_for(rare: int) -> int:
-    """Levels of the tree that has a leaf for each of ``rare`` words and one for unknown words."""
-    depth = 0
-    while rare and MEMBERS ** depth < rare + 1:
-        depth += 1
-    return depth
-
-
 class Model:
-    """A model over all its rows, or (``held``) over those that one slice needs.
-
-    ``depth`` is that of the tree of the words behind the vocabulary; without, their counts decide.
-    """
-
-    def __init__(self, prior: Prior, classes: np.ndarray, members: np.ndarray, depth: int = 0,
-                 bits: tuple[int, int] | None = None, held: dict[str, np.ndarray] | None = None,
-                 masses: np.ndarray | None = None):
-        self.prior, self.depth, self.held = prior, depth, held or {}
-        sizes = bits or (None, None)
-        self.classes = Table(classes, self.held.get("class"), sizes[0])
-        self.members = Table(members, self.held.get("member"), sizes[1])
-        if masses is not None:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                log = np.log(masses / masses.sum(axis=1, keepdims=True))
-            self.node_log = np.where(np.isfinite(log), log, -1e9).astype(np.float32)
+    def __init__(self, prior: Prior, classes: np.ndarray, members: np.ndarray):
+        self.prior, self.classes, self.members = prior, Table(classes), Table(members)
         self.number = {w: i + 1 for i, w in enumerate(prior.words)}
+        hashed = hashes_of(prior.words)
+        self.order = np.argsort(hashed)
+        self.sorted = hashed[self.order]
 
     @staticmethod
     def zeros() -> tuple[np.ndarray, np.ndarray]:
         return (np.zeros((CLASS_ROWS, CLASSES + 1), np.float32), np.zeros((MEMBER_ROWS, MEMBERS), np.float32))
 
+    def numbers(self, hashed: np.ndarray) -> np.ndarray:
+        """Vocabulary numbers of hashed words (-1: rare)."""
+        if not len(self.sorted):
+            return np.full(len(hashed), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.sorted, hashed), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == hashed, self.order[at] + 1, -1)
+
     def tokens(self, words: list[str], codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Vocabulary number (-1: rare), local word number (-1: end) and feature hashes of every token."""
-        number = np.fromiter((self.number.get(w, -1) for w in words), np.int64, len(words))
-        local, features = features_of(hashes_of(words), codes, counts)
-        return np.append(number, 0)[local], local, features
-
-    @staticmethod
-    def group(target: np.ndarray) -> np.ndarray:
-        return np.where((target < 0) | (target > VOCABULARY), RARE, target // MEMBERS)
-
-    def choices(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Below the class: token, class or node of the tree, and the member it takes there."""
-        at = np.flatnonzero((target >= 0) & (target <= VOCABULARY))
-        found = [(at, target[at] // MEMBERS, target[at] % MEMBERS)]
-        rare = np.flatnonzero((target < 0) | (target > VOCABULARY))
-        leaf = np.maximum(target[rare] - VOCABULARY, 0)
-        for level in range(self.depth):
-            child = leaf // MEMBERS ** (self.depth - 1 - level)
-            found.append((rare, node_key(level, child // MEMBERS), child % MEMBERS))
-        return tuple(np.concatenate(part) for part in zip(*found))
-
-    def logs(self, group: np.ndarray) -> np.ndarray:
-        """Log shares of the members of classes and nodes."""
-        out = np.empty((len(group), MEMBERS), np.float32)
-        tree = group >= CLASSES
-        out[~tree] = self.prior.member_log[group[~tree]]
-        if tree.any():
-            out[tree] = self.node_log[np.searchsorted(self.held["node"], group[tree])]
-        return out
+        hashed = hashes_of(words)
+        local, features = features_of(hashed, codes, counts)
+        return np.append(self.numbers(hashed), 0)[local], local, features
 
     @staticmethod
     def _salted(features: np.ndarray, group: np.ndarray) -> np.ndarray:
         salted = (features ^ (group.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))[:, None])
         return salted * np.uint64(0xE7037ED1A0B428DB)
 
-    def needs(self, target: np.ndarray, features: np.ndarray) -> dict[str, np.ndarray]:
-        """The rows that learning or scoring these tokens reads, sorted."""
-        found = {"class": [], "member": [], "node": []}
-        for a in range(0, len(target), 8 * BATCH):
-            t, f = target[a:a + 8 * BATCH], features[a:a + 8 * BATCH]
-            at, group, _ = self.choices(t)
-            found["class"].append(np.unique(self.classes.row_numbers(f)))
-            found["member"].append(np.unique(self.members.row_numbers(self._salted(f[at], group))))
-            found["node"].append(np.unique(group[group >= CLASSES]))
-        return {name: np.unique(np.concatenate(parts)) for name, parts in found.items() if parts}
-
     def learn(self, target: np.ndarray, features: np.ndarray) -> None:
         for a in range(0, len(target), BATCH):
             t, f = target[a:a + BATCH], features[a:a + BATCH]
+            group = np.where(t < 0, RARE, t // MEMBERS)
             rows = self.classes.rows(f)
             error = softmax(self.classes.logits(rows, self.prior.class_log))
-            error[np.arange(len(t)), self.group(t)] -= 1
+            error[np.arange(len(t)), group] -= 1
             self.classes.step(rows, error)
-            at, group, member = self.choices(t)
-            if len(at):
-                rows = self.members.rows(self._salted(f[at], group))
-                error = softmax(self.members.logits(rows, self.logs(group)))
-                error[np.arange(len(at)), member] -= 1
+            inside = np.flatnonzero(t >= 0)
+            if len(inside):
+                group = group[inside]
+                rows = self.members.rows(self._salted(f[inside], group))
+                error = softmax(self.members.logits(rows, self.prior.member_log[group]))
+                error[np.arange(len(inside)), t[inside] % MEMBERS] -= 1
                 self.members.step(rows, error)
 
     def log10(self, target: np.ndarray, features: np.ndarray, rare_counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; ``rare_counts``, the training counts of rare tokens, decide
-        in a model without a tree."""
+        """log10 probability of each token; ``rare_counts`` are the training counts of rare tokens."""
         out = np.empty(len(target))
         for a in range(0, len(target), BATCH):
             t, f = target[a:a + BATCH], features[a:a + BATCH]
+            group = np.where(t < 0, RARE, t // MEMBERS)
             share = softmax(self.classes.logits(self.classes.rows(f), self.prior.class_log))
-            log = np.log(np.maximum(share[np.arange(len(t)), self.group(t)].astype(np.float64), 1e-300))
-            at, group, member = self.choices(t)
-            if len(at):
-                share = softmax(self.members.logits(self.members.rows(self._salted(f[at], group)), self.logs(group)))
-                log += np.bincount(at, np.log(np.maximum(share[np.arange(len(at)), member].astype(np.float64), 1e-300)), len(t))
-            if not self.depth:
-                rare = (t < 0) | (t > VOCABULARY)
-                log[rare] += np.log((rare_counts[a:a + BATCH][rare] + 0.5) / self.prior.rare_mass)
-            out[a:a + BATCH] = log / np.log(10)
+            p = share[np.arange(len(t)), group].astype(np.float64)
+            inside = np.flatnonzero(t >= 0)
+            if len(inside):
+                group = group[inside]
+                share = softmax(self.members.logits(self.members.rows(self._salted(f[inside], group)), self.prior.member_log[group]))
+                p[inside] *= share[np.arange(len(inside)), t[inside] % MEMBERS]
+            rare = t < 0
+            p[rare] *= (rare_counts[a:a + BATCH][rare] + 0.5) / self.prior.rare_mass
+            out[a:a + BATCH] = np.log10(np.maximum(p, 1e-300))
         return out
 
 
-def node_key(level: int, node: np.ndarray) -> np.ndarray:
-    return (level + 1 << 48) + node
-
-
-@functools.lru_cache(maxsize=8)
-def unpacker() -> zstandard.ZstdDecompressor:
-    return zstandard.ZstdDecompressor()
-
-
-def codes_of(packed: bytes) -> np.ndarray:
-    return np.frombuffer(unpacker().decompress(packed), "<i4").astype(np.int64)
-
-
-def blocks(name: str, stripes: int, chunk: int | None, keys: np.ndarray, values: np.ndarray | None = None) -> Iterator[tuple]:
-    """The rows ``keys`` of a table, cut by stripe."""
-    stripe = keys & (stripes - 1)
-    order = np.argsort(stripe, kind="stable")
-    cuts = np.flatnonzero(np.diff(stripe[order], prepend=-1, append=-1))
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        at = order[a:b]
-        data = None if values is None else values[at].astype(KIND[name]).tobytes()
-        yield name, int(stripe[at[0]]), chunk, keys[at].tobytes(), data
-
-
-def block_batch(rows: list[tuple]) -> pa.Table:
-    kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    columns = zip(*rows) if rows else [[]] * 5
-    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["name", "stripe", "chunk", "keys", "data"])
-
-
-def values_of(name: str, data: bytes) -> np.ndarray:
-    return np.frombuffer(data, KIND[name]).reshape(-1, WIDTH[name])
-
-
-def answer(table: pa.Table) -> pa.Table:
-    """Per asking slice the rows of one block: keys, those that have a row first, and their rows."""
-    name = table["name"][0].as_py()
-    held = table.filter(pc.is_null(table["chunk"])).to_pylist()
-    keys = np.concatenate([np.frombuffer(h["keys"], np.int64) for h in held] or [np.zeros(0, np.int64)])
-    values = np.concatenate([values_of(name, h["data"]) for h in held] or [np.zeros((0, WIDTH[name]), KIND[name])])
-    order = np.argsort(keys)
-    keys, values = keys[order], values[order]
-    out = []
-    for chunk, wanted in zip(table["chunk"].to_pylist(), table["keys"].to_pylist()):
-        if chunk is not None:
-            wanted = np.frombuffer(wanted, np.int64)
-            has = np.isin(wanted, keys)
-            data = values[np.searchsorted(keys, wanted[has])].tobytes()
-            out.append((name, 0, chunk, np.append(wanted[has], wanted[~has]).tobytes(), data))
-    return block_batch(out)
-
-
-def average(table: pa.Table) -> pa.Table:
-    """One block with the changes of all slices, averaged per row over those that changed it."""
-    name, stripe = table["name"][0].as_py(), table["stripe"][0].as_py()
-    sets = [(c is None, np.frombuffer(k, np.int64), d) for c, k, d in zip(*(table[x].to_pylist() for x in ("chunk", "keys", "data")))]
-    keys = np.unique(np.concatenate([k for _, k, _ in sets]))
-    before, total, count = (np.zeros((len(keys), w), np.float32) for w in (WIDTH[name], WIDTH[name], 1))
-    for old, k, data in sets:
-        at = np.searchsorted(keys, k)
-        if old:
-            before[at] += values_of(name, data)
-        else:
-            total[at] += values_of(name, data)
-            count[at] += 1
-    return block_batch([(name, stripe, None, keys.tobytes(), (before + total / np.maximum(count, 1)).astype(KIND[name]).tobytes())])
-
-
-@dataclass
-class Shape:
-    """What tasks know of the model: its fixed prior and the sizes of its tables."""
-
-    prior: Prior
-    depth: int
-    bits: tuple[int, int]
-    stripes: dict[str, int]
-
-    @staticmethod
-    def of(prior: Prior, words: int, features: float) -> Shape:
-        bits = max(8, int(np.ceil(np.log2(max(features / LOAD, 1)))))
-        rare = max(words - VOCABULARY, 0)
-        rows = {"class": 1 << bits, "member": 1 << bits + 1, "node": rare // (MEMBERS - 1)}
-        return Shape(prior, depth_for(rare), (bits, bits + 1),
-                     {name: 1 << max(4, (n // BLOCK_ROWS).bit_length()) for name, n in rows.items()})
-
-    def model(self, replies: pa.Table | None = None) -> Model:
-        held, rows = {}, {}
-        for name, width in WIDTH.items():
-            keys, values = [np.zeros(0, np.int64)], [np.zeros((0, width), np.float32)]
-            for part in range(replies.num_rows if replies is not None else 0):
-                if replies["name"][part].as_py() == name:
-                    keys.append(np.frombuffer(replies["keys"][part].as_buffer(), np.int64))
-                    found = values_of(name, replies["data"][part].as_buffer())
-                    values += [found.astype(np.float32), np.zeros((len(keys[-1]) - len(found), width), np.float32)]
-            order = np.argsort(np.concatenate(keys))
-            held[name], rows[name] = np.concatenate(keys)[order], np.concatenate(values)[order]
-        return Model(self.prior, rows["class"], rows["member"], self.depth, self.bits, held, rows["node"])
-
-
 @dataclass
 class Slice:
     ids: list
     counts: np.ndarray
+    hashed: np.ndarray
     target: np.ndarray
-    known: np.ndarray
+    local: np.ndarray
     features: np.ndarray
     train: np.ndarray
 
     @staticmethod
-    def of(table: pa.Table | pa.RecordBatch, row: int, ends: int) -> Slice:
-        ids, codes, hashes, met = (table[c][row] for c in ("doc_ids", "codes", "hashes", "met"))
-        counts = np.asarray(table["counts"][row].values)
-        hashed = np.frombuffer(hashes.as_py(), np.uint64)
-        number, known = np.full(len(hashed) + 1, -1, np.int64), np.zeros(len(hashed) + 1, np.int64)
-        if met.is_valid:
-            place = met.values.field("place").to_numpy()
-            number[place], known[place] = met.values.field("number").to_numpy(), met.values.field("c").to_numpy()
-        number[-1], known[-1] = 0, ends  # the local number of an end is -1
-        local, features = features_of(hashed, codes_of(codes.as_py()), counts)
-        train = np.repeat(np.array([is_training(i) for i in ids.as_py()], bool), counts + 1)
-        return Slice(ids.as_py(), counts, number[local], known[local], features, train)
-
-
-def rows_for(part: DataFrame, table: DataFrame, shape: Shape, ends: int, training: bool) -> DataFrame:
-    """The rows that each slice of ``part`` needs, as answers by slice."""
-    shared = part.sparkSession.sparkContext.broadcast(shape)
+    def of(row: dict, model: Model) -> Slice:
+        hashed = hashes_of(words_in(row["words"]))
+        counts = np.asarray(row["counts"], np.int64)
+        local, features = features_of(hashed, unpacked(row["codes"], "<i4").astype(np.int64), counts)
+        train = np.repeat(np.array([is_training(i) for i in row["doc_ids"]], bool), counts + 1)
+        return Slice(row["doc_ids"], counts, hashed, np.append(model.numbers(hashed), 0)[local], local, features, train)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape = shared.value
-        model = shape.model()
-        for batch in batches:
-            for row, chunk in enumerate(batch["chunk"].to_pylist()):
-                s = Slice.of(batch, row, ends)
-                use = s.train if training else slice(None)
-                for name, keys in model.needs(s.target[use], s.features[use]).items():
-                    yield from block_batch(list(blocks(name, shape.stripes[name], chunk, keys))).to_batches()
 
-    return part.mapInArrow(ask, BLOCKS).unionByName(table).groupBy("name", "stripe").applyInArrow(answer, BLOCKS)
+class Pairs:
+    """The distinct pairs (last word, rare word) of a slice, dealt to groups by hashed context.
 
+    ``at`` are the rare tokens, ``pair`` their pairs. The words in ``hot`` (hash to number of parts)
+    have their followers dealt over several groups.
+    """
 
-def learn_round(part: DataFrame, table: DataFrame, shape: Shape, ends: int) -> DataFrame:
-    """The table after one round of gradient steps over ``part``, averaged over its slices."""
-    shared = part.sparkSession.sparkContext.broadcast(shape)
+    def __init__(self, s: Slice, hot: dict[int, int], stripes: int):
+        width = len(s.hashed) + 1
+        first = np.zeros(len(s.local), bool)
+        first[offsets_of(s.counts + 1)[:-1]] = True
+        before = np.append(-1, s.local[:-1])
+        before[first] = width - 1
+        self.at = np.flatnonzero(s.target < 0)
+        both, self.pair = np.unique(before[self.at] * width + s.local[self.at], return_inverse=True)
+        self.known = np.bincount(self.pair[s.train[self.at]], minlength=len(both))
+        self.word = both % width
+        hashed = np.append(s.hashed, BLANK)
+        self.context = hashed[both // width]
+        mix = mixed(self.context, hashed[self.word])
+        self.hot = np.zeros(len(both), bool)
+        part = np.zeros(len(both), np.uint64)
+        if hot:
+            names = np.array(sorted(hot), np.uint64)
+            parts = np.array([hot[int(n)] for n in names], np.uint64)
+            place = np.minimum(np.searchsorted(names, self.context), len(names) - 1)
+            self.hot = names[place] == self.context
+            part[self.hot] = (mix >> np.uint64(36))[self.hot] % parts[place][self.hot]
+        cell = mixed(self.context, part)
+        self.key = mix.astype(np.uint32)
+        self.cell = cell.astype(np.uint32)
+        self.stripe = ((cell >> np.uint64(33)) % np.uint64(stripes)).astype(np.int64)
+
+    def dealt(self) -> Iterator[tuple[int, int | None, np.ndarray, np.ndarray]]:
+        """Per group: stripe, hot context or None, the pairs and where each context starts among them."""
+        for hot in (False, True):
+            which = np.flatnonzero(self.hot == hot)
+            joined = (self.stripe[which] << 32) + self.cell[which]
+            for _, at in parts_by(joined if hot else self.stripe[which]):
+                at = which[at]
+                at = at[np.argsort(self.cell[at], kind="stable")]
+                starts = np.flatnonzero(np.diff(self.cell[at].astype(np.int64), prepend=-1))
+                yield (int(self.stripe[at[0]]), int(self.context[at[0]].astype(np.int64)) if hot else None, at, starts)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield batch.slice(row, 1).to_pylist()[0]
+
+
+def count_pairs(parts: DataFrame, prior: Prior, hot: dict[int, int], stripes: int) -> DataFrame:
+    """Per slice and group the counts of its pairs that have a weight (others: 0), and ``n`` and ``rest`` of its
+    contexts; per hot context and group a row without slice that holds its part of ``n`` and ``rest``."""
+    shared = parts.sparkSession.sparkContext.broadcast((prior, hot))
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row, chunk in enumerate(left["chunk"].to_pylist()):
-            s = Slice.of(left, row, ends)
-            model = shared.value.model(right)
-            before = model.classes.weights.copy(), model.members.weights.copy()
-            model.learn(s.target[s.train], s.features[s.train])
-            for name, part, start in (("class", model.classes, before[0]), ("member", model.members, before[1])):
-                at = np.flatnonzero(part.touched)
-                out += blocks(name, shared.value.stripes[name], chunk, part.keys[at], part.weights[at] - start[at])
-        return block_batch(out)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prior, hot = shared.value
+        model = Model(prior, *Model.zeros())
+        for row in rows_of(batches):
+            pairs = Pairs(Slice.of(row, model), hot, stripes)
+            out = [(stripe, row["chunk"], name, packed(pairs.cell[at[starts]]),
+                    packed(np.diff(np.append(starts, len(at))).astype(np.uint32)), pairs.key[at].tobytes(),
+                    packed(pairs.known[at].astype(np.uint32))) for stripe, name, at, starts in pairs.dealt()]
+            yield from batch_of(out, PAIR_ASKS).to_batches()
+
+    def total(table: pa.Table) -> pa.Table:
+        names = ("contexts", "sizes", "pairs", "known")
+        asks = [(unpacked(c, "<u4"), unpacked(s, "<u4"), np.frombuffer(p, "<u4"), unpacked(k, "<u4"))
+                for c, s, p, k in zip(*(table[n].to_pylist() for n in names))]
+        contexts, sizes, keys, known = (np.concatenate(x) for x in zip(*asks))
+        keys = (np.repeat(contexts, sizes).astype(np.uint64) << np.uint64(32)) | keys
+        distinct, pair = np.unique(keys, return_inverse=True)
+        count = np.bincount(pair, known, len(distinct)).astype(np.int64)
+        cells = (distinct >> np.uint64(32)).astype(np.uint32)
+        starts = np.flatnonzero(np.diff(cells.astype(np.int64), prepend=-1))
+        kept = np.where(count >= PAIR_MIN, count, 0)
+        n = np.add.reduceat(count, starts)
+        rest = n - np.add.reduceat(np.maximum(kept - DISCOUNT, 0), starts)
+        cell = np.searchsorted(cells[starts], contexts)
+        out, told = [], set()
+        ends = offsets_of(np.array([len(a[2]) for a in asks])), offsets_of(np.array([len(a[0]) for a in asks]))
+        stripe = table["stripe"][0].as_py()
+        for i, (chunk, hot) in enumerate(zip(table["chunk"].to_pylist(), table["hot"].to_pylist())):
+            mine, own = slice(ends[0][i], ends[0][i + 1]), cell[ends[1][i]:ends[1][i + 1]]
+            # A hot context may have several parts in one group; the cell tells them apart.
+            out.append((stripe, chunk, hot, None if hot is None else int(contexts[ends[1][i]].astype(np.int32)),
+                        packed(kept[pair[mine]]), packed(n[own]), packed(rest[own])))
+            if hot is not None and (hot, int(own[0])) not in told:
+                told.add((hot, int(own[0])))
+                out.append((stripe, None, hot, None, None, packed(n[own]), packed(rest[own])))
+        return batch_of(out, PAIR_COUNTS)
+
+    return parts.select("chunk", "doc_ids", "counts", "codes", "words").mapInArrow(ask, PAIR_ASKS).groupBy(
+        "stripe").applyInArrow(total, PAIR_COUNTS)
+
+
+def hot_totals(answers: DataFrame) -> dict[int, tuple[int, float]]:
+    """``n`` and ``rest`` of the hot contexts: at most one per ``HOT`` training tokens, 16 bytes each."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([
+                batch["hot"], pa.array([int(unpacked(x, "<i8")[0]) for x in batch["n"].to_pylist()], pa.int64()),
+                pa.array([float(unpacked(x, "<f8")[0]) for x in batch["rest"].to_pylist()], pa.float64())], ["hot", "n", "rest"])
 
-    changes = part.groupBy("chunk").cogroup(rows_for(part, table, shape, ends, True).groupBy("chunk")).applyInArrow(run, BLOCKS)
-    return changes.unionByName(table).groupBy("name", "stripe").applyInArrow(average, BLOCKS)
+    rows = answers.filter("chunk is null").select("hot", "n", "rest").mapInArrow(read, "hot bigint, n bigint, rest double")
+    return {r[0]: (r[1], r[2]) for r in rows.groupBy("hot").agg(F.sum("n"), F.sum("rest")).collect()}
 
 
-def score_round(part: DataFrame, table: DataFrame, shape: Shape, ends: int) -> DataFrame:
-    shared = part.sparkSession.sparkContext.broadcast(shape)
+def learn_round(part: DataFrame, prior: Prior, weights: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The weights after one round of gradient steps over ``part``, averaged over its slices."""
+    shared = part.sparkSession.sparkContext.broadcast((prior, weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prior, start = shared.value
+        change = [np.zeros_like(w) for w in start]
+        touched = [np.zeros(len(w), np.int64) for w in start]
+        for row in rows_of(batches):
+            model = Model(prior, *(w.copy() for w in start))
+            s = Slice.of(row, model)
+            model.learn(s.target[s.train], s.features[s.train])
+            for i, table in enumerate((model.classes, model.members)):
+                change[i][table.touched] += table.weights[table.touched] - start[i][table.touched]
+                touched[i] += table.touched
+        for name, values, count in zip(("class", "member"), change, touched):
+            for stripe, (v, n) in enumerate(zip(np.split(values, STRIPES), np.split(count, STRIPES))):
+                if n.any():
+                    v = (v[n > 0] / n[n > 0, None]).astype(np.float16)
+                    yield from batch_of([(name, stripe, v.tobytes(), packed(n.astype("<i8")))], CHANGES).to_batches()
+
+    def average(table: pa.Table) -> pa.Table:
+        name, stripe = table["name"][0].as_py(), table["stripe"][0].as_py()
+        total = count = 0
+        for change, touched in zip(table["change"].to_pylist(), table["touched"].to_pylist()):
+            n = unpacked(touched, "<i8")
+            values = np.zeros((len(n), weights_of[name]), np.float32)
+            values[n > 0] = np.frombuffer(change, np.float16).reshape(-1, weights_of[name])
+            total, count = total + values * n[:, None], count + n
+        return batch_of([(name, stripe, (total / np.maximum(count, 1)[:, None]).astype(np.float32).tobytes(), None)], CHANGES)
+
+    weights_of = {"class": CLASSES + 1, "member": MEMBERS}
+    changes = part.select("doc_ids", "counts", "codes", "words").mapInArrow(run, CHANGES)
+    # 2 * STRIPES rows, together as large as the weights.
+    new = [w.copy() for w in weights]
+    for row in changes.groupBy("name", "stripe").applyInArrow(average, CHANGES).collect():
+        table = new[row["name"] != "class"]
+        size = len(table) // STRIPES
+        table[row["stripe"] * size:(row["stripe"] + 1) * size] += np.frombuffer(row["change"], np.float32).reshape(size, -1)
+    shared.unpersist()
+    return new[0], new[1]
+
+
+def factors(c: np.ndarray, n: np.ndarray, rest: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """By how much pair features change the prior shares of rare words."""
+    return (np.maximum(c - DISCOUNT, 0) / prior + rest + EXTRA) / (n + EXTRA)
+
+
+def score_slices(parts: DataFrame, answers: DataFrame, prior: Prior, weights: tuple[np.ndarray, np.ndarray],
+                 hot: dict[int, int], totals: dict[int, tuple[int, float]], ends: int, stripes: tuple[int, int]) -> DataFrame:
+    shared = parts.sparkSession.sparkContext.broadcast((prior, weights, hot, totals))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        prior, out = shared.value.prior, []
+        prior, weights, hot, totals = shared.value
+        model, out = Model(prior, *weights), []
         bottom = np.log10(prior.tokens + 0.5 * (prior.types + 1))
-        for row in range(left.num_rows):
-            s = Slice.of(left, row, ends)
-            log10 = shared.value.model(right).log10(s.target, s.features, s.known)
-            first = offsets_of(s.counts + 1)[:-1]
+        told = {(r["n"] is None, r["stripe"], r["hot"], r["first"]): r for r in right.to_pylist()}
+        for row in left.to_pylist():
+            s = Slice.of(row, model)
+            known = np.zeros(len(s.hashed) + 1, np.int64)
+            for stripe, at in word_stripes(s.hashed, stripes[0]):
+                known[at] = unpacked(told[True, stripe, None, None]["c"], "<i8")
+            known[-1] = ends  # the local number of an end is -1
+            pairs = Pairs(s, hot, stripes[1])
+            c, n, rest = (np.zeros(len(pairs.word), k) for k in (np.int64, np.int64, np.float64))
+            for stripe, name, at, starts in pairs.dealt():
+                first = None if name is None else int(pairs.cell[at[0]].astype(np.int32))
+                found = told[False, stripe, name, first]
+                sizes = np.diff(np.append(starts, len(at)))
+                c[at] = unpacked(found["c"], "<i8")
+                n[at] = np.repeat(unpacked(found["n"], "<i8"), sizes) if name is None else totals[name][0]
+                rest[at] = np.repeat(unpacked(found["rest"], "<f8"), sizes) if name is None else totals[name][1]
+            log10 = model.log10(s.target, s.features, known[s.local])
+            share = (known[pairs.word] + 0.5) / prior.rare_mass
+            log10[pairs.at] += np.log10(factors(c, n, rest, share))[pairs.pair]
+            first, known = offsets_of(s.counts + 1)[:-1], known[s.local]
             out.append(pa.table({
                 "doc_id": pa.array(s.ids, pa.int64()), "held_out": pa.array([not is_training(i) for i in s.ids]),
-                "n_tokens": s.counts + 1, "n_known": np.add.reduceat((s.known > 0).astype(np.int64), first),
+                "n_tokens": s.counts + 1, "n_known": np.add.reduceat((known > 0).astype(np.int64), first),
                 "train_tokens": np.full(len(s.ids), prior.tokens, np.int64),
-                "base_score": np.add.reduceat(np.log10(s.known + 0.5) - bottom, first),
+                "base_score": np.add.reduceat(np.log10(known + 0.5) - bottom, first),
                 "score": np.add.reduceat(log10, first)}))
         return pa.concat_tables(out)
 
-    return part.groupBy("chunk").cogroup(rows_for(part, table, shape, ends, False).groupBy("chunk")).applyInArrow(run, SCORES)
-
-
-def numbered(counts: DataFrame) -> DataFrame:
-    """``word``, ``c`` and ``number``: from 1, the most frequent word first. Ranked in ordered parts."""
-    spark = counts.sparkSession
-    parts = staged(counts.repartitionByRange(tasks_for(counts), F.desc("c"), "word").sortWithinPartitions(
-        F.desc("c"), "word").select("word", "c", F.spark_partition_id().alias("part"),
-                                    F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("inside")), "lm-ranked")
-    before, firsts = 0, []
-    for row in parts.groupBy("part").count().orderBy("part").collect():
-        firsts.append((row["part"], before))
-        before += row["count"]
-    firsts = spark.createDataFrame(firsts, "part int, before bigint")
-    return parts.join(F.broadcast(firsts), "part").select(
-        "word", "c", (F.col("before") + F.col("inside") + 1).alias("number"))
-
-
-def tree_blocks(lexicon: DataFrame, shape: Shape) -> DataFrame:
-    """The masses of the members of every node of the tree, as a table of blocks."""
-    spark = lexicon.sparkSession
-    child = lexicon.filter(F.col("number") > VOCABULARY).select(
-        (F.col("number") - VOCABULARY).alias("child"), (F.col("c") + 0.5).alias("mass")).unionByName(
-        spark.createDataFrame([(0, 0.5)], "child bigint, mass double"))
-    levels = spark.createDataFrame([], "node bigint, member int, mass double")
-    for level in reversed(range(shape.depth)):
-        node = F.shiftright("child", 5)
-        levels = levels.unionByName(child.select((node + ((level + 1) << 48)).alias("node"), F.col("child").bitwiseAND(
-            MEMBERS - 1).cast("int").alias("member"), "mass"))
-        child = child.groupBy(node.alias("child")).agg(F.sum("mass").alias("mass"))
-    stripes = shape.stripes["node"]
-
-    def pack(table: pa.Table) -> pa.Table:
-        node, member, mass = (table[c].to_numpy() for c in ("node", "member", "mass"))
-        keys, at = np.unique(node, return_inverse=True)
-        values = np.zeros((len(keys), MEMBERS), np.float32)
-        values[at, member] = mass
-        return block_batch(list(blocks("node", stripes, None, keys, values)))
-
-    return levels.groupBy(F.col("node").bitwiseAND(stripes - 1)).applyInArrow(pack, BLOCKS)
-
-
-def distinct_features(parts: DataFrame) -> float:
-    """Estimate (about 3 %) from the smallest feature hashes of the corpus."""
-    least = [r[0] for r in parts.select(F.explode("sketch").alias("h")).distinct().orderBy("h").limit(SKETCH).collect()]
-    return len(least) if len(least) < SKETCH else (SKETCH - 1) / (least[-1] / 2 ** 63)
-
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return parts.select("chunk", "doc_ids", "counts", "codes", "words").groupBy("chunk").cogroup(
+        answers.groupBy("chunk")).applyInArrow(run, SCORES)
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
+                    slice_bytes: int = SLICE, hot: int = HOT) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, token counts, ``base_score`` and ``score``.
 
     Learns from the rows whose id's crc32 modulo 5 is not 1 and scores all. Tokens are the words
     (runs without ASCII white space, A-Z lower-cased) and the end of the text, so null and empty
     texts have one token. Every row counts, repeated ones too; a null id falls into the fold of an
-    empty text. Without training rows the base score is 0 per token and the model knows no words.
-    An empty table gives no rows; other columns are ignored.
+    empty text. A text longer than ``slice_bytes`` is a slice of its own. Without training rows the
+    base score is 0 per token and the model knows no words. An empty table gives no rows; other
+    columns are ignored.
     """
-    spark = docs.sparkSession
     source = texts_of(docs, id_col, text_col).withColumn("train", fold(F.col("doc_id"), 5) != 1)
+    parts = staged(read_slices(source, rounds, slice_bytes), "lm-slices", by=("round",))
+    asked, spoken = parts.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum(F.aggregate(
+        "counts", F.lit(0).cast("bigint"), lambda a, b: a + b)), F.lit(0))).first()
     ends = source.filter("train").count()
-    parts = staged(read_slices(source), "lm-slices")
-    local = parts.select("chunk", F.posexplode(F.arrays_zip("words", "known")).alias("place", "w")).select(
-        "chunk", "place", F.col("w.words").alias("word"), F.col("w.known").alias("n")).filter("word <> ''")
-    lexicon = staged(numbered(local.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")), "lm-lexicon")
-    total, words = lexicon.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = [tuple(r) for r in lexicon.filter(F.col("number") <= VOCABULARY).orderBy("number").select("word", "c").collect()]
-    tokens, types = total + ends, words + (ends > 0)
-    shape = Shape.of(Prior.of(top, tokens, types, ends), words, distinct_features(parts))
-    # The words of a slice and their numbers come together again by slice: bounded by its text.
-    met = local.join(lexicon, "word").groupBy("chunk").agg(F.collect_list(F.struct("place", "number", "c")).alias("met"))
-    ready = staged(parts.select("chunk", "doc_ids", "counts", "codes", "hashes", "round").join(met, "chunk", "left"),
-                   "lm-ready", by=("round",))
-    table = staged(tree_blocks(lexicon, shape), "lm-weights")
-    rounds = [ready.filter(F.col("round") == number).drop("round") for number in range(ROUNDS)]
-    for part in rounds:
-        table = staged(learn_round(part, table, shape, ends), "lm-weights")
-        spark.sparkContext._jvm.System.gc()  # shuffle files of past rounds go when nothing refers to them
-    scores = []
-    for part in rounds:
-        scores.append(staged(score_round(part, table, shape, ends), "lm-scores"))
-        spark.sparkContext._jvm.System.gc()
-    return functools.reduce(DataFrame.unionByName, scores)
+    stripes = tuple(max(tasks_for(parts), int(x) // GROUP + 1) for x in (asked, spoken))
+    words = staged(count_words(parts, stripes[0], hot), "lm-counts")
+    summary = words.filter("chunk is null")
+    total, types = summary.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    top = [tuple(r) for r in summary.select(F.inline("top")).orderBy(F.desc("c"), "word").limit(VOCABULARY).collect()]
+    often = [tuple(r) for r in summary.select(F.inline("hot")).collect()]  # at most one per ``hot`` training tokens
+    parts_of = {int(h): 1 + 2 * c // hot for h, (_, c) in zip(hashes_of([w for w, _ in often]), often)}
+    if ends > hot:
+        parts_of[int(BLANK)] = 1 + 2 * ends // hot
+    prior = Prior.of(top, total + ends, types + (ends > 0), ends)
+    weights = Model.zeros()
+    for number in range(rounds):
+        weights = learn_round(parts.filter(F.col("round") == number), prior, weights)
+    pairs = staged(count_pairs(parts, prior, parts_of, stripes[1]), "lm-pairs")
+    totals = hot_totals(pairs) if parts_of else {}
+    none = {"hot": F.lit(None).cast("bigint"), "first": F.lit(None).cast("int"), "n": F.lit(None).cast("binary"),
+            "rest": F.lit(None).cast("binary")}
+    names = ["chunk", "stripe", "hot", "first", "c", "n", "rest"]
+    answers = words.withColumns(none).select(names).unionByName(pairs.select(names)).filter("chunk is not null")
+    return score_slices(parts, answers, prior, weights, parts_of, totals, ends, stripes)
