@@ -79,3 +79,34 @@ def test_group_statistics_keep_null_groups(sides):
     out = J.with_group_statistics(left, ["k"], [F.count(F.lit(1)).alias("n")])
     assert out.count() == left.count()
     assert out.filter("k IS NULL").select("n").distinct().count() == 1
+
+
+def test_salts_follow_the_size_of_the_key(spark):
+    left = spark.range(3000).select(F.when(F.col("id") < 1000, 1).when(F.col("id") < 1600, 2).otherwise(
+        F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.createDataFrame([(1, "b"), (2, "c"), (2, "d"), (1700, "e")], "k bigint, b string")
+    salted = J.salted_join(left, right, ["k"], "left", rows_per_salt=100)
+    assert rows(salted) == rows(left.join(right, "k", "left"))
+    found = {r["k"]: r["_rows"] for r in J.hot_key_counts(left, ["k"], 0.01).collect()}
+    assert found == {1: 1000, 2: 600}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_of_rows_with_maps(spark, how):
+    left = spark.range(400).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"),
+                                   F.create_map(F.lit("x"), F.col("id") % 5).alias("m"))
+    right = spark.createDataFrame([(1, "b"), (3, "c")], "k bigint, b string")
+    as_text = lambda df: rows(df.withColumn("m", F.to_json("m")))
+    salted = J.salted_join(left, right, ["k"], how, salts=4, run=10)
+    assert as_text(salted) == as_text(left.join(right, "k", how))
+    nested = left.withColumn("m", F.array("m"))
+    with pytest.raises(TypeError, match="m: array<map"):
+        J.salted_join(nested, right, ["k"], how)
+
+
+@pytest.mark.parametrize("how", ["right", "full"])
+def test_outer_joins_spread_the_hot_key(sides, how):
+    left, right = sides
+    found = {"right": J.right_join, "full": J.full_join}[how](left, right, ["k"])
+    assert rows(found) == rows(left.join(right, "k", how))
+    assert "_salt" in found._jdf.queryExecution().analyzed().toString()

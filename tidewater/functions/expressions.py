@@ -115,9 +115,9 @@ def hash_percent(key: Column, buckets: int = 100) -> Column:
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 7), 16, 10).cast("bigint") % buckets
 
 
-def salt_of(columns: Sequence[Column], salts: int) -> Column:
+def salt_of(columns: Sequence[Column], salts: int | Column) -> Column:
     """Deterministic salt 0..salts-1; a retried task reproduces it, unlike ``rand``."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*columns), salts if isinstance(salts, Column) else F.lit(salts)).cast("int")
 
 
 def all_of(predicates: Sequence[Column]) -> Column:

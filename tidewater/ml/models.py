@@ -40,6 +40,8 @@ from tidewater.operators.layout import persisted
 from tidewater.sources.stores import open_store
 
 SEED = 42
+# Training rows are dealt to this many partitions, or to more when a partition would hold over so many rows.
+TRAIN_PARTITIONS, TRAIN_ROWS = 16, 1_000_000
 
 # Default hyper-parameters.
 ESTIMATORS = {
@@ -64,17 +66,14 @@ def estimator(kind: str, **params) -> Estimator:
 def training_rows(train: DataFrame) -> Iterator[DataFrame]:
     """Training rows computed once and kept while models are fitted on them.
 
-    Fitting reads the rows many times over, so rows that fill fewer partitions than there are
-    cores are spread evenly. A large table fills more partitions and is used as it is.
+    Fitting samples and sums by partition, so rows are dealt by their own hash to a number of
+    partitions that follows from their count, and ordered by it: a fitted model depends neither on
+    the cluster nor on how the table is cut into files.
     """
     with persisted(train) as kept:
-        filled = kept.select(F.spark_partition_id().alias("p")).distinct().count()
-        cores = train.sparkSession.sparkContext.defaultParallelism
-        if filled >= cores:
-            yield kept
-        else:
-            with persisted(kept.repartition(cores)) as even:
-                yield even
+        n = max(TRAIN_PARTITIONS, -(-kept.count() // TRAIN_ROWS))
+        with persisted(kept.repartition(n, *kept.columns).sortWithinPartitions(F.xxhash64(*kept.columns))) as dealt:
+            yield dealt
 
 
 def fit(est: Estimator, train: DataFrame):

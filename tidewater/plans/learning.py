@@ -17,6 +17,7 @@ from tidewater.ml import features as M
 from tidewater.ml import models as L
 from tidewater.ml import perceptron as N
 from tidewater.ml import statistics as ST
+from tidewater.operators.layout import persisted
 from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column, split_two
 from tidewater.plans.registry import query
@@ -270,10 +271,11 @@ class Tasks:
 
 
 def _report(parts: tuple[DataFrame, DataFrame], kinds: dict[str, dict], measure) -> DataFrame:
-    """Metrics of several models; the training rows are computed once for all of them."""
+    """Metrics of several models, a row each; both sides are computed once for all of them."""
     train, test = parts
-    with L.training_rows(train) as kept:
-        return _stack({name: measure(L.fit_score(kept, test, **spec)) for name, spec in kinds.items()})
+    with L.training_rows(train) as kept, persisted(test) as held:
+        report = _stack({name: measure(L.fit_score(kept, held, **spec)) for name, spec in kinds.items()})
+        return train.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
 def _regression_report(t: Tables, kinds: dict[str, dict]) -> DataFrame:

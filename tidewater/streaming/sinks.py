@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 from threading import Condition
 
@@ -214,8 +215,9 @@ def progress_row(progress) -> tuple:
 class ProgressLog(StreamingQueryListener):
     """Every progress report of the session's queries while the ``with`` block lasts, as rows in a folder.
 
-    Reports go to the folder in blocks of ``block`` and at the end of a query, so the driver holds
-    no more than one block and none is dropped, however long a query runs.
+    Reports go to the folder in blocks of ``block`` and at the end of a query, so none is dropped,
+    however long a query runs. A thread of its own writes the blocks, so that a report never waits
+    for a write.
     """
 
     def __init__(self, spark: SparkSession, path: str, block: int = 100):
@@ -223,6 +225,8 @@ class ProgressLog(StreamingQueryListener):
         self.waiting: list[tuple] = []
         self.ended: set[str] = set()
         self.change = Condition()
+        self.writer = ThreadPoolExecutor(1)
+        self.writes: list[Future] = []
 
     def __enter__(self) -> ProgressLog:
         self.spark.streams.addListener(self)
@@ -230,13 +234,27 @@ class ProgressLog(StreamingQueryListener):
 
     def __exit__(self, *error) -> None:
         self.spark.streams.removeListener(self)
-        self.write()
+        self.flush()
+        self.writer.shutdown()
 
     def write(self) -> None:
+        """Hand the waiting reports to the writing thread."""
         with self.change:
             rows, self.waiting = self.waiting, []
             if rows:
-                self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+                self.writes = [w for w in self.writes if not w.done() or w.exception()]
+                self.writes.append(self.writer.submit(self.store, rows))
+
+    def store(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def flush(self) -> None:
+        """Write what waits and raise what went wrong in any write."""
+        self.write()
+        with self.change:
+            writes, self.writes = self.writes, []
+        for write in writes:
+            write.result()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -261,6 +279,6 @@ class ProgressLog(StreamingQueryListener):
         with self.change:
             if not self.change.wait_for(lambda: run in self.ended, timeout):
                 raise TimeoutError(f"no end of query {run} was reported")
-        self.write()
+        self.flush()
         rows = self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
         return rows.filter(F.col("run") == run).drop("run")
