@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tidewater.llm import ngram_join as N
 from tidewater.llm import topk as K
@@ -151,3 +152,6 @@ def test_top_k_against_brute_force(spark):
     tiled = K.top_k(vectors, vectors.filter("vec_id % 100 = 0"), 10, block=50, chunk=2)
     assert sorted(map(tuple, tiled.collect())) == sorted(want)
     assert K.search_embeddings(table.limit(0)).collect() == []
+    large = spark.createDataFrame([(100, [1e17, 1e17]), (101, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large for exact scores"):
+        K.search_embeddings(large).collect()

@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidewater.llm.bpe_automaton import AutomatonEncoder, encode_documents, encoding_digests
-from tidewater.llm.packing import pack_documents, sum_of_squares
+from tidewater.llm.packing import pack, pack_documents, sum_of_squares
 from tidewater.llm.text import PieceCache, WordEncoder
 from tidewater.llm.token_files import SequenceFile, read_token_files, write_token_files
 
@@ -145,3 +145,30 @@ def test_packing(spark):
         assert at <= 256
     assert len(by_sequence) <= sum(r.length for r in rows) / 256 * 1.05 + 2
     assert pack_documents(docs.limit(0), WORDS).collect() == []
+
+
+def test_equal_pieces_spread_over_groups(spark):
+    pieces = spark.range(2000).selectExpr(
+        "cast(null as bigint) doc_id", "0 piece", "0L start", "case when id % 10 = 0 then 16L else 5L end length", "7L ids_crc32")
+    found = pack(pieces.repartition(4), capacity=16, group_pieces=100).collect()
+    full = [r for r in found if r.length == 16]
+    assert len(full) == 200 and len({r.sequence_id for r in full}) == 200 and all(r.offset == 0 for r in full)
+    groups = {r.sequence_id >> 32 for r in found if r.length == 5}
+    assert len(groups) == 18 and min(groups) >= 0
+    taken = [(r.sequence_id, r.offset) for r in found]
+    assert len(taken) == len(set(taken)) == 2000
+
+
+def test_files_split_rows_that_share_an_id(spark, tmp_path):
+    rows = [(None, "the same words again")] * 3000 + [(7, f"text {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which joins tables as small as this
+    try:
+        manifest = write_token_files(docs, WORDS, end_id=2, path=str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [r.n_docs for r in manifest.collect()]
+    assert sum(files) == 3500 and max(files) < 2000
+    found = sorted(map(tuple, read_token_files(manifest).collect()), key=lambda r: r[1])
+    assert [r[0] for r in found] == [None] * 3000 + [7] * 500
+    assert all(a[1] + a[2] == b[1] for a, b in zip(found, found[1:]))

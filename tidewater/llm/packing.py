@@ -94,13 +94,18 @@ def document_pieces(docs: DataFrame, vocabulary: str, end_id: int | None, capaci
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` with the sequence and the offset of each one; lengths are 1 to ``capacity``.
 
-    Full pieces fill a sequence each and need no packing, so they are numbered without a shuffle
-    of their own; the others go to groups of about ``group_pieces``.
+    Full pieces fill a sequence each and need no packing: they get negative numbers where they are,
+    without a shuffle. The others go to groups of about ``group_pieces``. A row number is part of
+    the group's hash, so equal pieces spread over the groups too.
     """
-    total = pieces.count()
+    total = pieces.filter(F.col("length") < capacity).count()
     groups = max(1, -(-total // group_pieces))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    dealt = pieces.select(*columns, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("grp"))
+    row = F.monotonically_increasing_id()
+    full = pieces.withColumn("_row", row).filter(F.col("length") == capacity).select(
+        *columns, (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    dealt = pieces.withColumn("_row", row).filter(F.col("length") < capacity).select(
+        *columns, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "_row"), F.lit(groups)).alias("grp"))
     schema = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
               "sequence_id bigint, offset bigint")
 
@@ -111,7 +116,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         return group.select(columns).append_column("sequence_id", pa.array(sequence + base)).append_column(
             "offset", pa.array(offset))
 
-    return dealt.groupBy("grp").applyInArrow(run, schema)
+    return dealt.groupBy("grp").applyInArrow(run, schema).unionByName(full)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int | None = 1, capacity: int = CAPACITY,

@@ -129,8 +129,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int | None = Non
     """
     spark = docs.sparkSession
     root = path or scratch_path(spark, "token-files")
-    ordered = texts_of(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions(
-        "doc_id", F.xxhash64("text"))
+    # The hash and a row number let a range split rows that share an id, equal ones too.
+    ordered = texts_of(docs, id_col, text_col).withColumns(
+        {"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()}).repartitionByRange(
+        "doc_id", "_hash", "_row").sortWithinPartitions("doc_id", "_hash").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)

@@ -83,6 +83,14 @@ def quantised(vector: Column, scale: int = 1024) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double")))
 
 
+def bounded(vector: Column, scale: int = 1024) -> Column:
+    """``quantised``, or an error if scores of such vectors could pass 2^52."""
+    most = F.sqrt(F.lit(2.0 ** 52) / F.size(vector)) / scale
+    large = F.exists(vector, lambda x: F.abs(x.cast("double")) >= most)
+    return F.when(large, F.raise_error(F.lit("a vector component is too large for exact scores"))).otherwise(
+        quantised(vector, scale))
+
+
 def usable(vector: Column) -> Column:
     """Not null, not empty, and without null or non-finite components."""
     return vector.isNotNull() & (F.size(vector) > 0) & F.forall(
@@ -142,10 +150,12 @@ def search_embeddings(embeddings: DataFrame, k: int = 10, every: int = 100) -> D
     """Top k for the rows whose vec_id is divisible by ``every``, against all rows.
 
     Rows without id, and vectors that are null, empty or hold null or non-finite components, take
-    no part. An empty table gives no rows; other columns are ignored.
+    no part. Components so large that partial sums of scores would leave the whole numbers that
+    doubles hold (8192 and more at 64 dimensions) are an error. An empty table gives no rows; other
+    columns are ignored.
     """
     vectors = embeddings.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), quantised(F.col("embedding")).alias("v"))
+        F.col("vec_id").cast("bigint").alias("vec_id"), bounded(F.col("embedding")).alias("v"))
     return top_k(vectors, vectors.filter(F.col("vec_id") % every == 0), k)
 
 
