@@ -214,10 +214,10 @@ def validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator: Evalua
     return Validated(metrics, maps[best], fit(est.copy(maps[best]), df))
 
 
-def tuning_table(spark, maps: list[dict], metrics: Sequence[float], metric: str) -> DataFrame:
-    """One row per tried parameter map with its metric."""
+def tuning_table(spark, maps: list[dict], metrics: Sequence[float], metric: str, digits: int = 6) -> DataFrame:
+    """One row per tried parameter map with its rounded metric."""
     rows = [(i, ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
-             float(value)) for i, (m, value) in enumerate(zip(maps, metrics))]
+             round(float(value), digits)) for i, (m, value) in enumerate(zip(maps, metrics))]
     return spark.createDataFrame(rows, f"trial bigint, params string, {metric} double")
 
 

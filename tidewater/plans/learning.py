@@ -20,6 +20,7 @@ from tidewater.ml import statistics as ST
 from tidewater.operators.layout import persisted
 from tidewater.operators.quantiles import exact_quantiles
 from tidewater.operators.sampling import split_column, split_two
+from tidewater.plans.model_sql import first_components, logistic_fit, md5_bucket, penalised_fit
 from tidewater.plans.registry import query
 from tidewater.plans.scalars import RIDES
 from tidewater.plans.tables import EMPLOYEES, Tables
@@ -197,7 +198,10 @@ def _points(t: Tables) -> DataFrame:
                                F.col("label").cast("double").alias("label"))
 
 
-@query("pca")
+@query("pca", f"""
+    WITH RECURSIVE {first_components('embedding', 'embeddings', ['vec_id'])}
+    SELECT vec_id, round(list_dot_product(x, one.v), 4) AS pc1, round(list_dot_product(x, two.v), 4) AS pc2
+    FROM vectors, one, two""")
 def pca(t):
     return M.principal_components(_points(t), "features", 2).select(
         "vec_id", F.round("pc1", 4).alias("pc1"), F.round("pc2", 4).alias("pc2"))
@@ -245,7 +249,33 @@ def feature_pipeline(t):
     return named.withColumn("age_scaled", F.round("age_scaled", 6))
 
 
-# Models. Results depend on iterative fitting, so these queries have no oracle.
+# Models. Penalised least squares have a solution that SQL can reach; results of other fits have no oracle.
+
+#: Test rows are fold 0 of one part, training rows fold 1.
+_TEST_FOLD = f"CASE WHEN {md5_bucket("ride || '#42'", 10_000)} < 8000 THEN 1 ELSE 0 END"
+_RIDE_DATA = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(_RIDE_INPUTS, start=1))
+
+
+def _regression_sql(models: dict[str, tuple[float, float]]) -> str:
+    return f"""
+    WITH RECURSIVE {RIDES_ML}, data AS (SELECT {_RIDE_DATA}, tip AS y, {_TEST_FOLD} AS fold FROM ml),
+    {penalised_fit(models)}
+    SELECT model, count(*) AS n, round(sqrt(avg(power(y - z, 2))), 4) AS rmse, round(avg(abs(y - z)), 4) AS mae,
+           round(1 - avg(power(y - z, 2)) / var_pop(y), 4) AS r2 FROM errors GROUP BY model"""
+
+
+def _tuning_sql(maps: list[dict], fold: str, parts: int) -> str:
+    """Mean error per trial over the parts; only training rows take part."""
+    models = {", ".join(f"{k}={v}" for k, v in sorted(m.items())): (m["regParam"], m.get("elasticNetParam", 0.0))
+              for m in maps}
+    trials = ", ".join(f"({i}, '{name}')" for i, name in enumerate(models))
+    return f"""
+    WITH RECURSIVE {RIDES_ML},
+    data AS (SELECT {_RIDE_DATA}, tip AS y, {fold} AS fold FROM ml WHERE {_TEST_FOLD} = 1),
+    {penalised_fit(models, parts)},
+    scores AS (SELECT model, part, sqrt(avg(power(y - z, 2))) AS rmse FROM errors GROUP BY ALL)
+    SELECT CAST(trial AS BIGINT) AS trial, model AS params, round(avg(rmse), 6) AS rmse
+    FROM scores JOIN (VALUES {trials}) v(trial, model) USING (model) GROUP BY ALL"""
 
 
 class Tasks:
@@ -262,8 +292,7 @@ class Tasks:
     @cached_property
     def classification(self) -> tuple[DataFrame, DataFrame]:
         rides = _rides(self.t).withColumn("label", (F.col("tip") / F.col("fare") > 0.20).cast("double"))
-        inputs = [*_RIDE_INPUTS, "tip", "hour_of_day"]
-        return split_two(M.assemble(rides, inputs).select("ride", "features", "label"), "ride")
+        return split_two(M.assemble(rides, _CLASS_INPUTS).select("ride", "features", "label"), "ride")
 
     @cached_property
     def points(self) -> tuple[DataFrame, DataFrame]:
@@ -294,7 +323,7 @@ def _stack(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-@query("linear_regression")
+@query("linear_regression", _regression_sql({"ridge": (0.1, 0.0), "ols": (0.0, 0.0)}))
 def linear_regression(t):
     return _regression_report(t, {"ridge": {"kind": "linear_regression"},
                                   "ols": {"kind": "linear_regression", "regParam": 0.0}})
@@ -312,18 +341,42 @@ def linear_fit(t):
     return t.spark.createDataFrame(fitted, "slope double, intercept double, r2 double")
 
 
-@query("ridge_sweep")
+_ALPHAS = (0.01, 1.0, 10.0)
+
+
+@query("ridge_sweep", _regression_sql({f"alpha={a}": (a, 0.0) for a in _ALPHAS}))
 def ridge_sweep(t):
     return _regression_report(t, {f"alpha={a}": {"kind": "linear_regression", "regParam": a, "elasticNetParam": 0.0}
-                                  for a in (0.01, 1.0, 10.0)})
+                                  for a in _ALPHAS})
+
+
+#: SQL for the metrics of ``E.binary_metrics`` and the area under the curve; it follows a CTE (label, prediction, score).
+def _metrics_sql(source: str) -> str:
+    return f"""
+    c AS (SELECT count(*) AS n, count(*) FILTER (label = 1 AND prediction = 1) AS tp,
+                 count(*) FILTER (label = 0 AND prediction = 1) AS fp, count(*) FILTER (label = 1 AND prediction = 0) AS fn,
+                 count(*) FILTER (label = prediction) AS hits, count(*) FILTER (label = 1) AS ones FROM {source}),
+    places AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS place
+               FROM {source}),
+    a AS (SELECT sum(place) AS ranks FROM places WHERE label = 1)
+    SELECT n, tp, fp, fn, round(hits / n, 6) AS accuracy, coalesce(round(tp / nullif(tp + fp, 0), 6), 0) AS precision,
+           coalesce(round(tp / nullif(tp + fn, 0), 6), 0) AS recall, coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 6), 0) AS f1,
+           round((ranks - ones * (ones + 1) / 2) / nullif(ones * (n - ones), 0), 6) AS auc FROM c, a"""
+
+
+_CLASS_INPUTS = [*_RIDE_INPUTS, "tip", "hour_of_day"]
+_CLASS_DATA = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(_CLASS_INPUTS, start=1))
 
 
-@query("logistic_regression")
+@query("logistic_regression", f"""
+    WITH RECURSIVE {RIDES_ML},
+    data AS (SELECT {_CLASS_DATA}, CASE WHEN tip / fare > 0.20 THEN 1.0::DOUBLE ELSE 0 END AS y, {_TEST_FOLD} AS fold FROM ml),
+    {logistic_fit(len(_CLASS_INPUTS), 0.01)}, {_metrics_sql('scored')}""")
 def logistic_regression(t):
     train, test = Tasks(t).classification
-    scored = L.fit_score(train, test, "logistic_regression")
-    auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(scored)
-    return E.binary_metrics(scored).withColumn("auc", F.lit(auc))
+    fitted = L.fit_score(train, test, "logistic_regression", maxIter=500, tol=1e-12)
+    scored = fitted.select("label", "prediction", vector_to_array("rawPrediction")[1].alias("score"))
+    return E.binary_metrics(scored).withColumn("auc", E.area_under_curve(scored).scalar())
 
 
 @query("decision_tree")
@@ -419,15 +472,7 @@ def evaluate_classifier(t):
 
 
 @query("classifier_metrics", f"""
-    WITH {_GUESS},
-    c AS (SELECT count(*) AS n, count(*) FILTER (label = 1 AND prediction = 1) AS tp,
-                 count(*) FILTER (label = 0 AND prediction = 1) AS fp, count(*) FILTER (label = 1 AND prediction = 0) AS fn,
-                 count(*) FILTER (label = prediction) AS hits, count(*) FILTER (label = 1) AS ones FROM g),
-    places AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS place FROM g),
-    a AS (SELECT sum(place) AS ranks FROM places WHERE label = 1)
-    SELECT n, tp, fp, fn, round(hits / n, 6) AS accuracy, coalesce(round(tp / nullif(tp + fp, 0), 6), 0) AS precision,
-           coalesce(round(tp / nullif(tp + fn, 0), 6), 0) AS recall, coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 6), 0) AS f1,
-           round((ranks - ones * (ones + 1) / 2) / nullif(ones * (n - ones), 0), 6) AS auc FROM c, a""")
+    WITH {_GUESS}, {_metrics_sql('g')}""")
 def classifier_metrics(t):
     """Accuracy, precision, recall, F1 and area under the curve of given predictions and scores."""
     guesses = _guesses(t)
@@ -476,20 +521,27 @@ def param_grid(t):
     return wide.select("n", rows)
 
 
-@query("cross_validate")
+_FOLDED = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
+
+
+@query("cross_validate", _tuning_sql(L.combinations(_FOLDED), f"{md5_bucket('ride', 9_999)} % 3", 3))
 def cross_validate(t):
     train, _ = Tasks(t).regression
-    est = L.estimator("linear_regression")
-    maps = L.grid(est, {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]})
+    est = L.estimator("linear_regression", maxIter=500, tol=1e-12)
+    maps = L.grid(est, _FOLDED)
     fitted = L.cross_validated(train, est, maps, RegressionEvaluator(metricName="rmse"), "ride")
     return L.tuning_table(t.spark, maps, fitted.avgMetrics, "rmse")
 
 
-@query("train_validation_split")
+_SPLIT = {"regParam": [0.01, 0.1, 1.0]}
+
+
+@query("train_validation_split", _tuning_sql(
+    L.combinations(_SPLIT), f"CASE WHEN {md5_bucket('ride', 9_999)} >= 7999 THEN 0 ELSE 1 END", 1))
 def train_validation_split(t):
     train, _ = Tasks(t).regression
     est = L.estimator("linear_regression")
-    maps = L.grid(est, {"regParam": [0.01, 0.1, 1.0]})
+    maps = L.grid(est, _SPLIT)
     fitted = L.validated(train, est, maps, RegressionEvaluator(metricName="rmse"), "ride")
     return L.tuning_table(t.spark, maps, fitted.metrics, "rmse")
 
