@@ -79,6 +79,20 @@ def test_near_duplicates_against_all_pairs(spark):
         assert found == brute(rows)
 
 
+def test_blocks_are_bounded_in_ngrams(spark):
+    random.seed(9)
+    base = [f"w{random.randrange(5000)}" for _ in range(3000)]
+    rows = near_copies()[:40]
+    for i in range(12):
+        words = list(base)
+        for _ in range(i * 20):
+            words[random.randrange(len(words))] = f"x{random.randrange(5000)}"
+        rows.append((1000 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows)
+    assert sorted(map(tuple, N.near_duplicates(docs, block_grams=4000).collect())) == want
+
+
 def test_near_duplicates_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, None)],
                                  "doc_id long, text string")

@@ -6,8 +6,8 @@
 2. Nodes shuffle on their band hashes. A bucket is linked as a star to its smallest node, so a
    bucket costs as many rows as it has members, however large it is.
 3. The components of these stars hold every candidate pair. Only their texts are read again.
-4. Each component is cut into blocks by set size and hash; pairs of blocks whose sizes can reach
-   the threshold are cells. A cell verifies all its pairs on the full sets at once and returns one
+4. Each component is cut into blocks by set size and hash, bounded in sets and in n-grams; pairs of
+   blocks whose sizes can reach the threshold are cells. A cell verifies all its pairs on the full sets at once and returns one
    row per node: how many it is linked to, and the smallest node it is connected with.
 5. The components of the verified links are the classes.
 
@@ -37,6 +37,8 @@ RECALL = 0.9995
 MAX_HASHES = 128
 BLOCK = 512
 CELL_ROWS = 2000
+# 8 bytes each: a block of long texts holds fewer of them, at least one.
+BLOCK_GRAMS = 4 << 20
 SLICE = 8 << 20
 NO_ID = -(1 << 63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -161,7 +163,7 @@ def text_hashes(text: Column) -> Column:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, id_col: str = "doc_id",
-                    text_col: str = "text", block: int = BLOCK) -> DataFrame:
+                    text_col: str = "text", block: int = BLOCK, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """Per row: ``doc_id``, ``class_id``, ``links``, ``set_links``.
 
     Two documents are linked when the Jaccard similarity of their n-gram sets is at least
@@ -169,13 +171,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORD
     ``links`` the number of other documents it is linked to, ``set_links`` how many different
     n-gram sets these have besides its own. Texts without words are linked to nothing. Rows with
     the same id and text are one document, rows with the same id and different texts are several;
-    so are rows with a null id, which is smaller than all others. An empty table gives no rows.
+    so are rows with a null id, which is smaller than all others. An empty table gives no rows. Very
+    long texts take part whole: a task holds two blocks of ``block_grams`` n-grams, or two texts that
+    have more.
     """
-    return near_classes(docs, threshold, n, id_col, text_col, block).select("doc_id", "class_id", "links", "set_links")
+    return near_classes(docs, threshold, n, id_col, text_col, block, block_grams).select("doc_id", "class_id", "links", "set_links")
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, id_col: str = "doc_id",
-                 text_col: str = "text", block: int = BLOCK) -> DataFrame:
+                 text_col: str = "text", block: int = BLOCK, block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """The columns of ``near_duplicates`` with ``text_hash`` (``text_hashes``) and ``first``: whether the row
     is the document of its class with the smallest id, and of its texts that with the smallest hash."""
     bands, rows = choose_bands(threshold)
@@ -229,15 +233,18 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS,
     full = staged(wanted.mapInArrow(fetch, "node bigint, comp bigint, weight bigint, size bigint, grams binary")
                   .withColumn("band", F.floor(F.log("size") / step).cast("int"))
                   .dropDuplicates(["node"]), "full")
-    blocks = staged(full.groupBy("comp", "band").agg(F.count(F.lit(1)).alias("held")).withColumn(
-        "blocks", F.ceil(F.col("held") / block).cast("int")), "blocks")
-    small = staged(blocks.groupBy("comp").agg(F.sum("held").alias("held")).filter(F.col("held") <= block), "small")
+    blocks = staged(full.groupBy("comp", "band").agg(
+        F.count(F.lit(1)).alias("held"), F.sum("size").alias("n_grams")).withColumn(
+        "blocks", F.greatest(F.ceil(F.col("held") / block), F.ceil(F.col("n_grams") / block_grams)).cast("int")), "blocks")
+    small = staged(blocks.groupBy("comp").agg(F.sum("held").alias("held"), F.sum("n_grams").alias("n_grams")).filter(
+        (F.col("held") <= block) & (F.col("n_grams") <= block_grams)), "small")
     counted = full.join(blocks.select("comp", "band", "blocks"), ["comp", "band"])
     for side, shift in (("lower", -1), ("upper", 1)):
         beside = blocks.select("comp", (F.col("band") - shift).alias("band"), F.col("blocks").alias(side))
         counted = counted.join(beside, ["comp", "band"], "left")
     counted = counted.join(small.select("comp", F.lit(True).alias("small")), "comp", "left")
-    groups = max(1, -(-(small.agg(F.sum("held")).first()[0] or 0) // CELL_ROWS))
+    held, n_grams = small.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.sum("n_grams"), F.lit(0))).first()
+    groups = max(1, -(-held // CELL_ROWS), -(-n_grams // block_grams))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
 
     def cells(count: str, build) -> F.Column:
