@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tidewater.operators.windows import with_windows
 from tidewater.session import scratch_path, scratch_root
 from tidewater.sources import log_source, logs
 from tidewater.streaming import sinks
@@ -133,3 +134,19 @@ def test_offsets_by_name():
     assert log_source.named_offsets('{"1": -1}', bounds) == {"0": 5, "1": 3}
     with pytest.raises(ValueError, match="earliest"):
         log_source.named_offsets("soon", bounds)
+
+
+def test_a_partition_is_numbered_in_chunks(spark, tmp_path, monkeypatch):
+    asked = []
+
+    def noted(df, keys, order, specs, **options):
+        asked.append(options)
+        return with_windows(df, keys, order, specs, **options)
+
+    monkeypatch.setattr(log_source, "with_windows", noted)
+    monkeypatch.setattr(log_source, "NUMBERED_RECORDS", 10)
+    log_source.append_log(numbered_records(spark, 100), f"{tmp_path}/log", ["id"], 10)
+    assert asked == [{"max_group_rows": 10, "rows_per_chunk": 10}]
+    for p, (first, end) in log_source.Log(f"{tmp_path}/log").bounds().items():
+        found = log_source.log_batch(spark, f"{tmp_path}/log").filter(F.col("partition") == p).select("offset").collect()
+        assert sorted(r["offset"] for r in found) == list(range(first, end))

@@ -29,6 +29,8 @@ RECORD_TYPES = pa.schema([
     ("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()), ("partition", pa.int32()),
     ("offset", pa.int64()), ("timestamp", pa.timestamp("us", "UTC"))])
 SEGMENT_RECORDS = 1_000_000
+#: Records of a partition that one task numbers; they are sorted with their payload.
+NUMBERED_RECORDS = 1_000_000
 
 
 def _folders(store: fs.FileSystem, path: str, label: str) -> dict[int, str]:
@@ -249,12 +251,13 @@ def append_log(records: DataFrame, path: str, order: Sequence[str], segment_reco
 
     ``records`` have ``key``, ``value``, ``partition`` and ``timestamp``; within a partition they get
     consecutive offsets in the order of the columns ``order``. A null partition is partition 0. A
-    partition that holds much of the table is numbered in chunks, and each segment is written by one task.
+    partition of more than ``NUMBERED_RECORDS`` is numbered in chunks, and each segment is written by one task.
     """
     spark = records.sparkSession
     ends = {p: end for p, (_, end) in Log(path).bounds().items()}
     placed = records.withColumn("partition", F.coalesce(F.col("partition").cast("int"), F.lit(0)))
-    numbered = with_windows(placed, ["partition"], list(order), {"at": row_number()}).withColumn("at", F.col("at") - 1)
+    numbered = with_windows(placed, ["partition"], list(order), {"at": row_number()}, max_group_rows=NUMBERED_RECORDS,
+                            rows_per_chunk=NUMBERED_RECORDS).withColumn("at", F.col("at") - 1)
     known = spark.createDataFrame(list(ends.items()) or [(0, 0)], "partition int, _end bigint")
     based = numbered.join(F.broadcast(known), "partition", "left").withColumn("_end", F.coalesce("_end", F.lit(0)))
     based.select(
