@@ -158,3 +158,11 @@ def test_brackets_hold_a_ten_thousandth_of_the_rows(spark, monkeypatch):
     values = np.sort(df.toPandas()["x"].to_numpy())
     assert found == [values[int(np.ceil(p * n)) - 1] for p in (0.25, 0.5, 0.99)]
     assert all(s <= 3e-4 * n for s in seen[:3])
+
+
+def test_table_function_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(P, "SPREAD_ROWS", 10)
+    df = spark.range(30).select("id", F.lit("a b").alias("words")).coalesce(1)
+    out = P.flat_map(df, lambda w: [(x,) for x in w.split()], ["words"], "word string", keep=["id"])
+    assert out.select(F.spark_partition_id().alias("p"), "id").distinct().groupBy("p").count().count() == 4
+    assert out.count() == 60

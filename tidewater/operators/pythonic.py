@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A table function gets a task per ``SPREAD_ROWS`` rows as long as cores wait for one, and never more than ``TASK_ROWS`` in it.
+SPREAD_ROWS, TASK_ROWS = 10_000, 1_000_000
+
 
 def scalar_udf(fn: Callable, return_type: T.DataType | str) -> Callable[..., Column]:
     """Row function with Arrow transfer; prefer built-in expressions where they exist."""
@@ -30,8 +33,14 @@ def flat_map(df: DataFrame, fn: Callable[..., Iterable[tuple]], inputs: Sequence
     """Zero or more output rows per input row: an Arrow table function in a lateral join.
 
     ``fn`` takes the values of the columns ``inputs`` and yields rows of ``schema``; the columns
-    ``keep`` of the input row stand beside each of them.
+    ``keep`` of the input row stand beside each of them. Rows cost far more here than in a scan, so they
+    are counted and spread over the tasks first: a small file would go through one task.
     """
+    rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(rows // SPREAD_ROWS, 4 * cores), rows // TASK_ROWS) + 1
+    spread = df.select(*dict.fromkeys([*inputs, *keep])).repartition(tasks)
+
     class Rows:
         def eval(self, *values):
             yield from fn(*values)
@@ -40,7 +49,7 @@ def flat_map(df: DataFrame, fn: Callable[..., Iterable[tuple]], inputs: Sequence
     # Names of its own, so that a result may be called like an input.
     made = T.StructType([T.StructField(f"_made{i}", f.dataType) for i, f in enumerate(fields)])
     table = F.udtf(Rows, returnType=made, useArrow=True)
-    joined = df.lateralJoin(table(*[F.col(c).outer() for c in inputs]))
+    joined = spread.lateralJoin(table(*[F.col(c).outer() for c in inputs]))
     return joined.select(*keep, *[F.col(f"_made{i}").alias(f.name) for i, f in enumerate(fields)])
 
 
