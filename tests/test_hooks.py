@@ -166,3 +166,12 @@ def test_table_function_rows_are_spread(spark, monkeypatch):
     out = P.flat_map(df, lambda w: [(x,) for x in w.split()], ["words"], "word string", keep=["id"])
     assert out.select(F.spark_partition_id().alias("p"), "id").distinct().groupBy("p").count().count() == 4
     assert out.count() == 60
+
+
+def test_training_rows_keep_places_and_drop_what_a_fit_does_not_read(spark):
+    df = M.assemble(spark.range(500).select("id", F.col("id").cast("double").alias("label")), ["id"])
+    with L.training_rows(df, ["features", "label"]) as kept:
+        assert kept.columns == ["features", "label"]
+        places = rows(kept.select("label", F.spark_partition_id().alias("p")))
+    usual = df.repartition(L.TRAIN_PARTITIONS, *df.columns)
+    assert places == rows(usual.select("label", F.spark_partition_id().alias("p")))

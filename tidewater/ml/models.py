@@ -63,21 +63,26 @@ def estimator(kind: str, **params) -> Estimator:
 
 
 @contextmanager
-def training_rows(train: DataFrame) -> Iterator[DataFrame]:
+def training_rows(train: DataFrame, columns: Sequence[str] | None = None) -> Iterator[DataFrame]:
     """Training rows computed once and kept while models are fitted on them.
 
     Fitting samples and sums by partition, so rows are dealt by their own hash to a number of
     partitions that follows from their count, and ordered by it: a fitted model depends neither on
-    the cluster nor on how the table is cut into files.
+    the cluster nor on how the table is cut into files. ``columns`` are those that the fit reads:
+    the whole row decides its place, but only they move and are kept.
     """
-    with persisted(train) as kept:
-        n = max(TRAIN_PARTITIONS, -(-kept.count() // TRAIN_ROWS))
-        with persisted(kept.repartition(n, *kept.columns).sortWithinPartitions(F.xxhash64(*kept.columns))) as dealt:
-            yield dealt
-
-
-def fit(est: Estimator, train: DataFrame):
-    with training_rows(train) as rows:
+    n = max(TRAIN_PARTITIONS, -(-train.count() // TRAIN_ROWS))
+    names = train.columns if columns is None else list(columns)
+    # The partition that repartition(n, *train.columns) would choose.
+    placed = train.select(*names, F.pmod(F.hash(*train.columns), F.lit(n)).alias("_place"),
+                          F.xxhash64(*train.columns).alias("_order"))
+    dealt = placed.repartitionById(n, F.col("_place")).sortWithinPartitions("_order")
+    with persisted(dealt.select(*names)) as kept:
+        yield kept
+
+
+def fit(est: Estimator, train: DataFrame, columns: Sequence[str] | None = None):
+    with training_rows(train, columns) as rows:
         return est.fit(rows)
 
 
@@ -199,19 +204,22 @@ def in_parallel(spark: SparkSession, trials: Sequence[Callable[[], float]], para
 
 
 def validated(df: DataFrame, est: Estimator, maps: list[dict], evaluator: Evaluator, key: str,
-              ratio: float = 0.8, parallelism: int = 4) -> Validated:
+              ratio: float = 0.8, parallelism: int = 4, columns: Sequence[str] | None = None) -> Validated:
     """Best parameters on one train/validation split, refit on all rows; trials run at the same time.
 
     The split hashes the row key, so it does not change when the table is partitioned differently.
+    ``columns`` are those that the estimator and the evaluator read; all, unless given.
     """
+    names = df.columns if columns is None else list(columns)
     held_out = hash_percent(F.col(key), 9_999) >= int(ratio * 9_999)
-    with training_rows(df.filter(~held_out)) as train, persisted(df.filter(held_out)) as validation:
+    with (training_rows(df.filter(~held_out), columns) as train,
+          persisted(df.filter(held_out).select(*names)) as validation):
         def trial(m: dict) -> Callable[[], float]:
             return lambda: float(evaluator.evaluate(est.fit(train, m).transform(validation)))
 
         metrics = in_parallel(df.sparkSession, [trial(m) for m in maps], parallelism)
     best = (max if evaluator.isLargerBetter() else min)(range(len(maps)), key=metrics.__getitem__)
-    return Validated(metrics, maps[best], fit(est.copy(maps[best]), df))
+    return Validated(metrics, maps[best], fit(est.copy(maps[best]), df, columns))
 
 
 def tuning_table(spark, maps: list[dict], metrics: Sequence[float], metric: str, digits: int = 6) -> DataFrame:

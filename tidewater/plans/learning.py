@@ -302,8 +302,9 @@ class Tasks:
 def _report(parts: tuple[DataFrame, DataFrame], kinds: dict[str, dict], measure) -> DataFrame:
     """Metrics of several models, a row each; both sides are computed once for all of them."""
     train, test = parts
-    with L.training_rows(train) as kept, persisted(test) as held:
-        report = _stack({name: measure(L.fit_score(kept, held, **spec)) for name, spec in kinds.items()})
+    read = ["features", "label"]
+    with L.training_rows(train, read) as kept, persisted(test.select(*read)) as held:
+        report = _stack({name: measure(L.estimator(**spec).fit(kept).transform(held)) for name, spec in kinds.items()})
         return train.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
@@ -439,7 +440,7 @@ def kmeans(t):
     """Cluster sizes and profiles on scaled ride measures, with the silhouette."""
     vectors = M.assemble(_rides(t), _RIDE_INPUTS, "raw")
     scale = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
-    clustered = L.fit(L.chain(scale, L.estimator("kmeans")), vectors).transform(vectors)
+    clustered = L.fit(L.chain(scale, L.estimator("kmeans")), vectors, ["raw"]).transform(vectors)
     silhouette = ClusteringEvaluator().evaluate(clustered)
     return clustered.groupBy("prediction").agg(
         F.count(F.lit(1)).alias("n"), F.avg("fare").alias("avg_fare"), F.avg("distance").alias("avg_distance"),
@@ -551,7 +552,7 @@ def random_search(t):
     train, _ = Tasks(t).classification
     est = L.estimator("logistic_regression")
     maps = L.random_grid(est, {"regParam": [0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.25, 0.5, 1.0]}, 4)
-    fitted = L.validated(train, est, maps, BinaryClassificationEvaluator(), "ride")
+    fitted = L.validated(train, est, maps, BinaryClassificationEvaluator(), "ride", columns=["features", "label"])
     return L.tuning_table(t.spark, maps, fitted.metrics, "auc").orderBy(F.desc("auc"), "trial")
 
 
