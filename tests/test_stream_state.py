@@ -212,3 +212,11 @@ def test_keyed_store_takes_update_mode(spark, tmp_path):
     sinks.start_query(counted, f"{tmp_path}/cp", mode="update", each_batch=store).awaitTermination()
     assert sorted((r["name"], r["month"], r["n"]) for r in store.table(spark, counted.schema).collect()) == [
         ("a", 1, 2), ("a", 2, 1), ("b", 1, 1)]
+
+
+def test_keyed_store_keeps_no_copy_of_a_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *a: pytest.fail("a batch was kept"))
+    store = sinks.KeyedStore(f"{tmp_path}/store", ["zone", "window_start"])
+    batch = spark.sql("SELECT 1 AS zone, TIMESTAMP_NTZ'2024-01-01' AS window_start UNION ALL SELECT 2, NULL")
+    store(batch, 0)
+    assert [r["year"] for r in store.table(spark, batch.schema).orderBy("zone").collect()] == [2024, 0]

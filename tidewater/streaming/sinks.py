@@ -127,13 +127,17 @@ class KeyedStore:
         return rows.withColumns({"year": F.coalesce(F.year(self.time), F.lit(0)),
                                  "month": F.coalesce(F.month(self.time), F.lit(0))})
 
+    def _months(self, spark: SparkSession, folder: str) -> list[tuple[int, int]]:
+        """The months that a delta holds, from its folders."""
+        rows = spark.read.schema("year int, month int").parquet(folder)
+        return [(r["year"], r["month"]) for r in rows.distinct().collect()]
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         valid = self._commit_of(spark, batch_id - 1)
-        with persisted(self._stamped(batch)) as kept:
-            # As many rows as the batch touches months.
-            touched = [(r["year"], r["month"]) for r in kept.select("year", "month").distinct().collect()]
-            write_partitioned(kept, f"{self.path}/delta-{batch_id}", ["year", "month"])
+        # One action on the batch: a second one would compute its state again, or need a copy of all its rows.
+        write_partitioned(self._stamped(batch), f"{self.path}/delta-{batch_id}", ["year", "month"])
+        touched = self._months(spark, f"{self.path}/delta-{batch_id}")
         for m in touched:
             valid.setdefault(m, []).append((batch_id, f"delta-{batch_id}/year={m[0]}/month={m[1]}"))
         newest = max(valid, default=None)
