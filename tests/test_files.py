@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidewater.ml.features import quantile_buckets
+from tidewater.plans.tables import trips_of
+from tidewater.sources import lake
 from tidewater.sources.files import read_drifted
 
 
@@ -28,3 +30,16 @@ def test_quantile_buckets(spark):
     assert rows(sizes.select("b", "n")) == [(1.0, 5), (2.0, 3)]
     nothing = quantile_buckets(frame.select(F.lit(None).cast("double").alias("x")), "x", 4, "b")
     assert {r["b"] for r in nothing.collect()} == {None}
+
+
+def test_silver_is_written_from_one_shuffle(spark, tables, tmp_path):
+    lake.bronze_ingest(trips_of(tables.lineitem), f"{tmp_path}/bronze", "pickup_ts")
+    bronze = spark.read.parquet(f"{tmp_path}/bronze")
+    bronze = bronze.unionByName(bronze)
+    dealt = bronze.withColumn("_slice", F.lit(0)).repartition("_year", "_month", "_slice")
+    plan = lake.silver_trips(dealt, ["_year", "_month", "_slice"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    lake.write_silver(bronze, f"{tmp_path}/silver", rows_per_slice=20)
+    silver, usual = spark.read.parquet(f"{tmp_path}/silver"), lake.silver_trips(bronze)
+    assert sorted(silver.columns) == sorted(usual.columns) and silver.count() == usual.count() > 0
+    assert silver.select(usual.columns).exceptAll(usual).count() == 0

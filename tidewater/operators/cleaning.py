@@ -105,10 +105,13 @@ def clean_trips(trips: DataFrame) -> DataFrame:
 TRIP_KEY = ["pickup_ts", "pu_zone", "do_zone", "fare"]
 
 
-def dedupe_trips(trips: DataFrame) -> DataFrame:
-    """One trip per business key; the survivor is the first in a fixed total order."""
+def dedupe_trips(trips: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """One trip per business key; the survivor is the first in a fixed total order.
+
+    Columns ``within`` must follow from the key. Where rows are already dealt by them, they stay there.
+    """
     rest: list[OrderKey] = [c for c in ("order_key", "vendor_id", "distance", "tip")]
-    return best_per_key(trips, TRIP_KEY, rest)
+    return best_per_key(trips, [*within, *TRIP_KEY], rest)
 
 
 SENSOR_RANGE = (-20.0, 100.0)

@@ -300,8 +300,7 @@ def lake_layers(t):
     """
     base = scratch_path(t.spark, "lake")
     lake.bronze_ingest(trips_of(t.lineitem), f"{base}/bronze", "pickup_ts")
-    silver = lake.silver_trips(t.spark.read.parquet(f"{base}/bronze"))
-    files.write_partitioned(silver, f"{base}/silver", ["_year", "_month"])
+    lake.write_silver(t.spark.read.parquet(f"{base}/bronze"), f"{base}/silver")
     silver = t.spark.read.parquet(f"{base}/silver")
     daily = lake.daily_kpis(silver).withColumns({"_year": F.year("date"), "_month": F.month("date")})
     files.write_partitioned(daily, f"{base}/gold/daily_kpis", ["_year", "_month"])
