@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -150,3 +152,38 @@ def test_a_partition_is_numbered_in_chunks(spark, tmp_path, monkeypatch):
     for p, (first, end) in log_source.Log(f"{tmp_path}/log").bounds().items():
         found = log_source.log_batch(spark, f"{tmp_path}/log").filter(F.col("partition") == p).select("offset").collect()
         assert sorted(r["offset"] for r in found) == list(range(first, end))
+
+
+def test_a_slice_is_read_from_the_row_groups_that_it_touches(spark, tmp_path, monkeypatch):
+    decoded = []
+
+    class Noted(pq.ParquetFile):
+        def iter_batches(self, *args, **options):
+            for batch in super().iter_batches(*args, **options):
+                decoded.append(batch.num_rows)
+                yield batch
+
+    monkeypatch.setattr(log_source, "GROUP_RECORDS", 10, raising=False)
+    monkeypatch.setattr(log_source.pq, "ParquetFile", Noted)
+    path = f"{tmp_path}/log"
+    log_source.append_log(numbered_records(spark, 250, partitions=1), path, ["id"], 100)
+    for first, last in ((0, 5), (25, 30), (8, 12), (95, 105), (0, 250), (249, 250)):
+        decoded.clear()
+        slices = log_source.Log(path).slices({"0": first}, {"0": last}, True)
+        found = [r for part in slices for batch in log_source.read_slice(path, part, "log") for r in batch.to_pylist()]
+        assert [(r["offset"], int(r["value"])) for r in found] == [(i, i) for i in range(first, last)]
+        assert sum(decoded) == (last + 9) // 10 * 10 - first // 10 * 10
+
+
+@pytest.mark.parametrize("options", [{"write_statistics": False}, {"write_statistics": ["key"]}, {}])
+def test_a_segment_may_have_files_of_any_layout(tmp_path, options):
+    folder = tmp_path / "log" / "partition=0" / "segment=0"
+    folder.mkdir(parents=True)
+    for name, offsets in (("a", [7, 3, 9, 1]), ("b", [0, 8, 2]), ("c", [4, 5, 6]), ("d", [])):
+        rows = [{"key": None, "value": b"%d" % i, "timestamp": None, "offset": i} for i in offsets]
+        kinds = {f.name: f.type for f in log_source.RECORD_TYPES}
+        table = pa.Table.from_pylist(rows, pa.schema([(n, kinds[n]) for n in ("key", "value", "timestamp", "offset")]))
+        pq.write_table(table, folder / f"{name}.parquet", row_group_size=2, **options)
+    slices = log_source.Log(f"{tmp_path}/log").slices({"0": 2}, {"0": 9}, True)
+    found = [r for part in slices for batch in log_source.read_slice(f"{tmp_path}/log", part, "log") for r in batch.to_pylist()]
+    assert sorted((r["offset"], r["value"]) for r in found) == [(i, b"%d" % i) for i in range(2, 9)]

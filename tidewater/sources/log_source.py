@@ -2,8 +2,9 @@
 
 A log is a folder ``partition=P/segment=B`` per segment, where B is the offset of its first record.
 A segment holds the records of consecutive offsets as Parquet. The driver lists folders and reads
-footers; records are read by the executors, one task per segment and batch. Offsets of a stream
-are a number per partition, limited per micro-batch, and kept in the query's checkpoint.
+footers; records are read by the executors, one task per segment and batch, from the row groups
+that the batch touches. Offsets of a stream are a number per partition, limited per micro-batch, and
+kept in the query's checkpoint.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ RECORD_TYPES = pa.schema([
     ("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()), ("partition", pa.int32()),
     ("offset", pa.int64()), ("timestamp", pa.timestamp("us", "UTC"))])
 SEGMENT_RECORDS = 1_000_000
+#: Records of a row group, the least that a batch reads of a segment.
+GROUP_RECORDS = 8_192
 #: Records of a partition that one task numbers; they are sorted with their payload.
 NUMBERED_RECORDS = 1_000_000
 
@@ -85,8 +88,7 @@ class Log:
             if at >= stop:
                 continue
             firsts = segments.get(p, {})
-            for i, first in enumerate(firsts):
-                following = list(firsts)[i + 1] if i + 1 < len(firsts) else None
+            for first, following in zip(firsts, [*list(firsts)[1:], None]):
                 if first >= stop or (following is not None and following <= at):
                     continue
                 until = first + _records(self.store, firsts[first])
@@ -116,11 +118,23 @@ class SegmentSlice(InputPartition):
     last: int
 
 
+def _groups(file: pq.ParquetFile, part: SegmentSlice) -> list[int]:
+    """Row groups that may hold records of a slice, by their smallest and largest offset if they state them."""
+    column = file.schema.names.index("offset")
+    found = []
+    for group in range(file.num_row_groups):
+        stated = file.metadata.row_group(group).column(column).statistics
+        if stated is None or not stated.has_min_max or (stated.min < part.last and stated.max >= part.first):
+            found.append(group)
+    return found
+
+
 def read_slice(path: str, part: SegmentSlice, topic: str) -> Iterator[pa.RecordBatch]:
     store, _ = open_store(path)
     for name in _files(store, part.folder):
         with store.open_input_file(name) as file:
-            for batch in pq.ParquetFile(file).iter_batches(columns=["key", "value", "offset", "timestamp"]):
+            held = pq.ParquetFile(file)
+            for batch in held.iter_batches(row_groups=_groups(held, part), columns=["key", "value", "offset", "timestamp"]):
                 offset = batch.column("offset")
                 batch = batch.filter(pc.and_(pc.greater_equal(offset, part.first), pc.less(offset, part.last)))
                 n = batch.num_rows
@@ -264,7 +278,7 @@ def append_log(records: DataFrame, path: str, order: Sequence[str], segment_reco
         "key", "value", (F.col("_end") + F.col("at")).alias("offset"), F.col("timestamp").cast("timestamp"), "partition",
         (F.col("_end") + F.floor(F.col("at") / segment_records) * segment_records).cast("bigint").alias("segment")
     ).repartition("partition", "segment").sortWithinPartitions("partition", "segment", "offset").write.mode(
-        "append").partitionBy("partition", "segment").parquet(path)
+        "append").option("parquet.block.row.count.limit", GROUP_RECORDS).partitionBy("partition", "segment").parquet(path)
 
 
 def log_batch(spark: SparkSession, path: str, **options) -> DataFrame:
