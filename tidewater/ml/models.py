@@ -16,7 +16,6 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -36,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidewater.functions.expressions import hash_percent
+from tidewater.ml.trees import HistogramGBTClassifier
 from tidewater.operators.layout import persisted
 from tidewater.sources.stores import open_store
 
@@ -49,7 +49,7 @@ ESTIMATORS = {
     "logistic_regression": lambda **p: LogisticRegression(**{"maxIter": 20, "regParam": 0.01, **p}),
     "decision_tree": lambda **p: DecisionTreeClassifier(**{"seed": SEED, **p}),
     "random_forest": lambda **p: RandomForestClassifier(**{"numTrees": 20, "seed": SEED, **p}),
-    "gbt": lambda **p: GBTClassifier(**{"maxIter": 20, "seed": SEED, **p}),
+    "gbt": lambda **p: HistogramGBTClassifier(**{"maxIter": 20, "seed": SEED, **p}),
     "mlp": lambda **p: MultilayerPerceptronClassifier(**{"maxIter": 50, "seed": SEED, **p}),
     "decision_tree_regressor": lambda **p: DecisionTreeRegressor(**{"seed": SEED, **p}),
     "random_forest_regressor": lambda **p: RandomForestRegressor(**{"numTrees": 20, "seed": SEED, **p}),
