@@ -92,7 +92,7 @@ def test_other_options_are_left_to_spark(table):
     assert isinstance(L.estimator("gbt", maxIter=2).fit(data), R.TreeSum)
 
 
-@pytest.mark.parametrize("kind, label", [("gbt", 2.0), ("gbt", None)])
+@pytest.mark.parametrize("kind, label", [("gbt", 2.0), ("gbt", None), ("gbt_regressor", None), ("decision_tree_regressor", float("nan"))])
 def test_wrong_labels_are_an_error(spark, kind, label):
     df = M.assemble(spark.createDataFrame([(1.0, 0.0), (2.0, 1.0), (3.0, label)], "x double, label double"), ["x"])
     with pytest.raises(Exception, match="labels must"):
@@ -102,8 +102,8 @@ def test_wrong_labels_are_an_error(spark, kind, label):
 def test_no_rows_are_an_error_and_constant_features_give_the_mean(spark):
     df = M.assemble(spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "x double, label double"), ["x"])
     with pytest.raises(ValueError, match="no rows"):
-        R.HistogramGBTRegressor().fit(df.limit(0))
-    assert {r["prediction"] for r in R.HistogramTreeRegressor().fit(df).transform(df).collect()} == {3.0}
+        L.estimator("gbt_regressor").fit(df.limit(0))
+    assert {r["prediction"] for r in L.estimator("decision_tree_regressor").fit(df).transform(df).collect()} == {3.0}
 
 
 def test_boosted_model_is_saved_and_reloaded(table, tmp_path):

@@ -23,19 +23,14 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tidewater.functions.expressions import hash_percent
-from tidewater.ml.trees import HistogramGBTClassifier
+from tidewater.ml.trees import HistogramGBTClassifier, HistogramGBTRegressor, HistogramTreeRegressor
 from tidewater.operators.layout import persisted
 from tidewater.sources.stores import open_store
 
@@ -51,9 +46,9 @@ ESTIMATORS = {
     "random_forest": lambda **p: RandomForestClassifier(**{"numTrees": 20, "seed": SEED, **p}),
     "gbt": lambda **p: HistogramGBTClassifier(**{"maxIter": 20, "seed": SEED, **p}),
     "mlp": lambda **p: MultilayerPerceptronClassifier(**{"maxIter": 50, "seed": SEED, **p}),
-    "decision_tree_regressor": lambda **p: DecisionTreeRegressor(**{"seed": SEED, **p}),
+    "decision_tree_regressor": lambda **p: HistogramTreeRegressor(**{"seed": SEED, **p}),
     "random_forest_regressor": lambda **p: RandomForestRegressor(**{"numTrees": 20, "seed": SEED, **p}),
-    "gbt_regressor": lambda **p: GBTRegressor(**{"maxIter": 20, "seed": SEED, **p}),
+    "gbt_regressor": lambda **p: HistogramGBTRegressor(**{"maxIter": 20, "seed": SEED, **p}),
     "kmeans": lambda **p: KMeans(**{"k": 3, "seed": SEED, **p}),
 }
 
