@@ -59,7 +59,7 @@ def test_limits_of_a_tree_are_kept(table, kind):
 
 def test_boosted_passes_read_sums_not_rows(spark, table, monkeypatch):
     rows = table.select(vector_to_array("features").alias("features"), F.col("value").alias("label"))
-    thresholds = R.find_thresholds(rows, 4, 42)
+    thresholds = R.find_thresholds(rows, 15_000, 4, 42)
     sizes = [len(t) + 1 for t in thresholds]
     blocks = R.to_blocks(rows, thresholds, False).collect()
     assert sum(b.n.sum() for b in blocks) == 15_000
@@ -77,12 +77,13 @@ def test_boosted_passes_read_sums_not_rows(spark, table, monkeypatch):
 
 def test_sums_of_many_tasks_are_added_up_by_tasks(spark, table, monkeypatch):
     rows = table.select(vector_to_array("features").alias("features"), F.col("class").alias("label")).repartition(9)
-    thresholds = R.find_thresholds(rows, 8, 42)
+    thresholds = R.find_thresholds(rows, 15_000, 8, 42)
     blocks, width = R.to_blocks(rows, thresholds, True), max(len(t) for t in thresholds) + 1
     once = R.level_sums(blocks, R.Tree.empty(2), 0, R.logistic, 4, width)
     monkeypatch.setattr(R, "REDUCE_PARTITIONS", 1)
     again = R.level_sums(blocks, R.Tree.empty(2), 0, R.logistic, 4, width)
     assert all((a == b).all() for a, b in zip(once, again))
+    assert R.to_blocks(rows, thresholds, True, 2).getNumPartitions() == 2 < blocks.getNumPartitions()
     assert once[0].sum() == 4 * 15_000 and once[2] == [15_000]
 
 

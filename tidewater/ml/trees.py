@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 # Rows of a block, and the number of combinations of bins up to which rows are summed per combination.
 BLOCK_ROWS, MAX_CELLS = 1 << 16, 1 << 21
+# A task of a pass gets about so many rows at least, as starting it costs more than fewer.
+TASK_ROWS = 1 << 17
 # Thresholds come from a sample of so many rows, or of the square of the bins, as in Spark.
 SAMPLE_ROWS = 10_000
 # Up to this depth and number of bins, histograms are used. A bin is a byte, and a sample that came out larger
@@ -172,11 +174,8 @@ def _sampled(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return DataFrame(spark._jsparkSession.createDataFrame(drawn, df._jdf.schema()), spark)
 
 
-def find_thresholds(rows: DataFrame, bins: int, seed: int) -> list[np.ndarray]:
-    """Thresholds between the bins of every feature of ``rows`` (features array<double>)."""
-    count = rows.count()
-    if not count:
-        raise ValueError("no rows to learn from")
+def find_thresholds(rows: DataFrame, count: int, bins: int, seed: int) -> list[np.ndarray]:
+    """Thresholds between the bins of every feature of the ``count`` rows (features array<double>)."""
     fraction = min(1.0, max(bins * bins, SAMPLE_ROWS) / count)
     features = rows.select("features")
     drawn = (_sampled(features, fraction, seed) if fraction < 1 else features).toPandas()["features"]
@@ -247,10 +246,10 @@ def _cell_blocks(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterato
             yield _written(bins, n, y, yy)
 
 
-def to_blocks(rows: DataFrame, thresholds: list[np.ndarray], classes: bool) -> RDD:
+def to_blocks(rows: DataFrame, thresholds: list[np.ndarray], classes: bool, tasks: int = 1 << 30) -> RDD:
     """Blocks of the rows (features array<double>, label), summed per combination of bins if those are few.
 
-    Class labels become -1 and 1; rows of classes are not summed.
+    Class labels become -1 and 1; rows of classes are not summed. There are at most ``tasks`` partitions.
     """
     sizes = [len(t) + 1 for t in thresholds]
     if classes or np.prod(sizes, dtype=np.float64) > MAX_CELLS:
@@ -260,7 +259,7 @@ def to_blocks(rows: DataFrame, thresholds: list[np.ndarray], classes: bool) -> R
         sums = rows.mapInArrow(in_task, "cell bigint, n double, y double, yy double")
         cells = sums.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "y", "yy")])
         blocks = cells.mapInArrow(partial(_cell_blocks, sizes=sizes), _BLOCK)
-    return blocks.rdd.map(partial(_block, features=len(sizes)))
+    return blocks.rdd.coalesce(tasks).map(partial(_block, features=len(sizes)))
 
 
 # Growth
@@ -441,9 +440,13 @@ def _fitted(est, dataset: DataFrame, residuals: Residuals, trees: int = 1, rate:
     classes = residuals is logistic
     rows = dataset.select(vector_to_array(F.col(est.getFeaturesCol())).alias("features"),
                           F.col(est.getLabelCol()).cast("double").alias("label"))
-    thresholds = find_thresholds(rows, est.getMaxBins(), est.getSeed())
-    grown = boost(to_blocks(rows, thresholds, classes), residuals, [len(t) + 1 for t in thresholds], trees, rate,
-                  depth=est.getMaxDepth(), least=est.getMinInstancesPerNode(), min_gain=est.getMinInfoGain())
+    count = rows.count()
+    if not count:
+        raise ValueError("no rows to learn from")
+    thresholds = find_thresholds(rows, count, est.getMaxBins(), est.getSeed())
+    blocks = to_blocks(rows, thresholds, classes, -(-count // TASK_ROWS))
+    grown = boost(blocks, residuals, [len(t) + 1 for t in thresholds], trees, rate, depth=est.getMaxDepth(),
+                  least=est.getMinInstancesPerNode(), min_gain=est.getMinInfoGain())
     names = ["predictionCol", *["rawPredictionCol", "probabilityCol"] * classes]
     return TreeSum(grown, thresholds, est.getFeaturesCol(), {k: est.getOrDefault(k) for k in names})
 
